@@ -25,11 +25,6 @@ def _sql_trim(e: str) -> str:
     return f"btrim({e}, {_WS_SQL})"
 
 
-def _sql_java_split(e: str, sep: str) -> str:
-    stripped = f"regexp_replace({e}, '(?:{sep})+$', '')"
-    return f"(CASE WHEN {stripped} = '' AND {e} <> '' THEN array() ELSE split({stripped}, '{sep}') END)"
-
-
 def _sql_int(e: str, field: str, frag: str) -> str:
     msg = ITEM_NUMBER_ERROR.format(field=field)
     return (f"coalesce(CASE WHEN {e} RLIKE '^[+-]?[0-9]+$' THEN try_cast({e} AS INT) END, "
@@ -37,15 +32,18 @@ def _sql_int(e: str, field: str, frag: str) -> str:
 
 
 def item_list_sql(arg: str = "item_list") -> str:
-    """SQL text of the validated ``array<struct<sku_id, qty, price>>`` for ``arg``."""
-    frag = _sql_trim("x")
-    parts = _sql_java_split(frag, ":")
-    qty = _sql_int(_sql_trim(f"{parts}[1]"), "qty", frag)
-    price = _sql_int(_sql_trim(f"{parts}[2]"), "price", frag)
-    row = f"named_struct('sku_id', {_sql_trim(f'{parts}[0]')}, 'qty', {qty}, 'price', {price})"
-    parse = (f"CASE WHEN size({parts}) = 3 THEN {row} "
-             f"ELSE raise_error(concat('{ITEM_FRAGMENT_ERROR}', {frag})) END")
-    return f"transform(filter(split({arg}, ','), x -> {_sql_trim('x')} <> ''), x -> {parse})"
+    """SQL text of the validated ``array<struct<sku_id, qty, price>>`` for ``arg``
+    (same staged plan as :func:`batchkit.operators.business.parse_item_list`)."""
+    frags = f"filter(transform(split({arg}, ','), x -> {_sql_trim('x')}), t -> t <> '')"
+    split = (f"transform({frags}, t -> named_struct('frag', t, 'p', CASE WHEN TRIM(TRAILING ':' FROM t) = '' AND t <> '' "
+             f"THEN array() ELSE split(TRIM(TRAILING ':' FROM t), ':') END))")
+    fields = (f"transform({split}, s -> named_struct('frag', s.frag, 'n', size(s.p), "
+              f"'sku', {_sql_trim('get(s.p, 0)')}, 'q', {_sql_trim('get(s.p, 1)')}, "
+              f"'pr', {_sql_trim('get(s.p, 2)')}))")
+    row = (f"named_struct('sku_id', s.sku, 'qty', {_sql_int('s.q', 'qty', 's.frag')}, "
+           f"'price', {_sql_int('s.pr', 'price', 's.frag')})")
+    return (f"transform({fields}, s -> CASE WHEN s.n = 3 THEN {row} "
+            f"ELSE raise_error(concat('{ITEM_FRAGMENT_ERROR}', s.frag)) END)")
 
 
 SQL_FUNCTIONS = {

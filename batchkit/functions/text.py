@@ -11,6 +11,9 @@ from batchkit._util import as_col
 JAVA_WHITESPACE = "".join(chr(i) for i in range(0x21))
 
 
+_REGEX_META = set(".$|()[]{}^?*+\\")
+
+
 def java_trim(c) -> Column:
     """``String.trim``: strip chars <= U+0020 from both ends (Spark ``trim`` strips spaces only)."""
     return F.btrim(as_col(c), F.lit(JAVA_WHITESPACE))
@@ -23,7 +26,10 @@ def java_split(c, sep_regex: str) -> Column:
     leading empty part; a string made only of separators gives an empty array.
     """
     s = as_col(c)
-    stripped = F.regexp_replace(s, f"(?:{sep_regex})+$", "")
+    if len(sep_regex) == 1 and sep_regex not in _REGEX_META:
+        stripped = F.rtrim(s, F.lit(sep_regex))  # a plain char: no regex needed
+    else:
+        stripped = F.regexp_replace(s, f"(?:{sep_regex})+$", "")
     parts = F.split(stripped, sep_regex)
     return F.when((stripped == "") & (s != ""), F.array().cast("array<string>")).otherwise(parts)
 

@@ -83,7 +83,7 @@ def group_into_bags(df: DataFrame, by, value, block=None, sep: str = ",") -> Dat
     grouped = df.select(*keys, blk.alias("block"), v.alias("_v"))
     return (grouped.groupBy(*[F.col(k) if isinstance(k, str) else k for k in keys], "block")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.array_join(F.transform(F.array_sort(F.collect_list("_v")), lambda x: x.cast("string")),
+                 F.array_join(F.transform(F.sort_array(F.collect_list("_v")), lambda x: x.cast("string")),
                               sep).alias("vals")))
 
 

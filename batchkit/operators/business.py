@@ -82,8 +82,7 @@ def int_to_percent_checked(df: DataFrame, num: str, denom: str) -> Column:
 
 # ------------------------------------------------------------------- item_list explode
 def _parse_int(text: Column, field: str, fragment: Column, on_error: str) -> Column:
-    ok = text.rlike(r"^[+-]?[0-9]+$")
-    value = F.when(ok, text.try_cast("int"))  # null on bad text or int overflow
+    value = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))  # null on bad text or overflow
     if on_error == "drop":
         return value
     return F.coalesce(value, F.raise_error(F.concat(F.lit(ITEM_NUMBER_ERROR.format(field=field)), fragment)))
@@ -92,29 +91,33 @@ def _parse_int(text: Column, field: str, fragment: Column, on_error: str) -> Col
 def parse_item_list(item_list, on_error: str = "raise") -> Column:
     """``array<struct<sku_id string, qty int, price int>>`` parsed from ``sku:qty:price,...``.
 
-    Java text rules: items split on ','; blank items skipped; each item trimmed
-    (chars <= U+0020) and split on ':' dropping trailing empty parts; exactly 3
-    parts required.  Validation happens here, before any explode, so a bad item
-    raises even when later selects prune fields or only count rows.
-    ``on_error='drop'`` removes bad items instead of raising.
+    Java text rules: items split on ','; each item trimmed (chars <= U+0020) and
+    blank items skipped; an item is split on ':' dropping trailing empty parts and
+    must have exactly 3 parts; numbers are optional sign + digits within int range.
+    Validation happens here, before any explode, so a bad item raises even when
+    later selects prune fields or only count rows.  ``on_error='drop'`` removes bad
+    items instead of raising.
+
+    Built as staged ``transform`` calls so each trim / split runs once per item
+    (expressions inside one lambda are not de-duplicated).
     """
     if on_error not in ("raise", "drop"):
         raise ValueError("on_error must be 'raise' or 'drop'")
-    items = F.filter(F.split(as_col(item_list), ","), lambda x: java_trim(x) != "")
-
-    def parse(x: Column) -> Column:
-        frag = java_trim(x)
-        parts = java_split(frag, ":")
-        qty = _parse_int(java_trim(parts.getItem(1)), "qty", frag, on_error)
-        price = _parse_int(java_trim(parts.getItem(2)), "price", frag, on_error)
-        row = F.struct(java_trim(parts.getItem(0)).alias("sku_id"), qty.alias("qty"), price.alias("price"))
+    frags = F.filter(F.transform(F.split(as_col(item_list), ","), java_trim), lambda t: t != "")
+    split = F.transform(frags, lambda t: F.struct(t.alias("frag"), java_split(t, ":").alias("p")))
+    fields = F.transform(split, lambda s: F.struct(
+        s["frag"].alias("frag"), F.size(s["p"]).alias("n"), java_trim(F.get(s["p"], 0)).alias("sku"),
+        java_trim(F.get(s["p"], 1)).alias("q"), java_trim(F.get(s["p"], 2)).alias("pr")))
+
+    def to_row(s: Column) -> Column:
+        qty = _parse_int(s["q"], "qty", s["frag"], on_error)
+        price = _parse_int(s["pr"], "price", s["frag"], on_error)
+        row = F.struct(s["sku"].alias("sku_id"), qty.alias("qty"), price.alias("price"))
         if on_error == "drop":
-            good = (F.size(parts) == 3) & qty.isNotNull() & price.isNotNull()
-            return F.when(good, row)
-        return F.when(F.size(parts) == 3, row).otherwise(
-            F.raise_error(F.concat(F.lit(ITEM_FRAGMENT_ERROR), frag)))
+            return F.when((s["n"] == 3) & qty.isNotNull() & price.isNotNull(), row)
+        return F.when(s["n"] == 3, row).otherwise(F.raise_error(F.concat(F.lit(ITEM_FRAGMENT_ERROR), s["frag"])))
 
-    parsed = F.transform(items, parse)
+    parsed = F.transform(fields, to_row)
     if on_error == "drop":
         parsed = F.filter(parsed, lambda r: r.isNotNull())
     return parsed
@@ -152,9 +155,9 @@ def login_rollup(df: DataFrame, day, province, user, block_digits: int = 2) -> D
                       as_col(user).cast("string").alias("user"))
     users = users.withColumn("block", hash_block("user", block_digits))
     per_province = (users.groupBy("dt", "block", "province")
-                    .agg(F.array_sort(F.collect_set("user")).alias("user_list")))
+                    .agg(F.sort_array(F.collect_set("user")).alias("user_list")))
     per_day = (per_province.groupBy("dt", "block")
-               .agg(F.array_sort(F.collect_list(F.struct("province", "user_list"))).alias("provinces")))
+               .agg(F.sort_array(F.collect_list(F.struct("province", "user_list"))).alias("provinces")))
     return per_day.select("dt", "block", F.to_json(F.struct("dt", "provinces")).alias("j"))
 
 

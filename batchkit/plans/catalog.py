@@ -118,8 +118,8 @@ def q_item_list_explode(spark, sf):
     li = table(spark, sf, "lineitem")
     # Item lists as an upstream table would hold them: one text per order (in blocks
     # of at most 64 lines, so even a huge order never becomes one unbounded string).
-    lists = (li.groupBy(F.col("l_orderkey").alias("k"), F.floor(F.col("l_linenumber") / 64).alias("blk"))
-             .agg(F.array_join(F.array_sort(F.collect_list(_item_text())), ",").alias("item_list")))
+    lists = (li.groupBy(F.col("l_orderkey").alias("k"), F.call_function("div", F.col("l_linenumber"), F.lit(64)).alias("blk"))
+             .agg(F.array_join(F.sort_array(F.collect_list(_item_text())), ",").alias("item_list")))
     return biz.explode_item_list(lists, "item_list", keep=["k"])
 
 
@@ -130,8 +130,8 @@ def q_item_list_explode(spark, sf):
 def q_item_list_explode_sql(spark, sf):
     register_all(spark)
     li = table(spark, sf, "lineitem")
-    lists = (li.groupBy(F.col("l_orderkey").alias("k"), F.floor(F.col("l_linenumber") / 64).alias("blk"))
-             .agg(F.array_join(F.array_sort(F.collect_list(_item_text())), ",").alias("item_list")))
+    lists = (li.groupBy(F.col("l_orderkey").alias("k"), F.call_function("div", F.col("l_linenumber"), F.lit(64)).alias("blk"))
+             .agg(F.array_join(F.sort_array(F.collect_list(_item_text())), ",").alias("item_list")))
     view = create_view(lists, _name("item_lists"))
     return spark.sql(f"select t.k, f.sku_id, f.qty, f.price from {view} t, lateral item_list_explode(t.item_list) f")
 

@@ -36,7 +36,7 @@ def write_grouped_text(df: DataFrame, key, value, num_files: int, path: str,
     copies = F.least(F.lit(max_copies), F.col("c") - F.col("i") * max_copies).cast("int")
     pieces = chunks.select("k", "v", "i", copies.alias("copies"), hash_block("v", block_digits).alias("block"))
     bags = (pieces.groupBy("k", "block", "i")
-            .agg(F.array_sort(F.collect_list(F.struct("v", "copies"))).alias("vc"))
+            .agg(F.sort_array(F.collect_list(F.struct("v", "copies"))).alias("vc"))
             .select("k", F.flatten(F.transform("vc", lambda s: F.array_repeat(s["v"], s["copies"]))).alias("bag")))
     lines = bags.repartition(num_files, "k").select(
         F.format_string("(%s,[%s])", F.col("k"), F.array_join("bag", ", ")).alias("value"))
