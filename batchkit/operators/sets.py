@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -16,6 +19,15 @@ def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def intersect_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows present in both, each once (planned as a semi join over distinct rows)."""
-    return a.intersect(b)
+    """Rows present in both, each once.
+
+    Each side is de-duplicated first, so partial aggregation shrinks both inputs
+    before anything is shuffled; the semi join then runs on distinct rows, and the
+    final distinct needs no further shuffle (same keys, same partitioning).
+    """
+    if sorted(a.columns) != sorted(b.columns):
+        raise ValueError(f"intersect needs the same columns, got {a.columns} and {b.columns}")
+    right = b.select(*[F.col(c).alias(f"_r_{c}") for c in a.columns]).distinct()
+    cond = reduce(lambda x, y: x & y, [a[c].eqNullSafe(right[f"_r_{c}"]) for c in a.columns])
+    return a.distinct().join(right, cond, "left_semi")
 
