@@ -44,7 +44,8 @@ def test_partition_index_rows(spark):
 
 def test_repartition_sorted_partitions(spark):
     df = Q["repartition_sorted"](spark, SF001)
-    assert df.rdd.getNumPartitions() == 3
+    n_in = table(spark, SF001, "lineitem").rdd.getNumPartitions()
+    assert df.rdd.getNumPartitions() == max(3, n_in)
     tagged = df.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"),
                        "l_orderkey", "l_linenumber").collect()
     by_part = {}
