@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from batchkit._util import as_col
 
@@ -39,6 +40,20 @@ def day_of(ts) -> Column:
     return F.substring(as_col(ts).cast("string"), 1, 10)
 
 
+def day_key(df, c) -> Column:
+    """Grouping key for "the day of" a column of ``df``.
+
+    For timestamp/date columns this is ``to_date`` (a 4-byte key, cheap to hash
+    and shuffle); for text columns it is :func:`day_of`.  Casting the key to
+    string gives the same ``yyyy-MM-dd`` text as :func:`day_of` in both cases, so
+    format it once per output row instead of once per input row.
+    """
+    name = c if isinstance(c, str) else None
+    if name is not None and isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.to_date(F.col(name))
+    return day_of(c)
+
+
 def hash_block(c, hex_digits: int) -> Column:
     """Deterministic block id: the first ``hex_digits`` hex chars of ``md5(cast(c as string))``.
 

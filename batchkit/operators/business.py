@@ -147,10 +147,13 @@ def login_rollup(df: DataFrame, day, province, user, block_digits: int = 2) -> D
     row; the union of a day's blocks is the day's full roll-up.  ``block_digits=0``
     gives exactly one document per day (use only when a day's users are bounded).
 
+    ``day`` may be a date (e.g. :func:`batchkit.functions.day_key`) or text; it is
+    formatted as text only on the output rows.
+
     Plan: partial ``collect_set`` (map-side de-duplication) -> shuffle on
     (dt, block, province) -> small second aggregation per (dt, block).
     """
-    users = df.select(as_col(day).cast("string").alias("dt"),
+    users = df.select(as_col(day).alias("dt"),
                       as_col(province).cast("string").alias("province"),
                       as_col(user).cast("string").alias("user"))
     users = users.withColumn("block", hash_block("user", block_digits))
@@ -158,6 +161,7 @@ def login_rollup(df: DataFrame, day, province, user, block_digits: int = 2) -> D
                     .agg(F.sort_array(F.collect_set("user")).alias("user_list")))
     per_day = (per_province.groupBy("dt", "block")
                .agg(F.sort_array(F.collect_list(F.struct("province", "user_list"))).alias("provinces")))
+    per_day = per_day.withColumn("dt", F.col("dt").cast("string"))  # format once per output row
     return per_day.select("dt", "block", F.to_json(F.struct("dt", "provinces")).alias("j"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchkit.functions.registry import register_all
-from batchkit.functions.text import day_of
+from batchkit.functions.text import day_key
 from batchkit.operators import aggregates as agg
 from batchkit.operators import business as biz
 from batchkit.operators import joins, nested, partitions, rows, sampling, sets, sorting
@@ -53,7 +53,8 @@ def _name(prefix: str) -> str:
     from events group by 1""")
 def q_event_rate(spark, sf):
     ev = table(spark, sf, "events")
-    return ev.groupBy(day_of("ts").alias("dt")).agg(biz.event_rate("event_type", "purchase", "view").alias("r"))
+    daily = ev.groupBy(day_key(ev, "ts").alias("dt")).agg(biz.event_rate("event_type", "purchase", "view").alias("r"))
+    return daily.select(F.col("dt").cast("string").alias("dt"), "r")
 
 
 @query("event_rate_null", """
@@ -72,8 +73,9 @@ def q_event_rate_null(spark, sf):
     from events group by 1, 2""")
 def q_event_rate_user_day(spark, sf):
     ev = table(spark, sf, "events")
-    return ev.groupBy(day_of("ts").alias("dt"), "user_id").agg(
+    out = ev.groupBy(day_key(ev, "ts").alias("dt"), "user_id").agg(
         biz.event_rate("event_type", "purchase", "click").alias("r"))
+    return out.select(F.col("dt").cast("string").alias("dt"), "user_id", "r")
 
 
 @query("int_average", """
@@ -148,7 +150,7 @@ def q_item_list_explode_sql(spark, sf):
     group by dt, block""")
 def q_login_rollup(spark, sf):
     ev = table(spark, sf, "events")
-    return biz.login_rollup(ev, day_of("ts"), "event_type", "user_id", block_digits=2)
+    return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", block_digits=2)
 
 
 # ============================================================ aggregations
@@ -164,9 +166,11 @@ def q_order_daily_total(spark, sf):
     # Aggregate lineitem to one row per order *before* the join (partial aggregation
     # shrinks the big side), join the order's day, then the small per-day sum.
     per_order = li.groupBy("l_orderkey").agg(F.sum(amount).alias("order_amount"))
-    orders = table(spark, sf, "orders").select("o_orderkey", day_of("o_orderdate").alias("dt"))
+    orders = table(spark, sf, "orders")
+    orders = orders.select("o_orderkey", day_key(orders, "o_orderdate").alias("dt"))
     joined = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
-    return joined.groupBy("dt").agg(F.sum("order_amount").alias("total"))
+    daily = joined.groupBy("dt").agg(F.sum("order_amount").alias("total"))
+    return daily.select(F.col("dt").cast("string").alias("dt"), "total")
 
 
 @query("reduce_sum", "select cast(sum(l_linenumber) as bigint) total from lineitem")
