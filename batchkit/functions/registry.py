@@ -83,6 +83,19 @@ def int_average_agg(v: pd.Series) -> float:
     return float(-q if total < 0 else q)
 
 
+def register_python(spark: SparkSession, name: str, fn, return_type, deterministic: bool = True):
+    """Register a vectorised Python function (pandas Series in, Series out) under ``name``.
+
+    For logic SQL cannot express.  Batches move through Arrow; non-deterministic
+    functions are flagged so the optimizer never duplicates or reorders them.
+    Returns the registered UDF object (``.deterministic`` reports the flag).
+    """
+    f = F.pandas_udf(fn, return_type)
+    if not deterministic:
+        f = f.asNondeterministic()
+    return spark.udf.register(name, f)
+
+
 def register_all(spark: SparkSession) -> list[str]:
     """Register every SQL name in ``spark``'s session; idempotent.  Returns the names."""
     for stmt in SQL_FUNCTIONS.values():

@@ -52,6 +52,9 @@ def checkpoint_base(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage; "
+                               "a machine-local folder is not visible to every executor")
         base = tempfile.mkdtemp(prefix="batchkit-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     elif spark.sparkContext.getCheckpointDir() is None:
