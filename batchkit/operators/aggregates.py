@@ -81,7 +81,11 @@ def group_into_bags(df: DataFrame, by, value, block=None, sep: str = ",") -> Dat
     keys = _keys(by)
     blk = F.lit(0) if block is None else block
     grouped = df.select(*keys, blk.alias("block"), v.alias("_v"))
-    return (grouped.groupBy(*[F.col(k) if isinstance(k, str) else k for k in keys], "block")
+    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
+    # A bag keeps every value, so a map-side partial aggregate would not shrink
+    # anything: shuffle rows once on (key, block) and build the bags after it.
+    grouped = grouped.repartition(*key_cols, "block")
+    return (grouped.groupBy(*key_cols, "block")
             .agg(F.count(F.lit(1)).alias("n"),
                  F.array_join(F.transform(F.sort_array(F.collect_list("_v")), lambda x: x.cast("string")),
                               sep).alias("vals")))

@@ -22,5 +22,6 @@ def nest(df: DataFrame, by, fields, name: str, block=None) -> DataFrame:
     """
     keys = [by] if isinstance(by, str) else list(by)
     blk = F.lit(0) if block is None else block
-    return (df.select(*keys, blk.alias("block"), F.struct(*[as_col(f) for f in fields]).alias("_s"))
-            .groupBy(*keys, "block").agg(F.collect_list("_s").alias(name)))
+    rows = df.select(*keys, blk.alias("block"), F.struct(*[as_col(f) for f in fields]).alias("_s"))
+    # collect_list does not shrink map-side: one shuffle on (key, block), then aggregate.
+    return rows.repartition(*keys, "block").groupBy(*keys, "block").agg(F.collect_list("_s").alias(name))

@@ -112,17 +112,25 @@ def _item_text():
                     F.floor("l_extendedprice").cast("int").cast("string"))
 
 
+def _item_lists(spark, sf) -> DataFrame:
+    """Item lists as an upstream table holds them: one ``sku:qty:price,...`` text per
+    order, built from lineitem (in blocks of at most 64 lines, so even a huge order
+    never becomes one unbounded string or one task's work)."""
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("k"), F.call_function("div", F.col("l_linenumber"), F.lit(64)).alias("blk"),
+        _item_text().alias("item"))
+    # collect_list keeps every element, so a map-side partial aggregate saves nothing:
+    # shuffle the rows once on the full group key, then aggregate at full parallelism.
+    return (li.repartition("k", "blk").groupBy("k", "blk")
+            .agg(F.array_join(F.sort_array(F.collect_list("item")), ",").alias("item_list")))
+
+
 @query("item_list_explode", """
     select l_orderkey k, concat('sku', lpad(cast(l_partkey as varchar), 10, '0')) sku_id,
            cast(l_quantity as int) qty, cast(floor(l_extendedprice) as int) price
     from lineitem""")
 def q_item_list_explode(spark, sf):
-    li = table(spark, sf, "lineitem")
-    # Item lists as an upstream table would hold them: one text per order (in blocks
-    # of at most 64 lines, so even a huge order never becomes one unbounded string).
-    lists = (li.groupBy(F.col("l_orderkey").alias("k"), F.call_function("div", F.col("l_linenumber"), F.lit(64)).alias("blk"))
-             .agg(F.array_join(F.sort_array(F.collect_list(_item_text())), ",").alias("item_list")))
-    return biz.explode_item_list(lists, "item_list", keep=["k"])
+    return biz.explode_item_list(_item_lists(spark, sf), "item_list", keep=["k"])
 
 
 @query("item_list_explode_sql", """
@@ -131,10 +139,7 @@ def q_item_list_explode(spark, sf):
     from lineitem""")
 def q_item_list_explode_sql(spark, sf):
     register_all(spark)
-    li = table(spark, sf, "lineitem")
-    lists = (li.groupBy(F.col("l_orderkey").alias("k"), F.call_function("div", F.col("l_linenumber"), F.lit(64)).alias("blk"))
-             .agg(F.array_join(F.sort_array(F.collect_list(_item_text())), ",").alias("item_list")))
-    view = create_view(lists, _name("item_lists"))
+    view = create_view(_item_lists(spark, sf), _name("item_lists"))
     return spark.sql(f"select t.k, f.sku_id, f.qty, f.price from {view} t, lateral item_list_explode(t.item_list) f")
 
 
