@@ -2,15 +2,13 @@
 
 Scalar and table functions are SQL functions: Catalyst inlines their bodies, so
 they keep predicate pushdown and whole-stage codegen and run no Python.  A SQL
-function cannot hold an aggregate, so ``event_rate`` and ``int_average`` get SQL
-names through vectorised (Arrow) grouped-aggregate pandas UDFs, for ad-hoc SQL
-only; DataFrame code should use the built-in expressions in
-:mod:`batchkit.operators.business`, which aggregate partially before the shuffle.
+function cannot hold an aggregate, so ``event_rate`` and ``int_average`` are
+offered to SQL as expression text (:func:`event_rate_sql`, :func:`int_average_sql`)
+built from built-in aggregates, which aggregate partially before the shuffle.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,24 +61,22 @@ def _item_list_table_function() -> str:
             f"RETURN SELECT r.sku_id, r.qty, r.price FROM (SELECT explode({item_list_sql()}) AS r)")
 
 
-@F.pandas_udf(T.DoubleType())
-def event_rate_agg(event: pd.Series, numerator: pd.Series, denominator: pd.Series) -> float:
-    """Grouped-aggregate form of ``event_rate`` for SQL (no partial aggregation)."""
-    valid = event.notna() & numerator.notna() & denominator.notna()
-    num = int(((event == numerator) & valid).sum())
-    den = int(((event == denominator) & valid).sum())
-    return float(num) / den if den else None
+def event_rate_sql(event: str, numerator: str, denominator: str) -> str:
+    """SQL text of ``event_rate`` for use inside ``spark.sql`` (arguments are SQL
+    expressions, e.g. ``"event_type", "'purchase'", "'view'"``).
+
+    A SQL function cannot hold an aggregate, and a registered grouped-aggregate
+    Python UDF would pull each whole group into one worker with no partial step,
+    so the SQL surface is this expression text: built-in aggregates, combined
+    map-side like the DataFrame form.
+    """
+    return (f"try_divide(count_if(({event}) = ({numerator}) AND ({denominator}) IS NOT NULL), "
+            f"count_if(({event}) = ({denominator}) AND ({numerator}) IS NOT NULL))")
 
 
-@F.pandas_udf(T.DoubleType())
-def int_average_agg(v: pd.Series) -> float:
-    """Grouped-aggregate form of ``int_average`` for SQL: truncating integer mean."""
-    v = v.dropna()
-    if v.empty:
-        return None
-    total, n = int(v.astype("int64").sum()), len(v)
-    q = abs(total) // n
-    return float(-q if total < 0 else q)
+def int_average_sql(value: str) -> str:
+    """SQL text of ``int_average``: ``cast(sum(v) div count(v) as double)``."""
+    return f"CAST(sum({value}) DIV count({value}) AS DOUBLE)"
 
 
 def register_python(spark: SparkSession, name: str, fn, return_type, deterministic: bool = True):
@@ -101,6 +97,4 @@ def register_all(spark: SparkSession) -> list[str]:
     for stmt in SQL_FUNCTIONS.values():
         spark.sql(stmt)
     spark.sql(_item_list_table_function())
-    spark.udf.register("event_rate", event_rate_agg)
-    spark.udf.register("int_average", int_average_agg)
-    return [*SQL_FUNCTIONS, "item_list_explode", "event_rate", "int_average"]
+    return [*SQL_FUNCTIONS, "item_list_explode"]

@@ -212,6 +212,11 @@ def q_aggregate_by_key(spark, sf):
                                 F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("s"))
 
 
+@query("key_bounds", "select min(o_orderkey) lo, max(o_orderkey) hi from orders")
+def q_key_bounds(spark, sf):
+    return agg.key_bounds(table(spark, sf, "orders"), "o_orderkey")
+
+
 @query("distinct_values", "select distinct o_orderstatus v from orders")
 def q_distinct_values(spark, sf):
     return agg.distinct_values(table(spark, sf, "orders"), "o_orderstatus")
@@ -342,11 +347,14 @@ def q_nested_explode(spark, sf):
 
 
 # ============================================================ joins and sets
-@query("join_inner", "select s_name, n_name from supplier join nation on s_nationkey = n_nationkey")
+@query("join_inner", """
+    select s_name, n_name, concat_ws(',', s_name, n_name) pair
+    from supplier join nation on s_nationkey = n_nationkey""")
 def q_join_inner(spark, sf):
     su, na = table(spark, sf, "supplier"), table(spark, sf, "nation")
-    return joins.join(su, na, su.s_nationkey == na.n_nationkey, "inner",
-                      broadcast_right_max_rows=10_000).select("s_name", "n_name")
+    # nation is a dimension: Spark's size estimate broadcasts it; no hint needed.
+    joined = joins.join(su, na, su.s_nationkey == na.n_nationkey, "inner")
+    return joined.select("s_name", "n_name", F.concat_ws(",", "s_name", "n_name").alias("pair"))
 
 
 @query("join_left", """
@@ -592,6 +600,17 @@ def q_partitioned_table_roundtrip(spark, sf):
     return json_src.sql_on_file(spark, "parquet", path)
 
 
+@query("managed_table_roundtrip", "select event_id, user_id, event_type from events where event_type = 'purchase'")
+def q_managed_table_roundtrip(spark, sf):
+    db = "batchkit_scratch"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{shared_dir(spark, 'warehouse')}'")
+    name = f"{db}.{_name('events_by_type')}"
+    table_sinks.save_partitioned_table(table(spark, sf, "events").select("event_id", "user_id", "event_type"),
+                                       name, "event_type")
+    # Reading one partition value prunes the other folders (PartitionFilters in the scan).
+    return spark.table(name).where(F.col("event_type") == "purchase")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from batchkit.functions.registry import register_all
+from batchkit.functions.registry import event_rate_sql, int_average_sql, register_all
 from batchkit.operators import business as biz
 
 
@@ -52,11 +52,13 @@ def test_event_rate_type_checks(spark):
         biz.event_rate_by(_events(spark, [(1, "x")]), ["g"], "nope", "pay", "view")
 
 
-def test_event_rate_sql_name(spark):
-    register_all(spark)
+def test_event_rate_sql_text(spark):
     _events(spark, [(1, "view"), (1, "pay"), (1, "click"), (1, "view")]).createOrReplaceTempView("ev_t")
-    assert spark.sql("select event_rate(e, 'pay', 'view') r from ev_t").first()["r"] == pytest.approx(0.5)
-    assert spark.sql("select event_rate(e, 'pay', 'nope') r from ev_t").first()["r"] is None
+    q = f"select g, {event_rate_sql('e', chr(39) + 'pay' + chr(39), chr(39) + 'view' + chr(39))} r from ev_t group by g"
+    assert spark.sql(q).first()["r"] == pytest.approx(0.5)
+    assert "partial_count_if" in spark.sql(q)._jdf.queryExecution().executedPlan().toString()
+    none = f"select {event_rate_sql('e', chr(39) + 'pay' + chr(39), chr(39) + 'nope' + chr(39))} r from ev_t"
+    assert spark.sql(none).first()["r"] is None
 
 
 # ------------------------------------------------------------------------- int_to_percent
@@ -181,6 +183,5 @@ def test_int_average(spark, values, expected):
 def test_int_average_exact_and_sql(spark):
     df = spark.createDataFrame([(1,), (2,)], "v bigint")
     assert df.agg(biz.int_average("v", exact=True).alias("a")).first()["a"] == 1.5
-    register_all(spark)
     df.createOrReplaceTempView("avg_t")
-    assert spark.sql("select int_average(v) a from avg_t").first()["a"] == 1.0
+    assert spark.sql(f"select {int_average_sql('v')} a from avg_t").first()["a"] == 1.0
