@@ -56,7 +56,7 @@ def test_event_rate_sql_text(spark):
     _events(spark, [(1, "view"), (1, "pay"), (1, "click"), (1, "view")]).createOrReplaceTempView("ev_t")
     q = f"select g, {event_rate_sql('e', chr(39) + 'pay' + chr(39), chr(39) + 'view' + chr(39))} r from ev_t group by g"
     assert spark.sql(q).first()["r"] == pytest.approx(0.5)
-    assert "partial_count_if" in spark.sql(q)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in spark.sql(q)._jdf.queryExecution().executedPlan().toString()
     none = f"select {event_rate_sql('e', chr(39) + 'pay' + chr(39), chr(39) + 'nope' + chr(39))} r from ev_t"
     assert spark.sql(none).first()["r"] is None
 
