@@ -137,6 +137,32 @@ def explode_item_list(df: DataFrame, column: str, on_error: str = "raise",
 
 
 # --------------------------------------------------------------------------- login roll-up
+# Positions of user, province and day in a tab-separated login row.
+LOGIN_FIELDS = {"user": 0, "province": 3, "dt": 9}
+LOGIN_ROW_ERROR = "Invalid login row: "
+
+
+def parse_login_lines(df: DataFrame, column: str = "value", on_error: str = "raise") -> DataFrame:
+    """Tab-separated login rows -> ``(user, province, dt)`` text columns.
+
+    Java ``split("\t")`` rules (trailing empty fields dropped); a row needs the
+    field at position 9, otherwise it raises (``on_error='raise'``) or is dropped
+    (``'drop'``).  A header line is data, as in the upstream stream of rows.
+    """
+    if on_error not in ("raise", "drop"):
+        raise ValueError("on_error must be 'raise' or 'drop'")
+    require_type(df, column, STRINGS, "login rows")
+    parts = java_split(column, "\t")
+    need = max(LOGIN_FIELDS.values()) + 1
+    rows = df.select(parts.alias("_f"), F.col(column).alias("_line"))
+    if on_error == "drop":
+        rows = rows.where(F.size("_f") >= need)
+    else:
+        rows = rows.where(F.when(F.size("_f") >= need, F.lit(True))
+                          .otherwise(F.raise_error(F.concat(F.lit(LOGIN_ROW_ERROR), F.col("_line")))))
+    return rows.select(*[F.col("_f").getItem(i).alias(name) for name, i in LOGIN_FIELDS.items()])
+
+
 def login_rollup(df: DataFrame, day, province, user, block_digits: int = 2) -> DataFrame:
     """Distinct users per (day, province), one JSON document per day block.
 

@@ -158,6 +158,29 @@ def q_login_rollup(spark, sf):
     return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", block_digits=2)
 
 
+@query("login_rollup_tsv", """
+    select dt, block,
+           cast(to_json({'dt': dt, 'provinces': list({'province': province, 'user_list': user_list}
+                         order by province)}) as varchar) j
+    from (select substr(cast(ts as varchar), 1, 10) dt,
+                 substr(md5(cast(user_id as varchar)), 1, 2) block,
+                 event_type province,
+                 list(distinct cast(user_id as varchar) order by cast(user_id as varchar)) user_list
+          from events group by 1, 2, 3)
+    group by dt, block""")
+def q_login_rollup_tsv(spark, sf):
+    # Login rows as an upstream job emits them: tab-separated text, user in field 0,
+    # province in field 3, day in field 9; written, read back as lines, parsed.
+    ev = table(spark, sf, "events")
+    ts = F.col("ts").cast("string")
+    fields = [F.col("user_id").cast("string"), F.col("event_id").cast("string"),
+              F.concat(F.lit("user"), F.col("user_id").cast("string")), F.col("event_type"), F.lit("0"), F.lit("0"),
+              ts, ts, F.date_format("ts", "yyyyMMdd"), F.substring(ts, 1, 10)]
+    path = text_sinks.write_text(ev.select(F.concat_ws("\t", *fields)), shared_dir(spark, "login_rows"))
+    rows_ = biz.parse_login_lines(text_src.read_lines(spark, path))
+    return biz.login_rollup(rows_, "dt", "province", "user", block_digits=2)
+
+
 # ============================================================ aggregations
 @query("order_daily_total", """
     select dt, sum(order_amount) total
