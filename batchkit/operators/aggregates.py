@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from batchkit._util import as_col
+from batchkit.functions.text import hash_block
 
 
 def _keys(by) -> list:
@@ -66,20 +67,24 @@ def key_bounds(df: DataFrame, key) -> DataFrame:
     return df.agg(F.min(k).alias("lo"), F.max(k).alias("hi"))
 
 
-def group_into_bags(df: DataFrame, by, value, block=None, sep: str = ",") -> DataFrame:
+def group_into_bags(df: DataFrame, by, value, block="hash", sep: str = ",") -> DataFrame:
     """``groupBy``/``groupByKey`` into bags, emitted as bounded blocks.
 
     A bag cannot be combined map-side, and a hot key may hold a large share of
-    the rows, so a key's bag is never gathered into one row: it is split by the
-    ``block`` expression (for example ``value div 1000``, or a
-    :func:`batchkit.functions.hash_block`), and each (key, block) row carries the
-    block's size ``n`` and its values sorted and joined by ``sep`` in ``vals``.
-    The union of a key's blocks is the key's bag.  Pass ``block=None`` only when
-    the caller knows every bag is small.
+    the rows, so a key's bag is not gathered into one row: it is split by the
+    ``block`` expression – by default ``"hash"``, the first two hex digits of
+    ``md5(value)`` (up to 256 blocks per key); or any Column such as
+    ``value div 1000``.  Each (key, block) row carries the block's size ``n`` and
+    its values sorted and joined by ``sep`` in ``vals``; the union of a key's
+    blocks is the key's bag.  ``block=None`` gives one bag per key – only for
+    callers who know every bag is small.
     """
     v = as_col(value)
     keys = _keys(by)
-    blk = F.lit(0) if block is None else block
+    if isinstance(block, str) and block == "hash":
+        blk = hash_block(v, 2)
+    else:
+        blk = F.lit(0) if block is None else block
     grouped = df.select(*keys, blk.alias("block"), v.alias("_v"))
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     # A bag keeps every value, so a map-side partial aggregate would not shrink

@@ -53,11 +53,8 @@ def event_rate_by(df: DataFrame, by: Iterable, event: str, numerator, denominato
     """
     require_type(df, event, STRINGS, "event_rate")
     for arg in (numerator, denominator):
-        if isinstance(arg, str):
-            continue
-        if isinstance(arg, Column):
-            continue
-        raise TypeError(f"event_rate: event names must be strings, got {type(arg).__name__}")
+        if not isinstance(arg, (str, Column)):
+            raise TypeError(f"event_rate: event names must be strings, got {type(arg).__name__}")
     return df.groupBy(*by).agg(event_rate(event, numerator, denominator).alias(name))
 
 

@@ -71,8 +71,11 @@ def test_take_ordered_by_length(spark):
 
 def test_mod3_groups(spark):
     df = spark.createDataFrame([(i,) for i in range(30)], "v int")
-    bags = agg.group_into_bags(df.select((F.col("v") % 3).alias("k"), "v"), "k", "v").collect()
+    bags = agg.group_into_bags(df.select((F.col("v") % 3).alias("k"), "v"), "k", "v", block=None).collect()
     assert {r["k"]: (r["n"], r["vals"]) for r in bags}[1] == (10, "1,4,7,10,13,16,19,22,25,28")
+    blocked = agg.group_into_bags(df.select((F.col("v") % 3).alias("k"), "v"), "k", "v").collect()
+    assert sorted(int(x) for r in blocked if r["k"] == 1 for x in r["vals"].split(",")) == list(range(1, 30, 3))
+    assert all(r["n"] == len(r["vals"].split(",")) for r in blocked)
 
 
 def test_with_position_matches_row_number(spark):

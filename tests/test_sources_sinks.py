@@ -98,7 +98,7 @@ def test_raw_tab_lines_keep_header_and_filter_contains(spark, tmp_path):
     assert counts["7_chapter_name"] == 1 and sum(counts.values()) == 31
     assert rows.drop_containing(lines, "value", "id").count() == 30
     durations = rows.drop_containing(lines, "value", "id").select(rows.field("value", 2, "\t").cast("int").alias("d"))
-    bags = agg.group_into_bags(durations.select((F.col("d") % 3).alias("k"), "d"), "k", "d").collect()
+    bags = agg.group_into_bags(durations.select((F.col("d") % 3).alias("k"), "d"), "k", "d", block=None).collect()
     assert sorted(r["n"] for r in bags) == [10, 10, 10]
 
 
