@@ -22,8 +22,12 @@ def with_partition_index(df: DataFrame, name: str = "pidx") -> DataFrame:
 
 
 def num_partitions(df: DataFrame) -> int:
-    """``getNumPartitions`` (planning only for file scans)."""
-    return df.rdd.getNumPartitions()
+    """``getNumPartitions`` (planning only for file scans).  Where the RDD API is not
+    available (Spark Connect) the distinct partition ids are counted instead."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API in this session
+        return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
 def coalesce_to(df: DataFrame, n: int) -> DataFrame:

@@ -44,21 +44,23 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be shared storage, so it is read from the session.
-    Only when it is unset (tests, a laptop) do we pick a folder ourselves.
+    Only when it is unset on a ``local[...]`` master (tests, a laptop) do we pick
+    a folder ourselves; elsewhere an unset value is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None:
+        base = base or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage; "
                                "a machine-local folder is not visible to every executor")
         base = tempfile.mkdtemp(prefix="batchkit-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 

@@ -12,10 +12,20 @@ def key_range(spark: SparkSession, lo: int, hi: int, step: int = 1,
     return spark.range(lo, hi + 1, step, num_partitions)
 
 
+# Rows generated per partition when the caller does not choose a partition count.
+ROWS_PER_PARTITION = 10_000_000
+
+
 def range_over(df: DataFrame, column: str, num_partitions: int | None = None) -> DataFrame:
     """Every integer between ``min(column)`` and ``max(column)`` of ``df``, column ``id``.
-    Only the two bounds pass through the driver."""
+
+    Only the two bounds pass through the driver; the rows are generated on the
+    executors, ``ROWS_PER_PARTITION`` per partition unless ``num_partitions`` is given.
+    """
     row = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
     if row["lo"] is None:
         return df.sparkSession.range(0, 0).select(F.col("id"))
-    return key_range(df.sparkSession, int(row["lo"]), int(row["hi"]), 1, num_partitions)
+    lo, hi = int(row["lo"]), int(row["hi"])
+    if num_partitions is None:
+        num_partitions = max(1, (hi - lo + 1 + ROWS_PER_PARTITION - 1) // ROWS_PER_PARTITION)
+    return key_range(df.sparkSession, lo, hi, 1, num_partitions)

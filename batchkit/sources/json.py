@@ -7,13 +7,19 @@ from pyspark.sql.types import StructType
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
-              multi_line: bool = False) -> DataFrame:
-    """JSON lines (or one array per file) -> DataFrame.  Without ``schema`` the schema is
-    inferred (a sampling pass; columns in alphabetical order, integers as bigint);
-    pass ``schema`` in production to skip that pass."""
+              multi_line: bool = False, sampling_ratio: float | None = None) -> DataFrame:
+    """JSON lines (or one array per file) -> DataFrame.
+
+    Without ``schema`` the schema is inferred by an extra pass over the input
+    (columns in alphabetical order, integers as bigint).  The pass reads all
+    rows unless ``sampling_ratio`` is given – a sample is faster but can miss
+    fields that only rare rows carry.  Pass ``schema`` on large inputs.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
+    elif sampling_ratio is not None:
+        reader = reader.option("samplingRatio", sampling_ratio)
     return reader.option("multiLine", multi_line).json(path)
 
 

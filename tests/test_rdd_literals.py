@@ -92,3 +92,30 @@ def test_word_count_tokens(spark, seps):
 
     df = spark.createDataFrame([("a,b,a",)], "s string")
     assert word_count(df, "s", seps).count() == (2 if seps == "," else 1)
+
+
+def test_registered_filter_gt_on_range(spark):
+    from batchkit.functions.registry import register_all
+
+    register_all(spark)
+    assert spark.sql("select id from range(1000) where filter_gt(id)").count() == 899
+
+
+def test_typed_map_increment(spark):
+    from batchkit.operators.rows import increment
+
+    df = spark.createDataFrame([(1,), (2,), (3,)], "value long")
+    assert [r[0] for r in df.select(increment("value", cast=None).alias("value")).collect()] == [2, 3, 4]
+
+
+def test_explode_lateral_view(spark):
+    spark.createDataFrame([([1, 2],), ([3, 4],)], "a array<int>").createOrReplaceTempView("arr_t")
+    assert [r[0] for r in spark.sql("select v from arr_t lateral view explode(a) t as v").collect()] == [1, 2, 3, 4]
+
+
+def test_sql_functions_coerce_like_spark(spark):
+    from batchkit.functions.registry import register_all
+
+    register_all(spark)
+    assert spark.sql("select int_to_percent('1', 4) p").first()["p"] == "25%"
+    assert spark.sql("select udf_increment(41) v").first()["v"] == 42
