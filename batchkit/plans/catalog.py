@@ -305,10 +305,10 @@ def q_flatmap_fields(spark, sf):
     return rows.flat_fields(table(spark, sf, "documents"), ["doc_id"], ["lang", "source"])
 
 
-@query("like_prefix", "select concat('name: ', c_name) as value from customer where c_name like '%0001%'")
+@query("like_prefix", "select concat('name: ', p_name) as value from part where p_name like '%ring%'")
 def q_like_prefix(spark, sf):
-    cu = table(spark, sf, "customer")
-    return cu.where(F.col("c_name").like("%0001%")).select(rows.prefixed("c_name", "name: ").alias("value"))
+    pa_ = table(spark, sf, "part")
+    return pa_.where(F.col("p_name").like("%ring%")).select(rows.prefixed("p_name", "name: ").alias("value"))
 
 
 @query("filter_gt", "select o_orderkey id from orders where o_orderkey > 100")
