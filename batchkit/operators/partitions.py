@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from typing import Callable, Iterator
 
+import sys
+
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +15,14 @@ from pyspark.sql import functions as F
 def map_partitions(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                    schema) -> DataFrame:
     """``mapPartitions``: ``fn`` is called once per partition with an iterator of Arrow
-    batches, so set-up cost is paid once per partition and rows move as columns."""
+    batches, so set-up cost is paid once per partition and rows move as columns.
+
+    Functions defined in this package are shipped by value, so executors need no
+    copy of the package installed.
+    """
+    module = sys.modules.get(getattr(fn, "__module__", "") or "")
+    if module is not None and module.__name__.split(".")[0] == "batchkit":
+        cloudpickle.register_pickle_by_value(module)
     return df.mapInArrow(fn, schema)
 
 
