@@ -160,7 +160,19 @@ def parse_login_lines(df: DataFrame, column: str = "value", on_error: str = "rai
     return rows.select(*[F.col("_f").getItem(i).alias(name) for name, i in LOGIN_FIELDS.items()])
 
 
-def login_rollup(df: DataFrame, day, province, user, block_digits: int = 2) -> DataFrame:
+def _auto_block_digits(users: DataFrame, max_entries: int) -> int:
+    """Hex digits of md5 so the busiest day's (province, user) pairs split into
+    blocks of about ``max_entries`` (HyperLogLog estimate, one small aggregation)."""
+    per_day = users.groupBy("dt").agg(F.approx_count_distinct(F.concat_ws("\u0001", "province", "user")).alias("n"))
+    busiest = per_day.agg(F.max("n")).first()[0] or 0
+    digits = 0
+    while busiest > max_entries * (16 ** digits):
+        digits += 1
+    return digits
+
+
+def login_rollup(df: DataFrame, day, province, user, block_digits: int | str = 2,
+                 max_entries: int = 100_000) -> DataFrame:
     """Distinct users per (day, province), one JSON document per day block.
 
     Output columns ``dt``, ``block``, ``j`` where ``j`` is
@@ -168,7 +180,9 @@ def login_rollup(df: DataFrame, day, province, user, block_digits: int = 2) -> D
     provinces and users sorted.  A day's users are split into ``16**block_digits``
     blocks by ``md5(user)`` prefix, so one hot day never becomes one unbounded
     row; the union of a day's blocks is the day's full roll-up.  ``block_digits=0``
-    gives exactly one document per day (use only when a day's users are bounded).
+    gives exactly one document per day (use only when a day's users are bounded);
+    ``block_digits="auto"`` picks the fewest digits that keep the busiest day's
+    documents near ``max_entries`` (province, user) entries.
 
     ``day`` may be a date (e.g. :func:`batchkit.functions.day_key`) or text; it is
     formatted as text only on the output rows.
@@ -179,6 +193,8 @@ def login_rollup(df: DataFrame, day, province, user, block_digits: int = 2) -> D
     users = df.select(as_col(day).alias("dt"),
                       as_col(province).cast("string").alias("province"),
                       as_col(user).cast("string").alias("user"))
+    if block_digits == "auto":
+        block_digits = _auto_block_digits(users, max_entries)
     users = users.withColumn("block", hash_block("user", block_digits))
     per_province = (users.groupBy("dt", "block", "province")
                     .agg(F.sort_array(F.collect_set("user")).alias("user_list")))
