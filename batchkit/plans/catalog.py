@@ -9,6 +9,7 @@ Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import textwrap
 import uuid
 from typing import Callable
 
@@ -36,7 +37,7 @@ def query(key: str, oracle: str | None = None):
     def deco(fn):
         QUERIES[key] = fn
         if oracle is not None:
-            ORACLE[key] = " ".join(oracle.split())
+            ORACLE[key] = textwrap.dedent(oracle).strip()
         return fn
     return deco
 
