@@ -502,6 +502,17 @@ def q_partition_index(spark, sf):
     return partitions.with_partition_index(table(spark, sf, "orders").select(F.col("o_orderkey").alias("value")))
 
 
+@query("partition_index_range", """
+    select id as value, cast(((id - lo + 1) * 4 - 1) // (hi - lo + 1) as integer) pidx
+    from (select unnest(generate_series(lo, hi)) id, lo, hi
+          from (select min(o_orderkey) lo, max(o_orderkey) hi from orders))""")
+def q_partition_index_range(spark, sf):
+    # A generated collection sliced into 4 partitions: slice i holds elements
+    # [floor(i*N/4), floor((i+1)*N/4)), so each element's partition index is fixed.
+    keys = generated.range_over(table(spark, sf, "orders"), "o_orderkey", num_partitions=4)
+    return partitions.with_partition_index(keys.select(F.col("id").alias("value")))
+
+
 @query("coalesce_rows", "select l_orderkey, l_linenumber from lineitem")
 def q_coalesce_rows(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
