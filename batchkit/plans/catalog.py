@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.functions.registry import register_all
+from batchkit.functions.registry import event_rate_sql, register_all
 from batchkit.functions.text import day_key
 from batchkit.operators import aggregates as agg
 from batchkit.operators import business as biz
@@ -58,6 +58,13 @@ def q_event_rate(spark, sf):
     return daily.select(F.col("dt").cast("string").alias("dt"), "r")
 
 
+@query("event_rate_sql", ORACLE["event_rate"])
+def q_event_rate_sql(spark, sf):
+    view = create_view(table(spark, sf, "events"), _name("events"))
+    rate = event_rate_sql("event_type", "'purchase'", "'view'")
+    return spark.sql(f"select cast(to_date(ts) as string) dt, {rate} r from {view} group by to_date(ts)")
+
+
 @query("event_rate_null", """
     select user_id, count(*) filter (where event_type = 'purchase')
              / nullif(count(*) filter (where event_type = 'nope'), 0) r
@@ -202,6 +209,23 @@ def q_order_daily_total(spark, sf):
     return daily.select(F.col("dt").cast("string").alias("dt"), "total")
 
 
+@query("order_daily_total_sql", ORACLE["order_daily_total"])
+def q_order_daily_total_sql(spark, sf):
+    # The same two-level roll-up as SQL over temp views: per (day, order), then per day.
+    # Catalyst joins first and aggregates after (it does not push an aggregate below
+    # a join), so at scale the DataFrame form above, which pre-aggregates lineitem
+    # per order before the join, shuffles less.
+    o = create_view(table(spark, sf, "orders"), _name("orders"))
+    li = create_view(table(spark, sf, "lineitem"), _name("lineitem"))
+    return spark.sql(f"""
+        select cast(d as string) dt, sum(order_amount) total
+        from (select to_date(o_orderdate) d, o_orderkey,
+                     sum(cast(l_quantity * l_extendedprice as decimal(18, 2))) order_amount
+              from {o} join {li} on o_orderkey = l_orderkey
+              group by to_date(o_orderdate), o_orderkey)
+        group by d""")
+
+
 @query("reduce_sum", "select cast(sum(l_linenumber) as bigint) total from lineitem")
 def q_reduce_sum(spark, sf):
     return agg.reduce_all(table(spark, sf, "lineitem"), "l_linenumber", "total")
