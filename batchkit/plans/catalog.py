@@ -201,12 +201,16 @@ def q_order_daily_total(spark, sf):
     amount = (F.col("l_quantity") * F.col("l_extendedprice")).cast("decimal(18,2)")
     # Aggregate lineitem to one row per order *before* the join (partial aggregation
     # shrinks the big side), join the order's day, then the small per-day sum.
-    per_order = li.groupBy("l_orderkey").agg(F.sum(amount).alias("order_amount"))
+    # The big per-order sum adds exact cents as longs: a decimal(18,2) sum needs a
+    # decimal(28,2) buffer, which is not long-backed (ANSI raises on overflow).
+    cents = (amount * F.lit(100)).cast("bigint")
+    per_order = li.groupBy("l_orderkey").agg(F.sum(cents).alias("order_cents"))
     orders = table(spark, sf, "orders")
     orders = orders.select("o_orderkey", day_key(orders, "o_orderdate").alias("dt"))
     joined = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
-    daily = joined.groupBy("dt").agg(F.sum("order_amount").alias("total"))
-    return daily.select(F.col("dt").cast("string").alias("dt"), "total")
+    daily = joined.groupBy("dt").agg(F.sum(F.col("order_cents").cast("decimal(38,0)")).alias("cents"))
+    total = (F.col("cents") / F.lit(100)).cast("decimal(38,2)")
+    return daily.select(F.col("dt").cast("string").alias("dt"), total.alias("total"))
 
 
 @query("order_daily_total_sql", ORACLE["order_daily_total"])
