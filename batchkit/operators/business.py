@@ -193,6 +193,7 @@ def login_rollup(df: DataFrame, day, province, user, block_digits: int | str = 2
     users = df.select(as_col(day).alias("dt"),
                       as_col(province).cast("string").alias("province"),
                       as_col(user).cast("string").alias("user"))
+    users = users.where(F.col("user").isNotNull())  # a null is no user: it cannot be listed
     if block_digits == "auto":
         block_digits = _auto_block_digits(users, max_entries)
     users = users.withColumn("block", hash_block("user", block_digits))

@@ -172,6 +172,12 @@ def test_login_rollup_blocks_union_to_the_day(spark):
                       ("2024-01-02", "SH"): {"u1"}}
 
 
+def test_login_rollup_ignores_null_users(spark):
+    df = spark.createDataFrame(LOGINS + [(None, "BJ", "2024-01-01")], "user_id string, province string, dt string")
+    got = {r["dt"]: r["j"] for r in biz.login_rollup(df, "dt", "province", "user_id", block_digits=0).collect()}
+    assert '"user_list":["u1","u2"]' in got["2024-01-01"] and len(got) == 2
+
+
 def test_login_rollup_auto_blocks(spark):
     small = spark.createDataFrame(LOGINS, "user_id string, province string, dt string")
     docs = biz.login_rollup(small, "dt", "province", "user_id", block_digits="auto").collect()
