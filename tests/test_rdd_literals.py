@@ -119,3 +119,8 @@ def test_sql_functions_coerce_like_spark(spark):
     register_all(spark)
     assert spark.sql("select int_to_percent('1', 4) p").first()["p"] == "25%"
     assert spark.sql("select udf_increment(41) v").first()["v"] == 42
+
+
+def test_first_element(spark):
+    df = spark.createDataFrame([(3,), (1,), (2,)], "v int").repartition(3)
+    assert [r["v"] for r in sorting.take_first(df, 1, "v").collect()] == [1]
