@@ -162,3 +162,16 @@ def test_managed_partitioned_table(spark, tmp_path):
 def test_generated_range(spark):
     base = spark.createDataFrame([(5,), (9,)], "k long")
     assert [r["id"] for r in generated.range_over(base, "k", 2).collect()] == [5, 6, 7, 8, 9]
+
+
+def test_login_documents_as_json_lines(spark, tmp_path):
+    from batchkit.sinks.json import write_json, write_json_text
+
+    df = spark.createDataFrame([("u1", "BJ", "2024-01-01"), ("u2", "SH", "2024-01-01")], "u string, p string, dt string")
+    docs = biz.login_rollup(df, "dt", "p", "u", block_digits=0)
+    path = write_json_text(docs, "j", str(tmp_path / "docs"))
+    back = json_src.read_json(spark, path).collect()
+    assert len(back) == 1 and back[0]["dt"] == "2024-01-01"
+    assert [(p["province"], list(p["user_list"])) for p in back[0]["provinces"]] == [("BJ", ["u1"]), ("SH", ["u2"])]
+    rows_path = write_json(df, str(tmp_path / "rows"))
+    assert json_src.read_json(spark, rows_path).count() == 2
