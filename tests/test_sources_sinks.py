@@ -175,3 +175,14 @@ def test_login_documents_as_json_lines(spark, tmp_path):
     assert [(p["province"], list(p["user_list"])) for p in back[0]["provinces"]] == [("BJ", ["u1"]), ("SH", ["u2"])]
     rows_path = write_json(df, str(tmp_path / "rows"))
     assert json_src.read_json(spark, rows_path).count() == 2
+
+
+def test_job_entry_point(spark, tmp_path, capsys):
+    from batchkit.__main__ import main, run
+
+    assert main(["--list"]) == 0
+    assert "event_rate *" in capsys.readouterr().out
+    out = run(spark, "event_rate", "/root/testdata/sf0.001", str(tmp_path / "rate"))
+    assert spark.read.parquet(out).count() > 0
+    with pytest.raises(KeyError):
+        run(spark, "nope", "/root/testdata/sf0.001", str(tmp_path / "x"))
