@@ -41,7 +41,11 @@ def num_partitions(df: DataFrame) -> int:
 
 
 def coalesce_to(df: DataFrame, n: int) -> DataFrame:
-    """Fewer partitions without a shuffle (merges neighbouring partitions)."""
+    """Fewer partitions without a shuffle (merges neighbouring partitions).
+
+    Being narrow, it also runs the work before it in the same stage with only
+    ``n`` tasks; when that work is heavy, ``repartition_to`` (one shuffle) keeps
+    the upstream parallelism instead."""
     return df.coalesce(max(1, n))
 
 
