@@ -27,7 +27,8 @@ def write_grouped_text(df: DataFrame, key, value, num_files: int, path: str,
     first counted per (key, value) (partial aggregation), a key's values are
     spread over ``16**block_digits`` lines by ``md5(value)`` prefix, and a value
     repeated more than ``max_copies`` times continues on further lines.  Each line
-    is bounded; all lines of a key together are the key's bag.
+    is bounded; all lines of a key together are the key's bag.  ``num_files`` is
+    also the number of writer tasks, so choose it from the output size.
     """
     k, v = as_col(key).alias("k"), as_col(value).cast("string").alias("v")
     counted = df.select(k, v).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
