@@ -216,19 +216,18 @@ def q_order_daily_total(spark, sf):
 
 @query("order_daily_total_sql", ORACLE["order_daily_total"])
 def q_order_daily_total_sql(spark, sf):
-    # The same two-level roll-up as SQL over temp views: per (day, order), then per day.
-    # Catalyst joins first and aggregates after (it does not push an aggregate below
-    # a join), so at scale the DataFrame form above, which pre-aggregates lineitem
-    # per order before the join, shuffles less.
+    # The same two-level roll-up as SQL over temp views.  Catalyst does not push an
+    # aggregate below a join, so the SQL aggregates lineitem per order first itself
+    # (the big side shrinks before the join), then sums per day.
     o = create_view(table(spark, sf, "orders"), _name("orders"))
     li = create_view(table(spark, sf, "lineitem"), _name("lineitem"))
     return spark.sql(f"""
-        select cast(d as string) dt, sum(order_amount) total
-        from (select to_date(o_orderdate) d, o_orderkey,
-                     sum(cast(l_quantity * l_extendedprice as decimal(18, 2))) order_amount
-              from {o} join {li} on o_orderkey = l_orderkey
-              group by to_date(o_orderdate), o_orderkey)
-        group by d""")
+        with per_order as (
+            select l_orderkey, sum(cast(l_quantity * l_extendedprice as decimal(18, 2))) order_amount
+            from {li} group by l_orderkey)
+        select cast(to_date(o_orderdate) as string) dt, sum(order_amount) total
+        from per_order join {o} on o_orderkey = l_orderkey
+        group by to_date(o_orderdate)""")
 
 
 @query("reduce_sum", "select cast(sum(l_linenumber) as bigint) total from lineitem")
