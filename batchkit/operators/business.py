@@ -162,7 +162,8 @@ def parse_login_lines(df: DataFrame, column: str = "value", on_error: str = "rai
 
 def _auto_block_digits(users: DataFrame, max_entries: int) -> int:
     """Hex digits of md5 so the busiest day's (province, user) pairs split into
-    blocks of about ``max_entries`` (HyperLogLog estimate, one small aggregation)."""
+    blocks of about ``max_entries``.  Costs one extra pass over the input, whose
+    output is one HyperLogLog estimate per day."""
     per_day = users.groupBy("dt").agg(F.approx_count_distinct(F.concat_ws("\u0001", "province", "user")).alias("n"))
     busiest = per_day.agg(F.max("n")).first()[0] or 0
     digits = 0
@@ -210,6 +211,7 @@ def int_average(c, exact: bool = False) -> Column:
     """Aggregate: ``cast(sum(v) div count(v) as double)`` – the division truncates.
 
     (1, 2) -> 1.0; (-1, -2) -> -1.0; no rows -> null.  ``exact=True`` gives ``avg``.
+    The input must be an integral column (``div`` is integer division).
     """
     v = as_col(c)
     if exact:
