@@ -186,3 +186,24 @@ def test_job_entry_point(spark, tmp_path, capsys):
     assert spark.read.parquet(out).count() > 0
     with pytest.raises(KeyError):
         run(spark, "nope", "/root/testdata/sf0.001", str(tmp_path / "x"))
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from batchkit.session import table as load
+    from batchkit.sinks.tables import save_bucketed_table
+
+    db = f"bk_{os.getpid()}"
+    spark.sql(f"create database if not exists {db} location '{tmp_path / 'bk'}'")
+    li = load(spark, "/root/testdata/sf0.001", "lineitem").select("l_orderkey", "l_quantity")
+    od = load(spark, "/root/testdata/sf0.001", "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    save_bucketed_table(li, f"{db}.li_b", "l_orderkey", 8)
+    save_bucketed_table(od, f"{db}.od_b", "l_orderkey", 8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(f"{db}.li_b").join(spark.table(f"{db}.od_b"), "l_orderkey")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == li.join(od, "l_orderkey").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
