@@ -55,6 +55,20 @@ SQL_FUNCTIONS = {
 }
 
 
+# SQL names of the original functions, registered as aliases so that
+# existing queries run unchanged.  ("random" is a Spark built-in and keeps its own
+# meaning; aggregate names cannot be SQL functions, see event_rate_sql.)
+COMPAT_NAMES = {"int_to_precent": "int_to_percent", "random1": "udf_increment", "filterGt": "filter_gt"}
+
+
+def _alias_statements() -> list[str]:
+    out = []
+    for alias, name in COMPAT_NAMES.items():
+        stmt = SQL_FUNCTIONS[name]
+        out.append(stmt.replace(f"TEMPORARY FUNCTION {name}(", f"TEMPORARY FUNCTION {alias}(", 1))
+    return out
+
+
 def _item_list_table_function() -> str:
     return ("CREATE OR REPLACE TEMPORARY FUNCTION item_list_explode(item_list STRING) "
             "RETURNS TABLE (sku_id STRING, qty INT, price INT) "
@@ -94,7 +108,7 @@ def register_python(spark: SparkSession, name: str, fn, return_type, determinist
 
 def register_all(spark: SparkSession) -> list[str]:
     """Register every SQL name in ``spark``'s session; idempotent.  Returns the names."""
-    for stmt in SQL_FUNCTIONS.values():
+    for stmt in [*SQL_FUNCTIONS.values(), *_alias_statements()]:
         spark.sql(stmt)
     spark.sql(_item_list_table_function())
-    return [*SQL_FUNCTIONS, "item_list_explode"]
+    return [*SQL_FUNCTIONS, *COMPAT_NAMES, "item_list_explode"]

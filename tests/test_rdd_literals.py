@@ -124,3 +124,12 @@ def test_sql_functions_coerce_like_spark(spark):
 def test_first_element(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "v int").repartition(3)
     assert [r["v"] for r in sorting.take_first(df, 1, "v").collect()] == [1]
+
+
+def test_original_sql_names_still_work(spark):
+    from batchkit.functions.registry import register_all
+
+    names = register_all(spark)
+    assert {"int_to_precent", "random1", "filterGt"} <= set(names)
+    r = spark.sql("select int_to_precent(1, 4) p, random1(1) i, filterGt(200) g, filterGt(5) s").first()
+    assert (r["p"], r["i"], r["g"], r["s"]) == ("25%", 2, True, False)
