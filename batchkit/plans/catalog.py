@@ -306,6 +306,18 @@ def q_text_total_length(spark, sf):
     return lines.agg(F.sum(F.length("line")).alias("total_length"))
 
 
+@query("text_file_lines", r"""
+    select count(*) n_lines, cast(sum(length(line)) as bigint) total_length
+    from (select unnest(regexp_split_to_array(text, '\r\n|\r|\n')) line from documents where text is not null)""")
+def q_text_file_lines(spark, sf):
+    # Whole document texts written as text files, then scanned line by line as a
+    # text source does (a line ends at \n, \r\n or \r).
+    docs = table(spark, sf, "documents").where(F.col("text").isNotNull())
+    path = text_sinks.write_text(docs.select("text"), shared_dir(spark, "documents_txt"))
+    lines = text_src.read_lines(spark, path)
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).alias("total_length"))
+
+
 @query("observe_sum", "select cast(sum(l_linenumber) as bigint) s, count(*) rows from lineitem")
 def q_observe_sum(spark, sf):
     observed, obs = agg.observe_sum(table(spark, sf, "lineitem"), "l_linenumber", "s")
