@@ -167,6 +167,20 @@ def q_login_rollup(spark, sf):
     return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", block_digits=2)
 
 
+@query("login_rollup_daily", """
+    select dt, '' as block,
+           cast(to_json({'dt': dt, 'provinces': list({'province': province, 'user_list': user_list}
+                         order by province)}) as varchar) j
+    from (select substr(cast(ts as varchar), 1, 10) dt, event_type province,
+                 list(distinct cast(user_id as varchar) order by cast(user_id as varchar)) user_list
+          from events group by 1, 2)
+    group by dt""")
+def q_login_rollup_daily(spark, sf):
+    # Block size chosen from the data: days here hold few users, so one document per day.
+    ev = table(spark, sf, "events")
+    return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", block_digits="auto")
+
+
 @query("login_rollup_tsv", """
     select dt, block,
            cast(to_json({'dt': dt, 'provinces': list({'province': province, 'user_list': user_list}
