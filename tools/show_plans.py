@@ -20,6 +20,26 @@ FULL = ["event_rate", "item_list_explode", "login_rollup", "order_daily_total",
         "int_average", "sort_by_key_desc", "broadcast_semi", "group_mod3", "filter_gt"]
 
 
+REVIEW = """## Plan review notes
+
+What changed after reading these plans (and the event-log stage times):
+
+- `intersection_distinct`: Spark plans INTERSECT as a semi join over raw rows; the right side is now de-duplicated
+  first, so it is shuffled or broadcast as distinct keys (Catalyst still filters the left side before its distinct).
+- `item_list_explode*`, `group_*`, `nested_explode`: `collect_list` cannot shrink map-side, so the partial aggregate
+  before the exchange only cost time; rows are now shuffled once on (key, block) and aggregated after the exchange,
+  with the item text formatted after the shuffle (numbers move, not strings).
+- `order_daily_total_sql`: Catalyst does not push an aggregate below a join; the SQL now pre-aggregates lineitem per
+  order in a CTE, as the DataFrame form does, so the big side shrinks before the join.
+- Daily aggregates group on `to_date(ts)` and format the day only on output rows.
+- `partitioned_table_roundtrip`, `managed_table_roundtrip`: `repartition(col)` sent each partition value to one task;
+  writes now add a deterministic row-hash salt.
+- `sort_by_key_desc`: positions come from per-partition counts after a range sort, not from a window without
+  `partitionBy` (which would pull every row into one partition).
+
+"""
+
+
 def formatted(df) -> str:
     text = df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
@@ -36,6 +56,7 @@ def main():
     print(f"Physical plans of every registered key on `{sf}` (`python tools/show_plans.py`), static shape with AQE off.")
     print("`shuffles` counts exchanges; `single` marks a single-partition exchange (all are final merges of one")
     print("row per partition or per group); `python` lists Python-evaluated nodes.\n")
+    print(REVIEW)
     print("| key | shuffles | broadcasts | pushed filters | single | top-k | python |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for k, fn in qs.items():
