@@ -71,3 +71,12 @@ def test_lines_and_fields(spark):
     assert rows.lines(df, "text", keep=["id"]).count() == 4  # Spark split keeps the trailing empty line
     f = spark.createDataFrame([("a\tb\tc",)], "value string").select(rows.field("value", 2, "\t").alias("f"))
     assert f.first()["f"] == "c"
+
+
+def test_table_definitions_reused_per_session(spark):
+    from batchkit.session import table
+
+    a = table(spark, "/root/testdata/sf0.001", "nation")
+    assert table(spark, "/root/testdata/sf0.001", "nation") is a
+    assert table(spark, "/root/testdata/sf0.001", "nation", refresh=True) is not a
+    assert table(spark, "/root/testdata/sf0.001", "nation").count() == 25
