@@ -106,9 +106,15 @@ def register_python(spark: SparkSession, name: str, fn, return_type, determinist
     return spark.udf.register(name, f)
 
 
-def register_all(spark: SparkSession) -> list[str]:
-    """Register every SQL name in ``spark``'s session; idempotent.  Returns the names."""
-    for stmt in [*SQL_FUNCTIONS.values(), *_alias_statements()]:
-        spark.sql(stmt)
-    spark.sql(_item_list_table_function())
-    return [*SQL_FUNCTIONS, *COMPAT_NAMES, "item_list_explode"]
+def register_all(spark: SparkSession, force: bool = False) -> list[str]:
+    """Register every SQL name in ``spark``'s session; returns the names.
+
+    Temporary functions live as long as the session, so the statements run once
+    per session object (``force=True`` runs them again, e.g. after a drop).
+    """
+    names = [*SQL_FUNCTIONS, *COMPAT_NAMES, "item_list_explode"]
+    if force or not spark.__dict__.get("_batchkit_functions"):
+        for stmt in [*SQL_FUNCTIONS.values(), *_alias_statements(), _item_list_table_function()]:
+            spark.sql(stmt)
+        spark.__dict__["_batchkit_functions"] = True
+    return names
