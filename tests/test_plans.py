@@ -54,3 +54,20 @@ def test_top_k_without_full_sort(spark):
 def test_no_python_in_row_path(spark, key):
     p = plan(Q[key](spark, SF001))
     assert not any(node in p for node in PYTHON_NODES), key
+
+
+def test_broadcast_only_within_the_bound(spark):
+    from batchkit.operators import joins
+
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    side = spark.range(0, 100).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        within = joins.join(big, side, "k", "inner", broadcast_right_max_rows=100)
+        beyond = joins.join(big, side, "k", "inner", broadcast_right_max_rows=99)
+        assert "BroadcastHashJoin" in plan(within)
+        assert "SortMergeJoin" in plan(beyond) and "BroadcastHashJoin" not in plan(beyond)
+        assert within.count() == beyond.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
