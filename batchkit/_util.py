@@ -28,3 +28,13 @@ def require_type(df: DataFrame, name: str, allowed: tuple, what: str) -> None:
 
 
 STRINGS = (T.StringType, T.CharType, T.VarcharType)
+
+
+def sql_string(text: str) -> str:
+    """``text`` as a single-quoted Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    """``name`` as a back-quoted Spark SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"

@@ -11,6 +11,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchkit._util import sql_ident, sql_string
+
 
 def map_partitions(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                    schema) -> DataFrame:
@@ -64,5 +66,6 @@ def pipe(df: DataFrame, columns: list[str], command: str, out_schema: str, view:
     """``pipe``: stream each partition's rows, tab-separated, through ``command`` on the
     executors (``SELECT TRANSFORM ... USING``); the command's lines become rows."""
     df.createOrReplaceTempView(view)
-    cols = ", ".join(f"`{c}`" for c in columns)
-    return df.sparkSession.sql(f"SELECT TRANSFORM({cols}) USING '{command}' AS ({out_schema}) FROM `{view}`")
+    cols = ", ".join(sql_ident(c) for c in columns)
+    return df.sparkSession.sql(
+        f"SELECT TRANSFORM({cols}) USING {sql_string(command)} AS ({out_schema}) FROM {sql_ident(view)}")

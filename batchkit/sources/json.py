@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from batchkit._util import sql_ident, sql_string
+
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None,
               multi_line: bool = False, sampling_ratio: float | None = None) -> DataFrame:
@@ -27,7 +29,7 @@ def sql_on_file(spark: SparkSession, fmt: str, path: str, where: str | None = No
     """``SELECT * FROM fmt.`path```: query a file or folder without registering it."""
     if fmt not in ("json", "parquet", "csv", "text", "orc"):
         raise ValueError(f"unsupported format {fmt!r}")
-    q = f"SELECT * FROM {fmt}.`{path}`"
+    q = f"SELECT * FROM {fmt}.{sql_ident(path)}"
     if where:
         q += f" WHERE {where}"
     return spark.sql(q)
@@ -35,5 +37,5 @@ def sql_on_file(spark: SparkSession, fmt: str, path: str, where: str | None = No
 
 def create_file_view(spark: SparkSession, name: str, fmt: str, path: str) -> DataFrame:
     """``CREATE OR REPLACE TEMPORARY VIEW name USING fmt OPTIONS (path ...)``."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}` USING {fmt} OPTIONS (path '{path}')")
-    return spark.table(name)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {sql_ident(name)} USING {fmt} OPTIONS (path {sql_string(path)})")
+    return spark.table(sql_ident(name))

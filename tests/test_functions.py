@@ -80,3 +80,15 @@ def test_table_definitions_reused_per_session(spark):
     assert table(spark, "/root/testdata/sf0.001", "nation") is a
     assert table(spark, "/root/testdata/sf0.001", "nation", refresh=True) is not a
     assert table(spark, "/root/testdata/sf0.001", "nation").count() == 25
+
+
+def test_sql_quoting_of_paths_and_commands(spark, tmp_path):
+    from batchkit.operators.partitions import pipe
+    from batchkit.sources.json import create_file_view, sql_on_file
+
+    odd = tmp_path / "it's `odd`"
+    spark.createDataFrame([(1, "a")], "id int, s string").write.json(str(odd))
+    assert sql_on_file(spark, "json", str(odd)).count() == 1
+    assert create_file_view(spark, "odd view", "json", str(odd)).count() == 1
+    out = pipe(spark.createDataFrame([("x'y",)], "v string"), ["v"], "sed 's/x/z/'", "v string", "pipe_quote")
+    assert [r["v"] for r in out.collect()] == ["z'y"]
