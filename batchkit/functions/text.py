@@ -63,3 +63,12 @@ def hash_block(c, hex_digits: int) -> Column:
     if hex_digits <= 0:
         return F.lit("")
     return F.substring(F.md5(as_col(c).cast("string")), 1, hex_digits)
+
+
+def digits_for(largest: int, max_per_block: int) -> int:
+    """Fewest md5 hex digits that split a group of ``largest`` items into blocks of
+    at most about ``max_per_block`` (each digit divides by 16)."""
+    digits = 0
+    while largest > max_per_block * (16 ** digits):
+        digits += 1
+    return digits

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from batchkit._util import as_col
-from batchkit.functions.text import hash_block
+from batchkit.functions.text import digits_for, hash_block
 
 
 def _keys(by) -> list:
@@ -67,7 +67,7 @@ def key_bounds(df: DataFrame, key) -> DataFrame:
     return df.agg(F.min(k).alias("lo"), F.max(k).alias("hi"))
 
 
-def group_into_bags(df: DataFrame, by, value, block="hash", sep: str = ",") -> DataFrame:
+def group_into_bags(df: DataFrame, by, value, block="hash", sep: str = ",", max_values: int = 100_000) -> DataFrame:
     """``groupBy``/``groupByKey`` into bags, emitted as bounded blocks.
 
     A bag cannot be combined map-side, and a hot key may hold a large share of
@@ -76,12 +76,18 @@ def group_into_bags(df: DataFrame, by, value, block="hash", sep: str = ",") -> D
     ``md5(value)`` (up to 256 blocks per key); or any Column such as
     ``value div 1000``.  Each (key, block) row carries the block's size ``n`` and
     its values sorted and joined by ``sep`` in ``vals``; the union of a key's
-    blocks is the key's bag.  ``block=None`` gives one bag per key – only for
+    blocks is the key's bag.  ``block="auto"`` picks the fewest md5 hex digits that
+    keep the largest key's blocks near ``max_values`` (one extra pass: a
+    HyperLogLog estimate per key).  ``block=None`` gives one bag per key – only for
     callers who know every bag is small.
     """
     v = as_col(value)
     keys = _keys(by)
-    if isinstance(block, str) and block == "hash":
+    if isinstance(block, str) and block == "auto":
+        sizes = df.groupBy(*keys).agg(F.approx_count_distinct(v).alias("_n"), F.count(v).alias("_c"))
+        largest = sizes.agg(F.max(F.greatest("_n", "_c"))).first()[0] or 0
+        blk = hash_block(v, digits_for(largest, max_values))
+    elif isinstance(block, str) and block == "hash":
         blk = hash_block(v, 2)
     else:
         blk = F.lit(0) if block is None else block

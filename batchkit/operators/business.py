@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchkit._util import STRINGS, as_col, as_lit, require_type
-from batchkit.functions.text import hash_block, java_split, java_trim
+from batchkit.functions.text import digits_for, hash_block, java_split, java_trim
 
 # Error texts and output column names of the item-list explode.
 ITEM_FRAGMENT_ERROR = "Invalid item_list fragment: "
@@ -166,10 +166,7 @@ def _auto_block_digits(users: DataFrame, max_entries: int) -> int:
     output is one HyperLogLog estimate per day."""
     per_day = users.groupBy("dt").agg(F.approx_count_distinct(F.concat_ws("\u0001", "province", "user")).alias("n"))
     busiest = per_day.agg(F.max("n")).first()[0] or 0
-    digits = 0
-    while busiest > max_entries * (16 ** digits):
-        digits += 1
-    return digits
+    return digits_for(busiest, max_entries)
 
 
 def login_rollup(df: DataFrame, day, province, user, block_digits: int | str = 2,

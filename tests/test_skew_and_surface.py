@@ -80,3 +80,13 @@ def test_register_python_surface(spark):
     assert not r.deterministic
     vals = [x["r"] for x in spark.sql("select py_random(id) r from range(100)").collect()]
     assert all(0 <= v < 1 for v in vals) and len(set(vals)) > 90
+
+
+def test_bags_auto_blocks(spark):
+    small = spark.createDataFrame([(1, i) for i in range(10)] + [(2, 5)], "k int, v int")
+    rows = agg.group_into_bags(small, "k", "v", block="auto").collect()
+    assert len(rows) == 2 and {r["block"] for r in rows} == {""}
+    hot = _hot(spark)
+    bags = agg.group_into_bags(hot, "k", "v", block="auto", max_values=100).collect()
+    key0 = [b for b in bags if b["k"] == 0]
+    assert 1 < len(key0) <= 16 and sum(b["n"] for b in key0) == 1000
