@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 from pyspark.sql import DataFrame
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "AggregateInPandas",
                 "MapInPandas", "MapInArrow", "PythonMapInArrow")
 
 
-def physical_plan(df: DataFrame) -> str:
-    """The executed physical plan as text (AQE's initial plan until the query runs)."""
-    return df._jdf.queryExecution().executedPlan().toString()
+def physical_plan(df: DataFrame, mode: str = "simple") -> str:
+    """The physical plan as ``df.explain(mode)`` prints it (AQE's final plan once the
+    query has run, its initial plan before)."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
 
 
 def shuffles(df: DataFrame) -> int:
     """Number of shuffle exchanges in the physical plan."""
-    return physical_plan(df).count("Exchange hashpartitioning") + physical_plan(df).count("Exchange rangepartitioning") \
-        + physical_plan(df).count("Exchange RoundRobinPartitioning") + physical_plan(df).count("Exchange SinglePartition")
+    p = physical_plan(df)
+    return sum(p.count(f"Exchange {kind}") for kind in
+               ("hashpartitioning", "rangepartitioning", "RoundRobinPartitioning", "SinglePartition"))
 
 
 def python_nodes(df: DataFrame) -> list[str]:

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from batchkit.plans.inspect import physical_plan
 
 Q = E.queries()
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "AggregateInPandas")
@@ -11,7 +12,7 @@ PYTHON_ON_PURPOSE = {"map_partitions", "udf_random"}
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return physical_plan(df)
 
 
 def test_filter_pushed_to_scan(spark):
@@ -20,9 +21,7 @@ def test_filter_pushed_to_scan(spark):
 
 
 def test_projection_pruned_to_scan(spark):
-    df = Q["map_increment"](spark, SF001)
-    df.explain()  # noqa: keeps the plan string formatted in failure output
-    p = df._jdf.queryExecution().executedPlan().toString()
+    p = plan(Q["map_increment"](spark, SF001))
     assert "struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in p.replace(" ", "")
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from batchkit.operators import aggregates as agg
 from batchkit.operators import joins, partitions, sets, sorting
+from batchkit.plans.inspect import physical_plan
 
 
 def test_reduce_sum_1_to_10(spark):
@@ -53,7 +54,7 @@ def test_broadcast_filter(spark):
     luck = spark.createDataFrame([("hello spark",), ("hello scala",)], "w string")
     out = joins.broadcast_semi(words, luck, "w")
     assert sorted(r["w"] for r in out.collect()) == ["hello scala", "hello spark"]
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in physical_plan(out)
 
 
 def test_accumulator_as_observation(spark):

@@ -15,6 +15,7 @@ from batchkit.sinks.views import create_view
 from batchkit.sources import delimited, generated
 from batchkit.sources import json as json_src
 from batchkit.sources import text as text_src
+from batchkit.plans.inspect import physical_plan
 
 
 def _squad(name, town, members):
@@ -142,7 +143,7 @@ def test_partitioned_table_and_pruning(spark, tmp_path):
     back = json_src.sql_on_file(spark, "parquet", path, where="kind = 'a'")
     assert sorted(r["id"] for r in back.collect()) == [1, 3]
     assert back.columns == ["id", "kind"]  # partition column moved last
-    plan = back._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(back)
     assert "PartitionFilters: [isnotnull(kind" in plan and "= a)]" in plan
 
 
@@ -202,7 +203,7 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = spark.table(f"{db}.li_b").join(spark.table(f"{db}.od_b"), "l_orderkey")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
+        plan = physical_plan(joined)
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         assert joined.count() == li.join(od, "l_orderkey").count()
     finally:

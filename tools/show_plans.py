@@ -13,7 +13,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
-from batchkit.plans.inspect import summary  # noqa: E402
+from batchkit.plans.inspect import physical_plan, summary  # noqa: E402
 from batchkit.session import get_session  # noqa: E402
 
 FULL = ["event_rate", "item_list_explode", "login_rollup", "order_daily_total", "int_to_percent",
@@ -41,8 +41,7 @@ What changed after reading these plans (and the event-log stage times):
 
 
 def formatted(df) -> str:
-    text = df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    text = physical_plan(df, mode="formatted")
     # control characters (e.g. the trim set of Java whitespace) shown as escapes
     return "".join(ch if ch == "\n" or ord(ch) >= 0x20 else f"\\x{ord(ch):02x}" for ch in text)
 
