@@ -70,3 +70,18 @@ def test_broadcast_only_within_the_bound(spark):
         assert within.count() == beyond.count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+# Global aggregates merge one partial row per partition in a single task; the
+# position offsets of sort_by_key_desc hold one row per partition.  Nothing else
+# may funnel through a single partition.
+SINGLE_PARTITION_OK = {"reduce_sum", "reduce_pair", "count_rows", "key_bounds", "text_total_length",
+                       "text_file_lines", "sort_by_key_desc"}
+
+
+@pytest.mark.parametrize("key", sorted(Q))
+def test_no_single_partition_funnel(spark, key):
+    p = plan(Q[key](spark, SF001))
+    if "SinglePartition" in p:
+        assert key in SINGLE_PARTITION_OK, key
+        assert "partial_" in p or key == "sort_by_key_desc", key  # only merges of partial results
