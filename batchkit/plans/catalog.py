@@ -181,16 +181,7 @@ def q_login_rollup_daily(spark, sf):
     return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", block_digits="auto")
 
 
-@query("login_rollup_tsv", """
-    select dt, block,
-           cast(to_json({'dt': dt, 'provinces': list({'province': province, 'user_list': user_list}
-                         order by province)}) as varchar) j
-    from (select substr(cast(ts as varchar), 1, 10) dt,
-                 substr(md5(cast(user_id as varchar)), 1, 2) block,
-                 event_type province,
-                 list(distinct cast(user_id as varchar) order by cast(user_id as varchar)) user_list
-          from events group by 1, 2, 3)
-    group by dt, block""")
+@query("login_rollup_tsv", ORACLE["login_rollup"])
 def q_login_rollup_tsv(spark, sf):
     # Login rows as an upstream job emits them: tab-separated text, user in field 0,
     # province in field 3, day in field 9; written, read back as lines, parsed.
