@@ -92,3 +92,15 @@ def test_sql_quoting_of_paths_and_commands(spark, tmp_path):
     assert create_file_view(spark, "odd view", "json", str(odd)).count() == 1
     out = pipe(spark.createDataFrame([("x'y",)], "v string"), ["v"], "sed 's/x/z/'", "v string", "pipe_quote")
     assert [r["v"] for r in out.collect()] == ["z'y"]
+
+
+def test_explode_column_and_in_list(spark):
+    from batchkit.operators.joins import in_list
+    from batchkit.operators.nested import explode_column
+
+    df = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "id int, a array<int>")
+    out = explode_column(df, "a", "v", keep=["id"]).collect()
+    assert [(r["id"], r["v"]) for r in out] == [(1, 1), (1, 2)]  # empty and null arrays give no rows
+    seg = spark.createDataFrame([("BUILDING",), ("AUTO",)], "s string")
+    assert seg.where(in_list(F.col("s"), ["BUILDING"])).count() == 1
+    assert seg.where(in_list("s", ("AUTO", "X"))).count() == 1
