@@ -48,7 +48,7 @@ SQL_FUNCTIONS = {
     "int_to_percent": (
         "CREATE OR REPLACE TEMPORARY FUNCTION int_to_percent(num INT, denom INT) RETURNS STRING "
         "RETURN concat(cast(cast(bround(cast(num AS DOUBLE) / cast(nullif(denom, 0) AS DOUBLE) * 100.0, 0) "
-        "AS BIGINT) AS STRING), '%')"),
+        "AS DECIMAL(38, 0)) AS STRING), '%')"),
     "udf_increment": "CREATE OR REPLACE TEMPORARY FUNCTION udf_increment(i INT) RETURNS INT RETURN i + 1",
     "filter_gt": "CREATE OR REPLACE TEMPORARY FUNCTION filter_gt(x BIGINT) RETURNS BOOLEAN RETURN x > 100",
     "udf_random": "CREATE OR REPLACE TEMPORARY FUNCTION udf_random() RETURNS DOUBLE NOT DETERMINISTIC RETURN rand()",

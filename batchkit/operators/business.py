@@ -66,7 +66,8 @@ def int_to_percent(num, denom) -> Column:
     Null when either input is null or the denominator is 0.
     """
     ratio = as_col(num).cast("double") / F.nullif(as_col(denom), F.lit(0)).cast("double")
-    whole = F.bround(ratio * F.lit(100.0), 0).cast("bigint")
+    # decimal(38,0) rather than bigint: bigint inputs (counts) may exceed the long range
+    whole = F.bround(ratio * F.lit(100.0), 0).cast("decimal(38,0)")
     return F.concat(whole.cast("string"), F.lit("%"))
 
 
