@@ -214,4 +214,6 @@ def int_average(c, exact: bool = False) -> Column:
     v = as_col(c)
     if exact:
         return F.avg(v)
-    return F.call_function("div", F.sum(v), F.count(v)).cast("double")
+    # The sum runs in decimal(38,0): a long sum of many large keys can leave the long
+    # range at scale; the truncated mean itself always fits a long.
+    return F.call_function("div", F.sum(v.cast("decimal(38,0)")), F.count(v)).cast("double")
