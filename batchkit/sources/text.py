@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from batchkit.operators.partitions import num_partitions
+
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per line, column ``value``.  Files are split by
     ``spark.sql.files.maxPartitionBytes``; ``min_partitions`` adds a round-robin
     shuffle only when the scan yields fewer partitions than asked for."""
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and num_partitions(df) < min_partitions:
         df = df.repartition(min_partitions)
     return df
