@@ -30,7 +30,8 @@ def word_count(df: DataFrame, column, sep: str = " ", java: bool = False) -> Dat
 
 
 def field(column, index: int, sep: str) -> Column:
-    """Field ``index`` (0-based) of a delimited line."""
+    """Field ``index`` (0-based) of a delimited line; a line with fewer fields raises
+    (ANSI array index), as indexing the split line would."""
     return F.split(as_col(column), sep).getItem(index)
 
 

@@ -24,7 +24,7 @@ def read_split(spark: SparkSession, path: str, sep: str, names: Sequence[str],
         lines = lines.where(F.col("value") != F.lit(header_line))
     parts = F.split("value", sep)
     types = list(types) if types else ["string"] * len(names)
-    return lines.select(*[parts.getItem(i).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))])
+    return lines.select(*[F.get(parts, i).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))])
 
 
 def read_with_schema(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",",

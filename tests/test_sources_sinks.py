@@ -208,3 +208,10 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         assert joined.count() == li.join(od, "l_orderkey").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_split_reader_short_rows_are_null(spark, tmp_path):
+    p = tmp_path / "short.txt"
+    p.write_text("a,1,x\nb\n")
+    df = delimited.read_split(spark, str(p), ",", ["k", "n", "s"], ["string", "int", "string"])
+    assert sorted(tuple(r) for r in df.collect()) == [("a", 1, "x"), ("b", None, None)]
