@@ -27,7 +27,10 @@ def hash_threshold(fraction: float, digits: int = 8) -> str:
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
     top = 16 ** digits
-    return format(min(int(round(fraction * top)), top), "x").rjust(digits, "0") if fraction < 1 else "g" * digits
+    cut = int(round(fraction * top))
+    if cut >= top:
+        return "g" * digits  # above every hex prefix: keep all rows
+    return format(cut, "x").rjust(digits, "0")
 
 
 def sample_by_hash(df: DataFrame, key, fraction: float, seed=None, digits: int = 8) -> DataFrame:

@@ -42,6 +42,8 @@ def test_hash_block_and_threshold(spark):
     assert df.select(hash_block("v", 0).alias("b")).first()["b"] == ""
     assert sampling.hash_threshold(0.5) == "80000000"
     assert sampling.hash_threshold(0.0) == "00000000"
+    assert sampling.hash_threshold(1 - 1e-12) == "gggggggg"  # rounds up to the top: keep everything
+    assert sampling.hash_threshold(0.25, digits=1) == "4"
     with pytest.raises(ValueError):
         sampling.hash_threshold(1.5)
     ev = spark.range(1000)
