@@ -49,3 +49,29 @@ def test_int_average_model(spark, rows):
     df = spark.createDataFrame(rows, "g int, e string, n string, d string, v int").repartition(13)
     got = {r["g"]: r["a"] for r in df.groupBy("g").agg(biz.int_average(F.col("v").cast("bigint")).alias("a")).collect()}
     assert got == expected
+
+
+def test_login_rollup_model(spark):
+    import json
+
+    rng = random.Random(5)
+    users = ["u1", "u2", "u10", "é", "字", "Z", None]
+    provinces = ["BJ", "SH", "GD", "字省"]
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    rows = [(rng.choice(users), rng.choice(provinces), rng.choice(days)) for _ in range(3000)]
+    expected = defaultdict(lambda: defaultdict(set))
+    for u, p, d in rows:
+        if u is not None:
+            expected[d][p].add(u)
+    df = spark.createDataFrame(rows, "u string, p string, d string").repartition(7)
+    for digits in (0, 1, "auto"):
+        merged = defaultdict(lambda: defaultdict(set))
+        for r in biz.login_rollup(df, "d", "p", "u", block_digits=digits).collect():
+            doc = json.loads(r["j"])
+            assert doc["dt"] == r["dt"]
+            names = [p["province"] for p in doc["provinces"]]
+            assert names == sorted(names)
+            for p in doc["provinces"]:
+                assert p["user_list"] == sorted(p["user_list"]) and len(set(p["user_list"])) == len(p["user_list"])
+                merged[r["dt"]][p["province"]].update(p["user_list"])
+        assert {d: dict(v) for d, v in merged.items()} == {d: dict(v) for d, v in expected.items()}
