@@ -55,9 +55,17 @@ def repartition_to(df: DataFrame, n: int, *cols) -> DataFrame:
     return df.repartition(n, *cols) if cols else df.repartition(n)
 
 
-def repartition_sorted(df: DataFrame, n: int, key: str, *sort_cols) -> DataFrame:
+def repartition_sorted(df: DataFrame, n: int, key: str, *sort_cols, spread_hot_keys: bool = False) -> DataFrame:
     """``repartitionAndSortWithinPartitions``: one hash shuffle on ``key``, then a
-    sort inside each partition (no global sort)."""
+    sort inside each partition (no global sort); all rows of a key share a partition.
+
+    A key holding a large share of the rows then lands in one task.  With
+    ``spread_hot_keys=True`` the shuffle is range-partitioned on ``(key, *sort_cols)``
+    instead: a hot key may span adjacent partitions, each partition is still sorted,
+    and the partitions are in global order.
+    """
+    if spread_hot_keys:
+        return df.repartitionByRange(n, key, *sort_cols).sortWithinPartitions(key, *sort_cols)
     return df.repartition(n, key).sortWithinPartitions(key, *sort_cols)
 
 

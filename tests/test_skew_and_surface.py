@@ -90,3 +90,20 @@ def test_bags_auto_blocks(spark):
     bags = agg.group_into_bags(hot, "k", "v", block="auto", max_values=100).collect()
     key0 = [b for b in bags if b["k"] == 0]
     assert 1 < len(key0) <= 16 and sum(b["n"] for b in key0) == 1000
+
+
+def test_repartition_sorted_spreads_a_hot_key(spark):
+    from batchkit.operators.partitions import repartition_sorted
+
+    df = _hot(spark)  # key 0 holds a third of the rows
+    out = repartition_sorted(df, 6, "k", "v", spread_hot_keys=True)
+    tagged = out.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"), "k", "v").collect()
+    parts = {}
+    for r in sorted(tagged, key=lambda r: r["m"]):
+        parts.setdefault(r["p"], []).append((r["k"], r["v"]))
+    assert all(rows == sorted(rows) for rows in parts.values())
+    assert len({p for p, rows in parts.items() if any(k == 0 for k, _ in rows)}) > 1  # hot key split
+    assert max(len(rows) for rows in parts.values()) < 1000
+    ordered = [rows for _, rows in sorted(parts.items())]
+    assert all(a[-1] <= b[0] for a, b in zip(ordered, ordered[1:]) if a and b)  # global order
+    assert sum(len(rows) for rows in parts.values()) == 3000
