@@ -45,8 +45,9 @@ def top_k(df: DataFrame, n: int, *order) -> DataFrame:
 
 
 def take_first(df: DataFrame, n: int, *order) -> DataFrame:
-    """``take(n)`` / ``first()`` with a fixed order so the answer is repeatable."""
-    return top_k(df, n, *order)
+    """``take(n)`` / ``first()``.  With ``order`` the answer is repeatable (top-k);
+    without it, the first ``n`` rows in partition order (``limit``), as ``take`` gives."""
+    return top_k(df, n, *order) if order else df.limit(n)
 
 
 def shortest(df: DataFrame, column: str, n: int) -> DataFrame:

@@ -125,6 +125,7 @@ def test_sql_functions_coerce_like_spark(spark):
 def test_first_element(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "v int").repartition(3)
     assert [r["v"] for r in sorting.take_first(df, 1, "v").collect()] == [1]
+    assert len(sorting.take_first(df, 2).collect()) == 2  # partition order, like take(2)
 
 
 def test_original_sql_names_still_work(spark):
