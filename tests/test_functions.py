@@ -106,3 +106,10 @@ def test_explode_column_and_in_list(spark):
     seg = spark.createDataFrame([("BUILDING",), ("AUTO",)], "s string")
     assert seg.where(in_list(F.col("s"), ["BUILDING"])).count() == 1
     assert seg.where(in_list("s", ("AUTO", "X"))).count() == 1
+
+
+def test_shared_dirs_are_separate_and_under_checkpoint_dir(spark):
+    from batchkit.session import checkpoint_base, shared_dir
+
+    a, b = shared_dir(spark, "out"), shared_dir(spark, "out")
+    assert a != b and a.startswith(checkpoint_base(spark)) and b.startswith(checkpoint_base(spark))
