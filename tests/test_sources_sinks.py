@@ -215,3 +215,16 @@ def test_split_reader_short_rows_are_null(spark, tmp_path):
     p.write_text("a,1,x\nb\n")
     df = delimited.read_split(spark, str(p), ",", ["k", "n", "s"], ["string", "int", "string"])
     assert sorted(tuple(r) for r in df.collect()) == [("a", 1, "x"), ("b", None, None)]
+
+
+def test_jdbc_option_sets_without_a_database():
+    from batchkit.sources.jdbc import bounds_query, jdbc_options
+
+    plain = jdbc_options("jdbc:x://h/db", "orders", {"user": "u", "password": "p", "driver": "D"})
+    assert plain == {"user": "u", "password": "p", "driver": "D", "url": "jdbc:x://h/db", "dbtable": "orders"}
+    part = jdbc_options("jdbc:x://h/db", "orders", None, "id", 0, 14999, 4, fetch_size=1000, query_timeout=30)
+    assert part["partitionColumn"] == "id" and part["lowerBound"] == "0" and part["upperBound"] == "14999"
+    assert part["numPartitions"] == "4" and part["fetchsize"] == "1000" and part["queryTimeout"] == "30"
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x://h/db", "orders", None, "id", 0, None, 4)
+    assert bounds_query("orders", "id") == "(select min(id) lo, max(id) hi from orders) q"
