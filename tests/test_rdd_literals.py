@@ -135,3 +135,11 @@ def test_original_sql_names_still_work(spark):
     assert {"int_to_precent", "random1", "filterGt"} <= set(names)
     r = spark.sql("select int_to_precent(1, 4) p, random1(1) i, filterGt(200) g, filterGt(5) s").first()
     assert (r["p"], r["i"], r["g"], r["s"]) == ("25%", 2, True, False)
+
+
+def test_shortest_exact_when_smallest_values_repeat(spark):
+    # the two shortest names repeat far more often than the candidate budget: fallback path
+    rows = [("a",)] * 500 + [("bb",)] * 500 + [("ccc",), ("dd",), ("e",)]
+    df = spark.createDataFrame(rows, "name string").repartition(4)
+    assert [r["k"] for r in sorting.shortest(df, "name", 3, candidates_per_result=2).collect()] == ["a", "e", "bb"]
+    assert [r["k"] for r in sorting.shortest(df, "name", 3).collect()] == ["a", "e", "bb"]
