@@ -36,6 +36,9 @@ What changed after reading these plans (and the event-log stage times):
   writes now add a deterministic row-hash salt.
 - `sort_by_key_desc`: positions come from per-partition counts after a range sort, not from a window without
   `partitionBy` (which would pull every row into one partition).
+- `take_ordered_by_len`: the shortest distinct names no longer shuffle every distinct name; a TakeOrderedAndProject
+  of n*64 raw candidates decides exactly (full `distinct` only if the smallest values repeat that often).
+- `broadcast_semi`: the size check counts raw member rows; no `distinct` shuffle before the broadcast.
 
 """
 
