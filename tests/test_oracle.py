@@ -50,3 +50,23 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["dt", "r"]
     assert df.count() > 0
+
+
+SENSITIVE = ["event_rate", "login_rollup", "order_daily_total", "item_list_explode", "int_average", "int_to_percent",
+             "partitioned_table_roundtrip", "delimited_inferred", "sample_by_hash"]
+
+
+@pytest.mark.parametrize("conf", [("spark.sql.ansi.enabled", "false"),
+                                  ("spark.sql.session.timeZone", "America/Los_Angeles")])
+def test_results_do_not_depend_on_session_settings(spark, duck, conf):
+    key, value = conf
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        for k in SENSITIVE:
+            df = E.queries()[k](spark, SF001)
+            res = duck.execute(ORACLE[k])
+            ocols = [d[0] for d in res.description]
+            assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(ocols, res.fetchall()), k
+    finally:
+        spark.conf.set(key, before)
