@@ -139,6 +139,8 @@ def test_item_list_sql_table_function(spark):
                           "id int, s string").createOrReplaceTempView("il_t")
     got = [tuple(r) for r in spark.sql("select t.id, f.* from il_t t, lateral item_list_explode(t.s) f").collect()]
     assert got == [(1, "sku01", 1, 2999), (1, "sku02", 2, 1599), (2, "a", 1, 2), (2, "", 3, 4)]
+    with pytest.raises(PySparkException):
+        spark.sql("select * from item_list_explode()").collect()  # wrong argument count
     spark.createDataFrame([(1, "a:1")], "id int, s string").createOrReplaceTempView("il_bad")
     with pytest.raises(PySparkException, match="Invalid item_list fragment: a:1"):
         spark.sql("select count(*) from il_bad t, lateral item_list_explode(t.s) f").collect()
