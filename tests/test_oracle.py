@@ -54,19 +54,29 @@ def test_entry_smoke(spark):
 
 SENSITIVE = ["event_rate", "login_rollup", "order_daily_total", "item_list_explode", "int_average", "int_to_percent",
              "partitioned_table_roundtrip", "delimited_inferred", "sample_by_hash"]
-
-
-@pytest.mark.parametrize("conf", [("spark.sql.ansi.enabled", "false"),
-                                  ("spark.sql.session.timeZone", "America/Los_Angeles")])
-def test_results_do_not_depend_on_session_settings(spark, duck, conf):
-    key, value = conf
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
+JOINS = ["order_daily_total", "order_daily_total_sql", "join_inner", "join_left", "join_right", "join_full",
+         "broadcast_semi", "intersection_distinct", "nested_explode"]
+
+
+@pytest.mark.parametrize("conf,keys", [
+    ({"spark.sql.ansi.enabled": "false"}, SENSITIVE),
+    ({"spark.sql.session.timeZone": "America/Los_Angeles"}, SENSITIVE),
+    # what runs at scale: no side is small enough for Spark to broadcast on its own
+    ({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}, JOINS),
+])
+def test_results_do_not_depend_on_session_settings(spark, duck, conf, keys):
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        for k in SENSITIVE:
+        for k in keys:
             df = E.queries()[k](spark, SF001)
             res = duck.execute(ORACLE[k])
             ocols = [d[0] for d in res.description]
             assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(ocols, res.fetchall()), k
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
