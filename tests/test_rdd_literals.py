@@ -143,3 +143,15 @@ def test_shortest_exact_when_smallest_values_repeat(spark):
     df = spark.createDataFrame(rows, "name string").repartition(4)
     assert [r["k"] for r in sorting.shortest(df, "name", 3, candidates_per_result=2).collect()] == ["a", "e", "bb"]
     assert [r["k"] for r in sorting.shortest(df, "name", 3).collect()] == ["a", "e", "bb"]
+
+
+def test_intersection_nulls_and_types(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y"), (2, None), (2, None), (3, "z")], "k int, s string")
+    b = spark.createDataFrame([(None, "y"), (2, None), (3, "q"), (0, "y")], "k int, s string")
+    got = sorted(sets.intersect_distinct(a, b).collect(), key=lambda r: (r["k"] is None, r["k"] or 0))
+    assert [tuple(r) for r in got] == [(2, None), (None, "y")]
+    # 0 / '' stand-ins never match a null
+    c = spark.createDataFrame([(0, "")], "k int, s string")
+    d = spark.createDataFrame([(None, None)], "k int, s string")
+    assert sets.intersect_distinct(c, d).count() == 0
+    assert sets.intersect_distinct(c, c).count() == 1
