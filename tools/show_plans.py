@@ -24,8 +24,10 @@ REVIEW = """## Plan review notes
 
 What changed after reading these plans (and the event-log stage times):
 
-- `intersection_distinct`: Spark plans INTERSECT as a semi join over raw rows; the right side is now de-duplicated
-  first, so it is shuffled or broadcast as distinct keys (Catalyst still filters the left side before its distinct).
+- `intersection_distinct`: Spark plans INTERSECT as a semi join over raw rows with null-safe keys
+  `(coalesce(k, 0), isnull(k))`. Both sides are now de-duplicated on exactly those key parts, so partial aggregation
+  shrinks them before the shuffle and the join reuses the aggregate's partitioning: two exchanges when nothing is
+  broadcast (four when de-duplicating on `k` and re-shuffling on the null-safe keys).
 - `item_list_explode*`, `group_*`, `nested_explode`: `collect_list` cannot shrink map-side, so the partial aggregate
   before the exchange only cost time; rows are now shuffled once on (key, block) and aggregated after the exchange,
   with the item text formatted after the shuffle (numbers move, not strings).
