@@ -41,6 +41,9 @@ What changed after reading these plans (and the event-log stage times):
 - `take_ordered_by_len`: the shortest distinct names no longer shuffle every distinct name; a TakeOrderedAndProject
   of n*64 raw candidates decides exactly (full `distinct` only if the smallest values repeat that often).
 - `broadcast_semi`: the size check counts raw member rows; no `distinct` shuffle before the broadcast.
+- `nested_explode`: the first nesting is clustered on (region, block), so the squads aggregation reuses its shuffle.
+- Kept on purpose: `login_rollup`'s two shuffles (clustering the first aggregation on (day, block) would drop the
+  map-side de-duplication of repeated logins, which matters more at scale).
 
 """
 
