@@ -9,6 +9,8 @@ built from built-in aggregates, which aggregate partially before the shuffle.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,6 +108,10 @@ def register_python(spark: SparkSession, name: str, fn, return_type, determinist
     return spark.udf.register(name, f)
 
 
+# Sessions whose temporary functions are registered; entries go away with the session.
+_REGISTERED: "weakref.WeakSet[SparkSession]" = weakref.WeakSet()
+
+
 def register_all(spark: SparkSession, force: bool = False) -> list[str]:
     """Register every SQL name in ``spark``'s session; returns the names.
 
@@ -113,8 +119,8 @@ def register_all(spark: SparkSession, force: bool = False) -> list[str]:
     per session object (``force=True`` runs them again, e.g. after a drop).
     """
     names = [*SQL_FUNCTIONS, *COMPAT_NAMES, "item_list_explode"]
-    if force or not spark.__dict__.get("_batchkit_functions"):
+    if force or spark not in _REGISTERED:
         for stmt in [*SQL_FUNCTIONS.values(), *_alias_statements(), _item_list_table_function()]:
             spark.sql(stmt)
-        spark.__dict__["_batchkit_functions"] = True
+        _REGISTERED.add(spark)
     return names

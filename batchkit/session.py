@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +70,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_base(spark)}/batchkit/{name}-{uuid.uuid4().hex}"
 
 
+# Per-session memo of table definitions; entries go away with their session.
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``) as a lazy DataFrame.
 
@@ -77,7 +82,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) ->
     the files under the path have been rewritten.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    defined = spark.__dict__.setdefault("_batchkit_tables", {})
+    defined = _TABLES.setdefault(spark, {})
     if refresh or path not in defined:
         defined[path] = spark.read.parquet(path)
     return defined[path]
