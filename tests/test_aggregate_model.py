@@ -1,4 +1,4 @@
-"""Randomised checks of event_rate and int_average against plain-Python models."""
+"""Randomised checks of event_rate, int_average and login_rollup against plain-Python models."""
 
 import random
 from collections import defaultdict
