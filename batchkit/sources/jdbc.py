@@ -62,3 +62,15 @@ def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str
     """``num_partitions`` parallel range reads on ``column`` between ``lower`` and ``upper``."""
     return _load(spark, jdbc_options(url, table, options, column, lower, upper, num_partitions,
                                      fetch_size, query_timeout))
+
+
+def read_jdbc_by_bounds(spark: SparkSession, url: str, table: str, column: str, num_partitions: int,
+                        options: dict | None = None, fetch_size: int | None = None,
+                        query_timeout: int | None = None) -> DataFrame:
+    """The whole flow: the database computes the key's bounds (two scalars to the
+    driver), then ``num_partitions`` connections read the table in strides."""
+    lower, upper = jdbc_bounds(spark, url, table, column, options)
+    if lower is None:
+        return read_jdbc(spark, url, table, options)  # empty table: nothing to split
+    return read_jdbc_partitioned(spark, url, table, column, lower, upper, num_partitions, options,
+                                 fetch_size, query_timeout)
