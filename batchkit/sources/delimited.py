@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,3 +38,19 @@ def read_with_schema(spark: SparkSession, path: str, schema: StructType | str, s
     if trim:
         df = df.select(*[java_trim(c).alias(c) if c in trim else F.col(c) for c in df.columns])
     return df
+
+
+# Fixed value: header names carry a position prefix such as "0_id", "13_dt".
+_INDEX_PREFIX = re.compile(r"^[0-9]+_")
+
+
+def read_indexed_header(spark: SparkSession, path: str, sep: str = "\t",
+                        types: dict[str, str] | None = None) -> DataFrame:
+    """Delimited files whose header line names columns with a position prefix
+    (``0_id``, ``1_video_name``, ...): the header is skipped, the prefix dropped from
+    the names, and ``types`` (name -> SQL type) applied with ANSI casts."""
+    df = spark.read.option("sep", sep).option("header", True).option("mode", "FAILFAST").csv(path)
+    df = df.toDF(*[_INDEX_PREFIX.sub("", c) for c in df.columns])
+    if types:
+        df = df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    return df

@@ -228,3 +228,13 @@ def test_jdbc_option_sets_without_a_database():
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x://h/db", "orders", None, "id", 0, None, 4)
     assert bounds_query("orders", "id") == "(select min(id) lo, max(id) hi from orders) q"
+
+
+def test_indexed_header_reader(spark, tmp_path):
+    p = tmp_path / "videos_typed.tsv"
+    p.write_text("\n".join(_video_lines()) + "\n")
+    df = delimited.read_indexed_header(spark, str(p), types={"id": "int", "during_sec": "int", "video_size": "bigint"})
+    assert df.columns[:3] == ["id", "video_name", "during_sec"] and df.columns[-1] == "dt"
+    assert df.count() == 30 and dict(df.dtypes)["during_sec"] == "int"
+    counts = {r["chapter_name"]: r["n"] for r in agg.count_by_key(df, "chapter_name").collect()}
+    assert "7_chapter_name" not in counts and sum(counts.values()) == 30
