@@ -1,4 +1,4 @@
-"""Delimited text: a raw split reader and a schema-driven CSV reader."""
+"""Delimited text: a raw split reader, a schema-driven CSV reader, and a reader for position-prefixed headers."""
 
 from __future__ import annotations
 
