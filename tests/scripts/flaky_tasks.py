@@ -16,6 +16,7 @@ from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from batchkit.operators import aggregates as agg  # noqa: E402
 from batchkit.operators import business as biz  # noqa: E402
 from batchkit.operators import partitions, sorting  # noqa: E402
 from batchkit.session import table  # noqa: E402
@@ -54,6 +55,12 @@ def main(flag):
     out["rollup"] = sorted((r["dt"], r["block"], r["j"]) for r in roll.collect())
     pos = sorting.with_position(ev.select("event_id", "user_id"), [F.col("user_id").desc(), F.col("event_id")])
     out["positions"] = sorted((r["pos"], r["event_id"]) for r in pos.collect())
+    bags = agg.group_into_bags(ev, "event_type", "event_id")
+    out["bags"] = sorted((r["event_type"], r["block"], r["n"], r["vals"]) for r in bags.collect())
+    lists = ev.groupBy("user_id").agg(F.concat_ws(",", F.sort_array(F.collect_list(
+        F.format_string("e%d:%d:%d", "event_id", F.col("user_id").cast("int"), F.lit(1))))).alias("item_list"))
+    items = biz.explode_item_list(lists, "item_list", keep=["user_id"])
+    out["items"] = sorted((r["user_id"], r["sku_id"], r["qty"], r["price"]) for r in items.collect())
     out["injected_failures"] = len(os.listdir(MARKS))
     print("RESULT" + json.dumps(out))
     spark.stop()

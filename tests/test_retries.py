@@ -22,3 +22,5 @@ def test_results_identical_when_tasks_are_retried():
     assert flaky["rollup"] == clean["rollup"]
     assert flaky["positions"] == clean["positions"]
     assert [p for p, _ in clean["positions"]] == list(range(1, 1001))
+    assert flaky["bags"] == clean["bags"] and sum(b[2] for b in clean["bags"]) == 1000
+    assert flaky["items"] == clean["items"] and len(clean["items"]) == 1000
