@@ -289,6 +289,17 @@ def q_group_mod3(spark, sf):
                                block=F.call_function("div", F.col("p_partkey"), F.lit(1000)))
 
 
+@query("group_mod3_auto", """
+    select p_size % 3 k, '' as block, count(*) n,
+           string_agg(cast(p_partkey as varchar), ',' order by p_partkey) vals
+    from part group by 1""")
+def q_group_mod3_auto(spark, sf):
+    # Blocks sized from the data: each key's bag is small here, so one bag per key.
+    pa_ = table(spark, sf, "part")
+    return agg.group_into_bags(pa_.select((F.col("p_size") % 3).alias("k"), "p_partkey"), "k", "p_partkey",
+                               block="auto")
+
+
 @query("group_by_key", """
     select c_nationkey k, c_custkey // 1000 block, count(*) n, string_agg(c_name, ',' order by c_name) vals
     from customer group by 1, 2""")
