@@ -18,6 +18,8 @@ def model(n, d):
 def test_int_to_percent_matches_model(spark):
     rng = random.Random(7)
     pairs = [(rng.randint(-1000, 1000), rng.randint(-1000, 1000)) for _ in range(4000)]
+    pairs += [(rng.randint(-2**31, 2**31 - 1), rng.choice([rng.randint(-2**31, 2**31 - 1), rng.randint(-50, 50)]))
+              for _ in range(3000)]  # the whole int range
     pairs += [(k, 8) for k in range(-20, 21)] + [(k, 40) for k in range(-3, 44)] + [(1, 0), (None, 3), (3, None)]
     df = spark.createDataFrame(pairs, "n int, d int")
     got = [r["p"] for r in df.select(biz.int_to_percent("n", "d").alias("p")).collect()]
