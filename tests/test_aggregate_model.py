@@ -75,3 +75,21 @@ def test_login_rollup_model(spark):
                 assert p["user_list"] == sorted(p["user_list"]) and len(set(p["user_list"])) == len(p["user_list"])
                 merged[r["dt"]][p["province"]].update(p["user_list"])
         assert {d: dict(v) for d, v in merged.items()} == {d: dict(v) for d, v in expected.items()}
+
+
+def test_int_average_sums_beyond_the_long_range(spark):
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 20), rng.randint(-2**63, 2**63 - 1)) for _ in range(20000)]
+    sums, counts = defaultdict(int), defaultdict(int)
+    for g, v in rows:
+        sums[g] += v
+        counts[g] += 1
+    assert max(abs(v) for v in sums.values()) > 2**63  # a long sum would overflow
+
+    def trunc_div(a, b):
+        q = abs(a) // b
+        return float(-q if a < 0 else q)
+
+    df = spark.createDataFrame(rows, "g int, v bigint").repartition(5)
+    got = {r["g"]: r["a"] for r in df.groupBy("g").agg(biz.int_average("v").alias("a")).collect()}
+    assert got == {g: trunc_div(sums[g], counts[g]) for g in sums}
