@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,5 +68,8 @@ def shortest(df: DataFrame, column: str, n: int, candidates_per_result: int = 64
     order = [F.length("k"), F.col("k")]
     candidates = keyed.orderBy(*order).limit(n * candidates_per_result).distinct().cache()
     if candidates.count() >= n:
-        return top_k(candidates, n, *order)
+        result = top_k(candidates, n, *order)
+        weakref.finalize(result, candidates.unpersist)  # the cache lives as long as the result
+        return result
+    candidates.unpersist()
     return top_k(keyed.distinct(), n, *order)
