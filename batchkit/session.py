@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of RDDs that are no longer referenced are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
