@@ -83,10 +83,12 @@ def group_into_bags(df: DataFrame, by, value, block="hash", sep: str = ",", max_
     """
     v = as_col(value)
     keys = _keys(by)
+    constant = block is None
     if isinstance(block, str) and block == "auto":
         sizes = df.groupBy(*keys).agg(F.approx_count_distinct(v).alias("_n"), F.count(v).alias("_c"))
         largest = sizes.agg(F.max(F.greatest("_n", "_c"))).first()[0] or 0
-        blk = hash_block(v, digits_for(largest, max_values))
+        digits = digits_for(largest, max_values)
+        blk, constant = hash_block(v, digits), digits == 0
     elif isinstance(block, str) and block == "hash":
         blk = hash_block(v, 2)
     else:
@@ -95,7 +97,8 @@ def group_into_bags(df: DataFrame, by, value, block="hash", sep: str = ",", max_
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     # A bag keeps every value, so a map-side partial aggregate would not shrink
     # anything: shuffle rows once on (key, block) and build the bags after it.
-    grouped = grouped.repartition(*key_cols, "block")
+    # (A constant block is folded out of the grouping, so then shuffle on the keys.)
+    grouped = grouped.repartition(*key_cols) if constant else grouped.repartition(*key_cols, "block")
     return (grouped.groupBy(*key_cols, "block")
             .agg(F.count(F.lit(1)).alias("n"),
                  F.array_join(F.transform(F.sort_array(F.collect_list("_v")), lambda x: x.cast("string")),

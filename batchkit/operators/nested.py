@@ -26,5 +26,5 @@ def nest(df: DataFrame, by, fields, name: str, block=None, cluster_by=None) -> D
     blk = F.lit(0) if block is None else block
     rows = df.select(*keys, blk.alias("block"), F.struct(*[as_col(f) for f in fields]).alias("_s"))
     # collect_list does not shrink map-side: one shuffle on (key, block), then aggregate.
-    shuffle_keys = list(cluster_by) if cluster_by else [*keys, "block"]
+    shuffle_keys = list(cluster_by) if cluster_by else ([*keys, "block"] if block is not None else keys)
     return rows.repartition(*shuffle_keys).groupBy(*keys, "block").agg(F.collect_list("_s").alias(name))
