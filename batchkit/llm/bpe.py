@@ -3,12 +3,15 @@
 Words are cut at ASCII white space, which the vocabulary's normaliser and its
 pre-tokeniser both treat as a break, so the ids of a text are the ids of its
 words in order.  Every distinct word of the corpus is encoded once
-(:func:`word_table`).  Ids return to their places in two exact ways: the
-``broadcast_words`` most frequent words, a bounded table, by a lookup while a
-text is read; every other word through a join on the word, after which the
-pieces of a text are put together by position.  Decoding joins ids with the
-vocabulary's pieces (a table of fixed size) and puts a space between pieces, as
-the vocabulary names no decoder.
+(:func:`word_table`), and ids return to the words' positions in two exact ways:
+
+* the most frequent words, at most LOOKUP_WORDS with LOOKUP_IDS ids in all, by a
+  broadcast lookup of that bounded size while a text is read;
+* all other words, if there are any, through a join on the word, after which the
+  parts of a text are put together by position.
+
+Decoding joins ids with the vocabulary's pieces (a table of fixed size) and puts a
+space between pieces, as the vocabulary names no decoder.
 
 Edge cases: null and empty texts have no ids and decode to an empty string;
 repeated rows are encoded each on its own; all input columns but those named are
@@ -18,18 +21,21 @@ ignored, so clashing names do no harm; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import written
+from batchkit.llm.common import MEMO_WORDS, written
 
-#: Words kept for the lookup; none is longer than BROADCAST_WORD_BYTES, so the table is bounded.
-BROADCAST_WORDS = 400_000
-BROADCAST_WORD_BYTES = 48
+#: Bounds of the broadcast lookup: 12 bytes a word and 2 an id (4 if the vocabulary is larger than 65,536).
+LOOKUP_WORDS = 6_000_000
+LOOKUP_IDS = 30_000_000
 #: Distinct words that a task counts before it passes them on.
 COUNTED_WORDS = 600_000
 
@@ -40,6 +46,7 @@ def default_vocabulary() -> str:
 
 
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
     t.no_truncation()
@@ -88,73 +95,144 @@ def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
     return written(counts.mapInArrow(encode, "word binary, n long, ids binary"), "bpe-words")
 
 
-def most_frequent(table: DataFrame, rows: int) -> DataFrame:
-    """The (word, ids) of the most frequent short words: as many steps of the logarithm of the count as keep to ``rows``."""
+def most_frequent(table: DataFrame, words: int = LOOKUP_WORDS, ids: int = LOOKUP_IDS) -> tuple[DataFrame, bool]:
+    """The most frequent words, as many steps of the logarithm of the count as keep to the bounds, and whether these are all."""
     step = F.floor(8 * F.log2("n"))
-    short = table.where(F.length("word") <= BROADCAST_WORD_BYTES)
-    least, total = 1 << 30, 0
-    for r in sorted(short.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):  # some hundred steps at most
-        total += r["count"]
-        if total > rows:
+    least, rows, held, whole = 1 << 30, 0, 0, True
+    for r in sorted(table.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.sum(F.length("ids") / 4).alias("ids")).collect(), key=lambda r: -r["step"]):  # some hundred steps at most
+        rows, held = rows + r["rows"], held + r["ids"]
+        if rows > words or held > ids:
+            whole = False
             break
         least = r["step"]
-    return short.where(step >= least).select("word", "ids")
-
-
-def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text",
-           broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
-    """(doc_id, ids binary) per row of ``docs``: the ids of the whole text as little-endian unsigned 32-bit integers."""
+    return table.where(step >= least), whole
+
+
+def word_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key of each word and a second, independent one of 32 bits."""
+    return (np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)),
+            np.fromiter((xxhash.xxh32_intdigest(w, 1) for w in words), np.uint32, len(words)))
+
+
+class Lookup:
+    """Words by their keys, sorted, with their ids in one array."""
+
+    def __init__(self, keys: np.ndarray, checks: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
+        order = np.argsort(keys)
+        starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        self.keys, self.checks, self.ids = keys[order], checks[order], ids
+        self.starts, self.sizes = starts[:-1][order].astype(np.uint32), sizes[order].astype(np.uint32)
+
+    @classmethod
+    def load(cls, arrays: dict) -> Lookup:
+        out = cls.__new__(cls)
+        vars(out).update(arrays)
+        return out
+
+    @classmethod
+    def of(cls, table: DataFrame) -> Lookup:
+        """From rows (word, ids), packed in the tasks."""
+        def pack(batches):
+            for b in batches:
+                keys, checks = word_keys(b.column("word").to_pylist())
+                ids = [np.frombuffer(x, "<u4") for x in b.column("ids").to_pylist()]
+                flat = np.concatenate(ids) if ids else np.zeros(0, "<u4")
+                parts = (keys, checks, np.array([len(x) for x in ids], np.uint32), flat.astype(np.uint16) if flat.max(initial=0) < 1 << 16 else flat)
+                yield pa.RecordBatch.from_arrays([*(pa.array([x.tobytes()], pa.binary()) for x in parts), pa.array([parts[3].itemsize], pa.int32())], names=["k", "c", "s", "i", "width"])
+
+        got = table.select("word", "ids").mapInArrow(pack, "k binary, c binary, s binary, i binary, width int").toArrow()
+        join = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in got.column(name))])
+        ids = [np.frombuffer(x.as_buffer(), np.uint16 if w.as_py() == 2 else "<u4") for x, w in zip(got.column("i"), got.column("width"), strict=True)]
+        return cls(join("k", np.uint64), join("c", np.uint32), join("s", np.uint32), np.concatenate([np.zeros(0, np.uint16), *ids]))
+
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of each word as little-endian 32-bit integers, or None."""
+        if not len(self.keys):
+            return [None] * len(words)
+        keys, checks = word_keys(words)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        good = (self.keys[at] == keys) & (self.checks[at] == checks)
+        starts, sizes = self.starts[at].astype(np.int64), self.sizes[at].astype(np.int64)
+        return [self.ids[a:a + n].astype("<u4").tobytes() if g else None for g, a, n in zip(good.tolist(), starts.tolist(), sizes.tolist(), strict=True)]
+
+
+class Places:
+    """Ids of the words of texts from a lookup, memoised per task."""
+
+    def __init__(self, lookup: Lookup):
+        self.lookup, self.memo = lookup, {}
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[list[bytes], list[bytes]]]:
+        """(gaps, missing) per text: the words that aren't in the lookup, and the ids before, between and after them."""
+        out = []
+        for at in range(0, len(texts), 256):
+            listed = [split_words(t) for t in texts[at:at + 256]]
+            new = list(set().union(*listed).difference(self.memo)) if listed else []
+            if len(self.memo) + len(new) > MEMO_WORDS:
+                self.memo.clear()
+                new = list(set().union(*listed))
+            self.memo.update(zip(new, self.lookup.find(new), strict=True))
+            for words in listed:
+                ids = list(map(self.memo.__getitem__, words))
+                if None not in ids:
+                    out.append(([b"".join(ids)], []))
+                    continue
+                holes = [k for k, x in enumerate(ids) if x is None]
+                gaps = [b"".join(ids[a + 1:b]) for a, b in zip([-1, *holes], [*holes, len(ids)], strict=True)]
+                out.append((gaps, [words[k] for k in holes]))
+        return out
+
+
+Finish = Callable[[], Callable[[bytes], tuple]]
+
+
+def _ids_only() -> Callable[[bytes], tuple]:
+    return lambda ids: (ids,)
+
+
+def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text", lookup_words: int = LOOKUP_WORDS,
+           finish: Finish = _ids_only, columns: str = "ids binary") -> DataFrame:
+    """(doc_id, ids binary) per row of ``docs``: the ids of the whole text as little-endian unsigned 32-bit integers.
+
+    ``finish()`` is called once per task; what it returns makes other ``columns`` of a text's ids.
+    """
     vocabulary = vocabulary or default_vocabulary()
-    spark = docs.sparkSession
     table = word_table(docs, vocabulary, text)
-    common = most_frequent(table, broadcast_words).toArrow()
-    lookup = spark.sparkContext.broadcast((common.column("word").combine_chunks(), common.column("ids").combine_chunks()))
-    id_type = docs.schema[doc_id].dataType.simpleString()
-
-    def place(batches):
-        words, ids = lookup.value
-        known = dict(zip(words.to_pylist(), ids.to_pylist(), strict=True))
+    common, whole = most_frequent(table, lookup_words)
+    lookup = docs.sparkSession.sparkContext.broadcast(vars(Lookup.of(common)))  # plain arrays: no class travels
+    kind = docs.schema[doc_id].dataType.simpleString()
+    schema = pa.schema([(x.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[x.split()[1]]) for x in columns.split(", ")])
+
+    def finished(id_, ids: list[bytes], done) -> pa.RecordBatch:
+        rows = [done(x) for x in ids]
+        return pa.RecordBatch.from_arrays([id_, *(pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema))], names=["id", *schema.names])
+
+    source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    if whole:
+        def place(batches):
+            places, done = Places(Lookup.load(lookup.value)), finish()
+            for b in batches:
+                yield finished(b.column("id"), [gaps[0] for gaps, _ in places(b.column("text").to_pylist())], done)
+
+        return source.mapInArrow(place, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
+
+    def parts(batches):
+        places = Places(Lookup.load(lookup.value))
         for b in batches:
-            at, whole, holes = b.column(0), [], []
-            for text in b.column(1).to_pylist():
-                words = split_words(text)
-                ids = list(map(known.get, words))
-                if None in ids:
-                    # the ids between the holes, then the missing words
-                    gaps, missing, start = [], [], 0
-                    for k in [k for k, x in enumerate(ids) if x is None]:
-                        gaps.append(b"".join(ids[start:k]))
-                        missing.append(words[k])
-                        start = k + 1
-                    gaps.append(b"".join(ids[start:]))
-                    whole.append(gaps)
-                    holes.append(missing)
-                else:
-                    whole.append([b"".join(ids)])
-                    holes.append([])
-            yield pa.RecordBatch.from_arrays([at, pa.array(whole, pa.list_(pa.binary())), pa.array(holes, pa.list_(pa.binary()))], names=["id", "gaps", "missing"])
-
-    placed = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")) \
-                 .mapInArrow(place, f"id {id_type}, gaps array<binary>, missing array<binary>")
-    placed = written(placed.withColumn("row", F.monotonically_increasing_id()), "bpe-placed")
-    done = placed.where(F.size("missing") == 0).select("id", F.col("gaps")[0].alias("ids"))
-    open_ = placed.where(F.size("missing") > 0)
-    found = open_.select("row", F.posexplode("missing").alias("pos", "word")).join(table.select("word", "ids"), "word") \
-                 .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("found"))
+            got = places(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([g for g, _ in got], pa.list_(pa.binary())), pa.array([m for _, m in got], pa.list_(pa.binary()))], names=["id", "gaps", "missing"])
 
     def fill(batches):
+        done = finish()
         for b in batches:
-            ids = []
-            for gaps, got in zip(b.column("gaps").to_pylist(), b.column("found").to_pylist(), strict=True):
-                parts = [gaps[0]]
-                for g, x in zip(gaps[1:], got, strict=True):
-                    parts += [x, g]
-                ids.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(ids, pa.binary())], names=["id", "ids"])
+            ids = [b"".join([x for pair in zip(gaps, [*(got or []), b""], strict=True) for x in pair]) for gaps, got in zip(b.column("gaps").to_pylist(), b.column("found").to_pylist(), strict=True)]
+            yield finished(b.column("id"), ids, done)
 
-    filled = open_.join(found, "row").select("id", "gaps", F.transform("found", lambda x: x["ids"]).alias("found")) \
-                  .mapInArrow(fill, f"id {id_type}, ids binary")
-    return done.unionByName(filled).withColumnRenamed("id", doc_id)
+    placed = written(source.mapInArrow(parts, f"id {kind}, gaps array<binary>, missing array<binary>").withColumn("row", F.monotonically_increasing_id()), "bpe-placed")
+    found = placed.select("row", F.posexplode("missing").alias("pos", "word")).join(table.select("word", "ids"), "word") \
+                  .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("found"))  # the words of one text
+    return placed.join(found, "row", "left").select("id", "gaps", F.transform("found", lambda x: x["ids"]).alias("found")) \
+                 .mapInArrow(fill, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
 
 
 def pieces(spark, vocabulary: str | None = None) -> DataFrame:
@@ -164,34 +242,44 @@ def pieces(spark, vocabulary: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "id int, piece string")
 
 
+def piece_names(spark, vocabulary: str | None = None) -> np.ndarray:
+    """The pieces by id."""
+    table = pieces(spark, vocabulary).collect()  # the vocabulary, never the corpus
+    names = np.full(max((r["id"] for r in table), default=-1) + 1, "", object)
+    for r in table:
+        names[r["id"]] = r["piece"]
+    return names
+
+
+def join_pieces(names: np.ndarray, ids: bytes | None) -> str:
+    return " ".join(names[np.frombuffer(ids or b"", "<u4")])
+
+
 def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids: the piece of each id, a space between pieces, special tokens kept.
 
     The join of ids with pieces is a lookup in a broadcast table, whose size is that of the vocabulary.
     """
-    spark = encoded.sparkSession
-    table = pieces(spark, vocabulary).collect()  # the vocabulary, never the corpus
-    names = np.empty(max(r["id"] for r in table) + 1, object)
-    names[:] = ""
-    for r in table:
-        names[r["id"]] = r["piece"]
-    shared = spark.sparkContext.broadcast(names)
+    shared = encoded.sparkSession.sparkContext.broadcast(piece_names(encoded.sparkSession, vocabulary))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + f", `{out}` string"
 
     def join(batches):
-        names = shared.value
         for b in batches:
-            texts = [" ".join(names[np.frombuffer(x or b"", "<u4")]) for x in b.column(ids).to_pylist()]
+            texts = [join_pieces(shared.value, x) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out])
 
     return encoded.mapInArrow(join, schema)
 
 
-def digest(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+def digest(docs: DataFrame, vocabulary: str | None = None, **options) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of ``docs``."""
-    done = decode(encode(docs, vocabulary), vocabulary)
-    return done.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+    shared = docs.sparkSession.sparkContext.broadcast(piece_names(docs.sparkSession, vocabulary))
+
+    def finish():
+        names = shared.value
+        return lambda ids: (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(join_pieces(names, ids).encode()).hexdigest())
+
+    return encode(docs, vocabulary, finish=finish, columns="n_tokens long, ids_sha256 string, decoded_sha256 string", **options)
 
 
 def reference_digest(text: str | None, vocabulary: str | None = None) -> tuple[int, str, str]:

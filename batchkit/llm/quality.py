@@ -60,6 +60,12 @@ class Model:
             self.axes = np.zeros((TERMS, 1), np.float32)
         self.vectors = self._unit(x @ self.axes)
 
+    @classmethod
+    def load(cls, arrays: dict) -> "Model":
+        out = cls.__new__(cls)
+        vars(out).update(arrays)
+        return out
+
     @staticmethod
     def _unit(x: np.ndarray) -> np.ndarray:
         size = np.linalg.norm(x, axis=1, keepdims=True)
@@ -103,11 +109,11 @@ def train(labelled: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, score, predicted) per row of ``docs``; no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        words, model = WordHashes(), shared.value
+        words, model = WordHashes(), Model.load(shared.value)
         for b in batches:
             scores = []
             texts = b.column("text").to_pylist()

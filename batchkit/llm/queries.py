@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, html, quality, toxicity, winnow
+from batchkit.llm import bpe, html, mixing, quality, secrets, topk, toxicity, winnow
 from batchkit.llm.common import read
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -18,10 +23,18 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.digest(read(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read(spark, sf_dir, "documents"))
 
@@ -31,7 +44,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op4_winnowing, op7_quality, op9_bpe, op10_html)
+    f.__name__: f for f in (op1_secrets, op3_toxicity, op4_winnowing, op5_mixing, op7_quality, op8_topk, op9_bpe, op10_html)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE}
