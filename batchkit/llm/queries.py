@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, html, mixing, quality, secrets, topk, toxicity, winnow
+from batchkit.llm import bpe, html, jaccard, mixing, quality, secrets, topk, toxicity, winnow
 from batchkit.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -44,7 +48,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_toxicity, op4_winnowing, op5_mixing, op7_quality, op8_topk, op9_bpe, op10_html)
+    f.__name__: f for f in (op1_secrets, op2_jaccard, op3_toxicity, op4_winnowing, op5_mixing, op7_quality, op8_topk, op9_bpe, op10_html)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE}

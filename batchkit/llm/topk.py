@@ -134,9 +134,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
 
 ORACLE = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
 t as (select vec_id, generate_subscripts(v, 1) as d, unnest(v) as w from v),
 s as (
   select q.vec_id as query_id, c.vec_id, sum(q.w * c.w)::bigint as score
