@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, html, jaccard, mixing, quality, secrets, topk, toxicity, winnow
+from batchkit.llm import bpe, dedup, html, jaccard, mixing, quality, secrets, topk, toxicity, winnow
 from batchkit.llm.common import read
 
 
@@ -31,6 +31,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -48,7 +52,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_jaccard, op3_toxicity, op4_winnowing, op5_mixing, op7_quality, op8_topk, op9_bpe, op10_html)
+    f.__name__: f for f in (op1_secrets, op2_jaccard, op3_toxicity, op4_winnowing, op5_mixing, op6_dedup, op7_quality, op8_topk, op9_bpe, op10_html)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE}
