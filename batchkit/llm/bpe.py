@@ -282,6 +282,17 @@ def digest(docs: DataFrame, vocabulary: str | None = None, **options) -> DataFra
     return encode(docs, vocabulary, finish=finish, columns="n_tokens long, ids_sha256 string, decoded_sha256 string", **options)
 
 
+def tokens(docs: DataFrame, vocabulary: str | None = None, **options) -> DataFrame:
+    """(doc_id, n_tokens, ids binary, decoded_sha256) per row of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(piece_names(docs.sparkSession, vocabulary))
+
+    def finish():
+        names = shared.value
+        return lambda ids: (len(ids) // 4, ids, hashlib.sha256(join_pieces(names, ids).encode()).hexdigest())
+
+    return encode(docs, vocabulary, finish=finish, columns="n_tokens long, ids binary, decoded_sha256 string", **options)
+
+
 def reference_digest(text: str | None, vocabulary: str | None = None) -> tuple[int, str, str]:
     """The same for one text, straight from the tokenizers library (tests)."""
     t = _tokenizer(vocabulary or default_vocabulary())

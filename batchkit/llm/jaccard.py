@@ -51,6 +51,8 @@ SKETCH_BITS = 22
 CLUSTER_TOKENS = 1_000_000
 #: Rows of a heavy token's postings in one salt, about.
 SALT_ROWS = 1 << 15
+#: Entries of a table of id hashes at most.
+ID_HASHES = 1 << 20
 _U = np.uint64
 
 
@@ -279,3 +281,20 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     of_class = named.join(lowest, "root").select("sid", "component_id")
     out = rows.join(of_class, "sid", "left")
     return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are the smallest id of their component.
+
+    Of repeated rows (id and text) one stays; rows with a null id, which no decision can name, all stay.
+    Most texts don't move: a table of hashes of fixed size tells which ids may be concerned.
+    """
+    found = written(join(docs, doc_id, text).select(F.col(doc_id).alias("id"), "component_id"), "jaccard-decisions")
+    gone = found.where("id <> component_id").select("id").distinct()
+    repeated = found.where("id is not null").groupBy("id").count().where("count > 1").select("id")
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_HASHES))
+    slots = F.broadcast(gone.union(repeated).select(slot("id").alias("_slot")).distinct())  # at most ID_HASHES rows
+    marked = docs.withColumn("_slot", F.when(F.col(doc_id).isNotNull(), slot(doc_id)))
+    still = marked.join(slots, "_slot", "left_anti")
+    rest = marked.join(slots, "_slot", "left_semi").join(gone.withColumnRenamed("id", doc_id), doc_id, "left_anti").dropDuplicates([doc_id, text])
+    return still.unionByName(rest).select(*docs.columns)

@@ -129,3 +129,17 @@ def classify(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Dat
     """(doc_id, held_out, score, predicted): learnt from the labels that aren't held out, applied to every row."""
     got = score(docs, train(model_for(docs, labels, target, rows=TRAIN_ROWS)))
     return got.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches the threshold; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    def run(batches):
+        words, model = WordHashes(), Model.load(shared.value)
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text)).to_pylist()
+            scores = [model.score([shape_terms(t, words) for t in texts[i:i + BLOCK]]) for i in range(0, len(texts), BLOCK)]
+            yield b.filter(pa.array(np.concatenate(scores) >= threshold)) if scores else b
+
+    return docs.mapInArrow(run, docs.schema)
