@@ -293,8 +293,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     gone = found.where("id <> component_id").select("id").distinct()
     repeated = found.where("id is not null").groupBy("id").count().where("count > 1").select("id")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_HASHES))
-    slots = F.broadcast(gone.union(repeated).select(slot("id").alias("_slot")).distinct())  # at most ID_HASHES rows
-    marked = docs.withColumn("_slot", F.when(F.col(doc_id).isNotNull(), slot(doc_id)))
-    still = marked.join(slots, "_slot", "left_anti")
-    rest = marked.join(slots, "_slot", "left_semi").join(gone.withColumnRenamed("id", doc_id), doc_id, "left_anti").dropDuplicates([doc_id, text])
-    return still.unionByName(rest).select(*docs.columns)
+    slots = F.broadcast(gone.union(repeated).select(slot("id").alias("slot")).distinct())  # at most ID_HASHES rows
+    # rows travel as one column, so that no name of theirs can clash
+    marked = docs.select(F.col(doc_id).alias("id"), F.struct("*").alias("row")).withColumn("slot", F.when(F.col("id").isNotNull(), slot("id")))
+    still = marked.join(slots, "slot", "left_anti")
+    rest = marked.join(slots, "slot", "left_semi").join(gone, "id", "left_anti").withColumn("t", F.md5(F.col(f"row.`{text}`"))).dropDuplicates(["id", "t"]).drop("t")
+    return still.select("row.*").unionByName(rest.select("row.*"))

@@ -37,7 +37,7 @@ def word_count(text: Column) -> Column:
 def quality_weight(text: Column) -> Column:
     """1 for plain text, less the more of its characters are neither letters, digits nor white space; at least 0.1."""
     signs = F.length(F.regexp_replace(text, r"[\p{L}\p{N}\x20\x09-\x0D]+", ""))
-    return F.coalesce(F.greatest(F.lit(0.1), F.lit(1.0) - F.lit(2.0) * signs / F.length(text)), F.lit(0.1))
+    return F.coalesce(F.greatest(F.lit(0.1), F.lit(1.0) - F.try_divide(F.lit(2.0) * signs, F.length(text))), F.lit(0.1))
 
 
 def sampling_key(doc_id: Column, weight: Column, seed: str = SEED) -> Column:
@@ -83,7 +83,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     starts = ranges.withColumn("start", F.coalesce(F.sum("bin_size").over(earlier), F.lit(0))).select("sk", "bin", "start").join(goal, "sk")
     within = Window.partitionBy("sk", "bin").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     out = base.join(starts, ["sk", "bin"]).withColumn("before", F.col("start") + F.sum("size").over(within) - F.col("size"))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.try_divide(F.col("target"), F.col("source_size")))).otherwise(0).cast("long")
     out = out.withColumn("epochs", epochs).withColumn("budget", F.floor("target") - F.col("epochs") * F.col("source_size"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("before")))
     return out.withColumn("taken", (F.col("epochs") * F.col("size") + part).cast("long")) \

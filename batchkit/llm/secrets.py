@@ -141,16 +141,17 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, model: list[float], text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of the scan replaced by ``mark``; overlapping spans become one mark."""
-    df = scan(docs, model, text)
+    # rows travel as one column, so that no name of theirs can clash
+    df = scan(docs.select(F.struct("*").alias("_row"), F.col(text).alias("text")), model)
     # overlapping spans are joined; the text between what is left is kept
     merged = F.aggregate("spans", F.array().cast("array<struct<start:bigint,end:bigint>>"), lambda a, s: F.when(
         (F.size(a) > 0) & (F.get(a, F.size(a) - 1)["end"] >= s["start"]),
         F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(F.get(a, F.size(a) - 1)["start"].alias("start"), F.greatest(F.get(a, F.size(a) - 1)["end"], s["end"]).alias("end")))))
         .otherwise(F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
     df = df.withColumn("_s", merged)
-    t = F.col(text)
+    t = F.col("text")
     start = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("_s", i - 1)["end"])
     kept = F.transform("_s", lambda s, i: F.concat(F.substring(t, (start(i) + 1).cast("int"), (s["start"] - start(i)).cast("int")), F.lit(mark)))
     tail = F.substring(t, (F.get("_s", F.size("_s") - 1)["end"] + 1).cast("int"), F.length(t))
     out = F.when(F.size("_s") > 0, F.concat(F.array_join(kept, ""), tail)).otherwise(t)
-    return df.withColumn(text, out).drop("base", "spans", "_s")
+    return df.select("_row", out.alias("text")).select(*[(F.col("text") if c == text else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
