@@ -31,11 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import MEMO_WORDS, written
+from batchkit.llm.common import slices, written
 
 #: Bounds of the broadcast lookup: 12 bytes a word and 2 an id (4 if the vocabulary is larger than 65,536).
 LOOKUP_WORDS = 6_000_000
 LOOKUP_IDS = 30_000_000
+#: Words whose ids a task keeps at hand; the memo starts anew beyond this.
+MEMO_WORDS = 150_000
 #: Distinct words that a task counts before it passes them on.
 COUNTED_WORDS = 600_000
 
@@ -69,7 +71,7 @@ def _count_words(batches):
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([counts[w] for w in part], pa.int64())], names=["word", "n"])
         counts.clear()
 
-    for b in batches:
+    for b in slices(batches):
         for text in b.column(0).to_pylist():
             counts.update(split_words(text))
             if len(counts) > COUNTED_WORDS:
@@ -84,7 +86,7 @@ def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
 
     def encode(batches):
         t = _tokenizer(vocabulary)
-        for b in batches:
+        for b in slices(batches, 10_000):
             ids = []
             words = b.column(0).to_pylist()
             for i in range(0, len(words), 2000):
@@ -133,7 +135,7 @@ class Lookup:
     def of(cls, table: DataFrame) -> Lookup:
         """From rows (word, ids), packed in the tasks."""
         def pack(batches):
-            for b in batches:
+            for b in slices(batches, 50_000):
                 keys, checks = word_keys(b.column("word").to_pylist())
                 ids = [np.frombuffer(x, "<u4") for x in b.column("ids").to_pylist()]
                 flat = np.concatenate(ids) if ids else np.zeros(0, "<u4")
@@ -211,20 +213,20 @@ def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id
     if whole:
         def place(batches):
             places, done = Places(Lookup.load(lookup.value)), finish()
-            for b in batches:
+            for b in slices(batches):
                 yield finished(b.column("id"), [gaps[0] for gaps, _ in places(b.column("text").to_pylist())], done)
 
         return source.mapInArrow(place, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
 
     def parts(batches):
         places = Places(Lookup.load(lookup.value))
-        for b in batches:
+        for b in slices(batches):
             got = places(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([g for g, _ in got], pa.list_(pa.binary())), pa.array([m for _, m in got], pa.list_(pa.binary()))], names=["id", "gaps", "missing"])
 
     def fill(batches):
         done = finish()
-        for b in batches:
+        for b in slices(batches):
             ids = [b"".join([x for pair in zip(gaps, [*(got or []), b""], strict=True) for x in pair]) for gaps, got in zip(b.column("gaps").to_pylist(), b.column("found").to_pylist(), strict=True)]
             yield finished(b.column("id"), ids, done)
 

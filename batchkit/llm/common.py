@@ -8,7 +8,6 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +18,6 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A-Z to a-z, all other bytes as they are.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-#: Words kept per task with their hashes; the memo starts anew beyond this.
-MEMO_WORDS = 400_000
 #: Counters per row when a sketch travels through a shuffle.
 CHUNK = 1 << 14
 _U = np.uint64
@@ -54,26 +51,99 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class WordHashes:
-    """64-bit hash of each word of a text, memoised per task."""
+def slices(batches, rows: int = 512):
+    """Arrow batches cut into small ones, so that only few rows are Python objects at a time; the pool's free memory goes back at the end."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+    pa.default_memory_pool().release_unused()
+
+
+#: Bytes hashed at a time.
+PIECE = 1 << 20
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: A random word for each byte.
+BYTE_WORDS = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
+_BASE = 0x9E3779B97F4A7C15
+
 
-    def __init__(self, seed: int = 0, lower: bool = True):
-        self.seed, self.lower, self.memo = seed, lower, {}
+class Powers:
+    """Powers of an odd base and of its inverse modulo 2**64, as far as the longest piece so far needs."""
 
-    def words(self, text: str | None) -> list[bytes]:
-        raw = (text or "").encode("utf-8", "surrogatepass")
-        return (raw.translate(LOWER) if self.lower else raw).split()
+    def __init__(self):
+        self.up = self.down = np.ones(1, _U)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            n = max(n, 1 << 16)
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                x = np.full(n, base, _U)
+                x[0] = 1
+                setattr(self, name, np.cumprod(x))
+        return self.up, self.down
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """Sums before each byte, so that (sums[b] - sums[a]) * down[a] is a rolling hash of bytes a to b."""
+        up, _ = self(len(data) + 1)
+        out = np.zeros(len(data) + 1, _U)
+        np.cumsum(BYTE_WORDS[data] * up[:len(data)], out=out[1:])
+        return out
+
+
+class WordHashes:
+    """64-bit hashes of the words of texts, A-Z lower-cased unless ``lower`` is false; vectorised over many texts."""
+
+    def __init__(self, lower: bool = True):
+        self.lower, self.powers = lower, Powers()
+
+    def _of(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, start, length) of each word of a piece."""
+        data = np.frombuffer(raw.translate(LOWER) if self.lower else raw, np.uint8)
+        edge = np.diff(np.concatenate([[False], ~_IS_SPACE[data], [False]]).view(np.int8))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = self.powers.sums(data)
+        return mix((sums[ends] - sums[starts]) * self.powers.down[starts] + (ends - starts).astype(_U)), starts, ends - starts
+
+    def _long(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, length) of each word of one text, in pieces that end at white space."""
+        parts, at = [], 0
+        while at < len(raw):
+            end = min(len(raw), at + PIECE)
+            while end < len(raw) and not _IS_SPACE[raw[end]]:
+                end += 1
+            parts.append(self._of(raw[at:end])[::2])
+            at = end
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, _U), np.zeros(0, np.int64))
+
+    def many(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(hashes, lengths in bytes) of the words of each text."""
+        out, group, size = [], [], 0
+
+        def flush():
+            if group:
+                h, starts, lengths = self._of(b"\n".join(group))
+                cuts = np.searchsorted(starts, np.cumsum([len(g) + 1 for g in group])[:-1])
+                out.extend(zip(np.split(h, cuts), np.split(lengths, cuts), strict=True))
+                group.clear()
+
+        for t in texts:
+            raw = (t or "").encode("utf-8", "surrogatepass")
+            if len(raw) > PIECE // 2:
+                flush()
+                size = 0
+                out.append(self._long(raw))
+                continue
+            if size + len(raw) > PIECE:
+                flush()
+                size = 0
+            group.append(raw)
+            size += len(raw) + 1
+        flush()
+        return out
 
     def __call__(self, text: str | None) -> np.ndarray:
-        return self.of(self.words(text))
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        for w in set(words).difference(memo):
-            memo[w] = xxhash.xxh64_intdigest(w, self.seed)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        return self.many([text])[0][0]
 
 
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import mix, written
+from batchkit.llm.common import Powers, mix, slices, written
 from batchkit.llm.suffixes import equal_prefixes, suffix_order
 
 WIDTH = 100
@@ -50,26 +50,6 @@ HEAVY = 4096
 ID_HASHES = 1 << 20
 _LAST = (1 << 63) - 1
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-#: A random word for each byte.
-_BYTES = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
-
-
-class Powers:
-    """Powers of the base and of its inverse, as far as the longest text so far needs."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, _U)
-
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, 1 << 16)
-            for name, base in (("up", _BASE), ("down", _INVERSE)):
-                x = np.full(n, base, _U)
-                x[0] = 1
-                setattr(self, name, np.cumprod(x))
-        return self.up, self.down
 
 
 def anchors(raw: bytes, powers: Powers, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray, ...] | None:
@@ -77,9 +57,8 @@ def anchors(raw: bytes, powers: Powers, width: int = WIDTH, gram: int = GRAM) ->
     n = len(raw)
     if n < width:
         return None
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, _U)
-    np.cumsum(_BYTES[np.frombuffer(raw, np.uint8)] * up[:n], out=sums[1:])
+    sums = powers.sums(np.frombuffer(raw, np.uint8))
+    down = powers.down
     grams = mix((sums[gram:] - sums[:-gram]) * down[:n - gram + 1])
     w = width - gram + 1
     places, starts = _rightmost_minima(grams, w)
@@ -136,7 +115,7 @@ def _contexts(batches):
         z = np.zeros(len(d), np.int64)
         yield from _batches(z.view(_U), z.view(_U), d, z, s, e, np.ones(len(d), bool))
 
-    for b in batches:
+    for b in slices(batches):
         for d, text in zip(b.column("d").to_pylist(), b.column("text").to_pylist(), strict=True):
             got = anchors((text or "").encode("utf-8", "surrogatepass"), powers)
             if got:
@@ -228,7 +207,7 @@ def spans(docs: DataFrame) -> DataFrame:
     texts = docs.withColumn("slot", F.pmod(F.xxhash64("d"), F.lit(ID_HASHES))).join(_id_table(wanted), "slot", "left_semi").drop("slot").join(wanted, "d")
 
     def cut(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for d, text, at in zip(b.column("d").to_pylist(), b.column("text").to_pylist(), b.column("at").to_pylist(), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
@@ -278,7 +257,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rest = marked.join(ids, "slot", "left_semi").select("id", "d", "text").join(ranges, "d", "left").select("id", "text", "ranges")
 
     def cut(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for i, t, ranges in zip(b.column("id"), b.column("text").to_pylist(), b.column("ranges").to_pylist(), strict=True):
                 data = (t or "").encode("utf-8", "surrogatepass")

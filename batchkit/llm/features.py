@@ -30,15 +30,13 @@ SHAPE_TERMS = 14 ** 3
 TERMS = SHAPE_TERMS + 64
 
 
-def shape_terms(text: str | None, words: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """(indexes, weights) of a text's terms: runs of three byte classes, repeated words, lengths; weights 1 + ln(count)."""
+def shape_terms(text: str | None, h: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(indexes, weights) of a text's terms, given its words' hashes and lengths: runs of three byte classes, repeated words, lengths; weights 1 + ln(count)."""
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
     counts = np.zeros(TERMS, np.int64)
     if len(raw) >= 3:
         c = _SHAPE[raw].astype(np.int32)
         counts[:SHAPE_TERMS] = np.bincount((c[:-2] * 14 + c[1:-1]) * 14 + c[2:], minlength=SHAPE_TERMS)[:SHAPE_TERMS]
-    listed = words.words(text)
-    h = words.of(listed)
     n = len(h)
     if n:
         for gap in (1, 2, 3):
@@ -46,7 +44,12 @@ def shape_terms(text: str | None, words: WordHashes) -> tuple[np.ndarray, np.nda
                 counts[SHAPE_TERMS + gap] = int((h[gap:] == h[:-gap]).sum()) * 4
         distinct = len(np.unique(h)) / n
         counts[SHAPE_TERMS + 8 + int(distinct * 7.99)] = n
-        sizes = np.minimum(np.log2(np.fromiter(map(len, listed), np.int64, n)).astype(np.int64), 7)
+        sizes = np.minimum(np.log2(lengths).astype(np.int64), 7)
         counts[SHAPE_TERMS + 16:SHAPE_TERMS + 24] = np.bincount(sizes, minlength=8)
     at = np.flatnonzero(counts)
     return at, (1 + np.log(counts[at])).astype(np.float32)
+
+
+def all_shape_terms(texts: list[str | None], words: WordHashes) -> list[tuple[np.ndarray, np.ndarray]]:
+    """:func:`shape_terms` of each text."""
+    return [shape_terms(t, h, n) for t, (h, n) in zip(texts, words.many(texts), strict=True)]

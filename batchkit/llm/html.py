@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchkit.llm.common import slices
+
 #: Lines in a window: as many empty lines end a region.
 WINDOW = 3
 #: Share of the largest region's text that another region needs, where no article is marked.
@@ -185,7 +187,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = [main_text(x) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 

@@ -7,14 +7,18 @@ so a pair is a candidate only if it does so under each of ORDERS orders.  All or
 put rare tokens first (by a sketch of fixed size that counts every set of the corpus)
 and break ties by different hashes.
 
+More than that: with a prefix longer by SHARED - 1 tokens, two such sets share SHARED
+prefix tokens (or as many as they must have in common, if that is less).
+
 1. Equal sets fall together first: a set is known by a 64-bit hash of its tokens
    (two different sets of a corpus of 10**10 meet with a chance of a few, and then only as
    a false equality), and all that follows concerns distinct sets.
-2. For each prefix token of the first order the smallest set is the pivot; a set is a
-   member of the clusters of its tokens' pivots.  Two sets that share a token share a
-   cluster, so the clusters replace the pairs: their size is linear in the prefixes.
-   Postings of heavy tokens, as the sketch tells, are salted.
-3. Sets in no cluster of two are done.  The others give memberships under the further
+2. For each prefix token of the first order that several sets have, the smallest of
+   them is the pivot; a set with at least SHARED such tokens is a member of the
+   clusters of their pivots.  Two sets that share a token share a cluster, so the
+   clusters replace the pairs: their size is linear in the prefixes.  Postings of heavy
+   tokens, as the sketch tells, are salted.
+3. Sets without such company are done.  The others give memberships under the further
    orders too; a set without company under any of them is done.
 4. In each cluster a central set is compared with all others, and every set that isn't
    linked to it with all sets that it isn't yet connected to, if the pair also shares a
@@ -37,15 +41,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import SKETCH, WordHashes, as_long, component_min, mix, shingle_hashes, sketch_levels, sketch_rows, written
+from batchkit.llm.common import SKETCH, WordHashes, as_long, component_min, mix, shingle_hashes, sketch_levels, sketch_rows, slices, written
 
 WORDS = 5
 #: Least likeness, in hundredths.
 THRESHOLD = 80
 ORDERS = 3
+#: Prefix tokens that linked sets share under each order.  (Sets that must have fewer in common, those of 3 and less,
+#: link with sets of their own size only.)
+SHARED = 4
 SKETCH_BITS = 22
 #: Tokens in a cluster, or in a block of a larger one.
 CLUSTER_TOKENS = 1_000_000
@@ -56,8 +63,13 @@ ID_HASHES = 1 << 20
 _U = np.uint64
 
 
+def shared(n: int, threshold: int = THRESHOLD) -> int:
+    """How many prefix tokens a set of n shares with any set that it links to."""
+    return min(SHARED, -(-threshold * n // 100))
+
+
 def prefix_length(n: int, threshold: int = THRESHOLD) -> int:
-    return n - -(-threshold * n // 100) + 1
+    return n - -(-threshold * n // 100) + shared(n, threshold)
 
 
 def _sid(tokens: np.ndarray) -> int:
@@ -78,25 +90,35 @@ def prefix(tokens: np.ndarray, levels: np.ndarray, order: int, threshold: int =
     return tokens[np.argsort(key, kind="stable")[:prefix_length(len(tokens), threshold)]]
 
 
+def _shingled(texts: list[str | None], hashes: WordHashes, words: int):
+    return (shingle_hashes(h, words) for h, _ in hashes.many(texts))
+
+
 def sets(docs: DataFrame, kind: str, words: int = WORDS) -> DataFrame:
     """(id, n, sid) per row, and in rows of their own (chunk, counts) the sketch of token frequencies over each task's distinct sets."""
     def run(batches):
         hashes, seen = WordHashes(), set()
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts, pending = np.zeros(1 << SKETCH_BITS, np.uint32), []
         id_type = None
-        for b in batches:
+
+        def add():
+            if pending:
+                np.add(counts, np.bincount(np.concatenate(pending), minlength=len(counts)).astype(np.uint32), out=counts)
+                pending.clear()
+
+        for b in slices(batches):
             id_type = b.column("id").type
             n, sid = [], []
-            for text in b.column("text").to_pylist():
-                t = shingle_hashes(hashes(text), words)
+            for t in _shingled(b.column("text").to_pylist(), hashes, words):
                 n.append(len(t))
                 sid.append(_sid(t) if len(t) else None)
                 if len(t) and sid[-1] not in seen:
                     seen.add(sid[-1])
-                    counts += np.bincount(_bucket(t), minlength=len(counts)).astype(np.uint32) if len(t) > 100_000 else 0
-                    if len(t) <= 100_000:
-                        np.add.at(counts, _bucket(t), 1)
+                    pending.append(_bucket(t))
+            if sum(map(len, pending)) > 1 << 20:
+                add()
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=["id", "n", "sid", "chunk", "counts"])
+        add()
         if id_type is not None:
             s = sketch_rows(counts)
             m = s.num_rows
@@ -110,13 +132,16 @@ def _salts(levels: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return np.maximum(1, np.exp2(levels[_bucket(tokens)] / 4.0) / SALT_ROWS).astype(np.int64)
 
 
-def _emit(found: list[tuple[int, np.ndarray]], levels: np.ndarray):
+def _emit(found: list[tuple[int, int, np.ndarray]], levels: np.ndarray):
+    """Postings of (sid, size of the set, prefix): salts count from 0 for heavy tokens, else tell how many tokens the set must share."""
     if not found:
         return
-    tokens = np.concatenate([p for _, p in found])
-    sid = np.repeat(np.array([s for s, _ in found], np.int64), [len(p) for _, p in found])
+    tokens = np.concatenate([p for _, _, p in found])
+    lengths = [len(p) for _, _, p in found]
+    sid = np.repeat(np.array([s for s, _, _ in found], np.int64), lengths)
+    need = np.repeat(np.array([-shared(n) for _, n, _ in found]), lengths)
     salts = _salts(levels, tokens)
-    salt = np.where(salts > 1, (mix(sid.view(_U)) % salts.astype(_U)).astype(np.int64), -1)
+    salt = np.where((salts > 1) & (need == -SHARED), (mix(sid.view(_U)) % salts.astype(_U)).astype(np.int64), need)
     yield pa.RecordBatch.from_arrays([pa.array(as_long(tokens)), pa.array(salt.astype(np.int32)), pa.array(sid)], names=["token", "salt", "sid"])
 
 
@@ -124,14 +149,22 @@ POSTINGS = "token long, salt int, sid long"
 
 
 def members(postings: DataFrame, name: str) -> DataFrame:
-    """(pivot, sid): each set with the pivots of its tokens that it shares with another set."""
-    dealt = postings.repartition("token", "salt")
-    ends = dealt.groupBy("token", "salt").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    heavy = ends.where("salt >= 0")
-    of_token = heavy.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-    pivots = ends.where("salt < 0 and low <> high").select("token", "salt", F.col("low").alias("pivot")) \
-                 .unionByName(heavy.select("token", "salt").join(of_token, "token").select("token", "salt", F.col("low").alias("pivot")))
-    return written(dealt.join(pivots, ["token", "salt"]).select("pivot", "sid").distinct(), name)
+    """(pivot, sid): each set that shares enough prefix tokens with others, with those tokens' pivots.
+
+    One shuffle of the postings; what only one set has is dropped after it.
+    """
+    group = Window.partitionBy("token", "salt")
+    held = postings.withColumn("repeat", F.lag("sid").over(group.orderBy("sid")) == F.col("sid")) \
+                   .withColumn("low", F.min("sid").over(group)).withColumn("high", F.max("sid").over(group)) \
+                   .where("not coalesce(repeat, false) and (salt >= 0 or low <> high)")
+    held = written(held.select("token", "salt", "sid", "low"), f"{name}-shared")
+    heavy = held.where("salt >= 0")
+    of_token = heavy.groupBy("token").agg(F.min("low").alias("pivot"), F.max("sid").alias("high")).where("pivot <> high")
+    both = held.where("salt < 0").select("sid", F.col("low").alias("pivot"), (-F.col("salt")).alias("need")) \
+               .unionByName(heavy.join(of_token, "token").select("sid", "pivot", F.lit(SHARED).alias("need")))
+    per = both.groupBy("sid", "pivot").agg(F.count("*").alias("tokens"), F.max("need").alias("need"))
+    enough = per.groupBy("sid").agg(F.collect_list("pivot").alias("pivots"), F.sum("tokens").alias("tokens"), F.max("need").alias("need")).where("tokens >= need")
+    return written(enough.select("sid", "pivots"), name)
 
 
 def _overlaps(tokens: np.ndarray, index: tuple[np.ndarray, np.ndarray], rows: int) -> np.ndarray:
@@ -210,21 +243,22 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     both = written(sets(source, kind, words), "jaccard-sets")
     rows = both.where("chunk is null").select("id", "n", "sid")
-    shared = sc.broadcast(sketch_levels(both.where("chunk is not null").select("chunk", "counts"), SKETCH_BITS))
+    shared_levels = sc.broadcast(sketch_levels(both.where("chunk is not null").select("chunk", "counts"), SKETCH_BITS))
 
     def first_order(batches):
-        hashes, seen, levels = WordHashes(), set(), shared.value
-        for b in batches:
+        hashes, seen, levels = WordHashes(), set(), shared_levels.value
+        for b in slices(batches):
             found = []
-            for t in b.column("text").to_pylist():
-                tokens = shingle_hashes(hashes(t), words)
+            for tokens in _shingled(b.column("text").to_pylist(), hashes, words):
                 if len(tokens) and (sid := _sid(tokens)) not in seen:
                     seen.add(sid)
-                    found.append((sid, prefix(tokens, levels, 0)))
+                    found.append((sid, len(tokens), prefix(tokens, levels, 0)))
             yield from _emit(found, levels)
 
-    clusters = members(source.select("text").mapInArrow(first_order, POSTINGS), "jaccard-first")
-    company = clusters.select("sid").distinct()
+    # the pivots of a set are fewer than its prefix tokens
+    first = members(source.select("text").mapInArrow(first_order, POSTINGS), "jaccard-first")
+    clusters = first.select(F.explode("pivots").alias("pivot"), "sid")
+    company = first.select("sid")
 
     # one document of each set with company; a fixed-size filter of their ids spares the others' texts
     chosen = rows.where("sid is not null").groupBy("sid").agg(F.min("id").alias("id")).join(company, "sid", "left_semi")
@@ -240,12 +274,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
 
     def full_sets(batches):
         hashes, seen, marked = WordHashes(), set(), wanted.value
-        for b in batches:
+        for b in slices(batches):
             take = marked[_bucket(np.asarray(b.column("h")).view(_U))] > 0
             take |= np.asarray(b.column("none").to_numpy(zero_copy_only=False), bool)
             found = []
-            for text in b.column("text").filter(pa.array(take)).to_pylist():
-                tokens = shingle_hashes(hashes(text), words)
+            for tokens in _shingled(b.column("text").filter(pa.array(take)).to_pylist(), hashes, words):
                 if len(tokens) and (sid := _sid(tokens)) not in seen:
                     seen.add(sid)
                     found.append((sid, as_long(tokens)))
@@ -257,12 +290,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     kept = candidates
     for order in range(1, ORDERS):
         def postings(batches, order=order):
-            levels = shared.value
+            levels = shared_levels.value
             for b in batches:
-                yield from _emit([(s, prefix(np.asarray(t.values).view(_U), levels, order)) for s, t in zip(b.column("sid").to_pylist(), b.column("tokens"), strict=True)], levels)
+                yield from _emit([(s, len(t.values), prefix(np.asarray(t.values).view(_U), levels, order)) for s, t in zip(b.column("sid").to_pylist(), b.column("tokens"), strict=True)], levels)
 
         more = members(candidates.select("sid", "tokens").mapInArrow(postings, POSTINGS), f"jaccard-order{order}")
-        kept = kept.join(more.groupBy("sid").agg(F.collect_list("pivot").alias(f"pivots{order}")), "sid")  # fewer than the set's prefix tokens
+        kept = kept.join(more.withColumnRenamed("pivots", f"pivots{order}"), "sid")
 
     # clusters of two and more, cut into blocks by the number of their tokens
     sized = clusters.join(kept.select("sid", "n"), "sid")

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import WordHashes, held_out
-from batchkit.llm.features import TERMS, shape_terms
+from batchkit.llm.common import WordHashes, held_out, slices
+from batchkit.llm.features import TERMS, all_shape_terms
 from batchkit.llm.toxicity import model_for
 
 TRAIN_ROWS = 4000
@@ -96,8 +96,8 @@ def train(labelled: DataFrame) -> Model:
     """The model of a bounded frame (text, label): its terms are made in parallel, the decomposition on the driver (TERMS x TERMS)."""
     def terms(batches):
         words = WordHashes()
-        for b in batches:
-            rows = [shape_terms(t, words) for t in b.column("text").to_pylist()]
+        for b in slices(batches):
+            rows = all_shape_terms(b.column("text").to_pylist(), words)
             yield pa.RecordBatch.from_arrays([b.column("label"), b.column("order"), pa.array([a.astype(np.int16) for a, _ in rows], pa.list_(pa.int16())), pa.array([w for _, w in rows], pa.list_(pa.float32()))],
                                              names=["label", "order", "at", "w"])
 
@@ -114,11 +114,11 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     def run(batches):
         words, model = WordHashes(), Model.load(shared.value)
-        for b in batches:
+        for b in slices(batches):
             scores = []
             texts = b.column("text").to_pylist()
             for i in range(0, len(texts), BLOCK):
-                scores.append(model.score([shape_terms(t, words) for t in texts[i:i + BLOCK]]))
+                scores.append(model.score(all_shape_terms(texts[i:i + BLOCK], words)))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())], names=["id", "score"])
 
     scored = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, score double")
@@ -137,9 +137,9 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float
 
     def run(batches):
         words, model = WordHashes(), Model.load(shared.value)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(b.schema.get_field_index(text)).to_pylist()
-            scores = [model.score([shape_terms(t, words) for t in texts[i:i + BLOCK]]) for i in range(0, len(texts), BLOCK)]
+            scores = [model.score(all_shape_terms(texts[i:i + BLOCK], words)) for i in range(0, len(texts), BLOCK)]
             yield b.filter(pa.array(np.concatenate(scores) >= threshold)) if scores else b
 
     return docs.mapInArrow(run, docs.schema)

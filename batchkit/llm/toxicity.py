@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import WordHashes, bounded_sample, held_out, written
+from batchkit.llm.common import WordHashes, bounded_sample, held_out, slices, written
 from batchkit.llm.features import word_grams
 
 BITS = 20
@@ -67,8 +67,8 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", rows: i
     """
     def features(batches):
         words = WordHashes()
-        for b in batches:
-            at = [word_grams(words(t), BITS, SKIPS).astype(np.int32) for t in b.column("text").to_pylist()]
+        for b in slices(batches):
+            at = [word_grams(h, BITS, SKIPS).astype(np.int32) for h, _ in words.many(b.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("label"), b.column("order"), pa.array(at, pa.list_(pa.int32()))], names=["label", "order", "at"])
 
     known = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1)") \
@@ -111,8 +111,8 @@ def score(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str
         full = np.zeros((1 << BITS) + 1)
         full[shared.value[0]] = shared.value[1]
         words = WordHashes()
-        for b in batches:
-            sums = np.array([full[word_grams(words(t), BITS, SKIPS)].sum() for t in b.column("text").to_pylist()], float) + full[-1]
+        for b in slices(batches):
+            sums = np.array([full[word_grams(h, BITS, SKIPS)].sum() for h, _ in words.many(b.column("text").to_pylist())], float) + full[-1]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(1 / (1 + np.exp(-np.clip(sums, -35, 35))))], names=["id", "score"])
 
     scored = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, score double")

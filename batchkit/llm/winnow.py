@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import mix
+from batchkit.llm.common import mix, slices
 
 K = 20
 W = 80
@@ -111,7 +111,7 @@ def fingerprints(docs: DataFrame, text: str = "text", k: int = K, w: int = W) ->
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", positions array<bigint>, hashes array<bigint>"
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             found = [winnow(x, k, w) for x in b.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([p for p, _ in found], pa.list_(pa.int64())), pa.array([h.astype(np.int64) for _, h in found], pa.list_(pa.int64()))],
                                              names=[*b.schema.names, "positions", "hashes"])
@@ -168,7 +168,7 @@ def edited_neighbours(docs: DataFrame, kernel, schema: str, doc_id: str = "doc_i
     def run(batches):
         work, out = kernel(), []
         held = None  # (range, id, text) waiting for its successor
-        for b in batches:
+        for b in slices(batches):
             for r, own, i, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if held and held[0] == r:
                     out.append(work(held[1], held[2], t))
