@@ -17,14 +17,15 @@ def as_lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
-def require_type(df: DataFrame, name: str, allowed: tuple, what: str) -> None:
-    """Raise ``TypeError`` unless column ``name`` of ``df`` has one of ``allowed`` types."""
-    if name not in df.columns:
-        raise ValueError(f"{what}: column {name!r} not found in {df.columns}")
-    dtype = df.schema[name].dataType
+def require_type(df: DataFrame, column, allowed: tuple, what: str) -> None:
+    """Raise ``TypeError`` unless ``column`` (a name or a Column) of ``df`` has one of ``allowed`` types."""
+    if isinstance(column, str) and column not in df.columns:
+        raise ValueError(f"{what}: column {column!r} not found in {df.columns}")
+    dtype = df.select(as_col(column).alias("c")).schema["c"].dataType
     if not isinstance(dtype, allowed):
         names = ", ".join(t.__name__ for t in allowed)
-        raise TypeError(f"{what}: column {name!r} must be {names}, got {dtype.simpleString()}")
+        shown = repr(column) if isinstance(column, str) else "argument"
+        raise TypeError(f"{what}: column {shown} must be {names}, got {dtype.simpleString()}")
 
 
 STRINGS = (T.StringType, T.CharType, T.VarcharType)

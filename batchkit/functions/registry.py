@@ -91,8 +91,8 @@ def event_rate_sql(event: str, numerator: str, denominator: str) -> str:
 
 
 def int_average_sql(value: str) -> str:
-    """SQL text of ``int_average``: ``cast(sum(v) div count(v) as double)``."""
-    return f"CAST(sum({value}) DIV count({value}) AS DOUBLE)"
+    """SQL text of ``int_average``: ``cast(sum(v) div count(v) as double)``, summed in decimal(38,0) as the DataFrame form."""
+    return f"CAST(sum(CAST({value} AS DECIMAL(38, 0))) DIV count({value}) AS DOUBLE)"
 
 
 def register_python(spark: SparkSession, name: str, fn, return_type, deterministic: bool = True):

@@ -15,6 +15,11 @@ JAVA_WHITESPACE = "".join(chr(i) for i in range(0x21))
 _REGEX_META = set(".$|()[]{}^?*+\\")
 
 
+def literal(sep: str) -> str:
+    """A plain separator as a pattern that matches exactly it."""
+    return "".join(f"\\{ch}" if ch in _REGEX_META else ch for ch in sep)
+
+
 def java_trim(c) -> Column:
     """``String.trim``: strip chars <= U+0020 from both ends (Spark ``trim`` strips spaces only)."""
     return F.btrim(as_col(c), F.lit(JAVA_WHITESPACE))
@@ -63,12 +68,3 @@ def hash_block(c, hex_digits: int) -> Column:
     if hex_digits <= 0:
         return F.lit("")
     return F.substring(F.md5(as_col(c).cast("string")), 1, hex_digits)
-
-
-def digits_for(largest: int, max_per_block: int) -> int:
-    """Fewest md5 hex digits that split a group of ``largest`` items into blocks of
-    at most about ``max_per_block`` (each digit divides by 16)."""
-    digits = 0
-    while largest > max_per_block * (16 ** digits):
-        digits += 1
-    return digits

@@ -2,19 +2,18 @@
 
 Every keyed aggregate here is a built-in aggregate, so Catalyst plans a partial
 (map-side) aggregate, one shuffle on the keys, and a final aggregate – the
-combine-before-shuffle that ``reduceByKey`` is chosen for.  Bags of values are
-the exception that cannot combine, so they are always split into bounded blocks.
+combine-before-shuffle that ``reduceByKey`` is chosen for.  Bags of values first
+count equal values the same way and are then cut into blocks of bounded size.
 """
 
 from __future__ import annotations
 
-from typing import Iterable
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from batchkit._util import as_col
-from batchkit.functions.text import digits_for, hash_block
+from batchkit.operators.blocks import rank_blocks
 
 
 def _keys(by) -> list:
@@ -30,9 +29,13 @@ def reduce_pair(df: DataFrame, key, value) -> DataFrame:
     """Reduce over (k, v) pairs: the values are summed, the smallest key is kept.
 
     The RDD version keeps whichever key comes first, which depends on layout;
-    ``min`` makes it deterministic.
+    ``min`` makes it deterministic.  Integral values are summed in decimal(38,0): a
+    long sum of dense keys leaves the long range at scale.
     """
-    return df.agg(F.min(as_col(key)).alias("k"), F.sum(as_col(value)).alias("v"))
+    v = as_col(value)
+    if isinstance(df.select(v.alias("v")).schema["v"].dataType, T.IntegralType):
+        v = v.cast("decimal(38,0)")
+    return df.agg(F.min(as_col(key)).alias("k"), F.sum(v).alias("v"))
 
 
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
@@ -67,59 +70,50 @@ def key_bounds(df: DataFrame, key) -> DataFrame:
     return df.agg(F.min(k).alias("lo"), F.max(k).alias("hi"))
 
 
-def group_into_bags(df: DataFrame, by, value, block="hash", sep: str = ",", max_values: int = 100_000) -> DataFrame:
-    """``groupBy``/``groupByKey`` into bags, emitted as bounded blocks.
+#: Values in a block of a bag.
+ROWS_PER_BLOCK = 100_000
+
+
+def group_into_bags(df: DataFrame, by, value, rows_per_block: int = ROWS_PER_BLOCK, sep: str = ",") -> DataFrame:
+    """``groupBy``/``groupByKey`` into bags, in blocks of at most ``rows_per_block`` values.
 
-    A bag cannot be combined map-side, and a hot key may hold a large share of
-    the rows, so a key's bag is not gathered into one row: it is split by the
-    ``block`` expression – by default ``"hash"``, the first two hex digits of
-    ``md5(value)`` (up to 256 blocks per key); or any Column such as
-    ``value div 1000``.  Each (key, block) row carries the block's size ``n`` and
-    its values sorted and joined by ``sep`` in ``vals``; the union of a key's
-    blocks is the key's bag.  ``block="auto"`` picks the fewest md5 hex digits that
-    keep the largest key's blocks near ``max_values`` (one extra pass: a
-    HyperLogLog estimate per key).  ``block=None`` gives one bag per key – only for
-    callers who know every bag is small.
+    A bag is never gathered whole: equal values of a key are counted first (partial
+    aggregation), then ranked, and block = rank div ``rows_per_block`` (see
+    :func:`rank_blocks`), the same rule at every size: a small key has the one block 0,
+    a value repeated often continues in further blocks.  Each (key, block) row has its
+    number of values ``n`` and the values in order, joined by ``sep``, in ``vals``; a
+    null value counts, comes first and prints ``null``.  A key's blocks are its bag.
     """
-    v = as_col(value)
     keys = _keys(by)
-    constant = block is None
-    if isinstance(block, str) and block == "auto":
-        sizes = df.groupBy(*keys).agg(F.approx_count_distinct(v).alias("_n"), F.count(v).alias("_c"))
-        largest = sizes.agg(F.max(F.greatest("_n", "_c"))).first()[0] or 0
-        digits = digits_for(largest, max_values)
-        blk, constant = hash_block(v, digits), digits == 0
-    elif isinstance(block, str) and block == "hash":
-        blk = hash_block(v, 2)
-    else:
-        blk = F.lit(0) if block is None else block
-    grouped = df.select(*keys, blk.alias("block"), v.alias("_v"))
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    # A bag keeps every value, so a map-side partial aggregate would not shrink
-    # anything: shuffle rows once on (key, block) and build the bags after it.
-    # (A constant block is folded out of the grouping, so then shuffle on the keys.)
-    grouped = grouped.repartition(*key_cols) if constant else grouped.repartition(*key_cols, "block")
-    return (grouped.groupBy(*key_cols, "block")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.array_join(F.transform(F.sort_array(F.collect_list("_v")), lambda x: x.cast("string")),
-                              sep).alias("vals")))
+    names = [k if isinstance(k, str) else f"k{i}" for i, k in enumerate(keys)]
+    rows = df.select(*[as_col(k).alias(n) for k, n in zip(keys, names)], as_col(value).alias("_v"))
+    counted = rows.groupBy(*names, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # a block is bounded and its rows don't combine: one shuffle on (key, block), then the aggregate
+    cut = rank_blocks(counted, names, ["_v"], rows_per_block, copies="_n").repartition(*names, "block")
+    held = F.sort_array(F.collect_list(F.struct("_v", "_n")))
+    texts = F.flatten(F.transform(held, lambda s: F.array_repeat(F.coalesce(s["_v"].cast("string"), F.lit("null")), s["_n"])))
+    return cut.groupBy(*names, "block").agg(F.sum("_n").alias("n"), F.array_join(texts, sep).alias("vals"))
 
 
 def observe_sum(df: DataFrame, value, name: str = "s") -> tuple[DataFrame, Observation]:
     """Accumulator done right: a named metric computed once per action.
 
-    Returns the observed DataFrame and the ``Observation``; read ``obs.get``
-    after an action on the returned frame.  Unlike an accumulator updated in a
-    ``map``, a retried task or a second plan is not counted twice.
+    Returns the observed frame, which holds the value column only (so a scan reads
+    that column alone), and the ``Observation``; read ``obs.get`` after an action on
+    the frame.  Unlike an accumulator updated in a ``map``, a retried task or a second
+    plan is not counted twice.
     """
     obs = Observation(f"observe_{name}")
-    return df.observe(obs, F.sum(as_col(value)).alias(name), F.count(F.lit(1)).alias("rows")), obs
+    values = df.select(as_col(value).alias("value"))
+    return values.observe(obs, F.sum("value").alias(name), F.count(F.lit(1)).alias("rows")), obs
+
 
+def metric_frame(df: DataFrame, obs: Observation, schema: str) -> DataFrame:
+    """Run ``df`` through a no-op sink once and return the observed metrics as one row of ``schema``.
 
-def metric_frame(df: DataFrame, obs: Observation, names: Iterable[str]) -> DataFrame:
-    """Run ``df`` through a no-op sink once and return the observed metrics as one row."""
+    An empty input gives null for a sum and 0 for a count.
+    """
     df.write.format("noop").mode("overwrite").save()
     metrics = obs.get
-    spark = df.sparkSession
-    cols = list(names)
-    return spark.createDataFrame([tuple(metrics[c] for c in cols)], schema=cols)
+    fields = T.StructType.fromDDL(schema)
+    return df.sparkSession.createDataFrame([tuple(metrics[f.name] for f in fields)], schema=fields)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchkit._util import STRINGS, as_col, as_lit, require_type
-from batchkit.functions.text import digits_for, hash_block, java_split, java_trim
+from batchkit.functions.text import java_split, java_trim
+from batchkit.operators.blocks import rank_blocks
 
 # Error texts and output column names of the item-list explode.
 ITEM_FRAGMENT_ERROR = "Invalid item_list fragment: "
@@ -44,16 +45,19 @@ def event_rate(event, numerator, denominator) -> Column:
     return F.try_divide(num, den)
 
 
-def event_rate_by(df: DataFrame, by: Iterable, event: str, numerator, denominator,
+def event_rate_by(df: DataFrame, by: Iterable, event, numerator, denominator,
                   name: str = "event_rate") -> DataFrame:
     """``df.groupBy(*by).agg(event_rate(...))`` with the argument checks of the UDAF.
 
-    ``event`` must be a string column; numerator / denominator must be strings
-    (literal names) or string columns of ``df``.
+    ``event`` must be a string column (name or Column); numerator / denominator must
+    be strings (literal names) or string Columns of ``df``; types are resolved against
+    ``df`` before anything runs.
     """
     require_type(df, event, STRINGS, "event_rate")
     for arg in (numerator, denominator):
-        if not isinstance(arg, (str, Column)):
+        if isinstance(arg, Column):
+            require_type(df, arg, STRINGS, "event_rate")
+        elif not isinstance(arg, str):
             raise TypeError(f"event_rate: event names must be strings, got {type(arg).__name__}")
     return df.groupBy(*by).agg(event_rate(event, numerator, denominator).alias(name))
 
@@ -161,43 +165,33 @@ def parse_login_lines(df: DataFrame, column: str = "value", on_error: str = "rai
     return rows.select(*[F.col("_f").getItem(i).alias(name) for name, i in LOGIN_FIELDS.items()])
 
 
-def _auto_block_digits(users: DataFrame, max_entries: int) -> int:
-    """Hex digits of md5 so the busiest day's (province, user) pairs split into
-    blocks of about ``max_entries``.  Costs one extra pass over the input, whose
-    output is one HyperLogLog estimate per day."""
-    per_day = users.groupBy("dt").agg(F.approx_count_distinct(F.concat_ws("\u0001", "province", "user")).alias("n"))
-    busiest = per_day.agg(F.max("n")).first()[0] or 0
-    return digits_for(busiest, max_entries)
+#: (province, user) entries in a document of the login roll-up.
+ENTRIES_PER_BLOCK = 100_000
 
 
-def login_rollup(df: DataFrame, day, province, user, block_digits: int | str = 2,
-                 max_entries: int = 100_000) -> DataFrame:
-    """Distinct users per (day, province), one JSON document per day block.
+def login_rollup(df: DataFrame, day, province, user, entries_per_block: int = ENTRIES_PER_BLOCK) -> DataFrame:
+    """Distinct users per (day, province), in JSON documents of bounded size per day.
 
     Output columns ``dt``, ``block``, ``j`` where ``j`` is
     ``{"dt": ..., "provinces": [{"province": ..., "user_list": [...]}]}`` with
-    provinces and users sorted.  A day's users are split into ``16**block_digits``
-    blocks by ``md5(user)`` prefix, so one hot day never becomes one unbounded
-    row; the union of a day's blocks is the day's full roll-up.  ``block_digits=0``
-    gives exactly one document per day (use only when a day's users are bounded);
-    ``block_digits="auto"`` picks the fewest digits that keep the busiest day's
-    documents near ``max_entries`` (province, user) entries.
+    provinces and users sorted.  A day's distinct (province, user) entries are ranked
+    and block = rank div ``entries_per_block`` (see :func:`rank_blocks`): one rule at
+    every size, a day with fewer entries is the one document of block 0, and a day's
+    documents together are its roll-up.  A null user is no user and isn't listed.
 
     ``day`` may be a date (e.g. :func:`batchkit.functions.day_key`) or text; it is
     formatted as text only on the output rows.
 
-    Plan: partial ``collect_set`` (map-side de-duplication) -> shuffle on
-    (dt, block, province) -> small second aggregation per (dt, block).
+    Plan: distinct entries with partial aggregation, a range sort of them for the
+    ranks, one shuffle on (dt, block) and the two aggregations on it.
     """
     users = df.select(as_col(day).alias("dt"),
                       as_col(province).cast("string").alias("province"),
                       as_col(user).cast("string").alias("user"))
-    users = users.where(F.col("user").isNotNull())  # a null is no user: it cannot be listed
-    if block_digits == "auto":
-        block_digits = _auto_block_digits(users, max_entries)
-    users = users.withColumn("block", hash_block("user", block_digits))
-    per_province = (users.groupBy("dt", "block", "province")
-                    .agg(F.sort_array(F.collect_set("user")).alias("user_list")))
+    entries = users.where(F.col("user").isNotNull()).distinct().withColumn("copies", F.lit(1))
+    placed = rank_blocks(entries, ["dt"], ["province", "user"], entries_per_block).repartition("dt", "block")
+    per_province = (placed.groupBy("dt", "block", "province")
+                    .agg(F.sort_array(F.collect_list("user")).alias("user_list")))
     per_day = (per_province.groupBy("dt", "block")
                .agg(F.sort_array(F.collect_list(F.struct("province", "user_list"))).alias("provinces")))
     per_day = per_day.withColumn("dt", F.col("dt").cast("string"))  # format once per output row

@@ -7,6 +7,7 @@ from typing import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +37,10 @@ def num_partitions(df: DataFrame) -> int:
     """``getNumPartitions`` (planning only for file scans).  Where the RDD API is not
     available (Spark Connect) the distinct partition ids are counted instead."""
     try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API in this session
+        rdd = df.rdd
+    except PySparkException:  # no RDD API in this session
         return df.select(F.spark_partition_id().alias("p")).distinct().count()
+    return rdd.getNumPartitions()
 
 
 def coalesce_to(df: DataFrame, n: int) -> DataFrame:

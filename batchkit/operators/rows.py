@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchkit._util import as_col
-from batchkit.functions.text import java_split
+from batchkit.functions.text import java_split, literal
 
 
 def lines(df: DataFrame, column, keep: Iterable[str] = (), sep: str = "\n",
           name: str = "line") -> DataFrame:
     """One row per line of a text column (a text-line scan over a column), whole texts."""
-    return df.select(*keep, F.explode(F.split(as_col(column), sep)).alias(name))
+    return df.select(*keep, F.explode(F.split(as_col(column), literal(sep))).alias(name))
 
 
 def tokens(df: DataFrame, column, sep: str, keep: Iterable[str] = (), name: str = "w",
            java: bool = False) -> DataFrame:
-    """``flatMap(split)``: one row per token.  ``java=True`` drops trailing empty tokens."""
-    parts = java_split(column, sep) if java else F.split(as_col(column), sep)
+    """``flatMap(split)``: one row per token.  ``sep`` is a plain separator; ``java=True`` drops trailing empty tokens."""
+    parts = java_split(column, literal(sep)) if java else F.split(as_col(column), literal(sep))
     return df.select(*keep, F.explode(parts).alias(name))
 
 
@@ -31,8 +31,8 @@ def word_count(df: DataFrame, column, sep: str = " ", java: bool = False) -> Dat
 
 def field(column, index: int, sep: str) -> Column:
     """Field ``index`` (0-based) of a delimited line; a line with fewer fields raises
-    (ANSI array index), as indexing the split line would."""
-    return F.split(as_col(column), sep).getItem(index)
+    (ANSI array index), as indexing the split line would.  ``sep`` is a plain separator."""
+    return F.split(as_col(column), literal(sep)).getItem(index)
 
 
 def flat_fields(df: DataFrame, keep: Sequence[str], fields: Sequence, name: str = "v") -> DataFrame:

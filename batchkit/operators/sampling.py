@@ -44,3 +44,17 @@ def take_sample(df: DataFrame, key, n: int, seed: int = 1) -> DataFrame:
     """``takeSample(false, n, seed)``: the ``n`` rows with the smallest seeded md5 of
     the key (ties by key) – a top-k, so no full sort and no collect."""
     return df.orderBy(hash_key(key, seed), as_col(key)).limit(n)
+
+
+def take_sample_with_replacement(df: DataFrame, key, n: int, seed: int = 1) -> DataFrame:
+    """``takeSample(true, n, seed)``: ``n`` independent draws, columns ``draw`` (from 0) and the key.
+
+    Draw i takes the row whose md5 of key, i and seed is smallest, so every row is
+    equally likely in each draw and one row may be drawn again.  One grouped minimum
+    with partial aggregation; ``n`` is the number of rows asked for, hence small.
+    """
+    name = key if isinstance(key, str) else "key"
+    k = as_col(key).alias(name)
+    draws = df.select(k, F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")).alias("draw"))
+    mark = F.md5(F.concat_ws(":", F.col(name).cast("string"), F.col("draw").cast("string"), F.lit(str(seed))))
+    return draws.groupBy("draw").agg(F.min(F.struct(mark.alias("h"), F.col(name).alias("k"))).alias("m")).select("draw", F.col("m.k").alias(name))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,24 +50,11 @@ def take_first(df: DataFrame, n: int, *order) -> DataFrame:
     return top_k(df, n, *order) if order else df.limit(n)
 
 
-def shortest(df: DataFrame, column: str, n: int, candidates_per_result: int = 64) -> DataFrame:
+def shortest(df: DataFrame, column: str, n: int) -> DataFrame:
     """``takeOrdered(n, by length)`` over distinct values; ties broken by the value.
 
-    Exact without shuffling every distinct value: the ``n * candidates_per_result``
-    smallest raw values are taken first (TakeOrderedAndProject: each task keeps a
-    small heap).  Every value below the largest candidate is among them, so when
-    they hold at least ``n`` distinct values those include the answer.  Only when
-    the smallest values repeat so much that fewer than ``n`` distinct ones remain
-    does it fall back to a full ``distinct``.  The distinct candidates (at most
-    ``n * candidates_per_result`` rows) are cached for their two uses, so the column
-    is scanned once; a lost cached block is recomputed from the deterministic top-k.
+    One plan: partial distinct, a shuffle of the distinct values, and
+    TakeOrderedAndProject, in which each task keeps a heap of ``n``.
     """
-    keyed = df.select(F.col(column).alias("k"))
-    order = [F.length("k"), F.col("k")]
-    candidates = keyed.orderBy(*order).limit(n * candidates_per_result).distinct().cache()
-    if candidates.count() >= n:
-        result = top_k(candidates, n, *order)
-        weakref.finalize(result, candidates.unpersist)  # the cache lives as long as the result
-        return result
-    candidates.unpersist()
-    return top_k(keyed.distinct(), n, *order)
+    keyed = df.select(F.col(column).alias("k")).distinct()
+    return top_k(keyed, n, F.length("k"), F.col("k"))

@@ -18,12 +18,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.functions.registry import event_rate_sql, register_all
+from batchkit.functions.registry import event_rate_sql, int_average_sql, register_all
 from batchkit.functions.text import day_key
 from batchkit.operators import aggregates as agg
 from batchkit.operators import business as biz
 from batchkit.operators import joins, nested, partitions, rows, sampling, sets, sorting
-from batchkit.session import shared_dir, table
+from batchkit.session import scratch_database, shared_dir, table
 from batchkit.sinks import tables as table_sinks
 from batchkit.sinks import text as text_sinks
 from batchkit.sinks.views import create_view
@@ -66,12 +66,15 @@ def q_event_rate_sql(spark, sf):
 
 
 @query("event_rate_null", """
-    select user_id, count(*) filter (where event_type = 'purchase')
-             / nullif(count(*) filter (where event_type = 'nope'), 0) r
-    from events group by 1""")
+    select substr(cast(ts as varchar), 1, 10) dt, user_id, count(*) filter (where event_type = 'purchase')
+             / nullif(count(*) filter (where event_type = 'signup'), 0) r
+    from events group by 1, 2""")
 def q_event_rate_null(spark, sf):
+    # Few users sign up on a given day: most (day, user) groups lack the denominator and are null.
     ev = table(spark, sf, "events")
-    return biz.event_rate_by(ev, ["user_id"], "event_type", "purchase", "nope", name="r")
+    ev = ev.withColumn("dt", day_key(ev, "ts"))
+    out = biz.event_rate_by(ev, ["dt", "user_id"], "event_type", "purchase", "signup", name="r")
+    return out.withColumn("dt", F.col("dt").cast("string"))
 
 
 @query("event_rate_by_user_day", """
@@ -94,6 +97,12 @@ def q_int_average(spark, sf):
     return li.groupBy("l_returnflag").agg(biz.int_average("l_partkey").alias("a"))
 
 
+@query("int_average_sql", ORACLE["int_average"])
+def q_int_average_sql(spark, sf):
+    view = create_view(table(spark, sf, "lineitem"), _name("lineitem"))
+    return spark.sql(f"select l_returnflag, {int_average_sql('l_partkey')} a from {view} group by l_returnflag")
+
+
 @query("int_to_percent", """
     select c_nationkey,
            concat(cast(cast(round_even(cast(count(*) filter (where c_mktsegment = 'BUILDING') as double)
@@ -113,6 +122,16 @@ def q_int_to_percent_rational(spark, sf):
     return parts.select("p_partkey", biz.int_to_percent_checked(parts, "p_size", "d").alias("p"))
 
 
+@query("int_to_percent_sql", """
+    select p_partkey, concat(cast(cast(round_even(cast(p_size as double) / 40 * 100, 0) as bigint) as varchar), '%') p
+    from part""")
+def q_int_to_percent_sql(spark, sf):
+    # The scalar function called by its SQL name.
+    register_all(spark)
+    view = create_view(table(spark, sf, "part"), _name("part"))
+    return spark.sql(f"select p_partkey, int_to_percent(p_size, 40) p from {view}")
+
+
 def _item_text():
     """``sku<partkey>:<qty>:<price>`` for one line item."""
     return F.concat(F.lit("sku"), F.lpad(F.col("l_partkey").cast("string"), 10, "0"), F.lit(":"),
@@ -152,33 +171,28 @@ def q_item_list_explode_sql(spark, sf):
     return spark.sql(f"select t.k, f.sku_id, f.qty, f.price from {view} t, lateral item_list_explode(t.item_list) f")
 
 
-@query("login_rollup", """
-    select dt, block,
-           cast(to_json({'dt': dt, 'provinces': list({'province': province, 'user_list': user_list}
-                         order by province)}) as varchar) j
-    from (select substr(cast(ts as varchar), 1, 10) dt,
-                 substr(md5(cast(user_id as varchar)), 1, 2) block,
-                 event_type province,
-                 list(distinct cast(user_id as varchar) order by cast(user_id as varchar)) user_list
-          from events group by 1, 2, 3)
-    group by dt, block""")
+_ROLLUP_ORACLE = """
+    with entries as (select distinct substr(cast(ts as varchar), 1, 10) dt, event_type province,
+                            cast(user_id as varchar) u from events where user_id is not null),
+    ranked as (select *, (row_number() over (partition by dt order by province, u) - 1) // {per} block from entries),
+    lists as (select dt, block, province, list(u order by u) user_list from ranked group by 1, 2, 3)
+    select dt, block, cast(to_json({{'dt': dt, 'provinces': list({{'province': province, 'user_list': user_list}}
+                                   order by province)}}) as varchar) j
+    from lists group by dt, block"""
+ROLLUP_ENTRIES = 64
+
+
+@query("login_rollup", _ROLLUP_ORACLE.format(per=ROLLUP_ENTRIES))
 def q_login_rollup(spark, sf):
     ev = table(spark, sf, "events")
-    return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", block_digits=2)
+    return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", entries_per_block=ROLLUP_ENTRIES)
 
 
-@query("login_rollup_daily", """
-    select dt, '' as block,
-           cast(to_json({'dt': dt, 'provinces': list({'province': province, 'user_list': user_list}
-                         order by province)}) as varchar) j
-    from (select substr(cast(ts as varchar), 1, 10) dt, event_type province,
-                 list(distinct cast(user_id as varchar) order by cast(user_id as varchar)) user_list
-          from events group by 1, 2)
-    group by dt""")
+@query("login_rollup_daily", _ROLLUP_ORACLE.format(per=biz.ENTRIES_PER_BLOCK))
 def q_login_rollup_daily(spark, sf):
-    # Block size chosen from the data: days here hold few users, so one document per day.
+    # Documents of the default size: a day is the one document of block 0 until it has more entries.
     ev = table(spark, sf, "events")
-    return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id", block_digits="auto")
+    return biz.login_rollup(ev, day_key(ev, "ts"), "event_type", "user_id")
 
 
 @query("login_rollup_tsv", ORACLE["login_rollup"])
@@ -192,7 +206,7 @@ def q_login_rollup_tsv(spark, sf):
               ts, ts, F.date_format("ts", "yyyyMMdd"), F.substring(ts, 1, 10)]
     path = text_sinks.write_text(ev.select(F.concat_ws("\t", *fields)), shared_dir(spark, "login_rows"))
     rows_ = biz.parse_login_lines(text_src.read_lines(spark, path))
-    return biz.login_rollup(rows_, "dt", "province", "user", block_digits=2)
+    return biz.login_rollup(rows_, "dt", "province", "user", entries_per_block=ROLLUP_ENTRIES)
 
 
 # ============================================================ aggregations
@@ -240,7 +254,7 @@ def q_reduce_sum(spark, sf):
     return agg.reduce_all(table(spark, sf, "lineitem"), "l_linenumber", "total")
 
 
-@query("reduce_pair", "select min(o_orderpriority) k, cast(sum(o_orderkey) as bigint) v from orders")
+@query("reduce_pair", "select min(o_orderpriority) k, cast(sum(o_orderkey) as decimal(38, 0)) v from orders")
 def q_reduce_pair(spark, sf):
     return agg.reduce_pair(table(spark, sf, "orders"), "o_orderpriority", "o_orderkey")
 
@@ -279,33 +293,29 @@ def q_distinct_values(spark, sf):
     return agg.distinct_values(table(spark, sf, "orders"), "o_orderstatus")
 
 
-@query("group_mod3", """
-    select p_size % 3 k, p_partkey // 1000 block, count(*) n,
-           string_agg(cast(p_partkey as varchar), ',' order by p_partkey) vals
-    from part group by 1, 2""")
+_BAGS_ORACLE = """
+    with ranked as (select {key} k, {value} v, (row_number() over (partition by {key} order by {value}) - 1) // {per} block from {table})
+    select k, block, count(*) n, string_agg(cast(v as varchar), ',' order by v) vals from ranked group by 1, 2"""
+
+
+@query("group_mod3", _BAGS_ORACLE.format(key="p_size % 3", value="p_partkey", per=500, table="part"))
 def q_group_mod3(spark, sf):
     pa_ = table(spark, sf, "part")
-    return agg.group_into_bags(pa_.select((F.col("p_size") % 3).alias("k"), "p_partkey"), "k", "p_partkey",
-                               block=F.call_function("div", F.col("p_partkey"), F.lit(1000)))
+    return agg.group_into_bags(pa_.select((F.col("p_size") % 3).alias("k"), "p_partkey"), "k", "p_partkey", rows_per_block=500)
 
 
-@query("group_mod3_auto", """
-    select p_size % 3 k, '' as block, count(*) n,
-           string_agg(cast(p_partkey as varchar), ',' order by p_partkey) vals
-    from part group by 1""")
+@query("group_mod3_auto", _BAGS_ORACLE.format(key="p_size % 3", value="p_partkey", per=agg.ROWS_PER_BLOCK, table="part"))
 def q_group_mod3_auto(spark, sf):
-    # Blocks sized from the data: each key's bag is small here, so one bag per key.
+    # Blocks of the default size.
     pa_ = table(spark, sf, "part")
-    return agg.group_into_bags(pa_.select((F.col("p_size") % 3).alias("k"), "p_partkey"), "k", "p_partkey",
-                               block="auto")
+    return agg.group_into_bags(pa_.select((F.col("p_size") % 3).alias("k"), "p_partkey"), "k", "p_partkey")
 
 
-@query("group_by_key", """
-    select c_nationkey k, c_custkey // 1000 block, count(*) n, string_agg(c_name, ',' order by c_name) vals
-    from customer group by 1, 2""")
+@query("group_by_key", _BAGS_ORACLE.format(key="c_nationkey", value="c_mktsegment", per=25, table="customer"))
 def q_group_by_key(spark, sf):
-    cu = table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), "c_name", "c_custkey")
-    return agg.group_into_bags(cu, "k", "c_name", block=F.call_function("div", F.col("c_custkey"), F.lit(1000)))
+    # Five segments repeat within each key: a block may begin and end inside one value's copies.
+    cu = table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), "c_mktsegment")
+    return agg.group_into_bags(cu, "k", "c_mktsegment", rows_per_block=25)
 
 
 @query("word_count", """
@@ -337,7 +347,7 @@ def q_text_file_lines(spark, sf):
 @query("observe_sum", "select cast(sum(l_linenumber) as bigint) s, count(*) rows from lineitem")
 def q_observe_sum(spark, sf):
     observed, obs = agg.observe_sum(table(spark, sf, "lineitem"), "l_linenumber", "s")
-    return agg.metric_frame(observed, obs, ["s", "rows"])
+    return agg.metric_frame(observed, obs, "s bigint, rows bigint")
 
 
 # ============================================================ rows, filters, projections
@@ -438,37 +448,27 @@ def q_join_inner(spark, sf):
     return joined.select("s_name", "n_name", F.concat_ws(",", "s_name", "n_name").alias("pair"))
 
 
-@query("join_left", """
-    select o_orderkey, c_name from orders
-    left join (select c_custkey, c_name from customer where c_mktsegment = 'BUILDING') c
-      on o_custkey = c_custkey""")
+@query("join_left", "select c_custkey, s_name from customer left join supplier on c_custkey = s_suppkey")
 def q_join_left(spark, sf):
-    o = table(spark, sf, "orders")
-    c = table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
-    return joins.join(o, c, o.o_custkey == c.c_custkey, "left").select("o_orderkey", "c_name")
+    # Customers outnumber suppliers, so most customer keys have no supplier of that number.
+    cu, su = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    return joins.join(cu, su, cu.c_custkey == su.s_suppkey, "left").select("c_custkey", "s_name")
 
 
-@query("join_right", """
-    select n_name, c_custkey from (select n_nationkey, n_name from nation join region
-                                   on n_regionkey = r_regionkey where r_name = 'ASIA') n
-    right join customer on n_nationkey = c_nationkey""")
+@query("join_right", "select s_name, p_partkey from supplier right join part on s_suppkey = p_partkey")
 def q_join_right(spark, sf):
-    na, re_ = table(spark, sf, "nation"), table(spark, sf, "region")
-    asia = na.join(re_.where(F.col("r_name") == "ASIA"), na.n_regionkey == re_.r_regionkey).select("n_nationkey", "n_name")
-    cu = table(spark, sf, "customer")
-    return joins.join(asia, cu, asia.n_nationkey == cu.c_nationkey, "right").select("n_name", "c_custkey")
+    su, pa_ = table(spark, sf, "supplier"), table(spark, sf, "part")
+    return joins.join(su, pa_, su.s_suppkey == pa_.p_partkey, "right").select("s_name", "p_partkey")
 
 
 @query("join_full", """
-    select c_custkey, o_custkey, n
-    from (select c_custkey from customer where c_mktsegment = 'BUILDING') c
-    full join (select o_custkey, count(*) n from orders where o_orderstatus = 'F' group by 1) o
-      on c_custkey = o_custkey""")
+    select n_name, p_size, n
+    from nation full join (select p_size, count(*) n from part group by 1) on n_nationkey = p_size""")
 def q_join_full(spark, sf):
-    c = table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
-    o = (table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-         .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")))
-    return joins.join(c, o, c.c_custkey == o.o_custkey, "full").select("c_custkey", "o_custkey", "n")
+    # Nation 0 has no part of that size, sizes beyond the last nation have no nation.
+    na = table(spark, sf, "nation")
+    sizes = table(spark, sf, "part").groupBy("p_size").agg(F.count(F.lit(1)).alias("n"))
+    return joins.join(na, sizes, na.n_nationkey == sizes.p_size, "full").select("n_name", "p_size", "n")
 
 
 @query("broadcast_semi", """
@@ -528,6 +528,14 @@ def q_take_sample_fixed(spark, sf):
     return sampling.take_sample(table(spark, sf, "events").select("event_id"), "event_id", 4, seed=1)
 
 
+@query("take_sample_replacement", """
+    with draws as (select unnest(generate_series(0, 4)) draw),
+    keyed as (select draw, event_id, md5(concat(cast(event_id as varchar), ':', cast(draw as varchar), ':1')) h from events, draws)
+    select draw, arg_min(event_id, (h, event_id)) event_id from keyed group by draw""")
+def q_take_sample_replacement(spark, sf):
+    return sampling.take_sample_with_replacement(table(spark, sf, "events").select("event_id"), "event_id", 5, seed=1)
+
+
 @query("sample_by_hash", """
     select event_id from events where substr(md5(cast(event_id as varchar)), 1, 8) < '80000000'""")
 def q_sample_by_hash(spark, sf):
@@ -554,9 +562,32 @@ def q_map_partitions(spark, sf):
     return partitions.map_partitions(li, _plus_one_batches, "l_orderkey bigint, l_linenumber int, v int")
 
 
-@query("partition_index")
+@query("partition_index", "select o_orderkey as value, true as in_range from orders")
 def q_partition_index(spark, sf):
-    return partitions.with_partition_index(table(spark, sf, "orders").select(F.col("o_orderkey").alias("value")))
+    # Which partition holds a row depends on the layout; that its index counts the partitions doesn't.
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("value"))
+    n = partitions.num_partitions(orders)
+    tagged = partitions.with_partition_index(orders)
+    return tagged.select("value", ((F.col("pidx") >= 0) & (F.col("pidx") < n)).alias("in_range"))
+
+
+@query("partition_count", """
+    select 6 as n_partitions, count(*) n_rows from (select unnest(generate_series(lo, hi)) id
+      from (select min(o_orderkey) lo, max(o_orderkey) hi from orders))""")
+def q_partition_count(spark, sf):
+    keys = generated.range_over(table(spark, sf, "orders"), "o_orderkey", num_partitions=6)
+    return keys.agg(F.lit(partitions.num_partitions(keys)).alias("n_partitions"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("text_min_partitions", r"""
+    select true as at_least, count(*) n_lines
+    from (select unnest(regexp_split_to_array(text, '\r\n|\r|\n')) line from documents where text is not null)""")
+def q_text_min_partitions(spark, sf):
+    docs = table(spark, sf, "documents").where(F.col("text").isNotNull())
+    path = text_sinks.write_text(docs.select("text"), shared_dir(spark, "documents_txt"))
+    lines = text_src.read_lines(spark, path, min_partitions=12)
+    enough = partitions.num_partitions(lines) >= 12
+    return lines.agg(F.lit(enough).alias("at_least"), F.count(F.lit(1)).alias("n_lines"))
 
 
 @query("partition_index_range", """
@@ -605,10 +636,23 @@ def q_udf_increment(spark, sf):
     return li.select("l_orderkey", "l_linenumber", F.expr("udf_increment(l_linenumber)").alias("v"))
 
 
-@query("udf_random")
+@query("udf_random", "select event_id, true as in_range from events")
 def q_udf_random(spark, sf):
     register_all(spark)
-    return table(spark, sf, "events").select("event_id", F.expr("udf_random()").alias("r"))
+    drawn = table(spark, sf, "events").select("event_id", F.expr("udf_random()").alias("r"))
+    return drawn.select("event_id", ((F.col("r") >= 0) & (F.col("r") < 1)).alias("in_range"))
+
+
+@query("dataset_from_records", """
+    select n_name, r_name, count(*) n from nation join region on n_regionkey = r_regionkey
+    join customer on c_nationkey = n_nationkey group by 1, 2""")
+def q_dataset_from_records(spark, sf):
+    # Records held by the caller (the nations, 25 at every size) as a typed dataset, joined to a table.
+    held = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").collect()
+    nations = generated.from_records(spark, [r.asDict() for r in held], "n_nationkey int, n_name string, n_regionkey int")
+    cu, re_ = table(spark, sf, "customer"), table(spark, sf, "region")
+    joined = cu.join(nations, cu.c_nationkey == nations.n_nationkey).join(re_, nations.n_regionkey == re_.r_regionkey)
+    return joined.groupBy("n_name", "r_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("range_source", """
@@ -679,10 +723,13 @@ def q_write_text_single(spark, sf):
     return text_src.read_lines(spark, path)
 
 
-@query("write_text_multi", "select concat('(', p_brand, ',[1])') as value from (select distinct p_brand from part)")
+@query("write_text_multi", """
+    with ranked as (select c_nationkey k, c_mktsegment v,
+                           (row_number() over (partition by c_nationkey order by c_mktsegment) - 1) // 25 block from customer)
+    select concat('(', cast(k as varchar), ',[', string_agg(v, ', ' order by v), '])') as value from ranked group by k, block""")
 def q_write_text_multi(spark, sf):
-    brands = table(spark, sf, "part").select("p_brand").distinct()
-    path = text_sinks.write_grouped_text(brands, "p_brand", F.lit(1), 3, shared_dir(spark, "brand_bags"))
+    path = text_sinks.write_grouped_text(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment", 3,
+                                         shared_dir(spark, "segment_bags"), rows_per_block=25)
     return text_src.read_lines(spark, path)
 
 
@@ -692,15 +739,12 @@ def q_partitioned_table_roundtrip(spark, sf):
     return json_src.sql_on_file(spark, "parquet", path)
 
 
-@query("managed_table_roundtrip", "select event_id, user_id, event_type from events where event_type = 'purchase'")
+@query("managed_table_roundtrip", "select event_id, user_id, event_type from events")
 def q_managed_table_roundtrip(spark, sf):
-    db = "batchkit_scratch"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{shared_dir(spark, 'warehouse')}'")
-    name = f"{db}.{_name('events_by_type')}"
+    name = f"{scratch_database(spark)}.{_name('events_by_type')}"
     table_sinks.save_partitioned_table(table(spark, sf, "events").select("event_id", "user_id", "event_type"),
                                        name, "event_type")
-    # Reading one partition value prunes the other folders (PartitionFilters in the scan).
-    return spark.table(name).where(F.col("event_type") == "purchase")
+    return spark.table(name)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

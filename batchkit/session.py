@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import weakref
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for every plan in this package.  On a cluster the
@@ -53,7 +54,7 @@ def checkpoint_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+    except PySparkException:  # Spark Connect has no SparkContext
         sc = None
     if sc is not None:
         base = base or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -67,24 +68,66 @@ def checkpoint_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+# What a session has put into the shared folder: paths and databases, until dropped.
+_SCRATCH: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    return f"{checkpoint_base(spark)}/batchkit/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder under the shared checkpoint folder; :func:`drop_scratch` removes it."""
+    path = f"{checkpoint_base(spark)}/batchkit/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark, {"paths": [], "databases": []})["paths"].append(path)
+    return path
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """A database of its own for one run's tables, in a shared folder; :func:`drop_scratch` drops it."""
+    name = f"batchkit_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark, 'warehouse')}'")
+    _SCRATCH[spark]["databases"].append(name)
+    return name
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove every scratch folder and database of this session; returns how many.
+
+    Results that read them are unusable afterwards, so call it once a query's result
+    has been written or read.
+    """
+    held = _SCRATCH.pop(spark, {"paths": [], "databases": []})
+    for name in held["databases"]:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    for path in held["paths"]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(held["paths"])
+
+
+def _stamp(spark: SparkSession, path: str) -> tuple | None:
+    """Names, sizes and modification times of the files at ``path``; None without a JVM to ask."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return None
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found)
 
 
 # Per-session memo of table definitions; entries go away with their session.
 _TABLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``) as a lazy DataFrame.
 
-    The definition (file listing and footer schema, ~70 ms per call here) is made
-    once per session and reused; no data is cached.  Pass ``refresh=True`` after
-    the files under the path have been rewritten.
+    The definition (file listing and footer schema, ~70 ms per call here) is kept per
+    session for as long as the files' names, sizes and times are the same; no data
+    is cached.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
+    stamp = _stamp(spark, path)
+    if stamp is None:
+        return spark.read.parquet(path)
     defined = _TABLES.setdefault(spark, {})
-    if refresh or path not in defined:
-        defined[path] = spark.read.parquet(path)
-    return defined[path]
+    if path not in defined or defined[path][0] != stamp:
+        defined[path] = (stamp, spark.read.parquet(path))
+    return defined[path][1]

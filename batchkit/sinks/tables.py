@@ -6,33 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _spread(df: DataFrame, by: str, spread: int | None) -> DataFrame:
-    """Cluster rows by the partition column without funnelling a value into one task.
-
-    A plain ``repartition(by)`` sends every row of one partition value to a single
-    task, and one value may hold a large share of the table.  Adding a salt taken
-    from a hash of the row's own content spreads each value over up to ``spread``
-    tasks (default: the shuffle partition count), deterministically, so a retried
-    task writes exactly the same rows.  Each value then gets at most ``spread`` files.
+def _clustered(df: DataFrame, by: str) -> DataFrame:
+    """Rows rebalanced by the partition column: a value's rows come together in few tasks.
+
+    The hint leaves the number of tasks to adaptive execution, which merges small
+    values into one task and splits a value that is larger than the advisory partition
+    size, so there are few files per value and no task holds a hot one.
     """
-    n = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n))
-    return df.repartition(n, F.col(by), salt)
+    return df.hint("rebalance", F.col(by))
 
 
-def save_partitioned_table(df: DataFrame, name: str, by: str, mode: str = "errorifexists",
-                           spread: int | None = None) -> str:
+def save_partitioned_table(df: DataFrame, name: str, by: str, mode: str = "errorifexists") -> str:
     """``write.partitionBy(by).saveAsTable(name)`` (parquet; errors if it exists by
     default); the partition column comes last in the table's schema."""
-    _spread(df, by, spread).write.mode(mode).partitionBy(by).saveAsTable(name)
+    _clustered(df, by).write.mode(mode).partitionBy(by).saveAsTable(name)
     return name
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "errorifexists",
-                      spread: int | None = None) -> str:
+def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "errorifexists") -> str:
     """Partitioned parquet folder (``by=value/`` sub-folders) at ``path``; readers
     filtering on ``by`` prune whole folders."""
-    _spread(df, by, spread).write.mode(mode).partitionBy(by).parquet(path)
+    _clustered(df, by).write.mode(mode).partitionBy(by).parquet(path)
     return path
 
 

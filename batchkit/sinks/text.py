@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchkit._util import as_col
-from batchkit.functions.text import hash_block
+from batchkit.operators.aggregates import group_into_bags
 
 
 def write_text(df: DataFrame, path: str, column=None, mode: str = "errorifexists") -> str:
@@ -18,28 +18,18 @@ def write_text(df: DataFrame, path: str, column=None, mode: str = "errorifexists
 
 
 def write_grouped_text(df: DataFrame, key, value, num_files: int, path: str,
-                       mode: str = "errorifexists", block_digits: int = 2,
-                       max_copies: int = 10_000) -> str:
-    """``groupByKey(n).saveAsTextFile``: lines ``(key,[v1, v1, v2])`` hash-partitioned by
-    key into at most ``num_files`` files.
-
-    A bag cannot be combined map-side, so it is never gathered whole: values are
-    first counted per (key, value) (partial aggregation), a key's values are
-    spread over ``16**block_digits`` lines by ``md5(value)`` prefix, and a value
-    repeated more than ``max_copies`` times continues on further lines.  Each line
-    is bounded; all lines of a key together are the key's bag.  ``num_files`` is
-    also the number of writer tasks, so choose it from the output size.
+                       mode: str = "errorifexists", rows_per_block: int = 10_000) -> str:
+    """``groupByKey(n).saveAsTextFile``: lines ``(key,[v1, v1, v2])`` in at most ``num_files`` files.
+
+    A line holds at most ``rows_per_block`` values: equal values are counted first, a
+    key's values ranked, and each block of ranks is a line (see
+    :func:`batchkit.operators.blocks.rank_blocks`), so a key of any size, or one value
+    repeated very often, is many lines, dealt to the files by key and block.  All lines
+    of a key together are the key's bag; a null prints ``null``.  ``num_files`` is also
+    the number of writer tasks, so choose it from the output size.
     """
-    k, v = as_col(key).alias("k"), as_col(value).cast("string").alias("v")
-    counted = df.select(k, v).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
-    chunks = counted.select(
-        "k", "v", "c", F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / max_copies).cast("int"))).alias("i"))
-    copies = F.least(F.lit(max_copies), F.col("c") - F.col("i") * max_copies).cast("int")
-    pieces = chunks.select("k", "v", "i", copies.alias("copies"), hash_block("v", block_digits).alias("block"))
-    bags = (pieces.groupBy("k", "block", "i")
-            .agg(F.sort_array(F.collect_list(F.struct("v", "copies"))).alias("vc"))
-            .select("k", F.flatten(F.transform("vc", lambda s: F.array_repeat(s["v"], s["copies"]))).alias("bag")))
-    lines = bags.repartition(num_files, "k").select(
-        F.format_string("(%s,[%s])", F.col("k"), F.array_join("bag", ", ")).alias("value"))
+    bags = group_into_bags(df.select(as_col(key).alias("k"), as_col(value).cast("string").alias("v")), "k", "v", rows_per_block, sep=", ")
+    lines = bags.repartition(num_files, "k", "block").select(
+        F.format_string("(%s,[%s])", F.coalesce(F.col("k").cast("string"), F.lit("null")), "vals").alias("value"))
     lines.write.mode(mode).text(path)
     return path

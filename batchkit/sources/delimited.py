@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from batchkit.functions.text import java_trim
+from batchkit.functions.text import java_trim, literal
 
 
 def read_split(spark: SparkSession, path: str, sep: str, names: Sequence[str],
                types: Sequence[str] | None = None, header_line: str | None = None) -> DataFrame:
-    """Lines split on ``sep`` into named fields (the bean / reflection reader).
+    """Lines split on the plain separator ``sep`` (not a pattern) into named fields (the bean / reflection reader).
 
     Fields are not trimmed.  A header line is data unless ``header_line`` (its exact
     text) is given, in which case lines equal to it are dropped.  ``types`` casts
@@ -23,7 +23,7 @@ def read_split(spark: SparkSession, path: str, sep: str, names: Sequence[str],
     lines = spark.read.text(path)
     if header_line is not None:
         lines = lines.where(F.col("value") != F.lit(header_line))
-    parts = F.split("value", sep)
+    parts = F.split("value", literal(sep))
     types = list(types) if types else ["string"] * len(names)
     return lines.select(*[F.get(parts, i).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))])
 
@@ -40,14 +40,14 @@ def read_with_schema(spark: SparkSession, path: str, schema: StructType | str, s
     return df
 
 
-# Fixed value: header names carry a position prefix such as "0_id", "13_dt".
+# Fixed value: header names carry a position prefix such as "0_key", "8_day".
 _INDEX_PREFIX = re.compile(r"^[0-9]+_")
 
 
 def read_indexed_header(spark: SparkSession, path: str, sep: str = "\t",
                         types: dict[str, str] | None = None) -> DataFrame:
     """Delimited files whose header line names columns with a position prefix
-    (``0_id``, ``1_video_name``, ...): the header is skipped, the prefix dropped from
+    (``0_key``, ``1_title``, ...): the header is skipped, the prefix dropped from
     the names, and ``types`` (name -> SQL type) applied with ANSI casts."""
     df = spark.read.option("sep", sep).option("header", True).option("mode", "FAILFAST").csv(path)
     df = df.toDF(*[_INDEX_PREFIX.sub("", c) for c in df.columns])

@@ -1,4 +1,4 @@
-"""Generated rows: a key range derived from a table's own bounds."""
+"""Generated rows: a key range derived from a table's own bounds, and records held by the caller."""
 
 from __future__ import annotations
 
@@ -29,3 +29,12 @@ def range_over(df: DataFrame, column: str, num_partitions: int | None = None) ->
     if num_partitions is None:
         num_partitions = max(1, (hi - lo + 1 + ROWS_PER_PARTITION - 1) // ROWS_PER_PARTITION)
     return key_range(df.sparkSession, lo, hi, 1, num_partitions)
+
+
+def from_records(spark: SparkSession, records: list[dict], schema) -> DataFrame:
+    """A typed dataset of records that the caller holds (bean-like dicts); ``schema`` is checked, not inferred.
+
+    The records travel in the plan, so this is for few rows: missing fields are null.
+    """
+    names = [f.name for f in (spark.createDataFrame([], schema).schema)]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in records], schema)

@@ -31,6 +31,14 @@ def daily_event_rate_stream(spark: SparkSession, source_dir: str, schema, numera
 
 def start(df: DataFrame, checkpoint_dir: str, sink_table: str, mode: str = "update") -> StreamingQuery:
     """Run ``df`` into a memory table (tests, notebooks) with its own checkpoint folder,
-    which must be shared storage on a cluster so a restarted query resumes."""
+    which must be shared storage on a cluster so a restarted query resumes.  The memory
+    sink holds its rows on the driver: for anything large use :func:`start_files`."""
     return (df.writeStream.outputMode(mode).format("memory").queryName(sink_table)
             .option("checkpointLocation", checkpoint_dir).start())
+
+
+def start_files(df: DataFrame, checkpoint_dir: str, path: str) -> StreamingQuery:
+    """Append finished days as parquet files under ``path`` (each once, by the sink's log);
+    a day is written when the watermark has passed it, nothing is held on the driver."""
+    return (df.writeStream.outputMode("append").format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint_dir).start())

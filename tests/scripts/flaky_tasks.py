@@ -48,10 +48,10 @@ def main(flag):
     if flag == "flaky":
         ev = flaky(ev)
     out = {}
-    path = write_partitioned(ev, tempfile.mkdtemp() + "/by_type", "event_type", spread=6)
+    path = write_partitioned(ev, tempfile.mkdtemp() + "/by_type", "event_type")
     back = spark.read.parquet(path)
     out["written"] = sorted((r["event_id"], r["event_type"]) for r in back.select("event_id", "event_type").collect())
-    roll = biz.login_rollup(ev, F.to_date("ts"), "event_type", "user_id", block_digits=1)
+    roll = biz.login_rollup(ev, F.to_date("ts"), "event_type", "user_id", entries_per_block=20)
     out["rollup"] = sorted((r["dt"], r["block"], r["j"]) for r in roll.collect())
     pos = sorting.with_position(ev.select("event_id", "user_id"), [F.col("user_id").desc(), F.col("event_id")])
     out["positions"] = sorted((r["pos"], r["event_id"]) for r in pos.collect())

@@ -64,16 +64,18 @@ def test_login_rollup_model(spark):
         if u is not None:
             expected[d][p].add(u)
     df = spark.createDataFrame(rows, "u string, p string, d string").repartition(7)
-    for digits in (0, 1, "auto"):
+    for per in (1, 5, 100_000):
         merged = defaultdict(lambda: defaultdict(set))
-        for r in biz.login_rollup(df, "d", "p", "u", block_digits=digits).collect():
+        for r in biz.login_rollup(df, "d", "p", "u", entries_per_block=per).collect():
             doc = json.loads(r["j"])
             assert doc["dt"] == r["dt"]
             names = [p["province"] for p in doc["provinces"]]
             assert names == sorted(names)
             for p in doc["provinces"]:
                 assert p["user_list"] == sorted(p["user_list"]) and len(set(p["user_list"])) == len(p["user_list"])
+                assert not merged[r["dt"]][p["province"]] & set(p["user_list"])  # an entry is in one block
                 merged[r["dt"]][p["province"]].update(p["user_list"])
+            assert sum(len(p["user_list"]) for p in doc["provinces"]) <= per
         assert {d: dict(v) for d, v in merged.items()} == {d: dict(v) for d, v in expected.items()}
 
 

@@ -1,4 +1,4 @@
-"""The five business operators: the reference's unit-test literals plus the edge cases."""
+"""The five business operators: documented values and edge cases."""
 
 import pytest
 from pyspark.errors import PySparkException
@@ -15,16 +15,16 @@ def _events(spark, rows):
 
 
 def test_event_rate_whole(spark):
-    df = _events(spark, [(1, "view"), (1, "pay"), (1, "click"), (1, "view")])
-    r = df.groupBy("g").agg(biz.event_rate("e", "pay", "view").alias("r")).first()["r"]
-    assert r == pytest.approx(0.5, abs=1e-6)
+    df = _events(spark, [(1, e) for e in ["open", "open", "buy", "open", "skip", "buy", "open", "buy"]])
+    r = df.groupBy("g").agg(biz.event_rate("e", "buy", "open").alias("r")).first()["r"]
+    assert r == pytest.approx(0.75, abs=1e-6)
 
 
 def test_event_rate_two_partials_merge(spark):
-    # {view, pay} and {view, click} in separate partitions, merged after the shuffle.
-    df = _events(spark, [(1, "view"), (1, "pay"), (1, "view"), (1, "click")]).repartition(2)
-    plan = df.groupBy("g").agg(biz.event_rate("e", "pay", "view").alias("r"))
-    assert plan.first()["r"] == pytest.approx(0.5, abs=1e-6)
+    # rows of one group in two partitions, merged after the shuffle
+    df = _events(spark, [(1, e) for e in ["open", "buy", "open", "skip", "open"]]).repartition(2)
+    plan = df.groupBy("g").agg(biz.event_rate("e", "buy", "open").alias("r"))
+    assert plan.first()["r"] == pytest.approx(1 / 3, abs=1e-6)
 
 
 def test_event_rate_nulls_equal_names_and_empty(spark):
@@ -51,6 +51,11 @@ def test_event_rate_type_checks(spark):
         biz.event_rate_by(_events(spark, [(1, "x")]), ["g"], "e", 1, "view")
     with pytest.raises(ValueError):
         biz.event_rate_by(_events(spark, [(1, "x")]), ["g"], "nope", "pay", "view")
+    text = _events(spark, [(1, "x")])
+    for args in ((F.col("g"), "pay", "view"), ("e", F.col("g"), "view"), ("e", "pay", F.lit(1)), (F.col("e"), "pay", F.col("g"))):
+        with pytest.raises(TypeError):  # Columns are resolved before anything runs
+            biz.event_rate_by(text, ["g"], *args)
+    assert biz.event_rate_by(text, ["g"], F.upper("e"), F.lit("X"), F.col("e")).columns == ["g", "event_rate"]
 
 
 def test_event_rate_sql_text(spark):
@@ -64,8 +69,8 @@ def test_event_rate_sql_text(spark):
 
 # ------------------------------------------------------------------------- int_to_percent
 @pytest.mark.parametrize("n,d,expected", [
-    (1, 4, "25%"), (1, 8, "12%"), (3, 8, "38%"), (-1, 1000, "0%"), (1, 0, None), (None, 4, None),
-    (5000, 1, "500000%"), (2, 3, "67%"), (1, 3, "33%"), (5, 8, "62%"),
+    (3, 12, "25%"), (1, 200, "0%"), (3, 200, "2%"), (-3, 200, "-2%"), (-1, 999, "0%"), (7, 0, None), (None, 9, None),
+    (81, 3, "2700%"), (4, 7, "57%"), (5, 11, "45%"), (9, 16, "56%"),
 ])
 def test_int_to_percent_values(spark, n, d, expected):
     df = spark.createDataFrame([(n, d)], "n int, d int")
@@ -91,10 +96,10 @@ def _items(spark, s):
     return spark.createDataFrame([(1, s)], "id int, item_list string")
 
 
-def test_item_list_reference_literal(spark):
-    out = biz.explode_item_list(_items(spark, "sku01:1:2999,sku02:2:1599"), "item_list", keep=["id"])
+def test_item_list_two_items(spark):
+    out = biz.explode_item_list(_items(spark, "pen7:4:120,cup9:3:85"), "item_list", keep=["id"])
     assert out.columns == ["id", "sku_id", "qty", "price"]
-    assert [tuple(r)[1:] for r in out.collect()] == [("sku01", 1, 2999), ("sku02", 2, 1599)]
+    assert [tuple(r)[1:] for r in out.collect()] == [("pen7", 4, 120), ("cup9", 3, 85)]
 
 
 @pytest.mark.parametrize("text,expected", [
@@ -135,10 +140,10 @@ def test_item_list_type_check(spark):
 
 def test_item_list_sql_table_function(spark):
     register_all(spark)
-    spark.createDataFrame([(1, "sku01:1:2999,sku02:2:1599"), (2, " a:1:2: ,, \t:3:4\t"), (3, None)],
+    spark.createDataFrame([(1, "pen7:4:120,cup9:3:85"), (2, " a:1:2: ,, \t:3:4\t"), (3, None)],
                           "id int, s string").createOrReplaceTempView("il_t")
     got = [tuple(r) for r in spark.sql("select t.id, f.* from il_t t, lateral item_list_explode(t.s) f").collect()]
-    assert got == [(1, "sku01", 1, 2999), (1, "sku02", 2, 1599), (2, "a", 1, 2), (2, "", 3, 4)]
+    assert got == [(1, "pen7", 4, 120), (1, "cup9", 3, 85), (2, "a", 1, 2), (2, "", 3, 4)]
     with pytest.raises(PySparkException):
         spark.sql("select * from item_list_explode()").collect()  # wrong argument count
     spark.createDataFrame([(1, "a:1")], "id int, s string").createOrReplaceTempView("il_bad")
@@ -155,7 +160,7 @@ LOGINS = [  # user_id, province, dt
 
 def test_login_rollup_one_document_per_day(spark):
     df = spark.createDataFrame(LOGINS, "user_id string, province string, dt string")
-    out = {r["dt"]: r["j"] for r in biz.login_rollup(df, "dt", "province", "user_id", block_digits=0).collect()}
+    out = {r["dt"]: r["j"] for r in biz.login_rollup(df, "dt", "province", "user_id").collect()}
     assert out == {
         "2024-01-01": '{"dt":"2024-01-01","provinces":[{"province":"BJ","user_list":["u1","u2"]},'
                       '{"province":"SH","user_list":["u3"]}]}',
@@ -168,7 +173,7 @@ def test_login_rollup_blocks_union_to_the_day(spark):
 
     df = spark.createDataFrame(LOGINS, "user_id string, province string, dt string")
     merged = {}
-    for r in biz.login_rollup(df, "dt", "province", "user_id", block_digits=2).collect():
+    for r in biz.login_rollup(df, "dt", "province", "user_id", entries_per_block=2).collect():
         for p in json.loads(r["j"])["provinces"]:
             merged.setdefault((r["dt"], p["province"]), set()).update(p["user_list"])
     assert merged == {("2024-01-01", "BJ"): {"u1", "u2"}, ("2024-01-01", "SH"): {"u3"},
@@ -177,39 +182,43 @@ def test_login_rollup_blocks_union_to_the_day(spark):
 
 def test_login_rollup_ignores_null_users(spark):
     df = spark.createDataFrame(LOGINS + [(None, "BJ", "2024-01-01")], "user_id string, province string, dt string")
-    got = {r["dt"]: r["j"] for r in biz.login_rollup(df, "dt", "province", "user_id", block_digits=0).collect()}
+    got = {r["dt"]: r["j"] for r in biz.login_rollup(df, "dt", "province", "user_id").collect()}
     assert '"user_list":["u1","u2"]' in got["2024-01-01"] and len(got) == 2
 
 
-def test_login_rollup_auto_blocks(spark):
+def test_login_rollup_blocks_by_rank(spark):
+    import json
+
     small = spark.createDataFrame(LOGINS, "user_id string, province string, dt string")
-    docs = biz.login_rollup(small, "dt", "province", "user_id", block_digits="auto").collect()
-    assert {r["block"] for r in docs} == {""} and len(docs) == 2  # small days: one document each
-    from pyspark.sql import functions as F
+    docs = biz.login_rollup(small, "dt", "province", "user_id").collect()
+    assert {r["block"] for r in docs} == {0} and len(docs) == 2  # small days: one document each
     big = spark.range(5000).select(F.lit("2024-01-01").alias("dt"), F.lit("BJ").alias("p"),
                                    F.col("id").cast("string").alias("u"))
-    docs = biz.login_rollup(big, "dt", "p", "u", block_digits="auto", max_entries=1000).collect()
-    assert 1 < len(docs) <= 16 and sum(len(__import__("json").loads(d["j"])["provinces"][0]["user_list"])
-                                        for d in docs) == 5000
+    docs = biz.login_rollup(big, "dt", "p", "u", entries_per_block=1000).collect()
+    sizes = [len(json.loads(d["j"])["provinces"][0]["user_list"]) for d in docs]
+    assert sorted(d["block"] for d in docs) == [0, 1, 2, 3, 4] and sizes == [1000] * 5
+
+
+def _login_line(user, province, day):
+    """Ten tab-separated fields, of which only positions 0, 3 and 9 are read."""
+    fields = [f"f{i}" for i in range(10)]
+    fields[0], fields[3], fields[9] = user, province, day
+    return "\t".join(fields)
 
 
 def test_login_rows_from_tab_lines(spark):
-    header = "user_id\tuser_type\tuser_name\tprovince_id\tcity_id\tisp_id\tlogin_time\tlogout_time\tdt\tlogin_date"
-    rows = [header,
-            "1\t1\tZhang\t1\t1\t1\t1588963200\t1588963200\t20200501\t2020-05-01",
-            "1\t1\tZhang\t1\t1\t1\t1588963200\t1588963200\t20200501\t2020-05-01",
-            "2\t1\tLi\t2\t2\t2\t1588963200\t1588963200\t20200501\t2020-05-01",
-            "3\t1\tWang\t1\t1\t1\t1588963200\t1588963200\t20200501\t2020-05-01"]
-    lines = spark.createDataFrame([(r,) for r in rows], "value string")
-    parsed = biz.parse_login_lines(lines)
-    docs = {r["dt"]: r["j"] for r in biz.login_rollup(parsed, "dt", "province", "user", block_digits=0).collect()}
-    assert docs["2020-05-01"] == ('{"dt":"2020-05-01","provinces":[{"province":"1","user_list":["1","3"]},'
-                                  '{"province":"2","user_list":["2"]}]}')
-    assert "login_date" in docs  # no header skip, as upstream rows arrive
+    lines = [_login_line("who", "where", "when")] + [_login_line(*x) for x in [
+        ("u77", "north", "1999-12-31"), ("u12", "north", "1999-12-31"), ("u77", "north", "1999-12-31"), ("u5", "coast", "1999-12-31")]]
+    parsed = biz.parse_login_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    docs = {r["dt"]: r["j"] for r in biz.login_rollup(parsed, "dt", "province", "user").collect()}
+    assert docs["1999-12-31"] == ('{"dt":"1999-12-31","provinces":[{"province":"coast","user_list":["u5"]},'
+                                  '{"province":"north","user_list":["u12","u77"]}]}')
+    assert "when" in docs  # no header skip: a header line is data
 
 
 def test_login_rows_short_row(spark):
-    lines = spark.createDataFrame([("1\t1\tZhang\t1",), ("1\t1\tZ\t1\t1\t1\t0\t0\t20200501\t",)], "value string")
+    empty_day = _login_line("u1", "north", "")
+    lines = spark.createDataFrame([("u1\tx\ty\tnorth",), (empty_day,)], "value string")
     with pytest.raises(PySparkException, match="Invalid login row"):
         biz.parse_login_lines(lines).count()
     assert biz.parse_login_lines(lines, on_error="drop").count() == 0  # trailing empty field is dropped too
@@ -217,7 +226,7 @@ def test_login_rows_short_row(spark):
 
 # ---------------------------------------------------------------------------- int_average
 @pytest.mark.parametrize("values,expected", [([1, 2], 1.0), ([-1, -2], -1.0), ([], None),
-                                             ([3000, 4500, 3500, 4000], 3750.0), ([-3], -3.0)])
+                                             ([100, 250, 71, 83], 126.0), ([-3], -3.0)])
 def test_int_average(spark, values, expected):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     assert df.agg(biz.int_average("v").alias("a")).first()["a"] == expected
@@ -228,3 +237,14 @@ def test_int_average_exact_and_sql(spark):
     assert df.agg(biz.int_average("v", exact=True).alias("a")).first()["a"] == 1.5
     df.createOrReplaceTempView("avg_t")
     assert spark.sql(f"select {int_average_sql('v')} a from avg_t").first()["a"] == 1.0
+
+
+def test_sums_beyond_the_long_range_agree(spark):
+    from batchkit.operators import aggregates as agg
+
+    df = spark.createDataFrame([("a", 1 << 62)] * 3, "k string, v bigint")
+    df.createOrReplaceTempView("big_t")
+    mean = float(1 << 62)
+    assert df.agg(biz.int_average("v").alias("a")).first()["a"] == mean
+    assert spark.sql(f"select {int_average_sql('v')} a from big_t").first()["a"] == mean
+    assert int(agg.reduce_pair(df, "k", "v").first()["v"]) == 3 << 62

@@ -80,8 +80,30 @@ def test_table_definitions_reused_per_session(spark):
 
     a = table(spark, "/root/testdata/sf0.001", "nation")
     assert table(spark, "/root/testdata/sf0.001", "nation") is a
-    assert table(spark, "/root/testdata/sf0.001", "nation", refresh=True) is not a
-    assert table(spark, "/root/testdata/sf0.001", "nation").count() == 25
+    assert a.count() == 25
+
+
+def test_table_definition_follows_rewritten_files(spark, tmp_path):
+    from batchkit.session import table
+
+    spark.range(5).write.parquet(str(tmp_path / "t.parquet"))
+    assert table(spark, str(tmp_path), "t").count() == 5
+    spark.range(7).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+    assert table(spark, str(tmp_path), "t").count() == 7
+
+
+def test_scratch_is_dropped(spark):
+    import os
+
+    from batchkit.session import drop_scratch, scratch_database, shared_dir
+
+    path = shared_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    db = scratch_database(spark)
+    spark.range(3).write.saveAsTable(f"{db}.t")
+    assert drop_scratch(spark) >= 2
+    assert not os.path.exists(path.removeprefix("file://")) and not spark.catalog.databaseExists(db)
+    assert drop_scratch(spark) == 0
 
 
 def test_sql_quoting_of_paths_and_commands(spark, tmp_path):

@@ -7,8 +7,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from batchkit.plans import catalog
 
-ORACLE = E.oracle_sql()
+ORACLE = catalog.oracle_sql()
 
 
 def _norm(v):
@@ -30,13 +31,14 @@ def _canon(cols, rows):
 
 def test_every_query_has_a_callable():
     qs = E.queries()
+    assert set(E.oracle_sql()) <= set(qs)
     assert set(ORACLE) <= set(qs)
     assert len(qs) >= 60
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, key):
-    df = E.queries()[key](spark, SF001)
+    df = catalog.QUERIES[key](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLE[key])
     ocols = [d[0] for d in res.description]
@@ -70,7 +72,7 @@ def test_results_do_not_depend_on_session_settings(spark, duck, conf, keys):
         spark.conf.set(k, v)
     try:
         for k in keys:
-            df = E.queries()[k](spark, SF001)
+            df = catalog.QUERIES[k](spark, SF001)
             res = duck.execute(ORACLE[k])
             ocols = [d[0] for d in res.description]
             assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(ocols, res.fetchall()), k

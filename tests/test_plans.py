@@ -2,13 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF001
+from batchkit.plans import catalog
 from batchkit.plans.inspect import physical_plan
 
-Q = E.queries()
+Q = catalog.queries()
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "AggregateInPandas")
-PYTHON_ON_PURPOSE = {"map_partitions", "udf_random"}
+PYTHON_ON_PURPOSE = {"map_partitions"}
 
 
 def plan(df) -> str:
@@ -38,7 +38,7 @@ def test_small_dimension_join_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan(df)
 
 
-def test_semi_join_broadcast_after_size_check(spark):
+def test_semi_join_broadcast_by_measured_size(spark):
     df = Q["broadcast_semi"](spark, SF001)
     df.collect()
     assert "BroadcastHashJoin" in plan(df) and "LeftSemi" in plan(df)
@@ -55,7 +55,7 @@ def test_no_python_in_row_path(spark, key):
     assert not any(node in p for node in PYTHON_NODES), key
 
 
-def test_broadcast_only_within_the_bound(spark):
+def test_broadcast_only_by_size_or_the_callers_word(spark):
     from batchkit.operators import joins
 
     big = spark.range(0, 1000).withColumnRenamed("id", "k")
@@ -63,20 +63,42 @@ def test_broadcast_only_within_the_bound(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        within = joins.join(big, side, "k", "inner", broadcast_right_max_rows=100)
-        beyond = joins.join(big, side, "k", "inner", broadcast_right_max_rows=99)
-        assert "BroadcastHashJoin" in plan(within)
-        assert "SortMergeJoin" in plan(beyond) and "BroadcastHashJoin" not in plan(beyond)
-        assert within.count() == beyond.count() == 100
+        told = joins.join(big, side, "k", "inner", broadcast_right=True)
+        plain = joins.join(big, side, "k", "inner")
+        assert "BroadcastHashJoin" in plan(told)
+        assert "SortMergeJoin" in plan(plain) and "BroadcastHashJoin" not in plan(plain)
+        assert told.count() == plain.count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
+@pytest.mark.parametrize("key", ["broadcast_semi", "take_ordered_by_len", "join_left"])
+def test_planning_runs_no_job(spark, key):
+    Q[key](spark, SF001)  # table definitions are read once
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    spark.sparkContext.setJobGroup(f"plan-{key}", key)
+    Q[key](spark, SF001)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(f"plan-{key}") in ([], ()) and before is not None
+
+
+def test_observed_scan_reads_one_column(spark):
+    from batchkit.operators import aggregates as agg
+    from batchkit.session import table
+
+    observed, _ = agg.observe_sum(table(spark, SF001, "lineitem"), "l_linenumber", "s")
+    assert "ReadSchema: struct<l_linenumber:int>" in plan(observed)
+
+
+def test_partitioned_table_reads_prune_folders(spark):
+    read = Q["managed_table_roundtrip"](spark, SF001)
+    assert "PartitionFilters: [isnotnull(event_type" in plan(read.where("event_type = 'purchase'"))
+
+
 # Global aggregates merge one partial row per partition in a single task; the
 # position offsets of sort_by_key_desc hold one row per partition.  Nothing else
 # may funnel through a single partition.
 SINGLE_PARTITION_OK = {"reduce_sum", "reduce_pair", "count_rows", "key_bounds", "text_total_length",
-                       "text_file_lines", "sort_by_key_desc"}
+                       "text_file_lines", "sort_by_key_desc", "text_min_partitions", "partition_count"}
 
 
 @pytest.mark.parametrize("key", sorted(Q))

@@ -29,13 +29,16 @@ def test_hash_sample_same_on_any_layout(spark):
 
 
 def test_udf_random_range_and_not_constant(spark):
-    rs = [r["r"] for r in Q["udf_random"](spark, SF001).collect()]
+    from batchkit.functions.registry import register_all
+
+    register_all(spark)
+    rs = [r["r"] for r in table(spark, SF001, "events").select(F.expr("udf_random()").alias("r")).collect()]
     assert all(0.0 <= r < 1.0 for r in rs)
     assert len(set(rs)) > len(rs) * 0.99
 
 
 def test_partition_index_rows(spark):
-    out = Q["partition_index"](spark, SF001)
+    out = partitions.with_partition_index(table(spark, SF001, "orders").select("o_orderkey"))
     n_parts = out.rdd.getNumPartitions()
     rows = out.collect()
     assert len(rows) == table(spark, SF001, "orders").count()
@@ -91,7 +94,7 @@ def test_business_operators_layout_invariant(spark, n_parts):
     assert {r["dt"]: r["r"] for r in moved.collect()} == base
     roll = {(r["dt"], r["block"]): r["j"] for r in Q["login_rollup"](spark, SF001).collect()}
     roll2 = biz.login_rollup(ev.repartition(n_parts), F.substring(F.col("ts").cast("string"), 1, 10),
-                             "event_type", "user_id")
+                             "event_type", "user_id", entries_per_block=64)
     assert {(r["dt"], r["block"]): r["j"] for r in roll2.collect()} == roll
 
 

@@ -24,7 +24,7 @@ def _hot(spark, n=3000):
 
 def test_bags_of_a_hot_key_are_bounded_and_complete(spark):
     df = _hot(spark)
-    bags = agg.group_into_bags(df, "k", "v", block=F.call_function("div", F.col("v"), F.lit(100))).collect()
+    bags = agg.group_into_bags(df, "k", "v", rows_per_block=100).collect()
     hot = [b for b in bags if b["k"] == 0]
     assert max(b["n"] for b in hot) <= 100
     assert sorted(int(x) for b in hot for x in b["vals"].split(",")) == list(range(0, 3000, 3))
@@ -40,28 +40,53 @@ def test_nest_of_a_hot_key_is_bounded(spark):
 def test_login_rollup_hot_day_split_into_blocks(spark):
     df = spark.range(3000).select(F.lit("2024-01-01").alias("dt"), F.lit("BJ").alias("p"),
                                   F.col("id").cast("string").alias("u"))
-    docs = biz.login_rollup(df, "dt", "p", "u", block_digits=2).collect()
+    docs = biz.login_rollup(df, "dt", "p", "u", entries_per_block=50).collect()
     users = [u for d in docs for p in json.loads(d["j"])["provinces"] for u in p["user_list"]]
-    assert len(docs) > 200 and sorted(users) == sorted(str(i) for i in range(3000))
-    assert max(len(json.loads(d["j"])["provinces"][0]["user_list"]) for d in docs) < 60
+    assert len(docs) == 60 and sorted(users) == sorted(str(i) for i in range(3000))
+    assert max(len(json.loads(d["j"])["provinces"][0]["user_list"]) for d in docs) == 50
 
 
 def test_grouped_text_hot_key(spark, tmp_path):
     df = _hot(spark).select("k", F.lit(1).alias("one"))
-    out = text_sinks.write_grouped_text(df, "k", "one", 3, str(tmp_path / "hot"), max_copies=50)
+    out = text_sinks.write_grouped_text(df, "k", "one", 3, str(tmp_path / "hot"), rows_per_block=50)
     lines = [r[0] for r in text_src.read_lines(spark, out).collect()]
     hot = [ln for ln in lines if ln.startswith("(0,[")]
     assert sum(len(ln[len("(0,["):-2].split(", ")) for ln in hot) == 1000
     assert max(len(ln[len("(0,["):-2].split(", ")) for ln in hot) <= 50
 
 
-def test_partitioned_write_spreads_a_hot_value(spark, tmp_path):
-    df = _hot(spark).select("v", (F.col("k") == 0).cast("string").alias("hot"))
-    path = write_partitioned(df, str(tmp_path / "spread"), "hot", spread=4)
+def test_grouped_text_key_in_several_files(spark, tmp_path):
     import os
-    files = [f for f in os.listdir(os.path.join(path, "hot=true")) if f.endswith(".parquet")]
-    assert 1 < len(files) <= 4
-    assert spark.read.parquet(path).count() == 3000
+
+    df = spark.range(300_000).select(F.lit("one").alias("k"), F.col("id").alias("v"))
+    out = text_sinks.write_grouped_text(df, "k", "v", 4, str(tmp_path / "files"), rows_per_block=10_000)
+    filled = [f for f in os.listdir(out) if f.startswith("part-") and os.path.getsize(os.path.join(out, f))]
+    assert len(filled) > 1
+    assert text_src.read_lines(spark, out).count() == 30
+
+
+def _files(path):
+    import os
+
+    return sum(len([f for f in files if f.endswith(".parquet")]) for _, _, files in os.walk(path))
+
+
+def test_partitioned_write_keeps_few_files_and_splits_a_hot_value(spark, tmp_path):
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(10_000).select("id", (F.col("id") % 5).cast("string").alias("kind"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+        path = write_partitioned(df, str(tmp_path / "few"), "kind")  # a map column is no obstacle
+        assert _files(path) <= 10 and spark.read.parquet(path).count() == 10_000
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+        hot = spark.range(0, 30_000, 1, 8).select("id", F.md5(F.col("id").cast("string")).alias("h"), F.when(F.col("id") % 3 == 0, "x").otherwise("hot").alias("kind"))
+        path = write_partitioned(hot, str(tmp_path / "hot"), "kind")
+        assert 1 < _files(path + "/kind=hot") <= 64 and spark.read.parquet(path).count() == 30_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_register_python_surface(spark):
@@ -82,14 +107,35 @@ def test_register_python_surface(spark):
     assert all(0 <= v < 1 for v in vals) and len(set(vals)) > 90
 
 
-def test_bags_auto_blocks(spark):
-    small = spark.createDataFrame([(1, i) for i in range(10)] + [(2, 5)], "k int, v int")
-    rows = agg.group_into_bags(small, "k", "v", block="auto").collect()
-    assert len(rows) == 2 and {r["block"] for r in rows} == {""}
-    hot = _hot(spark)
-    bags = agg.group_into_bags(hot, "k", "v", block="auto", max_values=100).collect()
-    key0 = [b for b in bags if b["k"] == 0]
-    assert 1 < len(key0) <= 16 and sum(b["n"] for b in key0) == 1000
+def test_bags_keep_nulls_and_split_a_repeated_value(spark):
+    rows = spark.createDataFrame([(1, 5), (1, None), (1, None), (None, 7), (None, None)], "k int, v int")
+    got = {r["k"]: (r["block"], r["n"], r["vals"]) for r in agg.group_into_bags(rows, "k", "v").collect()}
+    assert got == {1: (0, 3, "null,null,5"), None: (0, 2, "null,7")}
+    same = spark.range(300_000).select(F.lit("a").alias("k"), F.lit(9).alias("v"))
+    bags = agg.group_into_bags(same, "k", "v", rows_per_block=1000).collect()
+    assert sorted(b["block"] for b in bags) == list(range(300)) and {b["n"] for b in bags} == {1000}
+
+
+def test_rank_blocks_against_a_model(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(r.choice([None, 0, 1, 2]), r.choice([None, *range(6)])) for _ in range(700)]
+    model = {}
+    for k in {k for k, _ in rows}:
+        values = sorted((v for kk, v in rows if kk == k), key=lambda v: (v is not None, v or 0))
+        for i in range(0, len(values), 7):
+            model[k, i // 7] = ",".join("null" if v is None else str(v) for v in values[i:i + 7])
+    df = spark.createDataFrame(rows, "k int, v int")
+    for parts in (1, 5):
+        got = agg.group_into_bags(df.repartition(parts), "k", "v", rows_per_block=7).collect()
+        assert {(g["k"], g["block"]): g["vals"] for g in got} == model
+
+
+def test_grouped_text_prints_nulls(spark, tmp_path):
+    df = spark.createDataFrame([("a", None), ("a", None), (None, "x")], "k string, v string")
+    out = text_sinks.write_grouped_text(df, "k", "v", 2, str(tmp_path / "nulls"))
+    assert sorted(r[0] for r in text_src.read_lines(spark, out).collect()) == ["(a,[null, null])", "(null,[x])"]
 
 
 def test_repartition_sorted_spreads_a_hot_key(spark):

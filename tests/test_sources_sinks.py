@@ -18,55 +18,55 @@ from batchkit.sources import text as text_src
 from batchkit.plans.inspect import physical_plan
 
 
-def _squad(name, town, members):
-    return {"squadName": name, "homeTown": town, "formed": 2016, "secretBase": "Tower", "active": True,
-            "members": [{"name": m, "age": 20 + i, "secretIdentity": f"id{i}", "powers": [f"p{i}{j}" for j in range(3)]}
-                        for i, m in enumerate(members)]}
+def _crew(ship, harbour, sailors):
+    return {"ship": ship, "harbour": harbour, "built": 1987, "flag": "blue", "afloat": True,
+            "sailors": [{"name": m, "rank": 3 + i, "berth": f"b{i}", "skills": [f"s{i}{j}" for j in range(3)]}
+                        for i, m in enumerate(sailors)]}
 
 
 @pytest.fixture()
-def squads_path(tmp_path):
-    one = _squad("Super hero squad", "Metro City", ["Molecule Man", "Madame Uppercut", "Eternal Flame"])
-    two = _squad("Night watch", "Gotham", ["Owl", "Bat", "Cat"])
-    p = tmp_path / "company.json"
+def crews_path(tmp_path):
+    one = _crew("Grey Heron", "Lowport", ["Ada", "Bo", "Cy"])
+    two = _crew("Long Tide", "Highcliff", ["Dee", "Eli", "Flo"])
+    p = tmp_path / "crews.json"
     p.write_text(json.dumps([one, one, two, two, two]))  # one line, one array of 5 records
     return str(p)
 
 
-def test_json_array_line_gives_rows_and_alphabetical_schema(spark, squads_path):
-    df = json_src.read_json(spark, squads_path)
+def test_json_array_line_gives_rows_and_alphabetical_schema(spark, crews_path):
+    df = json_src.read_json(spark, crews_path)
     assert df.count() == 5
     assert df.schema.simpleString() == (
-        "struct<active:boolean,formed:bigint,homeTown:string,members:array<struct<age:bigint,name:string,"
-        "powers:array<string>,secretIdentity:string>>,secretBase:string,squadName:string>")
+        "struct<afloat:boolean,built:bigint,flag:string,harbour:string,sailors:array<struct<berth:string,name:string,"
+        "rank:bigint,skills:array<string>>>,ship:string>")
 
 
-def test_double_explode_and_views(spark, squads_path):
-    df = json_src.read_json(spark, squads_path)
-    name = create_view(df, "squads_fixture_view")
-    out = spark.sql(f"""select squadName, member.name, power from {name}
-                        lateral view explode(members) m as member lateral view explode(member.powers) p as power""")
+def test_double_explode_and_views(spark, crews_path):
+    df = json_src.read_json(spark, crews_path)
+    name = create_view(df, "crews_view")
+    out = spark.sql(f"""select ship, sailor.name, skill from {name}
+                        lateral view explode(sailors) m as sailor lateral view explode(sailor.skills) p as skill""")
     assert out.count() == 45
-    g = create_view(df, "squads_global", global_scope=True)
-    assert spark.sql(f"select * from {g} where members is not null").count() == 5
+    g = create_view(df, "crews_global", global_scope=True)
+    assert spark.sql(f"select * from {g} where sailors is not null").count() == 5
     with pytest.raises(Exception):
-        create_view(df, "squads_fixture_view", replace=False)
+        create_view(df, "crews_view", replace=False)
 
 
-def test_sql_on_file_and_ddl_view(spark, squads_path):
-    assert json_src.sql_on_file(spark, "json", squads_path).count() == 5
-    v = json_src.create_file_view(spark, "squads_ddl", "json", squads_path)
-    assert v.where(F.col("squadName").like("%Super%")).count() == 2
-    prefixed = v.where(F.col("squadName").like("%Super%")).select(rows.prefixed("squadName", "squadName: ").alias("s"))
-    assert {r["s"] for r in prefixed.collect()} == {"squadName: Super hero squad"}
+def test_sql_on_file_and_ddl_view(spark, crews_path):
+    assert json_src.sql_on_file(spark, "json", crews_path).count() == 5
+    v = json_src.create_file_view(spark, "crews_ddl", "json", crews_path)
+    assert v.where(F.col("ship").like("%Heron%")).count() == 2
+    prefixed = v.where(F.col("ship").like("%Heron%")).select(rows.prefixed("ship", "ship: ").alias("s"))
+    assert {r["s"] for r in prefixed.collect()} == {"ship: Grey Heron"}
 
 
-def test_employees_int_average(spark, tmp_path):
-    p = tmp_path / "employees.json"
-    p.write_text("\n".join(json.dumps({"name": n, "salary": s}) for n, s in
-                           [("Michael", 3000), ("Andy", 4500), ("Justin", 3500), ("Berta", 4000)]))
+def test_int_average_of_a_json_column(spark, tmp_path):
+    p = tmp_path / "catches.json"
+    p.write_text("\n".join(json.dumps({"day": d, "fish": s}) for d, s in
+                           [("mon", 12), ("tue", 31), ("wed", 8), ("thu", 22)]))
     df = json_src.read_json(spark, str(p))
-    assert df.agg(biz.int_average("salary").alias("a")).first()["a"] == 3750.0
+    assert df.agg(biz.int_average("fish").alias("a")).first()["a"] == 18.0
 
 
 def test_text_lines_and_total_length(spark, tmp_path):
@@ -77,43 +77,53 @@ def test_text_lines_and_total_length(spark, tmp_path):
     assert df.agg(F.sum(F.length("value")).alias("n")).first()["n"] == 10 + 10 + 14
 
 
-def _video_lines():
-    chapters = ["Introduction", "Databases", "Data Analysis", "Web Development", "Data Structures", "Advanced Topics"]
-    header = "\t".join(f"{i}_{c}" for i, c in enumerate(
-        ["id", "video_name", "during_sec", "video_status", "video_size", "version_id", "chapter_id", "chapter_name",
-         "is_free", "course_id", "publisher_id", "create_time", "update_time", "dt"]))
-    out = [header]
+def _shelf_lines():
+    """A header whose names carry their position, then 30 rows of 9 fields; field 4 is the shelf."""
+    shelves = ["maps", "logs", "charts", "tables", "letters", "songs"]
+    names = ["key", "title", "pages", "state", "shelf", "row_id", "lent", "made", "day"]
+    out = ["\t".join(f"{i}_{c}" for i, c in enumerate(names))]
     for i in range(1, 31):
-        out.append("\t".join([str(i), f"clip {i}", str(100 + i), "ok", "1024", "v1", f"c{i % 6}",
-                              chapters[i % 6], "no", "c101", "p1", "2023-01-01 10:00:00", "2023-01-01 10:00:00",
-                              "2023-01-01"]))
+        out.append("\t".join([str(i), f"vol {i}", str(40 + i), "fine", shelves[i % 6], f"r{i}", "no", "1950", "1950-06-01"]))
     return out
 
 
 def test_raw_tab_lines_keep_header_and_filter_contains(spark, tmp_path):
-    p = tmp_path / "videos.tsv"
-    p.write_text("\n".join(_video_lines()) + "\n")
+    p = tmp_path / "shelves.tsv"
+    p.write_text("\n".join(_shelf_lines()) + "\n")
     lines = text_src.read_lines(spark, str(p))
-    chapters = lines.select(rows.field("value", 7, "\t").alias("c"))
-    counts = {r["c"]: r["n"] for r in agg.count_by_key(chapters, "c").collect()}
-    assert counts["7_chapter_name"] == 1 and sum(counts.values()) == 31
-    assert rows.drop_containing(lines, "value", "id").count() == 30
-    durations = rows.drop_containing(lines, "value", "id").select(rows.field("value", 2, "\t").cast("int").alias("d"))
-    bags = agg.group_into_bags(durations.select((F.col("d") % 3).alias("k"), "d"), "k", "d", block=None).collect()
+    shelves = lines.select(rows.field("value", 4, "\t").alias("c"))
+    counts = {r["c"]: r["n"] for r in agg.count_by_key(shelves, "c").collect()}
+    assert counts["4_shelf"] == 1 and sum(counts.values()) == 31
+    body = rows.drop_containing(lines, "value", "id")
+    assert body.count() == 30
+    pages = body.select(rows.field("value", 2, "\t").cast("int").alias("d"))
+    bags = agg.group_into_bags(pages.select((F.col("d") % 3).alias("k"), "d"), "k", "d").collect()
     assert sorted(r["n"] for r in bags) == [10, 10, 10]
 
 
+@pytest.mark.parametrize("sep", ["|", ".", "||", "$"])
+def test_separators_are_plain_text(spark, tmp_path, sep):
+    p = tmp_path / "rows.txt"
+    p.write_text(f"a{sep}1\nb{sep}2\n")
+    got = delimited.read_split(spark, str(p), sep, ["a", "b"], ["string", "int"]).orderBy("b").collect()
+    assert [tuple(r) for r in got] == [("a", 1), ("b", 2)]
+    df = spark.createDataFrame([(f"x{sep}y{sep}x{sep}",)], "s string")
+    assert {r["w"]: r["n"] for r in rows.word_count(df, "s", sep).collect()} == {"x": 2, "y": 1, "": 1}
+    assert {r["w"]: r["n"] for r in rows.word_count(df, "s", sep, java=True).collect()} == {"x": 2, "y": 1}
+    assert df.select(rows.field("s", 1, sep).alias("f")).first()["f"] == "y"
+
+
 def test_delimited_readers(spark, tmp_path):
-    p = tmp_path / "company.txt"
-    p.write_text("squadName,homeTown,formed\nSuper squad, Metro ,2016\nNight watch,\tGotham\t,2017\n")
-    raw = delimited.read_split(spark, str(p), ",", ["squadName", "homeTown", "formed"])
+    p = tmp_path / "ships.txt"
+    p.write_text("ship,harbour,built\nGrey Heron, Lowport ,1987\nLong Tide,\tHighcliff\t,1991\n")
+    raw = delimited.read_split(spark, str(p), ",", ["ship", "harbour", "built"])
     assert raw.count() == 3  # the header is a row unless named
-    typed = delimited.read_split(spark, str(p), ",", ["squadName", "homeTown", "formed"], ["string", "string", "int"],
-                                 header_line="squadName,homeTown,formed")
-    assert [r["homeTown"] for r in typed.orderBy("formed").collect()] == [" Metro ", "\tGotham\t"]
-    schema = delimited.read_with_schema(spark, str(p), "squadName string, homeTown string, formed int",
-                                        header=True, trim=["homeTown"])
-    assert [r["homeTown"] for r in schema.orderBy("formed").collect()] == ["Metro", "Gotham"]
+    typed = delimited.read_split(spark, str(p), ",", ["ship", "harbour", "built"], ["string", "string", "int"],
+                                 header_line="ship,harbour,built")
+    assert [r["harbour"] for r in typed.orderBy("built").collect()] == [" Lowport ", "\tHighcliff\t"]
+    schema = delimited.read_with_schema(spark, str(p), "ship string, harbour string, built int",
+                                        header=True, trim=["harbour"])
+    assert [r["harbour"] for r in schema.orderBy("built").collect()] == ["Lowport", "Highcliff"]
 
 
 def test_text_sinks(spark, tmp_path):
@@ -130,11 +140,11 @@ def test_text_sinks(spark, tmp_path):
 
 def test_grouped_text_bounds_lines(spark, tmp_path):
     df = spark.createDataFrame([("k", 1)] * 25 + [("k", 2)] * 3, "k string, v int")
-    out = text_sinks.write_grouped_text(df, "k", "v", 2, str(tmp_path / "bounded"), max_copies=10)
+    out = text_sinks.write_grouped_text(df, "k", "v", 2, str(tmp_path / "bounded"), rows_per_block=10)
     lines = [r[0] for r in text_src.read_lines(spark, out).collect()]
     values = [v for line in lines for v in line[len("(k,["):-2].split(", ")]
     assert sorted(values) == ["1"] * 25 + ["2"] * 3
-    assert max(len(line[len("(k,["):-2].split(", ")) for line in lines) <= 10 * 2
+    assert max(len(line[len("(k,["):-2].split(", ")) for line in lines) == 10
 
 
 def test_partitioned_table_and_pruning(spark, tmp_path):
@@ -169,7 +179,7 @@ def test_login_documents_as_json_lines(spark, tmp_path):
     from batchkit.sinks.json import write_json, write_json_text
 
     df = spark.createDataFrame([("u1", "BJ", "2024-01-01"), ("u2", "SH", "2024-01-01")], "u string, p string, dt string")
-    docs = biz.login_rollup(df, "dt", "p", "u", block_digits=0)
+    docs = biz.login_rollup(df, "dt", "p", "u")
     path = write_json_text(docs, "j", str(tmp_path / "docs"))
     back = json_src.read_json(spark, path).collect()
     assert len(back) == 1 and back[0]["dt"] == "2024-01-01"
@@ -231,10 +241,10 @@ def test_jdbc_option_sets_without_a_database():
 
 
 def test_indexed_header_reader(spark, tmp_path):
-    p = tmp_path / "videos_typed.tsv"
-    p.write_text("\n".join(_video_lines()) + "\n")
-    df = delimited.read_indexed_header(spark, str(p), types={"id": "int", "during_sec": "int", "video_size": "bigint"})
-    assert df.columns[:3] == ["id", "video_name", "during_sec"] and df.columns[-1] == "dt"
-    assert df.count() == 30 and dict(df.dtypes)["during_sec"] == "int"
-    counts = {r["chapter_name"]: r["n"] for r in agg.count_by_key(df, "chapter_name").collect()}
-    assert "7_chapter_name" not in counts and sum(counts.values()) == 30
+    p = tmp_path / "shelves_typed.tsv"
+    p.write_text("\n".join(_shelf_lines()) + "\n")
+    df = delimited.read_indexed_header(spark, str(p), types={"key": "int", "pages": "int", "made": "bigint"})
+    assert df.columns[:3] == ["key", "title", "pages"] and df.columns[-1] == "day"
+    assert df.count() == 30 and dict(df.dtypes)["pages"] == "int"
+    counts = {r["shelf"]: r["n"] for r in agg.count_by_key(df, "shelf").collect()}
+    assert "4_shelf" not in counts and sum(counts.values()) == 30
