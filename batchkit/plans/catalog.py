@@ -425,13 +425,13 @@ def q_nested_explode(spark, sf):
     flat = (cu.join(na, cu.c_nationkey == na.n_nationkey).join(re_, na.n_regionkey == re_.r_regionkey)
             .select("r_name", "n_name", "c_custkey"))
     blk = F.call_function("div", F.col("c_custkey"), F.lit(64))
-    # clustered on (region, block): the squads aggregation below reuses this shuffle
+    # clustered on (region, block): the crews aggregation below reuses this shuffle
     members = nested.nest(flat, ["r_name", "n_name"], ["c_custkey"], "ks", block=blk, cluster_by=["r_name", "block"])
     members = members.select("r_name", "block", F.struct(F.col("n_name").alias("name"),
                              F.transform("ks", lambda s: s["c_custkey"]).alias("powers")).alias("m"))
-    squads = members.groupBy("r_name", "block").agg(F.collect_list("m").alias("members"))
-    view = _name("squads")
-    create_view(squads, view, replace=False)
+    crews = members.groupBy("r_name", "block").agg(F.collect_list("m").alias("members"))
+    view = _name("crews")
+    create_view(crews, view, replace=False)
     return spark.sql(f"""select r_name, member.name as n_name, power from {view}
                          lateral view explode(members) m as member
                          lateral view explode(member.powers) p as power""")

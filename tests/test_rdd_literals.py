@@ -33,14 +33,14 @@ def test_union_and_intersection(spark):
     assert sorted(r["v"] for r in sets.intersect_distinct(c, d).collect()) == [1, 10]
 
 
-def test_join_chapters_to_courses(spark):
-    chapters = spark.createDataFrame([("SC", "c1"), ("SC", "c2"), ("SC", "c3")], "k string, chapter string")
-    courses = spark.createDataFrame([("SC", 100), ("CN", 200), ("EU", 300)], "k string, price int")
-    out = joins.join(chapters, courses, "k", "inner", broadcast_right=True).collect()
-    assert len(out) == 3 and {r["price"] for r in out} == {100}
-    assert joins.join(chapters, courses, "k", "full").count() == 5
-    assert joins.join(courses, chapters, "k", "left").count() == 5
-    assert joins.join(chapters, courses, "k", "right").count() == 5
+def test_joins_of_a_key_without_partner(spark):
+    pages = spark.createDataFrame([("it", "p7"), ("it", "p8"), ("it", "p9")], "k string, page string")
+    prices = spark.createDataFrame([("it", 31), ("no", 17), ("se", 23)], "k string, price int")
+    out = joins.join(pages, prices, "k", "inner", broadcast_right=True).collect()
+    assert len(out) == 3 and {r["price"] for r in out} == {31}
+    assert joins.join(pages, prices, "k", "full").count() == 5
+    assert joins.join(prices, pages, "k", "left").count() == 5
+    assert joins.join(pages, prices, "k", "right").count() == 5
 
 
 def test_partition_index_two_partitions(spark):
@@ -67,9 +67,9 @@ def test_accumulator_as_observation(spark):
 
 
 def test_take_ordered_by_length(spark):
-    names = ["Data Analysis", "Databases", "Web Development", "Data Structures", "Advanced Topics", "Introduction"]
+    names = ["long winter", "harbour", "stone bridge", "low tide", "old clocktower", "fog"]
     df = spark.createDataFrame([(n,) for n in names * 2], "name string")
-    assert [r["k"] for r in sorting.shortest(df, "name", 2).collect()] == ["Databases", "Introduction"]
+    assert [r["k"] for r in sorting.shortest(df, "name", 2).collect()] == ["fog", "harbour"]
 
 
 def test_mod3_groups(spark):
