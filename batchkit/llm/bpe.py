@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import slices, written
+from batchkit.llm.common import slices, tidy, written
 
 #: Bounds of the broadcast lookup: 12 bytes a word and 2 an id (4 if the vocabulary is larger than 65,536).
 LOOKUP_WORDS = 6_000_000
@@ -77,6 +77,7 @@ def _count_words(batches):
             if len(counts) > COUNTED_WORDS:
                 yield from out()
     yield from out()
+    tidy()
 
 
 def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
@@ -93,6 +94,7 @@ def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
                 got = t.encode_batch_fast([w.decode("utf-8") for w in words[i:i + 2000]], add_special_tokens=False)
                 ids += [np.array(e.ids, "<u4").tobytes() for e in got]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
+        tidy()
 
     return written(counts.mapInArrow(encode, "word binary, n long, ids binary"), "bpe-words")
 
@@ -215,6 +217,8 @@ def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id
             places, done = Places(Lookup.load(lookup.value)), finish()
             for b in slices(batches):
                 yield finished(b.column("id"), [gaps[0] for gaps, _ in places(b.column("text").to_pylist())], done)
+            del places
+            tidy(lookup)
 
         return source.mapInArrow(place, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
 
@@ -223,6 +227,8 @@ def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id
         for b in slices(batches):
             got = places(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([g for g, _ in got], pa.list_(pa.binary())), pa.array([m for _, m in got], pa.list_(pa.binary()))], names=["id", "gaps", "missing"])
+        del places
+        tidy(lookup)
 
     def fill(batches):
         done = finish()

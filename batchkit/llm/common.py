@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 import zlib
 
@@ -52,11 +54,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def slices(batches, rows: int = 512):
-    """Arrow batches cut into small ones, so that only few rows are Python objects at a time; the pool's free memory goes back at the end."""
+    """Arrow batches cut into small ones, so that only few rows are Python objects at a time."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+
+
+def tidy(*broadcasts) -> None:
+    """Gives a worker's free memory back, as idle workers stay alive; also what it has unpacked of ``broadcasts``."""
+    for x in broadcasts:
+        vars(x).pop("_value", None)  # read again by the next task that uses it
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 #: Bytes hashed at a time.
