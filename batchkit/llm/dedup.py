@@ -44,7 +44,9 @@ GRAM = 36
 #: Contexts settled in a task at a time.
 SETTLED = 1 << 20
 #: Bytes of context in a bucket, about.
-BUCKET_BYTES = 1 << 20
+BUCKET_BYTES = 1 << 18
+#: Buckets in a task, about.
+BUCKETS_PER_TASK = 8
 HEAVY = 4096
 #: Entries of the table of id hashes at most.
 ID_HASHES = 1 << 20
@@ -225,7 +227,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i:i + 20_000], strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "d", "first", "count", "bytes"])
 
     sorted_ = texts.select("d", "text", "at").mapInArrow(cut, "bucket long, d long, first long, count long, bytes binary") \
-                   .groupBy("bucket").applyInArrow(_sorted_bucket, "d long, first long, last long")
+                   .repartition(int(max(1, buckets // BUCKETS_PER_TASK)), "bucket").groupBy("bucket").applyInArrow(_sorted_bucket, "d long, first long, last long")
     return written(settled.unionByName(sorted_), "dedup-spans")
 
 
