@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from batchkit.plans import catalog  # noqa: E402
 from batchkit.plans.inspect import physical_plan, summary  # noqa: E402
 from batchkit.session import get_session  # noqa: E402
 
@@ -34,16 +34,15 @@ What changed after reading these plans (and the event-log stage times):
 - `order_daily_total_sql`: Catalyst does not push an aggregate below a join; the SQL now pre-aggregates lineitem per
   order in a CTE, as the DataFrame form does, so the big side shrinks before the join.
 - Daily aggregates group on `to_date(ts)` and format the day only on output rows.
-- `partitioned_table_roundtrip`, `managed_table_roundtrip`: `repartition(col)` sent each partition value to one task;
-  writes now add a deterministic row-hash salt.
+- `partitioned_table_roundtrip`, `managed_table_roundtrip`: the write carries a `rebalance` hint on the partition column:
+  adaptive execution merges small values into few files and splits a hot one.
 - `sort_by_key_desc`: positions come from per-partition counts after a range sort, not from a window without
   `partitionBy` (which would pull every row into one partition).
-- `take_ordered_by_len`: the shortest distinct names no longer shuffle every distinct name; a TakeOrderedAndProject
-  of n*64 raw candidates decides exactly (full `distinct` only if the smallest values repeat that often).
-- `broadcast_semi`: the size check counts raw member rows; no `distinct` shuffle before the broadcast.
-- `nested_explode`: the first nesting is clustered on (region, block), so the squads aggregation reuses its shuffle.
-- Kept on purpose: `login_rollup`'s two shuffles (clustering the first aggregation on (day, block) would drop the
-  map-side de-duplication of repeated logins, which matters more at scale).
+- `take_ordered_by_len`: partial distinct, one shuffle of the distinct values, TakeOrderedAndProject.
+- `broadcast_semi`: no job runs while it is planned; measured bytes decide on the broadcast.
+- `nested_explode`: the first nesting is clustered on (region, block), so the crews aggregation reuses its shuffle.
+- `group_*`, `login_rollup*`, `write_text_multi`: ranks come from a range sort of counted values (checkpointed, so the
+  plans below begin there), offsets per key and range from a small aggregate, then one shuffle on (key, block).
 
 """
 
@@ -58,7 +57,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", 8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    qs = E.queries()
+    qs = catalog.queries()
     print("# PLANS\n")
     print(f"Physical plans of every registered key on `{sf}` (`python tools/show_plans.py`), static shape with AQE off.")
     print("`shuffles` counts exchanges; `single` marks a single-partition exchange (all are final merges of one")
