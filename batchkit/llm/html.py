@@ -59,8 +59,12 @@ def _furniture(tag: str, attrs: str, inside_article: bool) -> bool:
         return True
     for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
         name, value = name.lower(), a or b or c
-        if name == "role" and _ROLES.match(value.strip()) or name in ("class", "id") and tag not in ("body", "html", "article", "main") and _NAMES.search(value):
+        if name == "role" and _ROLES.match(value.strip()):
             return True
+        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+            found = {m.strip(" \t\r\n_-").lower() for m in _NAMES.findall(value)}
+            if found - ({"header", "masthead"} if inside_article else set()):  # an article's own header holds its title
+                return True
         if name == "hidden" and tag not in ("body", "html") or name == "aria-hidden" and value.lower() == "true":
             return True
     return False
@@ -131,6 +135,10 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if tag in _INLINE and not f:
             continue
         flush()
+        if tag in ("article", "main") and not f and bad:
+            # what holds the article is no furniture, whatever its class says (say, "has-sidebar")
+            stack = [(t, g and t in _FURNITURE) for t, g in stack]
+            bad = sum(g for _, g in stack)
         for k in range(len(stack) - 1, max(-1, len(stack) - 4), -1):
             if tag in _CLOSES and stack[k][0] in _CLOSES[tag]:
                 pop(k)

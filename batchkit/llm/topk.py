@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 5
-#: Weight components a block of candidates or of queries holds at most, but for a single longer vector.
+#: Vectors in a block of candidates, and about as many as these in a block of queries.
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 

@@ -23,7 +23,7 @@ range is also sent to the range before it.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -135,25 +135,27 @@ def neighbour_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     cuts = base.select(F.percentile_approx("id", [i / ranges for i in range(1, ranges)] or [0.5], 10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
     # range 0 holds the nulls, then ids up to the first cut, and so on
-    bucket = F.when(F.col("id").isNull(), 0).otherwise(F.lit(1) + sum((F.when(F.col("id") > c, 1).otherwise(0) for c in cuts), F.lit(0)) if len(cuts) < 16
-                                                       else F.lit(1) + F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("id"))))
-    heads = {r["b"]: r["top"] for r in base.select("id", bucket.alias("b")).groupBy("b").agg(F.max("id").alias("top")).collect()}
+    above = F.size(F.filter(_longs(sorted(set(cuts))), lambda c: c < F.col("id")))
+    rows = base.withColumn("range", F.when(F.col("id").isNull(), 0).otherwise(above + 1)).withColumn("own", F.lit(True))
+    heads = {r["range"]: r["top"] for r in rows.groupBy("range").agg(F.max("id").alias("top")).collect()}
     used = sorted(heads)
-    rows = base.withColumn("range", bucket).withColumn("own", F.lit(True))
     if not used:
         return rows.select("range", "own", "id", "text")
-    # descending order: after range b comes the next used range below, and after the lowest the highest
+    # descending order: after a range comes the next used one below, and after the lowest the highest
     before = {b: used[(i + 1) % len(used)] for i, b in enumerate(used)}
-    top = {b: heads[b] for b in used}
-    ids = [top[b] for b in used if top[b] is not None]
-    to = F.create_map(*[x for b in used for x in (F.lit(b), F.lit(before[b]))])
-    head = (F.col("id").isin(ids) if ids else F.lit(False)) | F.col("id").isNull()
-    extra = rows.where(head).withColumn("range", to[F.col("range")]).withColumn("own", F.lit(False))
+    top = _longs([heads.get(b) for b in range(used[-1] + 1)])
+    to = _longs([before.get(b) for b in range(used[-1] + 1)])
+    first = F.col("id").isNull() | (F.col("id") == F.get(top, F.col("range")))
+    extra = rows.where(first).withColumn("range", F.get(to, F.col("range")).cast("int")).withColumn("own", F.lit(False))
     return rows.unionByName(extra).select("range", "own", "id", "text")
 
 
+def _longs(values: list[int | None]):
+    """An array of numbers that the plan holds as one literal."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+
 def edited_neighbours(docs: DataFrame, kernel, schema: str, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
     """Runs ``kernel(id, text, next_text)`` for each document and the one that follows it in descending doc_id (after the last: the first).
 

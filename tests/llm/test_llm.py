@@ -389,6 +389,7 @@ PAGES = [
      "<article><h1>Title</h1><p>First <b>bold</b> text.<p>x</p><aside>side</aside><div class=\"comments\"><p>nice post</p></div><p>Last.</p></article><footer>&copy; me</footer></body></html>", "Title First bold text. x Last."),
     ("<body><div id=cookie-notice>We use cookies</div><div class=sidebar>links</div><main><p>Body text here.</p><form><input><label>Name</label></form></main><section class='reader-comments'>hm</section></body>", "Body text here."),
     ("<article>a <!-- hidden <p> --> b<script>if (a < b) x()</script></article>", "a b"), ("<article><p>1 &lt; 2 &#38; 3 &#x26; 4</article>", "1 < 2 & 3 & 4"), ("<article>unclosed <b>bold", "unclosed bold"),
+    ("<div class='page has-sidebar'><div class=sidebar>links</div><article><div class='entry-header'><h1>Title</h1></div><p>Body.</p><ul class='share-buttons'><li>x</ul></article></div>", "Title Body."),
     ("<article><p>word" + " word" * 50_000 + "</p></article>", "word" + " word" * 50_000),
 ]
 
