@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import slices, tidy, written
+from batchkit.llm.common import slices, tidied, tidy, written
 
 #: Bounds of the broadcast lookup: 12 bytes a word and 2 an id (4 if the vocabulary is larger than 65,536).
 LOOKUP_WORDS = 6_000_000
@@ -77,12 +77,11 @@ def _count_words(batches):
             if len(counts) > COUNTED_WORDS:
                 yield from out()
     yield from out()
-    tidy()
 
 
 def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """(word binary, n long, ids binary): each distinct word with its count and its ids as little-endian 32-bit integers."""
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(_count_words, "word binary, n long") \
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(tidied(_count_words), "word binary, n long") \
                  .groupBy("word").agg(F.sum("n").alias("n"))
 
     def encode(batches):
@@ -94,9 +93,8 @@ def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
                 got = t.encode_batch_fast([w.decode("utf-8") for w in words[i:i + 2000]], add_special_tokens=False)
                 ids += [np.array(e.ids, "<u4").tobytes() for e in got]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
-        tidy()
 
-    return written(counts.mapInArrow(encode, "word binary, n long, ids binary"), "bpe-words")
+    return written(counts.mapInArrow(tidied(encode), "word binary, n long, ids binary"), "bpe-words")
 
 
 def most_frequent(table: DataFrame, words: int = LOOKUP_WORDS, ids: int = LOOKUP_IDS) -> tuple[DataFrame, bool]:
@@ -144,7 +142,7 @@ class Lookup:
                 parts = (keys, checks, np.array([len(x) for x in ids], np.uint32), flat.astype(np.uint16) if flat.max(initial=0) < 1 << 16 else flat)
                 yield pa.RecordBatch.from_arrays([*(pa.array([x.tobytes()], pa.binary()) for x in parts), pa.array([parts[3].itemsize], pa.int32())], names=["k", "c", "s", "i", "width"])
 
-        got = table.select("word", "ids").mapInArrow(pack, "k binary, c binary, s binary, i binary, width int").toArrow()
+        got = table.select("word", "ids").mapInArrow(tidied(pack), "k binary, c binary, s binary, i binary, width int").toArrow()
         join = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in got.column(name))])
         ids = [np.frombuffer(x.as_buffer(), np.uint16 if w.as_py() == 2 else "<u4") for x, w in zip(got.column("i"), got.column("width"), strict=True)]
         return cls(join("k", np.uint64), join("c", np.uint32), join("s", np.uint32), np.concatenate([np.zeros(0, np.uint16), *ids]))
@@ -220,7 +218,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id
             del places
             tidy(lookup)
 
-        return source.mapInArrow(place, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
+        return source.mapInArrow(tidied(place), f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
 
     def parts(batches):
         places = Places(Lookup.load(lookup.value))
@@ -236,11 +234,11 @@ def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id
             ids = [b"".join([x for pair in zip(gaps, [*(got or []), b""], strict=True) for x in pair]) for gaps, got in zip(b.column("gaps").to_pylist(), b.column("found").to_pylist(), strict=True)]
             yield finished(b.column("id"), ids, done)
 
-    placed = written(source.mapInArrow(parts, f"id {kind}, gaps array<binary>, missing array<binary>").withColumn("row", F.monotonically_increasing_id()), "bpe-placed")
+    placed = written(source.mapInArrow(tidied(parts), f"id {kind}, gaps array<binary>, missing array<binary>").withColumn("row", F.monotonically_increasing_id()), "bpe-placed")
     found = placed.select("row", F.posexplode("missing").alias("pos", "word")).join(table.select("word", "ids"), "word") \
                   .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("found"))  # the words of one text
     return placed.join(found, "row", "left").select("id", "gaps", F.transform("found", lambda x: x["ids"]).alias("found")) \
-                 .mapInArrow(fill, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
+                 .mapInArrow(tidied(fill), f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
 
 
 def pieces(spark, vocabulary: str | None = None) -> DataFrame:
@@ -276,7 +274,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
             texts = [join_pieces(shared.value, x) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out])
 
-    return encoded.mapInArrow(join, schema)
+    return encoded.mapInArrow(tidied(join), schema)
 
 
 def digest(docs: DataFrame, vocabulary: str | None = None, **options) -> DataFrame:

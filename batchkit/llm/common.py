@@ -8,7 +8,6 @@ import uuid
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,6 +79,15 @@ BYTE_WORDS = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
 _BASE = 0x9E3779B97F4A7C15
 
 
+def tidied(run):
+    """A kernel over Arrow batches after which the worker's free memory goes back."""
+    def wrapped(batches):
+        yield from run(batches)
+        tidy()
+
+    return wrapped
+
+
 class Powers:
     """Powers of an odd base and of its inverse modulo 2**64, as far as the longest piece so far needs."""
 
@@ -225,10 +233,6 @@ def bounded_sample(df: DataFrame, rows: int, seed: int, *by: str) -> DataFrame:
     return df.where(F.shiftrightunsigned(F.xxhash64(F.lit(seed), *by), 11) < F.lit(share))
 
 
-def frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=names)
-
-
 def component_min(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (a, b): root is the smallest node of its component.
 

@@ -7,19 +7,20 @@ so a pair is a candidate only if it does so under each of ORDERS orders.  All or
 put rare tokens first (by a sketch of fixed size that counts every set of the corpus)
 and break ties by different hashes.
 
-More than that: with a prefix longer by SHARED - 1 tokens, two such sets share SHARED
-prefix tokens (or as many as they must have in common, if that is less).
+More than that: with a prefix longer by k - 1 tokens, two such sets share k prefix
+tokens; k grows with the set (:func:`shared`).
 
 1. Equal sets fall together first: a set is known by a 64-bit hash of its tokens
    (two different sets of a corpus of 10**10 meet with a chance of a few, and then only as
    a false equality), and all that follows concerns distinct sets.
 2. For each prefix token of the first order that several sets have, the smallest of
-   them is the pivot; a set with at least SHARED such tokens is a member of the
-   clusters of their pivots.  Two sets that share a token share a cluster, so the
+   them is the pivot; a set with enough such tokens is a member of the clusters of
+   their pivots.  Two sets that share a token share a cluster, so the
    clusters replace the pairs: their size is linear in the prefixes.  Postings of heavy
    tokens, as the sketch tells, are salted.
 3. Sets without such company are done.  The others give memberships under the further
-   orders too; a set without company under any of them is done.
+   orders too; a set without company under any of them is done.  Until then only
+   prefixes and ids have moved; now the sets that are left are dealt to their clusters.
 4. In each cluster a central set is compared with all others, and every set that isn't
    linked to it with all sets that it isn't yet connected to, if the pair also shares a
    cluster under each further order (the intersected filters) and by length may link.
@@ -41,18 +42,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import SKETCH, WordHashes, as_long, component_min, mix, shingle_hashes, sketch_levels, sketch_rows, slices, written
+from batchkit.llm.common import SKETCH, WordHashes, as_long, component_min, mix, shingle_hashes, sketch_levels, sketch_rows, slices, tidied, written
 
 WORDS = 5
 #: Least likeness, in hundredths.
 THRESHOLD = 80
 ORDERS = 3
-#: Prefix tokens that linked sets share under each order.  (Sets that must have fewer in common, those of 3 and less,
-#: link with sets of their own size only.)
-SHARED = 4
+#: Prefix tokens that linked sets share under each order: this many, and one more for every SHARED_STEP tokens beyond.
+#: (Sets that must have fewer in common, those of 3 and less, link with sets of their own size only.)
+SHARED, SHARED_STEP = 4, 20
 SKETCH_BITS = 22
 #: Tokens in a cluster, or in a block of a larger one.
 CLUSTER_TOKENS = 1_000_000
@@ -64,8 +65,15 @@ _U = np.uint64
 
 
 def shared(n: int, threshold: int = THRESHOLD) -> int:
-    """How many prefix tokens a set of n shares with any set that it links to."""
-    return min(SHARED, -(-threshold * n // 100))
+    """How many tokens of their prefixes two linked sets share, the smaller of which has n."""
+    return max(min(SHARED, -(-threshold * n // 100)), n // SHARED_STEP)
+
+
+def needed(n: Column, threshold: int = THRESHOLD) -> Column:
+    """:func:`shared` of the smallest set that one of n can link to, as a Column."""
+    part = lambda x: F.call_function("div", threshold * x + 99, F.lit(100))
+    least = part(n)
+    return F.greatest(F.least(F.lit(SHARED), part(least)), F.call_function("div", least, F.lit(SHARED_STEP)))
 
 
 def prefix_length(n: int, threshold: int = THRESHOLD) -> int:
@@ -124,7 +132,7 @@ def sets(docs: DataFrame, kind: str, words: int = WORDS) -> DataFrame:
             m = s.num_rows
             yield pa.RecordBatch.from_arrays([pa.nulls(m, id_type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), s.column(0), s.column(1)], names=["id", "n", "sid", "chunk", "counts"])
 
-    return docs.mapInArrow(run, f"id {kind}, n long, sid long, {SKETCH}")
+    return docs.mapInArrow(tidied(run), f"id {kind}, n long, sid long, {SKETCH}")
 
 
 def _salts(levels: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -133,25 +141,25 @@ def _salts(levels: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def _emit(found: list[tuple[int, int, np.ndarray]], levels: np.ndarray):
-    """Postings of (sid, size of the set, prefix): salts count from 0 for heavy tokens, else tell how many tokens the set must share."""
+    """Postings of (sid, size of the set, prefix): salts count from 0 for heavy tokens; below 0 they keep the smallest sets apart by size."""
     if not found:
         return
     tokens = np.concatenate([p for _, _, p in found])
     lengths = [len(p) for _, _, p in found]
     sid = np.repeat(np.array([s for s, _, _ in found], np.int64), lengths)
-    need = np.repeat(np.array([-shared(n) for _, n, _ in found]), lengths)
+    kind = np.repeat(np.array([-min(n, SHARED) for _, n, _ in found]), lengths)
     salts = _salts(levels, tokens)
-    salt = np.where((salts > 1) & (need == -SHARED), (mix(sid.view(_U)) % salts.astype(_U)).astype(np.int64), need)
+    salt = np.where((salts > 1) & (kind == -SHARED), (mix(sid.view(_U)) % salts.astype(_U)).astype(np.int64), kind)
     yield pa.RecordBatch.from_arrays([pa.array(as_long(tokens)), pa.array(salt.astype(np.int32)), pa.array(sid)], names=["token", "salt", "sid"])
 
 
 POSTINGS = "token long, salt int, sid long"
 
 
-def members(postings: DataFrame, name: str) -> DataFrame:
-    """(pivot, sid): each set that shares enough prefix tokens with others, with those tokens' pivots.
+def members(postings: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
+    """(sid, pivots): each set that shares enough prefix tokens with others, with those tokens' pivots.
 
-    One shuffle of the postings; what only one set has is dropped after it.
+    One shuffle of the postings; what only one set has is dropped after it.  ``sizes`` is (sid, n).
     """
     group = Window.partitionBy("token", "salt")
     held = postings.withColumn("repeat", F.lag("sid").over(group.orderBy("sid")) == F.col("sid")) \
@@ -160,11 +168,10 @@ def members(postings: DataFrame, name: str) -> DataFrame:
     held = written(held.select("token", "salt", "sid", "low"), f"{name}-shared")
     heavy = held.where("salt >= 0")
     of_token = heavy.groupBy("token").agg(F.min("low").alias("pivot"), F.max("sid").alias("high")).where("pivot <> high")
-    both = held.where("salt < 0").select("sid", F.col("low").alias("pivot"), (-F.col("salt")).alias("need")) \
-               .unionByName(heavy.join(of_token, "token").select("sid", "pivot", F.lit(SHARED).alias("need")))
-    per = both.groupBy("sid", "pivot").agg(F.count("*").alias("tokens"), F.max("need").alias("need"))
-    enough = per.groupBy("sid").agg(F.collect_list("pivot").alias("pivots"), F.sum("tokens").alias("tokens"), F.max("need").alias("need")).where("tokens >= need")
-    return written(enough.select("sid", "pivots"), name)
+    both = held.where("salt < 0").select("sid", F.col("low").alias("pivot")).unionByName(heavy.join(of_token, "token").select("sid", "pivot"))
+    per = both.groupBy("sid", "pivot").agg(F.count("*").alias("tokens"))
+    per = per.groupBy("sid").agg(F.collect_list("pivot").alias("pivots"), F.sum("tokens").alias("tokens"))  # fewer pivots than the set has prefix tokens
+    return written(per.join(sizes, "sid").where(F.col("tokens") >= needed(F.col("n"))).select("sid", "pivots"), name)
 
 
 def _overlaps(tokens: np.ndarray, index: tuple[np.ndarray, np.ndarray], rows: int) -> np.ndarray:
@@ -255,9 +262,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
                     found.append((sid, len(tokens), prefix(tokens, levels, 0)))
             yield from _emit(found, levels)
 
-    # the pivots of a set are fewer than its prefix tokens
-    first = members(source.select("text").mapInArrow(first_order, POSTINGS), "jaccard-first")
-    clusters = first.select(F.explode("pivots").alias("pivot"), "sid")
+    sizes = rows.where("sid is not null").groupBy("sid").agg(F.first("n").alias("n"))
+    first = members(source.select("text").mapInArrow(tidied(first_order), POSTINGS), sizes, "jaccard-first")
     company = first.select("sid")
 
     # one document of each set with company; a fixed-size filter of their ids spares the others' texts
@@ -270,7 +276,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         yield sketch_rows(counts)
 
     hashed = F.xxhash64("id")
-    wanted = sc.broadcast(sketch_levels(chosen.where("id is not null").select(hashed.alias("h")).mapInArrow(marks, SKETCH), SKETCH_BITS))
+    wanted = sc.broadcast(sketch_levels(chosen.where("id is not null").select(hashed.alias("h")).mapInArrow(tidied(marks), SKETCH), SKETCH_BITS))
 
     def full_sets(batches):
         hashes, seen, marked = WordHashes(), set(), wanted.value
@@ -284,26 +290,33 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
                     found.append((sid, as_long(tokens)))
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int64()), pa.array([len(t) for _, t in found], pa.int64()), pa.array([t for _, t in found], pa.list_(pa.int64()))], names=["sid", "n", "tokens"])
 
-    candidates = source.select(hashed.alias("h"), F.col("id").isNull().alias("none"), "text").mapInArrow(full_sets, "sid long, n long, tokens array<bigint>")
-    candidates = written(candidates.join(company, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-candidates")
+    # a set may come twice, by an id that repeats or whose hash meets another's; the steps that follow allow for it
+    candidates = source.select(hashed.alias("h"), F.col("id").isNull().alias("none"), "text").mapInArrow(tidied(full_sets), "sid long, n long, tokens array<bigint>")
+    candidates = written(candidates, "jaccard-candidates")
 
-    kept = candidates
+    kept = first.withColumnRenamed("pivots", "pivots0")
     for order in range(1, ORDERS):
         def postings(batches, order=order):
             levels = shared_levels.value
             for b in batches:
                 yield from _emit([(s, len(t.values), prefix(np.asarray(t.values).view(_U), levels, order)) for s, t in zip(b.column("sid").to_pylist(), b.column("tokens"), strict=True)], levels)
 
-        more = members(candidates.select("sid", "tokens").mapInArrow(postings, POSTINGS), f"jaccard-order{order}")
+        more = members(candidates.select("sid", "tokens").mapInArrow(tidied(postings), POSTINGS), sizes, f"jaccard-order{order}")
         kept = kept.join(more.withColumnRenamed("pivots", f"pivots{order}"), "sid")
+    kept = written(kept.join(sizes, "sid"), "jaccard-kept")
 
     # clusters of two and more, cut into blocks by the number of their tokens
-    sized = clusters.join(kept.select("sid", "n"), "sid")
-    blocks = sized.groupBy("pivot").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / cluster_tokens).cast("int").alias("blocks")).where("m > 1").drop("m")
-    placed = clusters.join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")) \
+    clusters = kept.select(F.explode("pivots0").alias("pivot"), "sid", "n")
+    blocks = clusters.groupBy("pivot").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / cluster_tokens).cast("int").alias("blocks")).where("m > 1").drop("m")
+    placed = clusters.drop("n").join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")) \
                      .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
                      .select("pivot", "sid", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    edges = placed.join(kept, "sid").groupBy("pivot", "i", "j").applyInArrow(_cluster, "a long, b long")
+    placed = written(placed.join(kept.drop("pivots0", "n"), "sid"), "jaccard-clusters")
+    # only the sets that a cluster needs move; again a table of fixed size tells which these may be
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_HASHES))
+    slots = F.broadcast(placed.select(slot("sid").alias("slot")).distinct())
+    needed_sets = candidates.withColumn("slot", slot("sid")).join(slots, "slot", "left_semi").select("sid", "tokens")
+    edges = placed.join(needed_sets, "sid").groupBy("pivot", "i", "j").applyInArrow(_cluster, "a long, b long")
     roots = component_min(edges, "jaccard-components")
 
     # the smallest id of each class, then of each component
