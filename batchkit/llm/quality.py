@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from batchkit.llm.common import WordHashes, held_out, slices, tidied
 from batchkit.llm.features import TERMS, all_shape_terms
-from batchkit.llm.toxicity import model_for
+from batchkit.llm.toxicity import sample_for
 
 TRAIN_ROWS = 4000
 DIMENSIONS = 48
@@ -127,7 +127,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 def classify(docs: DataFrame, labels: DataFrame, target: str = "quality") -> DataFrame:
     """(doc_id, held_out, score, predicted): learnt from the labels that aren't held out, applied to every row."""
-    got = score(docs, train(model_for(docs, labels, target, rows=TRAIN_ROWS)))
+    got = score(docs, train(sample_for(docs, labels, target, rows=TRAIN_ROWS)))
     return got.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 

@@ -5,8 +5,8 @@ places.  Each coordinate has its own rate, alpha / (beta + sqrt(sum of squared
 gradients)), and an L1 term keeps most weights at zero, so what is broadcast is a
 short list of (place, weight) within a table of fixed size.
 
-Training reads at most about TRAIN_ROWS labelled rows (a documented bound; the rows
-are chosen by a hash of the id).  Their features are made in parallel; the passes
+Training reads at most about TRAIN_ROWS labelled rows, up to half of them toxic (a
+documented bound; the rows are chosen by a hash of the id).  Their features are made in parallel; the passes
 over them run in one task, whose input that bound limits.  Scoring is a map over
 all documents without a shuffle.
 
@@ -27,7 +27,7 @@ from batchkit.llm.features import word_grams
 
 BITS = 20
 SKIPS = (1, 2)
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 20_000
 PASSES = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 10.0, 0.1
 THRESHOLD = 0.7
@@ -63,7 +63,7 @@ class Ftrl:
 def train(labelled: DataFrame, text: str = "text", label: str = "label", rows: int = TRAIN_ROWS, passes: int = PASSES) -> DataFrame:
     """(place int, weight double): the weights that aren't zero; place 2**BITS is the bias.
 
-    ``labelled`` must already be bounded (see :func:`model_for`).
+    ``labelled`` must already be bounded (see :func:`sample_for`).
     """
     def features(batches):
         words = WordHashes()
@@ -78,22 +78,24 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", rows: i
         model, seen = Ftrl(), []
         for b in batches:
             seen += zip(b.column("label").to_pylist(), (np.asarray(x.values) for x in b.column("at")), strict=True)
-        positive = max(1, sum(y for y, _ in seen))
-        balance = min(4.0, max(1.0, (len(seen) - positive) / positive) ** 0.5)
         for _ in range(passes):
             for y, at in seen:
-                model.step(at, y, balance if y else 1.0)
+                model.step(at, y)
         place, weight = model.sparse()
         yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(weight)], names=["place", "weight"])
 
     return known.repartition(1).sortWithinPartitions("order").mapInArrow(tidied(fit), "place int, weight double")
 
 
-def model_for(docs: DataFrame, labels: DataFrame, target: str, doc_id: str = "doc_id", rows: int = TRAIN_ROWS) -> DataFrame:
-    """The bounded labelled sample: (text, label) of rows that aren't held out."""
+def sample_for(docs: DataFrame, labels: DataFrame, target: str, doc_id: str = "doc_id", rows: int = TRAIN_ROWS, balanced: bool = False) -> DataFrame:
+    """The bounded labelled sample (text, label) of rows that aren't held out; ``balanced``: up to half of each label."""
     known = labels.select(F.col(doc_id).alias("id"), F.col(target).cast("int").alias("label")) \
-                  .where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out("id")).groupBy("id").agg(F.max("label").alias("label"))
-    sample = bounded_sample(written(known, "labels"), rows, 11, "id")
+                  .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("id")).groupBy("id").agg(F.max("label").alias("label"))
+    known = written(known, "labels")
+    if balanced:
+        sample = bounded_sample(known.where("label = 1"), rows // 2, 11, "id").unionByName(bounded_sample(known.where("label = 0"), rows // 2, 11, "id"))
+    else:
+        sample = bounded_sample(known, rows, 11, "id")
     # the ids of the sample are bounded by ``rows``: small enough to be sent to where the texts are read
     return docs.select(F.col(doc_id).alias("id"), "text").join(F.broadcast(sample), "id").select("text", "label")
 
@@ -121,5 +123,5 @@ def score(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str
 
 def classify(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted): learnt from the labels that aren't held out, applied to every row."""
-    got = score(docs, train(model_for(docs, labels, target)))
+    got = score(docs, train(sample_for(docs, labels, target, balanced=True)))
     return got.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")

@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from batchkit.llm import bpe, jaccard, mixing, quality, secrets
 from batchkit.llm.common import read, written
-from batchkit.llm.toxicity import model_for
+from batchkit.llm.toxicity import sample_for
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels")
-    return quality.accepted(docs, quality.train(model_for(docs, labels, "quality", rows=quality.TRAIN_ROWS)))
+    return quality.accepted(docs, quality.train(sample_for(docs, labels, "quality", rows=quality.TRAIN_ROWS)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
