@@ -53,7 +53,7 @@ THRESHOLD = 80
 ORDERS = 3
 #: Prefix tokens that linked sets share under each order: this many, and one more for every SHARED_STEP tokens beyond.
 #: (Sets that must have fewer in common, those of 3 and less, link with sets of their own size only.)
-SHARED, SHARED_STEP = 4, 20
+SHARED, SHARED_STEP = 4, 10
 SKETCH_BITS = 22
 #: Tokens in a cluster, or in a block of a larger one.
 CLUSTER_TOKENS = 1_000_000
@@ -165,7 +165,7 @@ def members(postings: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
     held = postings.withColumn("repeat", F.lag("sid").over(group.orderBy("sid")) == F.col("sid")) \
                    .withColumn("low", F.min("sid").over(group)).withColumn("high", F.max("sid").over(group)) \
                    .where("not coalesce(repeat, false) and (salt >= 0 or low <> high)")
-    held = written(held.select("token", "salt", "sid", "low"), f"{name}-shared")
+    held = written(held.select(F.when(F.col("salt") >= 0, F.col("token")).alias("token"), "salt", "sid", "low"), f"{name}-shared")
     heavy = held.where("salt >= 0")
     of_token = heavy.groupBy("token").agg(F.min("low").alias("pivot"), F.max("sid").alias("high")).where("pivot <> high")
     both = held.where("salt < 0").select("sid", F.col("low").alias("pivot")).unionByName(heavy.join(of_token, "token").select("sid", "pivot"))
