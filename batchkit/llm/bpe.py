@@ -110,14 +110,17 @@ def most_frequent(table: DataFrame, words: int = LOOKUP_WORDS, ids: int = LOOKUP
     return table.where(step >= least), whole
 
 
+_DIGEST = np.dtype([("key", "<u8"), ("check", "<u4"), ("rest", "<u4")])
+
+
 def word_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key of each word and a second, independent one of 32 bits."""
-    return (np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)),
-            np.fromiter((xxhash.xxh32_intdigest(w, 1) for w in words), np.uint32, len(words)))
+    """A 64-bit key of each word and 32 more bits to check it."""
+    digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), _DIGEST)
+    return digests["key"].copy(), digests["check"].copy()
 
 
 class Lookup:
-    """Words by their keys, sorted, with their ids in one array."""
+    """Words by their keys, sorted, with their ids in one array of 16 (or 32) bits each."""
 
     def __init__(self, keys: np.ndarray, checks: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
         order = np.argsort(keys)
@@ -148,14 +151,20 @@ class Lookup:
         return cls(join("k", np.uint64), join("c", np.uint32), join("s", np.uint32), np.concatenate([np.zeros(0, np.uint16), *ids]))
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
-        """The ids of each word as little-endian 32-bit integers, or None."""
-        if not len(self.keys):
+        """The ids of each word as bytes of the array's own width, or None."""
+        if not len(self.keys) or not words:
             return [None] * len(words)
         keys, checks = word_keys(words)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         good = (self.keys[at] == keys) & (self.checks[at] == checks)
-        starts, sizes = self.starts[at].astype(np.int64), self.sizes[at].astype(np.int64)
-        return [self.ids[a:a + n].astype("<u4").tobytes() if g else None for g, a, n in zip(good.tolist(), starts.tolist(), sizes.tolist(), strict=True)]
+        width, data = self.ids.itemsize, memoryview(self.ids).cast("B")
+        starts = self.starts[at].astype(np.int64) * width
+        ends = starts + self.sizes[at].astype(np.int64) * width
+        return [bytes(data[a:z]) if g else None for g, a, z in zip(good.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+
+    def widen(self, parts: list[bytes]) -> bytes:
+        """Ids found as little-endian 32-bit integers."""
+        return np.frombuffer(b"".join(parts), self.ids.dtype).astype("<u4").tobytes()
 
 
 class Places:
@@ -177,10 +186,10 @@ class Places:
             for words in listed:
                 ids = list(map(self.memo.__getitem__, words))
                 if None not in ids:
-                    out.append(([b"".join(ids)], []))
+                    out.append(([self.lookup.widen(ids)], []))
                     continue
                 holes = [k for k, x in enumerate(ids) if x is None]
-                gaps = [b"".join(ids[a + 1:b]) for a, b in zip([-1, *holes], [*holes, len(ids)], strict=True)]
+                gaps = [self.lookup.widen(ids[a + 1:b]) for a, b in zip([-1, *holes], [*holes, len(ids)], strict=True)]
                 out.append((gaps, [words[k] for k in holes]))
         return out
 
