@@ -50,10 +50,10 @@ def test_partition_index_two_partitions(spark):
 
 
 def test_broadcast_filter(spark):
-    words = spark.createDataFrame([(w,) for w in ["hello spark", "hello scala", "hello java", "hi", "yo"]], "w string")
-    luck = spark.createDataFrame([("hello spark",), ("hello scala",)], "w string")
-    out = joins.broadcast_semi(words, luck, "w")
-    assert sorted(r["w"] for r in out.collect()) == ["hello scala", "hello spark"]
+    words = spark.createDataFrame([(w,) for w in ["ebb tide", "flood tide", "slack water", "calm", "gale"]], "w string")
+    wanted = spark.createDataFrame([("ebb tide",), ("calm",)], "w string")
+    out = joins.broadcast_semi(words, wanted, "w")
+    assert sorted(r["w"] for r in out.collect()) == ["calm", "ebb tide"]
     assert "BroadcastHashJoin" in physical_plan(out)
 
 
