@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import slices, tidied, tidy, written
+from batchkit.llm.common import mapped, slices, tidy, written
 
 #: Bounds of the broadcast lookup: 12 bytes a word and 2 an id (4 if the vocabulary is larger than 65,536).
 LOOKUP_WORDS = 6_000_000
@@ -81,7 +81,7 @@ def _count_words(batches):
 
 def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """(word binary, n long, ids binary): each distinct word with its count and its ids as little-endian 32-bit integers."""
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(tidied(_count_words), "word binary, n long") \
+    counts = docs.select(F.col(text).alias("text")).transform(mapped, _count_words, "word binary, n long") \
                  .groupBy("word").agg(F.sum("n").alias("n"))
 
     def encode(batches):
@@ -94,7 +94,7 @@ def word_table(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
                 ids += [np.array(e.ids, "<u4").tobytes() for e in got]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
-    return written(counts.mapInArrow(tidied(encode), "word binary, n long, ids binary"), "bpe-words")
+    return written(counts.transform(mapped, encode, "word binary, n long, ids binary"), "bpe-words")
 
 
 def most_frequent(table: DataFrame, words: int = LOOKUP_WORDS, ids: int = LOOKUP_IDS) -> tuple[DataFrame, bool]:
@@ -124,9 +124,15 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, checks: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
         order = np.argsort(keys)
-        starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        self.keys, self.checks, self.ids = keys[order], checks[order], ids
-        self.starts, self.sizes = starts[:-1][order].astype(np.uint32), sizes[order].astype(np.uint32)
+        begin = (np.cumsum(sizes, dtype=np.int64) - sizes)[order]
+        sizes = sizes[order].astype(np.int64)
+        self.keys, self.checks = keys[order], checks[order]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.uint32)
+        self.ids = np.empty(len(ids), ids.dtype)
+        for i in range(0, len(order), 1 << 18):  # the ids in the order of the keys, some words at a time
+            n = sizes[i:i + (1 << 18)]
+            at = np.repeat(begin[i:i + (1 << 18)] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            self.ids[self.starts[i]:self.starts[i] + len(at)] = ids[at]
 
     @classmethod
     def load(cls, arrays: dict) -> Lookup:
@@ -145,10 +151,12 @@ class Lookup:
                 parts = (keys, checks, np.array([len(x) for x in ids], np.uint32), flat.astype(np.uint16) if flat.max(initial=0) < 1 << 16 else flat)
                 yield pa.RecordBatch.from_arrays([*(pa.array([x.tobytes()], pa.binary()) for x in parts), pa.array([parts[3].itemsize], pa.int32())], names=["k", "c", "s", "i", "width"])
 
-        got = table.select("word", "ids").mapInArrow(tidied(pack), "k binary, c binary, s binary, i binary, width int").toArrow()
+        got = table.select("word", "ids").transform(mapped, pack, "k binary, c binary, s binary, i binary, width int").toArrow()
         join = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in got.column(name))])
-        ids = [np.frombuffer(x.as_buffer(), np.uint16 if w.as_py() == 2 else "<u4") for x, w in zip(got.column("i"), got.column("width"), strict=True)]
-        return cls(join("k", np.uint64), join("c", np.uint32), join("s", np.uint32), np.concatenate([np.zeros(0, np.uint16), *ids]))
+        ids = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(x.as_buffer(), np.uint16 if w.as_py() == 2 else "<u4") for x, w in zip(got.column("i"), got.column("width"), strict=True))])
+        parts = join("k", np.uint64), join("c", np.uint32), join("s", np.uint32)
+        del got
+        return cls(*parts, ids)
 
     def find(self, words: list[bytes]) -> list[bytes | None]:
         """The ids of each word as bytes of the array's own width, or None."""
@@ -158,8 +166,7 @@ class Lookup:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         good = (self.keys[at] == keys) & (self.checks[at] == checks)
         width, data = self.ids.itemsize, memoryview(self.ids).cast("B")
-        starts = self.starts[at].astype(np.int64) * width
-        ends = starts + self.sizes[at].astype(np.int64) * width
+        starts, ends = self.starts[at].astype(np.int64) * width, self.starts[at + 1].astype(np.int64) * width
         return [bytes(data[a:z]) if g else None for g, a, z in zip(good.tolist(), starts.tolist(), ends.tolist(), strict=True)]
 
     def widen(self, parts: list[bytes]) -> bytes:
@@ -227,7 +234,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id
             del places
             tidy(lookup)
 
-        return source.mapInArrow(tidied(place), f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
+        return source.transform(mapped, place, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
 
     def parts(batches):
         places = Places(Lookup.load(lookup.value))
@@ -243,11 +250,11 @@ def encode(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id
             ids = [b"".join([x for pair in zip(gaps, [*(got or []), b""], strict=True) for x in pair]) for gaps, got in zip(b.column("gaps").to_pylist(), b.column("found").to_pylist(), strict=True)]
             yield finished(b.column("id"), ids, done)
 
-    placed = written(source.mapInArrow(tidied(parts), f"id {kind}, gaps array<binary>, missing array<binary>").withColumn("row", F.monotonically_increasing_id()), "bpe-placed")
+    placed = written(source.transform(mapped, parts, f"id {kind}, gaps array<binary>, missing array<binary>").withColumn("row", F.monotonically_increasing_id()), "bpe-placed")
     found = placed.select("row", F.posexplode("missing").alias("pos", "word")).join(table.select("word", "ids"), "word") \
                   .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("found"))  # the words of one text
     return placed.join(found, "row", "left").select("id", "gaps", F.transform("found", lambda x: x["ids"]).alias("found")) \
-                 .mapInArrow(tidied(fill), f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
+                 .transform(mapped, fill, f"id {kind}, {columns}").withColumnRenamed("id", doc_id)
 
 
 def pieces(spark, vocabulary: str | None = None) -> DataFrame:
@@ -283,7 +290,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, ids: str = "ids",
             texts = [join_pieces(shared.value, x) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, out])
 
-    return encoded.mapInArrow(tidied(join), schema)
+    return encoded.transform(mapped, join, schema)
 
 
 def digest(docs: DataFrame, vocabulary: str | None = None, **options) -> DataFrame:

@@ -88,6 +88,19 @@ def tidied(run):
     return wrapped
 
 
+#: Rows in an Arrow batch at most: texts are long, and a batch is held several times over.
+TEXT_ROWS = 1000
+
+
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """``df`` through a kernel over Arrow batches; the session's batch size is lowered to TEXT_ROWS if it is larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+    return df.mapInArrow(tidied(run), schema)
+
+
 class Powers:
     """Powers of an odd base and of its inverse modulo 2**64, as far as the longest piece so far needs."""
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import Powers, mix, slices, tidied, written
+from batchkit.llm.common import Powers, mapped, mix, slices, written
 from batchkit.llm.suffixes import equal_prefixes, suffix_order
 
 WIDTH = 100
@@ -190,7 +190,7 @@ def _id_table(rows: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame) -> DataFrame:
     """(d, first, last): ranges of starts of windows to remove, for ``docs`` (d, text)."""
-    rows = docs.mapInArrow(tidied(_contexts), ROWS)
+    rows = docs.transform(mapped, _contexts, ROWS)
     rows = written(rows, "dedup-contexts")
     settled = rows.where("settled").select("d", "first", "last")
     dealt = rows.where("not settled").select("anchor", "context", "d", "place", "first", "last").repartition("anchor")
@@ -226,7 +226,7 @@ def spans(docs: DataFrame) -> DataFrame:
             for i in range(0, len(out), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i:i + 20_000], strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "d", "first", "count", "bytes"])
 
-    sorted_ = texts.select("d", "text", "at").mapInArrow(tidied(cut), "bucket long, d long, first long, count long, bytes binary") \
+    sorted_ = texts.select("d", "text", "at").transform(mapped, cut, "bucket long, d long, first long, count long, bytes binary") \
                    .repartition(int(max(1, buckets // BUCKETS_PER_TASK)), "bucket").groupBy("bucket").applyInArrow(_sorted_bucket, "d long, first long, last long")
     return written(settled.unionByName(sorted_), "dedup-spans")
 
@@ -269,7 +269,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                 c = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c[0], b.column("id").type), *(pa.array(x, pa.int64()) for x in c[1:4]), pa.array(c[4])], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    cut_ = rest.mapInArrow(tidied(cut), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cut_ = rest.transform(mapped, cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return clean.unionByName(cut_).withColumnRenamed("id", doc_id)
 
 

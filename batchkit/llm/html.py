@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import slices, tidied
+from batchkit.llm.common import mapped, slices
 
 #: Lines in a window: as many empty lines end a region.
 WINDOW = 3
@@ -200,5 +200,5 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     got = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")) \
-               .mapInArrow(tidied(run), f"page_id {kinds[page_id]}, url {kinds[url]}, text string")
+               .transform(mapped, run, f"page_id {kinds[page_id]}, url {kinds[url]}, text string")
     return got.withColumn("n_chars", F.length("text").cast("long"))

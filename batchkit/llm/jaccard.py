@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import SKETCH, WordHashes, as_long, component_min, mix, shingle_hashes, sketch_levels, sketch_rows, slices, tidied, written
+from batchkit.llm.common import SKETCH, WordHashes, as_long, component_min, mapped, mix, shingle_hashes, sketch_levels, sketch_rows, slices, written
 
 WORDS = 5
 #: Least likeness, in hundredths.
@@ -132,7 +132,7 @@ def sets(docs: DataFrame, kind: str, words: int = WORDS) -> DataFrame:
             m = s.num_rows
             yield pa.RecordBatch.from_arrays([pa.nulls(m, id_type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), s.column(0), s.column(1)], names=["id", "n", "sid", "chunk", "counts"])
 
-    return docs.mapInArrow(tidied(run), f"id {kind}, n long, sid long, {SKETCH}")
+    return docs.transform(mapped, run, f"id {kind}, n long, sid long, {SKETCH}")
 
 
 def _salts(levels: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -263,7 +263,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
             yield from _emit(found, levels)
 
     sizes = rows.where("sid is not null").groupBy("sid").agg(F.first("n").alias("n"))
-    first = members(source.select("text").mapInArrow(tidied(first_order), POSTINGS), sizes, "jaccard-first")
+    first = members(source.select("text").transform(mapped, first_order, POSTINGS), sizes, "jaccard-first")
     company = first.select("sid")
 
     # one document of each set with company; a fixed-size filter of their ids spares the others' texts
@@ -276,7 +276,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         yield sketch_rows(counts)
 
     hashed = F.xxhash64("id")
-    wanted = sc.broadcast(sketch_levels(chosen.where("id is not null").select(hashed.alias("h")).mapInArrow(tidied(marks), SKETCH), SKETCH_BITS))
+    wanted = sc.broadcast(sketch_levels(chosen.where("id is not null").select(hashed.alias("h")).transform(mapped, marks, SKETCH), SKETCH_BITS))
 
     def full_sets(batches):
         hashes, seen, marked = WordHashes(), set(), wanted.value
@@ -291,7 +291,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int64()), pa.array([len(t) for _, t in found], pa.int64()), pa.array([t for _, t in found], pa.list_(pa.int64()))], names=["sid", "n", "tokens"])
 
     # a set may come twice, by an id that repeats or whose hash meets another's; the steps that follow allow for it
-    candidates = source.select(hashed.alias("h"), F.col("id").isNull().alias("none"), "text").mapInArrow(tidied(full_sets), "sid long, n long, tokens array<bigint>")
+    candidates = source.select(hashed.alias("h"), F.col("id").isNull().alias("none"), "text").transform(mapped, full_sets, "sid long, n long, tokens array<bigint>")
     candidates = written(candidates, "jaccard-candidates")
 
     kept = first.withColumnRenamed("pivots", "pivots0")
@@ -301,7 +301,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
             for b in batches:
                 yield from _emit([(s, len(t.values), prefix(np.asarray(t.values).view(_U), levels, order)) for s, t in zip(b.column("sid").to_pylist(), b.column("tokens"), strict=True)], levels)
 
-        more = members(candidates.select("sid", "tokens").mapInArrow(tidied(postings), POSTINGS), sizes, f"jaccard-order{order}")
+        more = members(candidates.select("sid", "tokens").transform(mapped, postings, POSTINGS), sizes, f"jaccard-order{order}")
         kept = kept.join(more.withColumnRenamed("pivots", f"pivots{order}"), "sid")
     kept = written(kept.join(sizes, "sid"), "jaccard-kept")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import WordHashes, held_out, slices, tidied
+from batchkit.llm.common import WordHashes, held_out, mapped, slices
 from batchkit.llm.features import TERMS, all_shape_terms
 from batchkit.llm.toxicity import sample_for
 
@@ -102,7 +102,7 @@ def train(labelled: DataFrame) -> Model:
                                              names=["label", "order", "at", "w"])
 
     got = labelled.select("text", F.col("label").cast("int").alias("label")).where("label in (0, 1)").withColumn("order", F.xxhash64(F.lit(7), "text")) \
-                  .mapInArrow(tidied(terms), "label int, order long, at array<smallint>, w array<float>").toArrow().sort_by("order")
+                  .transform(mapped, terms, "label int, order long, at array<smallint>, w array<float>").toArrow().sort_by("order")
     rows = [(np.asarray(a.values).astype(np.int64), np.asarray(w.values)) for a, w in zip(got.column("at"), got.column("w"), strict=True)]
     return Model(rows, got.column("label").to_numpy().astype(np.int64))
 
@@ -121,7 +121,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 scores.append(model.score(all_shape_terms(texts[i:i + BLOCK], words)))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())], names=["id", "score"])
 
-    scored = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(tidied(run), f"id {kind}, score double")
+    scored = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).transform(mapped, run, f"id {kind}, score double")
     return scored.select(F.col("id").alias(doc_id), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -142,4 +142,4 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float
             scores = [model.score(all_shape_terms(texts[i:i + BLOCK], words)) for i in range(0, len(texts), BLOCK)]
             yield b.filter(pa.array(np.concatenate(scores) >= threshold)) if scores else b
 
-    return docs.mapInArrow(tidied(run), docs.schema)
+    return docs.transform(mapped, run, docs.schema)

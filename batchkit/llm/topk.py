@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import tidied
+from batchkit.llm.common import mapped
 
 K = 5
 #: Vectors in a block of candidates, and about as many as these in a block of queries.
@@ -108,7 +108,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     blocks = max(1, -(-n // query_rows))
     queries = base.where("q").select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("qb")) \
                   .groupBy("qb").agg(F.collect_list(F.struct("id", "v")).alias("queries"))  # about query_rows each
-    parts = base.select("id", "v").mapInArrow(tidied(_pack(block_rows, "c")), packed)
+    parts = base.select("id", "v").transform(mapped, _pack(block_rows, "c"), packed)
     met = parts.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))) \
                .withColumn("part", F.xxhash64(F.col("ids")[0], "qb")) \
                .join(queries, "qb").repartition("part")
@@ -129,7 +129,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], names=["query_id", "vec_id", "score"])
 
-    found = met.select("ids", "lengths", "flat", "queries").mapInArrow(tidied(run), "query_id long, vec_id long, score long")
+    found = met.select("ids", "lengths", "flat", "queries").transform(mapped, run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

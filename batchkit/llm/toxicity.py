@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import WordHashes, bounded_sample, held_out, slices, tidied, written
+from batchkit.llm.common import WordHashes, bounded_sample, held_out, mapped, slices, written
 from batchkit.llm.features import word_grams
 
 BITS = 20
@@ -72,7 +72,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", rows: i
             yield pa.RecordBatch.from_arrays([b.column("label"), b.column("order"), pa.array(at, pa.list_(pa.int32()))], names=["label", "order", "at"])
 
     known = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1)") \
-                    .withColumn("order", F.xxhash64(F.lit(7), "text")).mapInArrow(tidied(features), "label int, order long, at array<int>")
+                    .withColumn("order", F.xxhash64(F.lit(7), "text")).transform(mapped, features, "label int, order long, at array<int>")
 
     def fit(batches):
         model, seen = Ftrl(), []
@@ -84,7 +84,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", rows: i
         place, weight = model.sparse()
         yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(weight)], names=["place", "weight"])
 
-    return known.repartition(1).sortWithinPartitions("order").mapInArrow(tidied(fit), "place int, weight double")
+    return known.repartition(1).sortWithinPartitions("order").transform(mapped, fit, "place int, weight double")
 
 
 def sample_for(docs: DataFrame, labels: DataFrame, target: str, doc_id: str = "doc_id", rows: int = TRAIN_ROWS, balanced: bool = False) -> DataFrame:
@@ -117,7 +117,7 @@ def score(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str
             sums = np.array([full[word_grams(h, BITS, SKIPS)].sum() for h, _ in words.many(b.column("text").to_pylist())], float) + full[-1]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(1 / (1 + np.exp(-np.clip(sums, -35, 35))))], names=["id", "score"])
 
-    scored = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(tidied(run), f"id {kind}, score double")
+    scored = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).transform(mapped, run, f"id {kind}, score double")
     return scored.select(F.col("id").alias(doc_id), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import mix, slices, tidied
+from batchkit.llm.common import mapped, mix, slices
 
 K = 20
 W = 80
@@ -116,7 +116,7 @@ def fingerprints(docs: DataFrame, text: str = "text", k: int = K, w: int = W) ->
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([p for p, _ in found], pa.list_(pa.int64())), pa.array([h.astype(np.int64) for _, h in found], pa.list_(pa.int64()))],
                                              names=[*b.schema.names, "positions", "hashes"])
 
-    return docs.mapInArrow(tidied(run), schema)
+    return docs.transform(mapped, run, schema)
 
 
 def edited(text: str, following: str) -> str:
@@ -180,7 +180,7 @@ def edited_neighbours(docs: DataFrame, kernel, schema: str, doc_id: str = "doc_i
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
                 out = []
 
-    return dealt.mapInArrow(tidied(run), schema)
+    return dealt.transform(mapped, run, schema)
 
 
 def _arrow_types(schema: str) -> list[pa.DataType]:
