@@ -15,8 +15,10 @@ only the suffixes that can have a partner, dealt to tasks by content:
    bucket's suffixes are sorted by difference cover (:mod:`batchkit.llm.suffixes`):
    sampled triples, recursion on their names, a merge with the remaining suffixes.
    Neighbours in that order are compared over WIDTH bytes; of each run of equals all
-   but the earliest start are removed.  An anchor with more than HEAVY contexts is
-   dealt by the content of its single windows instead, so that no bucket grows with it.
+   but the earliest start are removed.  The windows of an anchor with more than HEAVY
+   contexts go to no bucket: they are settled one by one by a digest of 128 bits, as
+   contexts are, first within a task and then over all, so that what very many documents
+   share between different texts is one row a task.
 4. Spans go back to the texts.  A document without any is digested where it is read;
    which ones may have some is told by a table of id hashes of fixed size.
 
@@ -41,7 +43,7 @@ from batchkit.llm.suffixes import equal_prefixes, suffix_order
 
 WIDTH = 100
 GRAM = 36
-#: Contexts settled in a task at a time.
+#: Contexts, or windows of heavy anchors, settled in a task at a time.
 SETTLED = 1 << 20
 #: Bytes of context in a bucket, about.
 BUCKET_BYTES = 1 << 18
@@ -152,6 +154,46 @@ def merged(d: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarr
     return d[starts], first[starts], np.append(far[starts[1:] - 1], far[-1])
 
 
+WINDOWS = "high long, low long, d long, first long, last long, settled boolean"
+
+
+def _windows(batches):
+    """The windows of a partition's texts in the ranges ``at``, by digest; of those that recur within about SETTLED all but the earliest are marked as settled."""
+    digests, d, first = [], [], []
+
+    def out():
+        h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        doc, start = np.array(d, np.int64), np.array(first, np.int64)
+        order = np.lexsort((start, doc, h[:, 1], h[:, 0]))
+        h, doc, start = h[order], doc[order], start[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]).any(axis=1)])
+        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+        settled = (doc != doc[lead]) | (start != start[lead])
+        # as in _contexts, what is settled needs no digests, only the spans
+        gone = merged(doc[settled], start[settled], start[settled])
+        none = np.zeros(len(gone[0]), np.int64)
+        for columns, flag in (((h[~settled, 0], h[~settled, 1], doc[~settled], start[~settled], start[~settled]), False), ((none, none, *gone), True)):
+            for i in range(0, len(columns[0]), 1 << 16):
+                part = [pa.array(c[i:i + (1 << 16)]) for c in columns]
+                yield pa.RecordBatch.from_arrays([*part, pa.array(np.full(len(part[0]), flag))], names=["high", "low", "d", "first", "last", "settled"])
+
+    for b in slices(batches):
+        for doc, text, at in zip(b.column("d").to_pylist(), b.column("text").to_pylist(), b.column("at").to_pylist(), strict=True):
+            raw = (text or "").encode("utf-8", "surrogatepass")
+            for x in at:
+                if x["last"] + WIDTH > len(raw):
+                    continue  # another version of the document
+                for s in range(x["first"], x["last"] + 1):
+                    digests.append(hashlib.blake2b(raw[s:s + WIDTH], digest_size=16).digest())
+                    d.append(doc)
+                    first.append(s)
+                if len(d) > SETTLED:
+                    yield from out()
+                    digests, d, first = [], [], []
+    if d:
+        yield from out()
+
+
 def repeated_starts(d: np.ndarray, first: np.ndarray, count: np.ndarray, contexts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges of starts of windows that also start earlier, among ``contexts``.
 
@@ -202,11 +244,17 @@ def spans(docs: DataFrame) -> DataFrame:
     open_ = dealt.where("rank = 1 and kinds")
     total = open_.agg(F.sum(F.col("last") - F.col("first") + WIDTH)).first()[0] or 0
     buckets = max(1, total // BUCKET_BYTES)
-    heavy = open_.groupBy("anchor").count().where(F.col("count") > HEAVY).select("anchor", F.lit(True).alias("heavy"))
-    wanted = open_.join(heavy, "anchor", "left").groupBy("d").agg(F.collect_list(F.struct(
-        F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"), "first", "last", F.coalesce("heavy", F.lit(False)).alias("heavy"))).alias("at"))  # the anchors of one text
-    wanted = written(wanted, "dedup-wanted")
-    texts = docs.withColumn("slot", F.pmod(F.xxhash64("d"), F.lit(ID_HASHES))).join(_id_table(wanted), "slot", "left_semi").drop("slot").join(wanted, "d")
+    heavy = open_.groupBy("anchor").count().where(F.col("count") > HEAVY).select("anchor")
+    def texts(contexts, name):
+        """(d, text, at) of the documents with ``contexts``, at being those of one text."""
+        at = F.struct(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"), "first", "last")
+        wanted = written(contexts.groupBy("d").agg(F.collect_list(at).alias("at")), name)
+        return docs.withColumn("slot", F.pmod(F.xxhash64("d"), F.lit(ID_HASHES))).join(_id_table(wanted), "slot", "left_semi").drop("slot").join(wanted, "d").select("d", "text", "at")
+
+    windows = written(texts(open_.join(heavy, "anchor", "left_semi"), "dedup-heavy").transform(mapped, _windows, WINDOWS), "dedup-windows")
+    rank = F.rank().over(Window.partitionBy("high", "low").orderBy("d", "first"))
+    again = windows.where("not settled").withColumn("rank", rank).where("rank > 1")
+    settled = settled.unionByName(windows.where("settled").unionByName(again.drop("rank")).select("d", "first", "last"))
 
     def cut(batches):
         for b in slices(batches):
@@ -217,16 +265,11 @@ def spans(docs: DataFrame) -> DataFrame:
                     a, z = x["first"], x["last"]
                     if z + WIDTH > len(raw):
                         continue  # another version of the document
-                    if not x["heavy"]:
-                        out.append((x["bucket"], d, a, z - a + 1, raw[a:z + WIDTH]))
-                    else:
-                        for s in range(a, z + 1):
-                            w = raw[s:s + WIDTH]
-                            out.append((int.from_bytes(hashlib.blake2b(w, digest_size=7).digest()) % buckets, d, s, 1, w))
+                    out.append((x["bucket"], d, a, z - a + 1, raw[a:z + WIDTH]))
             for i in range(0, len(out), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i:i + 20_000], strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "d", "first", "count", "bytes"])
 
-    sorted_ = texts.select("d", "text", "at").transform(mapped, cut, "bucket long, d long, first long, count long, bytes binary") \
+    sorted_ = texts(open_.join(heavy, "anchor", "left_anti"), "dedup-wanted").transform(mapped, cut, "bucket long, d long, first long, count long, bytes binary") \
                    .repartition(int(max(1, buckets // BUCKETS_PER_TASK)), "bucket").groupBy("bucket").applyInArrow(_sorted_bucket, "d long, first long, last long")
     return written(settled.unionByName(sorted_), "dedup-spans")
 

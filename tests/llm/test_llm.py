@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -342,6 +343,28 @@ def test_dedup_against_brute_force(spark, monkeypatch, heavy, none):
     assert dedup.dedup(none).collect() == []
 
 
+def test_dedup_of_a_passage_between_different_texts_fills_no_bucket(spark, monkeypatch):
+    # the contexts at the passage's edges all differ, but most of their windows are the same in all documents
+    monkeypatch.setattr(dedup, "HEAVY", 20)
+    sort, passage = dedup._sorted_bucket, prose(60, 78)
+
+    def few(table):
+        if table.num_rows > 100:
+            raise ValueError(f"{table.num_rows} rows in one bucket")
+        return sort(table)
+
+    monkeypatch.setattr(dedup, "_sorted_bucket", few)
+    rows = [(k, prose(30, 3000 + k) + passage + prose(30, 4000 + k), "a") for k in range(150)]
+    want = brute_dedup(rows)
+    assert sorted(map(tuple, dedup.dedup(docs_of(spark, rows).repartition(3)).collect())) == sorted(want.values())
+    # a task keeps one row of each window
+    at = [{"first": 0, "last": 30}]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array([passage] * 50), pa.array([at] * 50)], names=["d", "text", "at"])
+    got = pa.Table.from_batches(dedup._windows([batch])).to_pylist()
+    assert [(x["d"], x["first"]) for x in sorted((x for x in got if not x["settled"]), key=lambda x: x["first"])] == [(0, s) for s in range(31)]
+    assert [(x["d"], x["first"], x["last"]) for x in got if x["settled"]] == [(d, 0, 30) for d in range(1, 50)]
+
+
 # ---------------------------------------------------------------- 8 top-k
 def test_topk_against_brute_force(spark):
     r = np.random.default_rng(1)
