@@ -3,7 +3,10 @@
 1. Markup is stripped: comments, scripts, styles and other unseen elements go, a
    block-level tag ends a line, inline tags go without a trace.  Elements that are
    furniture by their tag, role or class (menus, headers, footers, sidebars,
-   notices, adverts, forms, reader comments) leave empty lines in their place.
+   notices, adverts, forms, reader comments) leave empty lines in their place.  What
+   holds the page's principal article (that with the most text outside articles within
+   it) is no furniture by its class or id; an article within an article or in a block of
+   comments, related texts or adverts is never the principal one.
 2. A line's length is the number of its characters once references are decoded.
    Sums over sliding windows of WINDOW lines rise where text begins (a surge) and
    fall to nothing where it ends (a dive).
@@ -42,6 +45,10 @@ _NAMES = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|"
     r"notice|alert|cookies?|consent|gdpr|popup|modal|overlay|comments?|commentlist|replies|reply|respond|disqus|share|sharing|social|related|recommended|newsletter|"
     r"subscribe|signup|login|search|pagination|pager|toolbar|copyright|legal|disclaimer)(?=$|[\s_-]|\d)", re.I)
+#: Class words and ids of blocks whose articles are comments, teasers and adverts, also of such an article itself; not those that tell a state or a topic.
+_APART = re.compile(
+    r"(?:^|\s)(?!(?:has|no|with|without|is|category|tag|topic)[_-])(?:[\w-]*[_-])?(?:comments?|commentlist|replies|reply|respond|disqus|related|recommended|teasers?|ads?|adverts?|advertisement|sponsor(?:ed)?|promo)"
+    r"(?:[_-](?!(?:open|closed|enabled|disabled|on|off)(?=$|\s))[\w-]*)?(?=$|\s)", re.I)
 _ROLES = re.compile(r"(?:navigation|banner|contentinfo|complementary|search|form|alert|dialog|menu|menubar)$", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -50,10 +57,16 @@ _TOKEN = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _BLANK = re.compile(r"\s+")
+#: Block elements that hold lines only, and so are no containers.
+_LINES = set("p h1 h2 h3 h4 h5 h6 pre li dt dd".split())
 #: An end tag closes elements left open inside it, but never beyond one of these.
 _CLOSES = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
+def _apart(attrs: str) -> bool:
+    return any(name.lower() in ("class", "id") and _APART.search(a or b or c) for name, a, b, c in (_ATTR.findall(attrs) if attrs else ()))
+
+
 def _furniture(tag: str, attrs: str, inside_article: bool) -> bool:
     if tag in _FURNITURE and not (tag == "header" and inside_article):
         return True
@@ -65,31 +78,47 @@ def _furniture(tag: str, attrs: str, inside_article: bool) -> bool:
             found = {m.strip(" \t\r\n_-").lower() for m in _NAMES.findall(value)}
             if found - ({"header", "masthead"} if inside_article else set()):  # an article's own header holds its title
                 return True
+        if tag == "article" and name in ("class", "id") and _APART.search(value):
+            return True
         if name == "hidden" and tag not in ("body", "html") or name == "aria-hidden" and value.lower() == "true":
             return True
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, region mark, furniture) per line: the mark is 2 within an article, 1 within main, else 0."""
-    out: list[tuple[str, int, bool]] = []
+def lines(page: str) -> list[tuple[str, int, bool, int]]:
+    """(text, region mark, furniture, part) per line: the mark is 2 within an article, 1 within main, else 0; the part is the outermost container below body, 0 for body itself."""
+    out: list[tuple[str, int, tuple[int, ...], int]] = []  # furniture as the numbers of the open elements that are
     text: list[str] = []
-    stack: list[tuple[str, bool]] = []  # open elements that matter: (tag, furniture)
-    bad = article = main = 0
+    stack: list[tuple[str, bool, int]] = []  # open elements that matter: (tag, furniture, number)
+    marked: tuple[int, ...] = ()  # numbers of the open furniture
+    by_tag: set[int] = set()  # furniture whatever it holds
+    apart: set[int] = set()
+    containers: set[int] = set()
+    holders: dict[int, list] = {}  # articles and mains: [tag, open furniture with itself, nested in an article, characters]
+    count = article = main = 0
     at, n = 0, len(page)
 
-    def flush(blank: bool = False):
+    def row(s: str, bad: tuple[int, ...]):
+        part = next((k for t, _, k in stack if t not in ("html", "body")), 0)
+        out.append((s, 2 if article else 1 if main else 0, bad, part if part in containers else 0))
+
+    def flush():
         s = _BLANK.sub(" ", _html.unescape("".join(text))).strip()
         text.clear()
-        if s or blank:
-            out.append((s, 2 if article else 1 if main else 0, bool(bad)))
+        if s:
+            row(s, marked)
+            for kind in ("article", "main"):
+                k = next((k for t, _, k in reversed(stack) if t == kind), None)
+                if k is not None and marked == holders[k][1]:
+                    holders[k][3] += len(s)
 
     def pop(k: int):
-        nonlocal bad, article, main
-        for tag, f in stack[k:]:
-            bad -= f
+        nonlocal marked, article, main
+        for tag, f, _ in stack[k:]:
             article -= tag == "article" and not f
             main -= tag == "main" and not f
+        gone = sum(f for _, f, _ in stack[k:])
+        marked = marked[:len(marked) - gone]
         del stack[k:]
 
     while at < n:
@@ -104,8 +133,8 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             if tag == "" and m[0].startswith("<![CDATA["):
                 text.append(_html.escape(m[0][9:].removesuffix("]]>")))
             # an inline tag that closes an inline element which was kept on the stack
-            if closing and any(t == tag for t, _ in stack[-4:]):
-                k = max(i for i, (t, _) in enumerate(stack) if t == tag)
+            if closing and any(t == tag for t, _, _ in stack[-4:]):
+                k = max(i for i, (t, _, _) in enumerate(stack) if t == tag)
                 flush()
                 pop(k)
             continue
@@ -123,10 +152,11 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             flush()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    furniture = stack[k][1]
+                    _, furniture, number = stack[k]
                     pop(k)
-                    if furniture and not bad:
-                        out.extend([("", 2 if article else 1 if main else 0, True)] * WINDOW)
+                    if furniture:
+                        for _ in range(WINDOW):
+                            row("", (*marked, number))
                     break
                 if stack[k][0] in ("article", "main", "body", "table") and tag in ("p", "li", "td", "tr", "span", "div"):
                     break
@@ -135,10 +165,6 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if tag in _INLINE and not f:
             continue
         flush()
-        if tag in ("article", "main") and not f and bad:
-            # what holds the article is no furniture, whatever its class says (say, "has-sidebar")
-            stack = [(t, g and t in _FURNITURE) for t, g in stack]
-            bad = sum(g for _, g in stack)
         for k in range(len(stack) - 1, max(-1, len(stack) - 4), -1):
             if tag in _CLOSES and stack[k][0] in _CLOSES[tag]:
                 pop(k)
@@ -147,12 +173,34 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                 break
         if selfclosing:
             continue
-        stack.append((tag, f))
-        bad += f
+        count += 1
+        if f:
+            marked = (*marked, count)
+            if tag in _FURNITURE:
+                by_tag.add(count)
+            if _apart(attrs):
+                apart.add(count)
+        if tag not in _LINES:
+            containers.add(count)
+        if tag in ("article", "main"):
+            holders[count] = [tag, marked, any(t == "article" for t, _, _ in stack), 0]
+        stack.append((tag, f, count))
         article += tag == "article" and not f
         main += tag == "main" and not f
     flush()
-    return out
+
+    def cleared(never: set[int]) -> set[int]:
+        """What holds the principal article or main is no furniture, whatever its class says (say, "has-sidebar")."""
+        free: set[int] = set()
+        for kind in ("article", "main"):
+            able = [h for h in holders.values() if h[0] == kind and h[3] and not h[2] and never.isdisjoint(h[1])]
+            free |= set(max(able, key=lambda h: h[3])[1]) if able else set()
+        return free
+
+    free = cleared(by_tag | apart)
+    if not any(s and free.issuperset(bad) for s, _, bad, _ in out):  # better a text of such a block than none
+        free = cleared(by_tag)
+    return [(s, mark, not free.issuperset(bad), part) for s, mark, bad, part in out if s or bad[-1] not in free]
 
 
 def regions(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -175,9 +223,9 @@ def regions(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
 def main_text(page: str | None) -> str:
     """The page's main text; empty if there is none."""
     rows = lines(page or "")
-    kept = [(s, mark) for s, mark, bad in rows if not bad or not s]
+    kept = [(s, mark, part) for s, mark, bad, part in rows if not bad or not s]
     for mark in (2, 1, 0):
-        held = [s if m >= mark else "" for s, m in kept]
+        held = [s if m >= mark else "" for s, m, _ in kept]
         lengths = np.array([len(s) for s in held], np.int64)
         found = regions(lengths)
         if found:

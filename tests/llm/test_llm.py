@@ -424,6 +424,18 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values()) and html.extract(df.limit(0)).collect() == []
 
 
+def test_html_articles_in_comments_and_teasers():
+    long = "<p>" + "long comment " * 20 + "</p>"
+    for page, text in [
+        (f"<article><h1>T</h1><p>Body.</p><div id=comments><article class=comment>{long}</article></div><p>End.</p></article><div class=related><article>Teaser</article></div>", "T Body. End."),
+        (f"<div class=post>The post.</div><div id=comments><article class=comment>{long}</article></div><div class='related-posts'><article>{long}</article></div>", "The post."),
+        ("<article class='post category-related comments-open'><p>Body.</p><article class='comment depth-1'>no</article></article>", "Body."),
+        ("<div class='page has-sidebar'><div class=sidebar>links</div><article>The body.</article></div><div class=widget><article>x</article></div>", "The body."),
+        ("<div id=comments><article>All there is</article></div>", "All there is"),
+    ]:
+        assert html.main_text(page) == text
+
+
 def test_html_regions():
     assert html.regions(np.array([0, 5, 0, 3, 0, 0, 0, 9, 0, 0])) == [(1, 4), (7, 8)]
     assert html.regions(np.zeros(4, int)) == [] and html.regions(np.array([], int)) == []
