@@ -11,8 +11,10 @@
    Sums over sliding windows of WINDOW lines rise where text begins (a surge) and
    fall to nothing where it ends (a dive).
 3. Every surge-to-dive region is a candidate.  Where the page marks an article (or
-   else a main element) the regions are those within; otherwise the region with
-   the most text is kept, with those that hold at least NEIGHBOUR of its text.
+   else a main element) the mark replaces the choice: all regions within are kept.
+   Otherwise the region with the most text is kept, with those that share a container
+   below body with it (or lie in body itself, as it does), since only furniture parts
+   them, and of the other containers' those that hold at least NEIGHBOUR of its text.
    All lines between the surge and the dive stay, short ones too.
 
 Lines have their white space collapsed and are joined by one space.  Null or empty
@@ -34,7 +36,7 @@ from batchkit.llm.common import mapped, slices
 
 #: Lines in a window: as many empty lines end a region.
 WINDOW = 3
-#: Share of the largest region's text that another region needs, where no article is marked.
+#: Share of the largest region's text that a region of other containers needs, where no article is marked.
 NEIGHBOUR = 0.25
 
 _UNSEEN = "script style noscript template svg math iframe object canvas video audio select textarea button head title datalist".split()
@@ -234,7 +236,9 @@ def main_text(page: str | None) -> str:
         return ""
     if mark == 0:
         sizes = [int(lengths[a:b].sum()) for a, b in found]
-        found = [r for r, size in zip(found, sizes, strict=True) if size >= NEIGHBOUR * max(sizes)]
+        parts = [{part for s, _, part in kept[a:b] if s} for a, b in found]
+        largest = parts[int(np.argmax(sizes))]
+        found = [r for r, size, own in zip(found, sizes, parts, strict=True) if size >= NEIGHBOUR * max(sizes) or own & largest]
     return " ".join(s for a, b in found for s in held[a:b] if s)
 
 

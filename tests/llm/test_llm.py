@@ -436,6 +436,14 @@ def test_html_articles_in_comments_and_teasers():
         assert html.main_text(page) == text
 
 
+def test_html_parts_between_adverts_stay():
+    text, ad = ("text " * 60).strip(), "<div class=ad>buy</div>"
+    for page in (f"<div class=post><p>Opening.</p>{ad}<p>{text}</p>{ad}<div>Closing.</div></div>", f"<body><p>Opening.</p>{ad}<p>{text}</p>{ad}<h2>Closing.</h2></body>"):
+        assert html.main_text(page) == f"Opening. {text} Closing."
+        # another container still needs its share
+        assert html.main_text(page + f"{ad}<div class=links>a b</div>") == f"Opening. {text} Closing."
+
+
 def test_html_regions():
     assert html.regions(np.array([0, 5, 0, 3, 0, 0, 0, 9, 0, 0])) == [(1, 4), (7, 8)]
     assert html.regions(np.zeros(4, int)) == [] and html.regions(np.array([], int)) == []
