@@ -24,8 +24,13 @@ tokens; k grows with the set (:func:`shared`).
 4. In each cluster a central set is compared with all others, and every set that isn't
    linked to it with all sets that it isn't yet connected to, if the pair also shares a
    cluster under each further order (the intersected filters) and by length may link.
-   Clusters beyond CLUSTER_TOKENS are cut into blocks, and pairs of blocks are dealt to
-   tasks.  Only links that join parts leave the task, fewer than it has sets.
+   Only links that join parts leave the task, fewer than it has sets.
+   Clusters beyond CLUSTER_TOKENS are cut into blocks.  A central set of one block goes
+   to all of them, and each block is compared like a cluster.  What that connects to the
+   central set is connected from then on; the sets that it leaves open are compared with
+   each other and with the connected ones by pairs of blocks, and no two blocks of
+   connected sets meet.  So the data moved grow with the cluster and, beyond that, only
+   with the share of it that is left open.
 5. Connected components over the links, then the smallest id of each.
 
 Every pair of different sets that links is compared or already connected, so no link
@@ -192,11 +197,14 @@ def _index(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], owner[order]
 
 
-def forest(sids: np.ndarray, tokens: list[np.ndarray], side: np.ndarray | None, further: list[list[np.ndarray]], threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """Links that connect the sets as all their links would; with ``side``, only links between rows of side 0 and 1."""
+def forest(sids: np.ndarray, tokens: list[np.ndarray], side: np.ndarray | None, further: list[list[np.ndarray]], centre: int | None = None, threshold: int = THRESHOLD) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect the sets as all their links would, and a label per set, equal where these connect; with ``side``, only links between rows of side 0 and 1.
+
+    ``centre`` is the row that is compared first, else a central one.
+    """
     m = len(sids)
     if m < 2:
-        return []
+        return [], np.zeros(m, np.int64)
     n = np.array([len(t) for t in tokens])
     index, filters = _index(tokens), [_index(f) for f in further]
     label, out = np.arange(m), []
@@ -218,19 +226,34 @@ def forest(sids: np.ndarray, tokens: list[np.ndarray], side: np.ndarray | None,
             out.append((int(sids[u]), int(sids[at[first]])))
             label[label == c] = label[u]
 
-    # the set whose tokens are the most common ones in the cluster links to the most others
-    starts = np.flatnonzero(np.diff(index[0], prepend=index[0][0] - 1))
-    df = np.repeat(np.diff(np.append(starts, len(index[0]))), np.diff(np.append(starts, len(index[0]))))
-    centre = int(np.argmax(np.bincount(index[1], weights=df, minlength=m) / n))
+    if centre is None:
+        centre = central(index, n)
     link(centre)
     rest = np.flatnonzero(label != label[centre])
     if side is not None:  # no link within a side was looked for, so rows linked to the centre may lack others still
-        rest = np.flatnonzero(side == side[centre])
+        rest = np.flatnonzero(side == (2 * side.sum() < m))  # the side of fewer rows: each meets all of the other
     for u in rest:
         if (label == label[u]).all():
             break
         link(int(u))
-    return out
+    return out, label
+
+
+def central(index: tuple[np.ndarray, np.ndarray], n: np.ndarray) -> int:
+    """The set whose tokens are the most common ones in the cluster, which links to the most others."""
+    starts = np.flatnonzero(np.diff(index[0], prepend=index[0][0] - 1))
+    df = np.repeat(np.diff(np.append(starts, len(index[0]))), np.diff(np.append(starts, len(index[0]))))
+    return int(np.argmax(np.bincount(index[1], weights=df, minlength=len(n)) / n))
+
+
+def _centre(table: pa.Table) -> pa.Table:
+    table = table.combine_chunks()
+    tokens = [np.asarray(x.values) for x in table.column("tokens")]
+    k = central(_index(tokens), np.array([len(t) for t in tokens]))
+    return pa.table({"pivot": table.column("pivot")[k:k + 1], "centre": table.column("sid")[k:k + 1]})
+
+
+EDGES = "pivot long, a long, b long"
 
 
 def _cluster(table: pa.Table) -> pa.Table:
@@ -239,8 +262,12 @@ def _cluster(table: pa.Table) -> pa.Table:
     lists = lambda name: [np.asarray(x.values) for x in table.column(name)]
     further = [lists(c) for c in table.column_names if c.startswith("pivots")]
     side = None if i == j else (np.asarray(table.column("block")) == j).astype(np.int8)
-    edges = forest(np.asarray(table.column("sid")), lists("tokens"), side, further)
-    return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
+    sids, centre = np.asarray(table.column("sid")), table.column("centre")[0].as_py()
+    at = None if centre is None else int(np.flatnonzero(sids == centre)[0])
+    edges, label = forest(sids, lists("tokens"), side, further, at)
+    left = [] if at is None else sids[label != label[at]].tolist()  # with no b
+    return pa.table({"pivot": pa.array([table.column("pivot")[0].as_py()] * (len(edges) + len(left)), pa.int64()),
+                     "a": pa.array([a for a, _ in edges] + left, pa.int64()), "b": pa.array([b for _, b in edges] + [None] * len(left), pa.int64())})
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, cluster_tokens: int = CLUSTER_TOKENS) -> DataFrame:
@@ -308,15 +335,39 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     # clusters of two and more, cut into blocks by the number of their tokens
     clusters = kept.select(F.explode("pivots0").alias("pivot"), "sid", "n")
     blocks = clusters.groupBy("pivot").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / cluster_tokens).cast("int").alias("blocks")).where("m > 1").drop("m")
-    placed = clusters.drop("n").join(blocks, "pivot").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")) \
-                     .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-                     .select("pivot", "sid", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    placed = written(placed.join(kept.drop("pivots0", "n"), "sid"), "jaccard-clusters")
+    dealt = lambda c, k: F.pmod(F.xxhash64(c), k).cast("int")
+    placed = clusters.join(blocks, "pivot").withColumn("block", dealt("sid", F.col("blocks")))
+    placed = written(placed.select("pivot", "sid", "n", "block", "blocks"), "jaccard-clusters")
     # only the sets that a cluster needs move; again a table of fixed size tells which these may be
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_HASHES))
     slots = F.broadcast(placed.select(slot("sid").alias("slot")).distinct())
     needed_sets = candidates.withColumn("slot", slot("sid")).join(slots, "slot", "left_semi").select("sid", "tokens")
-    edges = placed.join(needed_sets, "sid").groupBy("pivot", "i", "j").applyInArrow(_cluster, "a long, b long")
+
+    def compared(cells: DataFrame) -> DataFrame:
+        full = cells.select("pivot", "sid", "block", "i", "j", "centre").join(kept.drop("pivots0", "n"), "sid").join(needed_sets, "sid")
+        return full.groupBy("pivot", "i", "j").applyInArrow(_cluster, EDGES)
+
+    no_centre = F.lit(None).cast("long")
+    wide = placed.where("blocks > 1")
+    if wide.isEmpty():
+        edges = compared(placed.withColumns({"i": F.col("block"), "j": F.col("block"), "centre": no_centre}))
+    else:
+        least = wide.groupBy("pivot").agg(F.min("block").alias("block"))
+        one = wide.join(least, ["pivot", "block"]).join(needed_sets, "sid").select("pivot", "sid", "tokens")
+        centres = written(one.groupBy("pivot").applyInArrow(_centre, "pivot long, centre long"), "jaccard-centres")  # a row for every wide cluster
+        copies = wide.join(centres, "pivot").where("sid = centre").withColumn("home", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block <> home")
+        cells = placed.select("pivot", "sid", "block").join(centres, "pivot", "left").unionByName(copies.select("pivot", "sid", "block", "centre"))
+        found = written(compared(cells.withColumns({"i": F.col("block"), "j": F.col("block")})), "jaccard-found")
+        # what a block leaves open may link to a set of any other block
+        left = found.where("b is null").select("pivot", F.col("a").alias("sid"), F.lit(True).alias("open")).distinct()
+        again = written(wide.join(left.select("pivot").distinct(), "pivot", "left_semi").join(left, ["pivot", "sid"], "left").select("pivot", "sid", "n", F.coalesce("open", F.lit(False)).alias("open")), "jaccard-open")
+        parts = lambda c: F.coalesce(F.ceil(F.sum(F.when(c, F.col("n"))) / cluster_tokens), F.lit(0)).cast("int")
+        again = again.join(again.groupBy("pivot").agg(parts(F.col("open")).alias("r"), parts(~F.col("open")).alias("c")), "pivot")
+        again = again.withColumn("block", F.when(F.col("open"), dealt("sid", F.col("r"))).otherwise(F.col("r") + dealt("sid", F.col("c")))) \
+                     .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("r") - 1 + F.when(F.col("open"), F.col("c")).otherwise(0))))
+        again = again.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other"), "centre": no_centre})
+        edges = found.where("b is not null").unionByName(compared(again))
+    edges = edges.select("a", "b")
     roots = component_min(edges, "jaccard-components")
 
     # the smallest id of each class, then of each component

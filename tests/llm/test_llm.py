@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import os
 import random
 import re
+import tempfile
 import zlib
 
 import numpy as np
@@ -150,6 +152,32 @@ def test_jaccard_against_all_pairs(spark, monkeypatch, tokens):
     assert sorted(map(tuple, got), key=str) == brute_components(rows)
 
 
+def test_jaccard_large_cluster_moves_in_proportion(spark, monkeypatch, tmp_path):
+    # 240 near copies of one text in some 20 blocks, and a text that links to one of them only
+    r, base = random.Random(4), prose(100, 200).split()
+    near = [[*base[:k % 80], f"n{k}", *base[k % 80 + 1:]] for k in range(240)]
+    far = [*near[7][:92], *(f"z{k}" for k in range(8))]
+    rows = [(k, " ".join(w), "a") for k, w in enumerate([*near, far])]
+    r.shuffle(rows)
+    cluster, moved = jaccard._cluster, []
+
+    def counting(folder):
+        def counted(table):
+            with os.fdopen(tempfile.mkstemp(dir=folder)[0], "w") as f:
+                f.write(str(table.num_rows))
+            return cluster(table)
+        return counted
+
+    for tokens in (1_000_000, 1200):
+        folder = tmp_path / str(tokens)
+        folder.mkdir()
+        monkeypatch.setattr(jaccard, "_cluster", counting(str(folder)))
+        got = jaccard.join(docs_of(spark, rows), cluster_tokens=tokens).collect()
+        assert sorted(map(tuple, got), key=str) == brute_components(rows)
+        moved.append(sum(int(f.read_text()) for f in folder.iterdir()))
+    assert moved[1] <= 4 * moved[0], moved
+
+
 def test_jaccard_threshold_is_exact_and_empty_tables(spark, none):
     # 100 * intersection against 80 * union at, below and above the limit
     words = [f"w{i}" for i in range(400)]
