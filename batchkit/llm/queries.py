@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, dedup, html, jaccard, mixing, quality, secrets, topk, toxicity, winnow
+from batchkit.llm import bpe, codes, dedup, html, jaccard, mixing, packing, quality, resampling, secrets, topk, toxicity, winnow
 from batchkit.llm.common import read
 
 
@@ -51,8 +51,21 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_jaccard, op3_toxicity, op4_winnowing, op5_mixing, op6_dedup, op7_quality, op8_topk, op9_bpe, op10_html)
+    f.__name__: f for f in (op1_secrets, op2_jaccard, op3_toxicity, op4_winnowing, op5_mixing, op6_dedup, op7_quality, op8_topk, op9_bpe, op10_html,
+                               op11_codes, op12_resampling, op13_packing)
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op8_topk": topk.ORACLE, "op11_codes": codes.ORACLE, "op12_resampling": resampling.ORACLE}
