@@ -234,6 +234,41 @@ def _sum_chunk_group(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches(_sum_chunk(table.to_batches()))
 
 
+#: Slots of an id filter for each id, and how many there are at least and at most.
+SLOTS_PER_ID, LEAST_SLOTS, MOST_SLOTS = 16, 1 << 16, 1 << 27
+
+
+class IdFilter:
+    """Which rows may have one of some ids: a bit for each slot of their hashes, as many slots as the ids ask for.
+
+    One row in SLOTS_PER_ID that has none of the ids passes (an exact join follows).  The
+    bits are broadcast in words of 64: fewer than the ids, and at most MOST_SLOTS / 64 rows,
+    some 50 MB; beyond 8 million ids the share that passes grows, never the broadcast.
+    """
+
+    def __init__(self, hashes: DataFrame):
+        """``hashes``: one column of longs, hashes of the ids; counted, so best a written table's."""
+        h = hashes.columns[0]
+        n = hashes.agg(F.count("*")).first()[0]
+        self.slots = max(LEAST_SLOTS, min(MOST_SLOTS, 1 << (SLOTS_PER_ID * n).bit_length()))
+        slot = F.pmod(F.col(h), F.lit(self.slots))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+        self.words = F.broadcast(hashes.groupBy(F.shiftright(slot, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits")))
+
+    def _join(self, df: DataFrame, h: Column, how: str) -> DataFrame:
+        held = df.withColumn("_slot", F.pmod(h, F.lit(self.slots)))
+        hit = F.call_function("shiftrightunsigned", F.col("_bits"), (F.col("_slot") % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+        return held.join(self.words, (F.shiftright("_slot", 6) == F.col("_word")) & hit, how).drop("_slot")
+
+    def maybe(self, df: DataFrame, h: Column) -> DataFrame:
+        """Rows of ``df`` whose hash ``h`` has its bit."""
+        return self._join(df, h, "left_semi")
+
+    def without(self, df: DataFrame, h: Column) -> DataFrame:
+        """All other rows of ``df``, those with a null hash among them."""
+        return self._join(df, h, "left_anti")
+
+
 def bounded_sample(df: DataFrame, rows: int, seed: int, *by: str) -> DataFrame:
     """About ``rows`` rows, chosen by a hash of the columns ``by``: the same at every run.
 

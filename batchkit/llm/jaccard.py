@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import SKETCH, WordHashes, as_long, component_min, mapped, mix, shingle_hashes, sketch_levels, sketch_rows, slices, written
+from batchkit.llm.common import SKETCH, IdFilter, WordHashes, as_long, component_min, mapped, mix, shingle_hashes, sketch_levels, sketch_rows, slices, written
 
 WORDS = 5
 #: Least likeness, in hundredths.
@@ -64,8 +64,6 @@ SKETCH_BITS = 22
 CLUSTER_TOKENS = 1_000_000
 #: Rows of a heavy token's postings in one salt, about.
 SALT_ROWS = 1 << 15
-#: Entries of a table of id hashes at most.
-ID_HASHES = 1 << 20
 _U = np.uint64
 
 
@@ -293,32 +291,24 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     first = members(source.select("text").transform(mapped, first_order, POSTINGS), sizes, "jaccard-first")
     company = first.select("sid")
 
-    # one document of each set with company; a fixed-size filter of their ids spares the others' texts
+    # one document of each set with company; a filter of their ids spares the others' texts
     chosen = rows.where("sid is not null").groupBy("sid").agg(F.min("id").alias("id")).join(company, "sid", "left_semi")
 
-    def marks(batches):
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for b in batches:
-            counts[_bucket(np.asarray(b.column("h").fill_null(0)).view(_U))] = 1
-        yield sketch_rows(counts)
-
-    hashed = F.xxhash64("id")
-    wanted = sc.broadcast(sketch_levels(chosen.where("id is not null").select(hashed.alias("h")).transform(mapped, marks, SKETCH), SKETCH_BITS))
+    hashed = F.xxhash64("id")  # of a null id, which many rows may have, as well
+    chosen = written(chosen.select(hashed.alias("h")), "jaccard-chosen")
 
     def full_sets(batches):
-        hashes, seen, marked = WordHashes(), set(), wanted.value
+        hashes, seen = WordHashes(), set()
         for b in slices(batches):
-            take = marked[_bucket(np.asarray(b.column("h")).view(_U))] > 0
-            take |= np.asarray(b.column("none").to_numpy(zero_copy_only=False), bool)
             found = []
-            for tokens in _shingled(b.column("text").filter(pa.array(take)).to_pylist(), hashes, words):
+            for tokens in _shingled(b.column("text").to_pylist(), hashes, words):
                 if len(tokens) and (sid := _sid(tokens)) not in seen:
                     seen.add(sid)
                     found.append((sid, as_long(tokens)))
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int64()), pa.array([len(t) for _, t in found], pa.int64()), pa.array([t for _, t in found], pa.list_(pa.int64()))], names=["sid", "n", "tokens"])
 
     # a set may come twice, by an id that repeats or whose hash meets another's; the steps that follow allow for it
-    candidates = source.select(hashed.alias("h"), F.col("id").isNull().alias("none"), "text").transform(mapped, full_sets, "sid long, n long, tokens array<bigint>")
+    candidates = IdFilter(chosen).maybe(source.select("id", "text"), hashed).select("text").transform(mapped, full_sets, "sid long, n long, tokens array<bigint>")
     candidates = written(candidates, "jaccard-candidates")
 
     kept = first.withColumnRenamed("pivots", "pivots0")
@@ -338,10 +328,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     dealt = lambda c, k: F.pmod(F.xxhash64(c), k).cast("int")
     placed = clusters.join(blocks, "pivot").withColumn("block", dealt("sid", F.col("blocks")))
     placed = written(placed.select("pivot", "sid", "n", "block", "blocks"), "jaccard-clusters")
-    # only the sets that a cluster needs move; again a table of fixed size tells which these may be
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_HASHES))
-    slots = F.broadcast(placed.select(slot("sid").alias("slot")).distinct())
-    needed_sets = candidates.withColumn("slot", slot("sid")).join(slots, "slot", "left_semi").select("sid", "tokens")
+    # only the sets that a cluster needs move; again a filter tells which these may be
+    needed_sets = IdFilter(placed.select(F.xxhash64("sid").alias("h")).distinct()).maybe(candidates.select("sid", "tokens"), F.xxhash64("sid"))
 
     def compared(cells: DataFrame) -> DataFrame:
         full = cells.select("pivot", "sid", "block", "i", "j", "centre").join(kept.drop("pivots0", "n"), "sid").join(needed_sets, "sid")
@@ -384,15 +372,15 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of ``docs``, with all their columns, that are the smallest id of their component.
 
     Of repeated rows (id and text) one stays; rows with a null id, which no decision can name, all stay.
-    Most texts don't move: a table of hashes of fixed size tells which ids may be concerned.
+    Most texts don't move: a filter tells which ids may be concerned.
     """
     found = written(join(docs, doc_id, text).select(F.col(doc_id).alias("id"), "component_id"), "jaccard-decisions")
     gone = found.where("id <> component_id").select("id").distinct()
     repeated = found.where("id is not null").groupBy("id").count().where("count > 1").select("id")
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_HASHES))
-    slots = F.broadcast(gone.union(repeated).select(slot("id").alias("slot")).distinct())  # at most ID_HASHES rows
+    concerned = IdFilter(written(gone.union(repeated).select(F.xxhash64("id").alias("h")), "jaccard-concerned"))
     # rows travel as one column, so that no name of theirs can clash
-    marked = docs.select(F.col(doc_id).alias("id"), F.struct("*").alias("row")).withColumn("slot", F.when(F.col("id").isNotNull(), slot("id")))
-    still = marked.join(slots, "slot", "left_anti")
-    rest = marked.join(slots, "slot", "left_semi").join(gone, "id", "left_anti").withColumn("t", F.md5(F.col(f"row.`{text}`"))).dropDuplicates(["id", "t"]).drop("t")
+    marked = docs.select(F.col(doc_id).alias("id"), F.struct("*").alias("row"))
+    hashed = F.when(F.col("id").isNotNull(), F.xxhash64("id"))
+    still = concerned.without(marked, hashed)
+    rest = concerned.maybe(marked, hashed).join(gone, "id", "left_anti").withColumn("t", F.md5(F.col(f"row.`{text}`"))).dropDuplicates(["id", "t"]).drop("t")
     return still.select("row.*").unionByName(rest.select("row.*"))
