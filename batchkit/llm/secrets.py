@@ -44,16 +44,42 @@ _FIRST, _PLACES = 42, 81
 SMOOTHING = 0.5
 #: Lengths are summed in blocks of so many, to keep long lists near-linear.
 _BLOCK = 64
+#: Characters in a block of a text that is cut.
+_CUT = 4096
 
 
-def _running(lengths: Column) -> Column:
-    """Sums of the elements before each one, in blocks."""
-    blocks = F.sequence(F.lit(0), F.ceil(F.size(lengths) / _BLOCK).cast("int") - 1)
-    add = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
-    sums = F.transform(blocks, lambda b: F.struct(b.alias("b"), F.slice(lengths, b * _BLOCK + 1, _BLOCK).alias("a")))
-    totals = F.transform(sums, lambda s: add(s["a"]))
-    starts = F.transform(sums, lambda s: F.struct(s["a"].alias("a"), add(F.slice(totals, 1, s["b"])).alias("at")))
-    return F.flatten(F.transform(starts, lambda s: F.transform(s["a"], lambda x, i: s["at"] + add(F.slice(s["a"], 1, i)))))
+def _with_running(df: DataFrame, values: Column, name: str, largest: bool = False) -> DataFrame:
+    """``df`` with ``name``: sums (or maxima, 0 at least) of the elements before each one of ``values``; null for a null or empty array.
+
+    In blocks, whose totals are added up first.  Each step is a column of its own that the next
+    names twice, so that the optimizer doesn't compute it anew inside a lambda.
+    """
+    join = (lambda s, x: F.greatest(s, x)) if largest else (lambda s, x: s + x)
+    add = lambda a: F.aggregate(a, F.lit(0).cast("long"), join)
+    df = df.withColumn("_v", values)
+    blocks = F.sequence(F.lit(0), F.ceil(F.size("_v") / _BLOCK).cast("int") - 1)
+    df = df.withColumn("_p", F.when(F.size("_v") > 0, F.transform(blocks, lambda b: F.struct(b.alias("b"), F.slice("_v", b * _BLOCK + 1, _BLOCK).alias("a")))))
+    df = df.withColumn("_q", F.when(F.size("_p") > 0, F.transform("_p", lambda s: add(s["a"]))))
+    starts = F.transform("_p", lambda s: F.struct(s["a"].alias("a"), add(F.slice("_q", 1, s["b"])).alias("at")))
+    within = F.flatten(F.transform(starts, lambda s: F.transform(s["a"], lambda x, i: join(s["at"], add(F.slice(s["a"], 1, i))))))
+    return df.withColumn(name, F.when(F.size("_q") > 0, within)).drop("_v", "_p", "_q")
+
+
+def _up_to(spans: Column, start: Column) -> Column:
+    """How many of ``spans``, which are in order, start at or before ``start``: a binary search."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+
+    def halve(s, _):
+        middle = F.call_function("div", s["lo"] + s["hi"], F.lit(2)).cast("int")
+        upper = F.get(spans, middle)["start"] <= start
+        return F.struct(F.when((s["lo"] < s["hi"]) & upper, middle + 1).otherwise(s["lo"]).alias("lo"), F.when((s["lo"] < s["hi"]) & ~upper, middle).otherwise(s["hi"]).alias("hi"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halve, lambda s: s["lo"])
+
+
+def _covered(x: Column, spans: Column) -> Column:
+    """Whether one of ``spans``, which are in order and don't overlap, holds all of ``x``: only the last that starts by then can."""
+    return (F.size(spans) > 0) & F.coalesce(F.get(spans, _up_to(spans, x["start"]) - 1)["end"] >= x["end"], F.lit(False))
 
 
 def _located(df: DataFrame, text: str, pattern: str, name: str) -> DataFrame:
@@ -61,7 +87,7 @@ def _located(df: DataFrame, text: str, pattern: str, name: str) -> DataFrame:
     empty = f"array<struct<start:bigint,end:bigint,found:string>>"  # noqa: F541
     df = df.withColumn("_m", F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     df = df.withColumn("_g", F.when(F.size("_m") > 0, F.transform(F.split(text, pattern, -1), lambda p: F.length(p).cast("long"))))
-    df = df.withColumn("_b", F.when(F.size("_m") > 0, _running(F.transform("_m", lambda x, i: F.length(x) + F.get("_g", i)))))
+    df = _with_running(df, F.when(F.size("_m") > 0, F.transform("_m", lambda x, i: F.length(x) + F.get("_g", i))), "_b")
     found = F.transform("_m", lambda x, i: F.struct((F.get("_b", i) + F.get("_g", i)).alias("start"), (F.get("_b", i) + F.get("_g", i) + F.length(x)).alias("end"), x.alias("found")))
     return df.withColumn(name, F.when(F.size("_m") > 0, found).otherwise(F.array().cast(empty))).drop("_m", "_g", "_b")
 
@@ -119,9 +145,11 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", threshold: flo
     df = _located(df, "_t", HEX, "_hex")
     df = _located(df, "_t", CANDIDATE, "_run")
     as_span = lambda k: (lambda x: F.struct(x["start"].alias("start"), F.lit(k).alias("kind"), x["end"].alias("end")))
-    df = df.withColumn("base", F.array_sort(F.concat(
-        F.transform(F.filter("_assign", lambda x: F.length(value(x)) >= 6), as_span(0)), F.transform("_access", as_span(1)), F.transform("_hex", as_span(2)))))
-    added = F.filter("_run", lambda x: (likelihood_ratio(x["found"], model) > threshold) & ~F.exists("base", lambda s: (s["start"] <= x["start"]) & (s["end"] >= x["end"])))
+    df = df.withColumn("_assign", F.filter("_assign", lambda x: F.length(value(x)) >= 6))
+    df = df.withColumn("base", F.array_sort(F.concat(F.transform("_assign", as_span(0)), F.transform("_access", as_span(1)), F.transform("_hex", as_span(2)))))
+    # the spans of one rule are in order and apart, so a run meets one span of each at most
+    df = df.withColumn("_run", F.filter("_run", lambda x: likelihood_ratio(x["found"], model) > threshold))
+    added = F.filter("_run", lambda x: ~(_covered(x, F.col("_assign")) | _covered(x, F.col("_access")) | _covered(x, F.col("_hex"))))
     df = df.withColumn("_added", F.transform(added, as_span(3)))
     return df.withColumn("spans", F.array_sort(F.concat("base", "_added"))).drop("_t", "_assign", "_access", "_hex", "_run", "_added")
 
@@ -143,15 +171,26 @@ def redact(docs: DataFrame, model: list[float], text: str = "text", mark: str =
     """``docs`` with every span of the scan replaced by ``mark``; overlapping spans become one mark."""
     # rows travel as one column, so that no name of theirs can clash
     df = scan(docs.select(F.struct("*").alias("_row"), F.col(text).alias("text")), model)
-    # overlapping spans are joined; the text between what is left is kept
-    merged = F.aggregate("spans", F.array().cast("array<struct<start:bigint,end:bigint>>"), lambda a, s: F.when(
-        (F.size(a) > 0) & (F.get(a, F.size(a) - 1)["end"] >= s["start"]),
-        F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(F.get(a, F.size(a) - 1)["start"].alias("start"), F.greatest(F.get(a, F.size(a) - 1)["end"], s["end"]).alias("end")))))
-        .otherwise(F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
-    df = df.withColumn("_s", merged)
-    t = F.col("text")
-    start = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("_s", i - 1)["end"])
-    kept = F.transform("_s", lambda s, i: F.concat(F.substring(t, (start(i) + 1).cast("int"), (s["start"] - start(i)).cast("int")), F.lit(mark)))
-    tail = F.substring(t, (F.get("_s", F.size("_s") - 1)["end"] + 1).cast("int"), F.length(t))
-    out = F.when(F.size("_s") > 0, F.concat(F.array_join(kept, ""), tail)).otherwise(t)
+    # a span that starts beyond all ends before it opens a mark; the text from those ends to there is kept
+    df = _with_running(df, F.transform("spans", lambda s: s["end"]), "_far", largest=True)
+    # (named twice, so that the optimizer doesn't compute it anew for every span)
+    gaps = F.transform("spans", lambda s, i: F.struct(F.get("_far", i).alias("a"), s["start"].alias("z"), ((i == 0) | (s["start"] > F.get("_far", i))).alias("opens")))
+    df = df.withColumn("_gaps", F.filter(gaps, lambda g: g["opens"]))
+    # blocks of text, so that cutting at a place doesn't count the characters from the beginning
+    df = df.withColumn("_blocks", F.when(F.size("spans") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_CUT}}}"), F.lit(0))))
+    block = lambda at: F.call_function("div", at, F.lit(_CUT)).cast("int")
+
+    def piece(a, z):
+        """Characters a to z; z null: to the end."""
+        last = F.size("_blocks") - 1 if z is None else block(z)
+        upto = F.lit(_CUT) if z is None else (z % _CUT).cast("int")
+        begin = (a % _CUT).cast("int") + 1
+        one = F.substring(F.coalesce(F.get("_blocks", block(a)), F.lit("")), begin, F.greatest(upto - begin + 1, F.lit(0)))
+        more = F.concat(F.substring(F.get("_blocks", block(a)), begin, F.lit(_CUT)), F.array_join(F.slice("_blocks", block(a) + 2, F.greatest(last - block(a) - 1, F.lit(0))), ""),
+                        F.substring(F.coalesce(F.get("_blocks", last), F.lit("")), F.lit(1), upto))
+        return F.when(block(a) >= last, one).otherwise(more)
+
+    kept = F.array_join(F.transform("_gaps", lambda g: F.concat(piece(g["a"], g["z"]), F.lit(mark))), "")
+    end = F.aggregate("spans", F.lit(0).cast("long"), lambda m, s: F.greatest(m, s["end"]))
+    out = F.when(F.size("spans") > 0, F.concat(kept, piece(end, None))).otherwise(F.col("text"))
     return df.select("_row", out.alias("text")).select(*[(F.col("text") if c == text else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
