@@ -1,14 +1,16 @@
 """Exact top-k by inner product: exhaustive term-at-a-time accumulation.
 
 A vector is a sparse row of (term, weight): its dimensions whose integer weight
-isn't 0.  Candidates are packed into blocks of postings (for each term the slots
-and weights), queries into blocks of rows.  Each pair of a query block and a
-candidate block meets in one task, where every query scatters ``query weight x
-posting weight`` into a dense array of scores over the block's slots; the K best of
-the block are selected by partition and the block's lists are then merged.
+isn't 0.  Queries go to the candidates, a round of them at a time: a round has a stated
+number of components, so it may be broadcast, and its number of rounds grows with
+the query set.  In a round every task packs its candidates, as it reads them, into blocks
+of postings (for each term the slots and weights); each query scatters ``query
+weight x posting weight`` into a dense array of scores over the block's slots, and the K
+best of the block are selected by partition and merged with the task's best so
+far.  Only these lists, K rows a query and task, are shuffled and merged.
 
-Nothing but blocks of bounded size is ever held: the work is the stated query set
-against all rows.  Blocks of candidates are dealt out once per block of queries.
+Nothing but blocks of bounded size is ever held and no candidate moves: the work is the
+stated query set against all rows.
 
 Edge cases: vectors that are null or hold a null or non-finite component take no
 part; empty vectors have no terms and score 0; vectors of different length meet in
@@ -23,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchkit.llm.common import mapped
+from batchkit.llm.common import mapped, written
 
 K = 5
-#: Vectors in a block of candidates, and about as many as these in a block of queries.
+#: Vectors in a block of candidates.
 BLOCK_ROWS = 4096
-QUERY_ROWS = 512
+#: Components of the queries of a round, about (32 MB).
+ROUND_COMPONENTS = 1 << 22
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -38,33 +41,18 @@ def quantised(vector: Column, scale: int = 256) -> Column:
     return F.when(vector.isNotNull() & ~bad, F.transform(x, lambda v: F.floor(v * scale).cast("long")))
 
 
-def _pack(rows: int, name: str):
-    """Vectors of a partition as blocks: (block id, ids, lengths, components)."""
-    def run(batches):
-        ids, vectors = [], []
-
-        def block():
-            lengths = np.array([len(v) for v in vectors], np.int32)
-            flat = np.concatenate(vectors) if vectors else np.zeros(0, np.int64)
-            out = pa.RecordBatch.from_arrays([pa.array([ids[:]], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([flat], pa.list_(pa.int64()))], names=["ids", "lengths", "flat"])
-            ids.clear()
-            vectors.clear()
-            return out
-
-        for b in batches:
-            for i, v in zip(b.column("id").to_pylist(), b.column("v"), strict=True):
-                ids.append(i)
-                vectors.append(np.asarray(v.values, np.int64))
-                if len(ids) >= rows:
-                    yield block()
-        if ids:
-            yield block()
-
-    return run
-
-
-def _rows(lengths, flat) -> list[np.ndarray]:
-    return np.split(np.asarray(flat, np.int64), np.cumsum(np.asarray(lengths, np.int64))[:-1]) if len(lengths) else []
+def _blocks(batches, rows: int):
+    """Vectors of a partition as blocks (ids, vectors)."""
+    ids, vectors = [], []
+    for b in batches:
+        for i, v in zip(b.column("id").to_pylist(), b.column("v"), strict=True):
+            ids.append(i)
+            vectors.append(np.asarray(v.values, np.int64))
+            if len(ids) >= rows:
+                yield np.array(ids, np.int64), vectors
+                ids, vectors = [], []
+    if ids:
+        yield np.array(ids, np.int64), vectors
 
 
 def postings(vectors: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -100,38 +88,50 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id", vector: str = "embedding",
-           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+           block_rows: int = BLOCK_ROWS, round_components: int = ROUND_COMPONENTS) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best among all other ids."""
+    spark = vectors.sparkSession
     base = vectors.select(F.col(vec_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")).where("id is not null and v is not null")
-    packed = "ids array<bigint>, lengths array<int>, flat array<bigint>"
-    n = base.where("q").count()
-    blocks = max(1, -(-n // query_rows))
-    queries = base.where("q").select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("qb")) \
-                  .groupBy("qb").agg(F.collect_list(F.struct("id", "v")).alias("queries"))  # about query_rows each
-    parts = base.select("id", "v").transform(mapped, _pack(block_rows, "c"), packed)
-    met = parts.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))) \
-               .withColumn("part", F.xxhash64(F.col("ids")[0], "qb")) \
-               .join(queries, "qb").repartition("part")
-
+    wanted = base.where("q").agg(F.sum(F.size("v") + 1).alias("n")).first()["n"] or 0
+    rounds = max(1, -(-wanted // round_components))
+    queries = base.where("q").select("id", "v").withColumn("round", F.pmod(F.monotonically_increasing_id(), F.lit(rounds)))
+    if rounds > 1:
+        queries = written(queries, "topk-queries")  # a row keeps its round
+    found = None
+    for r in range(rounds):
+        got = queries.where(F.col("round") == r).select("id", "v").toArrow()  # a round's components
+        shared = spark.sparkContext.broadcast((got.column("id").to_numpy(), [np.asarray(v.values, np.int64) for v in got.column("v")]))
+        part = base.select("id", "v").transform(mapped, _scored(shared, k, block_rows), "query_id long, vec_id long, score long")
+        if rounds > 1:
+            part = written(part.withColumn("_r", F.row_number().over(_order())).where(F.col("_r") <= k).drop("_r"), "topk-round")
+        found = part if found is None else found.unionByName(part)
+    return found.withColumn("rank", F.row_number().over(_order())).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _order():
+    return Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+
+def _scored(shared, k: int, block_rows: int):
+    """A kernel: a task's candidates to the k best of each query among them."""
     def run(batches):
-        for b in batches:
-            out = []
-            for ids, lengths, flat, queries in zip(*(b.column(c) for c in ("ids", "lengths", "flat", "queries")), strict=True):
-                ids = np.asarray(ids.values)
-                lists = postings(_rows(lengths.values, flat.values))
-                for q in queries:
-                    own = np.asarray(q["v"].values, np.int64)
-                    qid = q["id"].as_py()
-                    scores = accumulate(own, lists, len(ids))
-                    others = np.flatnonzero(ids != qid)
-                    top = others[best(scores[others], ids[others], k)]
-                    out.append((np.full(len(top), qid), ids[top], scores[top]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], names=["query_id", "vec_id", "score"])
-
-    found = met.select("ids", "lengths", "flat", "queries").transform(mapped, run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        qids, rows = shared.value
+        tops = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(qids)  # (ids, scores) so far
+        for ids, vectors in _blocks(batches, block_rows):
+            lists = postings(vectors)
+            for i, (qid, own) in enumerate(zip(qids.tolist(), rows, strict=True)):
+                scores = accumulate(own, lists, len(ids))
+                others = np.flatnonzero(ids != qid)
+                top = others[best(scores[others], ids[others], k)]
+                held, seen = np.concatenate([tops[i][0], ids[top]]), np.concatenate([tops[i][1], scores[top]])
+                at = best(seen, held, k)
+                tops[i] = held[at], seen[at]
+        if len(qids):
+            sizes = [len(t[0]) for t in tops]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, sizes).astype(np.int64)), *(pa.array(np.concatenate([t[j] for t in tops])) for j in (0, 1))],
+                                             names=["query_id", "vec_id", "score"])
+
+    return run
 
 
 ORACLE = """
