@@ -117,7 +117,7 @@ def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-TOKENIZED = "at long, task int, doc_id {kind}, doc_tokens long, first_full long, length int, nth long, checks array<long>, kept_from long, ids binary"
+TOKENIZED = "at long, task int, doc_id {kind}, doc_tokens long, first_full long, length int, nth long, checks array<long>, kept int, ids array<binary>"
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -125,7 +125,8 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None, window: int = WIND
 
     (task, at) names the row, ``first_full`` counts the task's full windows before it,
     ``length`` is that of the rest and ``nth`` counts the task's rests of that length
-    before it.  With ``keep_ids`` the ids of the whole document are kept.
+    before it.  ``ids`` are those of the rest, with ``keep_ids`` of every window, window
+    ``kept`` first.
     """
     vocabulary = vocabulary or default_vocabulary()
     kind = docs.schema[doc_id].dataType
@@ -139,14 +140,15 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None, window: int = WIND
             for ids in encode(b.column("text").to_pylist()):
                 ids = np.append(ids, np.array([end_id], ids.dtype))
                 rest = len(ids) % window
-                begin = 0 if keep_ids else len(ids) - rest
-                rows.append((at, task, len(ids), full, rest, int(seen[rest]), [checksum(ids[i:i + window]) for i in range(0, len(ids), window)], begin, ids[begin:].tobytes()))
+                cut = [ids[i:i + window] for i in range(0, len(ids), window)]
+                kept = 0 if keep_ids else len(ids) // window
+                rows.append((at, task, len(ids), full, rest, int(seen[rest]), [checksum(x) for x in cut], kept, [x.tobytes() for x in cut[kept:]]))
                 at, full = at + 1, full + len(ids) // window
                 seen[rest] += 1
             at_, task_, *others = zip(*rows, strict=True)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array(at_, pa.int64()), pa.array(task_, pa.int32()), b.column("id"), *(pa.array(x, k) for x, k in zip(others, kinds, strict=True))],
-                                             names=["at", "task", "doc_id", "doc_tokens", "first_full", "length", "nth", "checks", "kept_from", "ids"])
+                                             names=["at", "task", "doc_id", "doc_tokens", "first_full", "length", "nth", "checks", "kept", "ids"])
 
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     return written(source.transform(mapped, run, TOKENIZED.format(kind=kind.simpleString())), "packing-tokens")
@@ -267,7 +269,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, e
     shared = spark.sparkContext.broadcast(arrays)
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    slim = table.drop("ids", "kept_from").join(offsets, ["task", "length"], "left") \
+    slim = table.drop("ids", "kept").join(offsets, ["task", "length"], "left") \
                 .select("task", "at", "doc_id", "doc_tokens", "first_full", "length", (F.col("before") + F.col("nth")).alias("number"), "checks")
 
     def place(batches):
@@ -300,19 +302,21 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, e
 
     def finish(batches):
         for b in slices(batches, 1024):
-            got = [np.frombuffer(x, dtype)[s - k:s - k + n] for x, s, n, k in zip(*(b.column(c).to_pylist() for c in ("ids", "start", "length", "kept_from")), strict=True)]
+            got = [np.frombuffer(x, dtype)[s % window:s % window + n] for x, s, n in zip(*(b.column(c).to_pylist() for c in ("ids", "start", "length")), strict=True)]
             checks = pa.array([checksum(x) for x in got], pa.int64())
             own = [checks if c == "ids_crc32" else b.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*own, *([pa.array([x.tobytes() for x in got], pa.binary())] if with_ids else [])], names=[*columns, *(["ids"] if with_ids else [])])
 
     schema = ", ".join(f"{f} {pieces.schema[f].dataType.simpleString()}" for f in columns)
-    ids = table.select("task", "at", "kept_from", "ids")
+    # a piece lies within one window of its document, so only that window's ids meet it
+    ids = table.select("task", "at", "kept", F.posexplode("ids").alias("pos", "ids")).select("task", "at", (F.col("kept") + F.col("pos")).alias("nth"), "ids")
+    of_window = F.call_function("div", F.col("start"), F.lit(window)).cast("int").alias("nth")
+    looked_up = lambda some: some.select("*", of_window).join(ids, ["task", "at", "nth"]).select(*columns, "ids")
     if with_ids:
-        return pieces.join(ids, ["task", "at"]).select(*columns, "kept_from", "ids").transform(mapped, finish, schema + ", ids binary")
+        return looked_up(pieces).transform(mapped, finish, schema + ", ids binary")
     # pieces of rests that were cut, a table of its own so that Spark knows its size: their ids are looked up for the checksum
     cut = written(pieces.where("ids_crc32 is null"), "packing-cut")
-    return pieces.where("ids_crc32 is not null").select(*columns) \
-                 .unionByName(cut.join(ids, ["task", "at"]).select(*columns, "kept_from", "ids").transform(mapped, finish, schema))
+    return pieces.where("ids_crc32 is not null").select(*columns).unionByName(looked_up(cut).transform(mapped, finish, schema))
 
 
 def padding(pieces: DataFrame, window: int = WINDOW) -> DataFrame:

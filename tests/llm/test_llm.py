@@ -1,6 +1,7 @@
 """The corpus operators against brute force, on small tables and on edge cases."""
 
 import hashlib
+import itertools
 import math
 import os
 import random
@@ -13,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from batchkit.llm import bpe, dedup, html, jaccard, mixing, quality, queries, secrets, suffixes, topk, toxicity, winnow
+from batchkit.llm import bpe, codes, dedup, html, jaccard, mixing, packing, quality, queries, resampling, secrets, suffixes, topk, toxicity, winnow
 from batchkit.llm.common import component_min, held_out
 
 SF = "/root/testdata/sf0.001"
@@ -605,3 +606,237 @@ def test_html_without_marks_density_and_containers_tell():
 def test_held_out(spark):
     got = spark.range(200).select("id", held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1) for r in got)
+
+
+# ---------------------------------------------------------------- 11 vector codes
+def brute_codes(rows, parts=8, entries=16, rounds=6, scale=4096):
+    """Plain Lloyd rounds over Python integers; rows are (vec_id, vector, label)."""
+    floor = lambda x: math.floor(scale * float(np.float32(x)))
+    ok = [(i, [float(np.float32(x)) for x in v], y) for i, v, y in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    ok.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    dim = len(ok[0][1]) if ok else 0
+    ok = [(i, [floor(x) for x in v], y) for i, v, y in ok if len(v) == dim]
+    cut = [(dim * p // parts, dim * (p + 1) // parts) for p in range(parts)]
+    books = [[v[a:z] for _, v, _ in ok[:entries]] for a, z in cut]
+    far = lambda x, c: sum((p - q) ** 2 for p, q in zip(x, c, strict=True))
+    for k in range(rounds + 1):
+        codes = [[min(range(len(books[p])), key=lambda e: (far(v[a:z], books[p][e]), e)) for p, (a, z) in enumerate(cut)] for _, v, _ in ok]
+        if k == rounds:
+            break
+        for p, (a, z) in enumerate(cut):
+            for e in range(len(books[p])):
+                own = [v[a:z] for (_, v, _), c in zip(ok, codes, strict=True) if c[p] == e]
+                if own:
+                    books[p][e] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    errors = [sum(far(v[a:z], books[p][c[p]]) for p, (a, z) in enumerate(cut)) for (_, v, _), c in zip(ok, codes, strict=True)]
+    by = {}
+    for (_, _, y), e in zip(ok, errors, strict=True):
+        by[y] = by.get(y, 0) + e
+    sha = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    long = lambda e: e if e < 1 << 63 else None
+    return [(i, "".join(f"{x:02x}" for x in c), long(e), long(by[y]), sha) for (i, _, y), c, e in zip(ok, codes, errors, strict=True)]
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, code string, of int, x string"
+
+
+def vector_rows(case):
+    r = np.random.default_rng(7)
+    if case == "clusters":
+        centres = r.normal(size=(9, 24))
+        rows = [(i, (centres[i % 9] + r.normal(size=24) * 0.2).tolist(), i % 5 if i % 7 else None) for i in range(500)]
+        rows += [(900, None, 1), (901, [1.0, None] * 12, 1), (902, [float("nan")] * 24, 1), (903, [float("inf")] * 24, 1), (904, [0.5] * 23, 1), (905, [], 2), (None, [0.1] * 24, None), (3, [0.1] * 24, 2), (3, [0.1] * 24, 2)]
+    elif case == "ties":  # many equal distances, copies, unused entries
+        rows = [(i, [float(x) for x in r.integers(-1, 2, size=16)], 0 if i % 3 else 1) for i in range(300)] + [(1000 + i, [0.0] * 16, 0) for i in range(200)]
+    elif case == "few":
+        rows = [(i, [i / 3, -i / 7, i * 1.5], i) for i in range(9)]
+    elif case == "huge":
+        rows = [(i, [float(x) for x in r.normal(size=8) * 10.0 ** r.integers(-3, 37)], i % 2) for i in range(60)] + [(i, [float(x) for x in r.normal(size=8)], 2) for i in range(60, 90)]
+    else:
+        rows = []
+    return rows
+
+
+@pytest.mark.parametrize("case", ["clusters", "ties", "few", "huge", "none"])
+def test_codes_against_plain_rounds(spark, case):
+    rows = vector_rows(case)
+    df = spark.createDataFrame([(*x, "c", 1, "x") for x in rows], VECTORS).repartition(3)
+    got = codes.compress(df)
+    assert got.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute_codes(rows), key=str)
+
+
+def test_codes_bounds_settle_and_adapt(spark):
+    rows = vector_rows("clusters")
+    trained = codes.train(spark.createDataFrame([(*x, "c", 1, "x") for x in rows], VECTORS).repartition(2))
+    assert len(trained.list_lengths) == 7 and all(0 < b < 16 for step in trained.list_lengths for b in step)
+    assert len({tuple(step) for step in trained.list_lengths}) > 1  # b moved
+    # every state's bounds hold against all distances, also after its entries have moved
+    r = np.random.default_rng(3)
+    x, c = r.integers(-4000, 4000, size=(400, 3)), r.integers(-4000, 4000, size=(16, 3))
+    state, asked = codes.Bounds.fresh(x, c, 4), []
+    for k in range(8):
+        new = c + r.integers(-300, 300, size=c.shape) // (k + 1)
+        state.loosen(codes.movement(c.tolist(), new.tolist()))
+        c = new
+        state.fit(2 + k % 4)
+        asked.append(len(state.open()))
+        state.settle(x, c)
+        d = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+        assert (state.own == d.argmin(axis=1)).all()
+        root = np.sqrt(d)
+        assert (state.upper >= root[np.arange(400), state.own]).all()
+        for i in range(400):
+            listed = {int(e): low for e, low in zip(state.near[i], state.low[i], strict=True) if e != codes.NONE}
+            assert all(low <= root[i, e] for e, low in listed.items()) and int(state.own[i]) not in listed
+            assert all(state.outer[i] <= root[i, e] for e in range(16) if e not in listed and e != state.own[i])
+        packed = codes.Bounds.unpack(state.pack(), state.near.shape[1])
+        assert all((getattr(packed, n) == getattr(state, n)).all() for n in ("own", "upper", "near", "low", "outer"))
+    assert asked[-1] < 400  # bounds spare most parts their distances as the entries come to rest
+
+
+# ---------------------------------------------------------------- 12 resampling
+def brute_resampling(docs, target, percent=10):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    place = lambda w: zlib.crc32(w.encode()) % 10_000
+    s, t = [0] * 10_000, [0] * 10_000
+    for texts, into in ((docs, s), (target, t)):
+        for _, text in texts:
+            for w in words(text):
+                into[place(w)] += 1
+    total_s, total_t = sum(s), sum(t)
+    gain = [math.floor(1000 * math.log((b + 1) * (total_s + 10_000) / ((a + 1) * (total_t + 10_000)))) for a, b in zip(s, t, strict=True)]
+    out = []
+    for i, text in docs:
+        w = words(text)
+        weight = sum(gain[place(x)] for x in w) // len(w) if w else 0
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([i, len(w), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))])
+    able = sorted((x for x in out if x[1] >= 20), key=lambda x: (-x[3], x[0] is None, x[0] or 0))
+    for x in out:
+        x.append(None)
+    for k, x in enumerate(able[:percent * len(able) // 100]):
+        x[4] = k + 1
+    return out
+
+
+@pytest.mark.parametrize("percent", [10, 60, 0])
+def test_resampling_against_brute_force(spark, none, percent):
+    rows = [(i, t) for i, t, _ in odd_rows() if i != 9] + [(9, prose(6000, 2))] + [(100 + k, prose(5 + 3 * k, k)) for k in range(60)] + [(300, "Ünï1 ſ K ﬁ a_b-c\x00d")]
+    target = [(i, prose(40, i)) for i in range(5)] + [(None, None), (7, "")]
+    df = docs_of(spark, [(i, t, "a") for i, t in rows]).withColumn("weight", F.lit(1)).withColumn("row", F.lit(2)).withColumn("rank", F.lit(3)).repartition(4)
+    bench = spark.createDataFrame(target, "item_id long, text string")
+    got = sorted(map(tuple, resampling.resample(df, bench, percent).collect()), key=str)
+    assert got == sorted(map(tuple, brute_resampling(rows, target, percent)), key=str)
+    assert resampling.resample(none, bench).collect() == []
+    assert [r["weight"] for r in resampling.resample(df, bench.limit(0)).where("n_features = 0").collect()] == [0] * sum(1 for x in brute_resampling(rows, []) if not x[1])
+
+
+def test_resampling_ranks_repeated_rows_apart(spark):
+    df = docs_of(spark, [(5, prose(30, 1), "a")] * 40 + [(None, prose(30, 2), "a")] * 20 + [(k, prose(30, k), "a") for k in range(10, 50)]).repartition(5)
+    ranks = sorted(r["rank"] for r in resampling.resample(df, df.limit(0), 50).collect() if r["rank"])
+    assert ranks == list(range(1, 51))
+
+
+def test_bit_sliced_sums():
+    r = np.random.default_rng(1)
+    for top in (1, 5, 30_000):
+        gain = r.integers(-top, top + 1, size=777)
+        counts = r.integers(0, 3, size=(9, 777)) * r.integers(0, 70_000, size=(9, 777))
+        counts[0] = 0
+        assert resampling.weighted_sums(counts, resampling.gain_planes(gain)) == [int(sum(int(a) * int(b) for a, b in zip(row, gain, strict=True))) for row in counts]
+    assert resampling.features([b"a", b"b", b"c"], 2) == [b"a", b"b", b"c", b"a b", b"b c"]
+
+
+# ---------------------------------------------------------------- 13 packing
+def packed_well(rows, texts, window, encode):
+    """Every id in one piece, pieces in order, sequences gapless and no longer than the window."""
+    ids = {i: [*encode(t), 1] for i, t in texts.items()}
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r["doc_id"], []).append(r)
+    assert set(pieces) == set(ids)
+    for i, held in pieces.items():
+        held.sort(key=lambda r: r["start"])
+        assert [r["start"] for r in held] == [0, *itertools.accumulate(r["length"] for r in held)][:-1]
+        assert sum(r["length"] for r in held) == len(ids[i]) == held[0]["doc_tokens"]
+        for r in held:
+            assert r["length"] > 0 and r["ids_crc32"] == zlib.crc32(np.array(ids[i][r["start"]:r["start"] + r["length"]], "<u4").tobytes())
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    filled = []
+    for s in sequences.values():
+        s.sort()
+        assert [o for o, _ in s] == [0, *itertools.accumulate(n for _, n in s)][:-1]
+        filled.append(sum(n for _, n in s))
+        assert filled[-1] <= window
+    return filled
+
+
+@pytest.mark.parametrize("window", [2048, 64, 7])
+def test_packing_is_whole_and_tight(spark, none, window):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(packing.default_vocabulary())
+    texts = {k: x for k, x in enumerate([None, "", " \t\n", "one two", "<|endoftext|> and <|endoftext|>x", "é😀 \u0085 it's", " " * (300_000 if window == 2048 else 300) + "a", prose(3000, 1), "a" * 5000])}
+    texts |= {100 + k: prose(3 + 11 * k % 170, k) for k in range(120)} | {500 + k: prose(20, 5) for k in range(90)}
+    df = docs_of(spark, [(i, x, "a") for i, x in texts.items()]).withColumn("ids", F.lit(1)).withColumn("task", F.lit(1)).withColumn("length", F.lit(1)).repartition(5)
+    rows = packing.pack(df, window=window).collect()
+    filled = packed_well(rows, texts, window, lambda x: t.encode(x or "", add_special_tokens=False).ids)
+    assert sum(n < window for n in filled) <= 1  # all but the last are full
+    spark_says = packing.padding(packing.pack(df, window=window), window).first()
+    assert (spark_says["sequences"], spark_says["tokens"]) == (len(filled), sum(filled)) and spark_says["padding"] < window
+    assert packing.pack(none).collect() == []
+    whole = packing.pack(df, window=window, with_ids=True).collect()
+    assert sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in whole) == sorted((r["doc_id"], r["start"], r["length"], zlib.crc32(np.frombuffer(r["ids"], "<u2").astype("<u4").tobytes())) for r in whole)
+    packed_well(whole, texts, window, lambda x: t.encode(x or "", add_special_tokens=False).ids)
+
+
+def test_packing_of_repeated_and_null_ids(spark):
+    rows = [(1, prose(50, 1), "a")] * 30 + [(None, prose(40, k), "a") for k in range(40)]
+    got = packing.pack(docs_of(spark, rows).repartition(3), window=128).collect()
+    assert sum(r["length"] for r in got) == sum({k: len(x) for k, x in enumerate(packing.Encoder(packing.default_vocabulary())([t for _, t, _ in rows]))}.values()) + len(rows)
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in got)
+    assert all(a[0] != b[0] or a[1] + a[2] == b[1] for a, b in zip(places, places[1:]))
+
+
+def test_packing_fill_is_the_closest_sum():
+    r = random.Random(4)
+    for _ in range(200):
+        counts = {r.randint(1, 30): r.randint(0, 3) for _ in range(r.randint(0, 6))}
+        room = r.randint(0, 60)
+        items = [n for n, c in counts.items() for _ in range(c)]
+        sums = {0}
+        for n in items:
+            sums |= {s + n for s in sums if s + n <= room}
+        chosen = packing.fill(counts, room)
+        assert sum(n * k for n, k in chosen.items()) == max(sums) and all(0 < k <= counts[n] for n, k in chosen.items())
+
+
+def test_packing_plan_uses_every_rest_once():
+    r = random.Random(5)
+    for window, histogram in ((64, {40: 10_000}), (64, {n: r.randint(1, 9) for n in range(1, 64)}), (2048, {1500: 333_333_333}), (2048, {n: r.randint(0, 4) for n in range(1000, 2048)}), (64, {63: 1}), (64, {})):
+        rules, sequences = packing.plan(histogram, window)
+        total = sum(n * c for n, c in histogram.items())
+        assert 0 <= sequences * window - total < window
+        by = {}
+        for rule in rules:
+            by.setdefault(rule.length, []).append(rule)
+        arrived = {}
+        for rule in rules:
+            if rule.taken < rule.length:
+                arrived[rule.length - rule.taken] = arrived.get(rule.length - rule.taken, 0) + rule.last - rule.first
+        for n, held in by.items():
+            assert [x.first for x in held] == [0, *(x.last for x in held[:-1])] and held[-1].last == histogram.get(n, 0) + arrived.get(n, 0)
+        assert len(rules) < 40_000
+
+
+def test_packing_encoder_is_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+    r = random.Random(6)
+    alphabet = [*map(chr, range(0x250)), *map(chr, range(0x2000, 0x2070)), *"　あ中😀🇦́‍\ufeff᠎­٠½Ⅰ①", *(" \n\t\r'sdmtlvre19a.," * 30)]
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) + r.choice(["", "", "<|endoftext|>", " <|endoftext|> b"]) for _ in range(5000)]
+    for path in (packing.default_vocabulary(), "/opt/tokenizers/word_bpe_49k.json"):
+        own, t = packing.Encoder(path), Tokenizer.from_file(path)
+        assert (own.fast is not None) == (path == packing.default_vocabulary())
+        assert [x.tolist() for x in own(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
