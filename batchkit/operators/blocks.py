@@ -1,12 +1,71 @@
-"""Rank blocks: every group cut into blocks of at most a stated number of values, by one rule at every size."""
+"""Ranges of a sort order, and rank blocks cut along them: groups of any size in blocks of a stated number of values.
+
+Ranges are a function of the rows' values, not of where the rows happen to lie: their
+bounds are quantiles of a hash sample and reach the plan as one scalar subquery.  So
+every use of them, every retried task and every layout sees the same ranges, and nothing has to
+be written or computed ahead of the query.
+"""
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Distinct rows in the sample that the bounds are taken from, on average.
+SAMPLE = 4096
+#: Ranges at most: four sampled rows each.
+MAX_RANGES = 1024
+#: Bounds compared at a time; beyond as many, every such bound is compared first.
+FAN = 32
+
+
+def range_count(df: DataFrame) -> int:
+    """As many ranges as the session has shuffle partitions, at most MAX_RANGES."""
+    return max(1, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def range_bounds(df: DataFrame, columns: Sequence[str], ranges: int, copies: str | None = None) -> Column:
+    """The bounds of ``ranges`` ranges with about equally many rows of ``df``, whose rows are distinct in ``columns``.
+
+    A scalar subquery: an ascending array of at most ``ranges - 1`` structs.  A row is in the
+    sample if the hash of its columns falls under SAMPLE / (number of rows), so
+    the sample depends on the rows alone and has SAMPLE rows, give or take its
+    square root's multiple, at any size.  ``copies`` names a column that is computed along
+    with the rows, so that the subquery can share the shuffle that makes them.
+    """
+    there = F.lit(True) if copies is None else F.col(copies) >= 0
+    rows = df.where(there).agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.lit(float(SAMPLE) * (1 << 53)) / rows
+    mark = F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double")
+    sampled = df.where(F.when(there, mark) < share)  # one condition: it stays above the rows' aggregate, whose shuffle is there already
+    found = sampled.agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("s"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(max(1, ranges - 1))), lambda i: F.call_function("div", F.size("s") * i, F.lit(ranges)).cast("int"))
+    picked = F.array_distinct(F.transform(F.filter(at, lambda i: i > 0), lambda i: F.element_at("s", i)))
+    return found.select((picked if ranges > 1 else F.slice("s", 1, 0)).alias("bounds")).scalar()
+
+
+def _range_of(bounds: Column, columns: Sequence[str], ranges: int) -> Column:
+    """How many of ``bounds`` lie below the row's columns (nulls come first)."""
+    row = F.struct(*columns)
+    below = lambda some: F.size(F.filter(some, lambda b: b < row))
+    if ranges <= FAN:
+        return below(bounds)
+    every = F.transform(F.sequence(F.lit(0), F.call_function("div", F.size(bounds), F.lit(FAN)).cast("int")), lambda i: i * FAN + 1)
+    coarse = F.transform(F.filter(every, lambda i: i <= F.size(bounds)), lambda i: F.element_at(bounds, i))
+    first = F.greatest(below(coarse) - 1, F.lit(0)) * FAN
+    return first + below(F.slice(bounds, first + 1, F.lit(FAN)))
+
+
+def with_range(df: DataFrame, columns: Sequence[str], name: str = "_range", bounds: Column | None = None, copies: str | None = None) -> DataFrame:
+    """``df`` with the number of the range that a row's ``columns`` are in, from 0; ``bounds`` may come from other rows."""
+    ranges = range_count(df)
+    if bounds is None:
+        bounds = range_bounds(df, columns, ranges, copies)
+    held = df.withColumn("_bounds", bounds)  # a column first: a subquery may not stand inside a higher-order function
+    return held.withColumn(name, _range_of(F.col("_bounds"), columns, ranges)).drop("_bounds")
+
 
 def rank_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_block: int,
                 copies: str = "copies") -> DataFrame:
@@ -17,30 +76,28 @@ def rank_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_p
     whose copies reach into several blocks comes out once per block with its share.
     Nulls are values like any other and come first.
 
-    No key is ranked in one task: rows are sorted by range over (keys, order), sums
-    per key and range give each range's offset, and the running sum inside a range
-    starts there.  The sorted rows are checkpointed, so all uses see the same ranges.
+    No key is ranked in one task: rows are dealt by (keys, range), where the ranges
+    cut the order of (keys, order) into about equal parts; a running sum starts, in each
+    range, from the sum of the key's earlier ranges.  Only a range that begins inside a key
+    has such an offset, so there are fewer offsets than ranges and they are broadcast.
     """
-    from batchkit.session import checkpoint_base
-
     if rows_per_block < 1:
         raise ValueError("rows_per_block must be at least 1")
-    checkpoint_base(df.sparkSession)
-    ordered = df.orderBy(*keys, *order).withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
-    sums = ordered.groupBy(*keys, "_range").agg(F.sum(copies).alias("_sum"))
+    ranged = with_range(df, [*keys, *order], copies=copies).repartition(*keys, "_range")
+    sums = ranged.groupBy(*keys, "_range").agg(F.sum(copies).alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"),
-                          F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = sums.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"), F.sum("_sum").over(earlier).alias("_offset")) \
+                  .where("_offset > 0")
     same = F.col("_range") == F.col("_r")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))  # a null key is a key
     within = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ends = ordered.withColumn("_running", F.sum(copies).over(within)).join(offsets, same) \
-                  .withColumn("_end", F.col("_offset") + F.col("_running")) \
-                  .withColumn("_start", F.col("_end") - F.col(copies))
+    ends = ranged.withColumn("_running", F.sum(copies).over(within)).join(F.broadcast(offsets), same, "left") \
+                 .withColumn("_end", F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_running")) \
+                 .withColumn("_start", F.col("_end") - F.col(copies))
     per = F.lit(rows_per_block)
     div = lambda a: F.call_function("div", a, per)
     cut = ends.withColumn("block", F.explode(F.sequence(div(F.col("_start")), div(F.col("_end") - 1))))
     share = F.least(F.col("_end"), (F.col("block") + 1) * per) - F.greatest(F.col("_start"), F.col("block") * per)
-    columns = [share.cast("int").alias(c) if c == copies else F.col(c) for c in df.columns]
-    return cut.select(*columns, "block")
+    out = [share.cast("int").alias(c) if c == copies else F.col(c) for c in df.columns]
+    return cut.select(*out, "block")
