@@ -15,14 +15,14 @@ from typing import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchkit.functions.registry import event_rate_sql, int_average_sql, register_all
 from batchkit.functions.text import day_key
 from batchkit.operators import aggregates as agg
 from batchkit.operators import business as biz
-from batchkit.operators import joins, nested, partitions, rows, sampling, sets, sorting
+from batchkit.operators import folds, joins, nested, partitions, rows, sampling, sets, sorting
 from batchkit.session import scratch_database, shared_dir, table
 from batchkit.sinks import tables as table_sinks
 from batchkit.sinks import text as text_sinks
@@ -283,6 +283,40 @@ def q_aggregate_by_key(spark, sf):
                                 F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("s"))
 
 
+_PRICE_EDGES = list(range(0, 100_001, 10_000))
+
+
+@query("fold_histogram", """
+    with b as (select l_returnflag, l_linestatus, len(list_filter(range(0, 100001, 10000), lambda e: e <= l_extendedprice)) bucket from lineitem),
+    g as (select distinct l_returnflag, l_linestatus from lineitem)
+    select g.l_returnflag, g.l_linestatus, cast(i.bucket as integer) bucket, count(b.bucket) n
+    from g cross join (select unnest(range(12)) bucket) i
+    left join b on b.l_returnflag = g.l_returnflag and b.l_linestatus = g.l_linestatus and b.bucket = i.bucket
+    group by 1, 2, 3""")
+def q_fold_histogram(spark, sf):
+    # aggregateByKey with a state of its own: price histograms, merged bucket by bucket.
+    li = table(spark, sf, "lineitem")
+    held = folds.fold_by_key(li, ["l_returnflag", "l_linestatus"], "l_extendedprice", folds.histogram(_PRICE_EDGES), "h")
+    return held.select("l_returnflag", "l_linestatus", F.posexplode("h").alias("bucket", "n"))
+
+
+@query("fold_event_rate", ORACLE["event_rate_null"])
+def q_fold_event_rate(spark, sf):
+    # The rate as a fold with numerator and denominator counts as its state; many small groups.
+    ev = table(spark, sf, "events")
+    out = folds.fold_by_key(ev, [day_key(ev, "ts").alias("dt"), "user_id"], ["event_type", F.lit("purchase"), F.lit("signup")], folds.event_rate_fold(), "r")
+    return out.withColumn("dt", F.col("dt").cast("string"))
+
+
+@query("fold_int_average_sql", ORACLE["int_average"])
+def q_fold_int_average_sql(spark, sf):
+    # A user-defined aggregate by its SQL names: states in each task, then the aggregate over states.
+    folds.register_fold(spark, "int_mean", folds.int_mean_fold(), keys="l_returnflag string")
+    view = create_view(table(spark, sf, "lineitem"), _name("lineitem"))
+    return spark.sql(f"""select l_returnflag, int_mean(state) a
+                         from int_mean_states(table(select l_returnflag, l_partkey from {view})) group by l_returnflag""")
+
+
 @query("key_bounds", "select min(o_orderkey) lo, max(o_orderkey) hi from orders")
 def q_key_bounds(spark, sf):
     return agg.key_bounds(table(spark, sf, "orders"), "o_orderkey")
@@ -462,13 +496,23 @@ def q_join_right(spark, sf):
 
 
 @query("join_full", """
-    select n_name, p_size, n
-    from nation full join (select p_size, count(*) n from part group by 1) on n_nationkey = p_size""")
+    select c_custkey, c_mktsegment, o_custkey, n
+    from customer full join (select o_custkey, count(*) n from orders group by 1) on c_custkey = o_custkey""")
 def q_join_full(spark, sf):
-    # Nation 0 has no part of that size, sizes beyond the last nation have no nation.
-    na = table(spark, sf, "nation")
-    sizes = table(spark, sf, "part").groupBy("p_size").agg(F.count(F.lit(1)).alias("n"))
-    return joins.join(na, sizes, na.n_nationkey == sizes.p_size, "full").select("n_name", "p_size", "n")
+    # Whole tables: customers without orders have no count. No key's rows meet in one task.
+    cu = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    counts = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return joins.spread_join(cu, counts, [("c_custkey", "o_custkey")], "full")
+
+
+@query("join_full_hot", """
+    select c_custkey, c_nationkey, s_suppkey, s_nationkey
+    from customer full join supplier on c_nationkey = s_nationkey""")
+def q_join_full_hot(spark, sf):
+    # 25 keys, each a hot one on both sides: rows meet piece by piece.
+    cu = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    su = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    return joins.spread_join(cu, su, [("c_nationkey", "s_nationkey")], "full")
 
 
 @query("broadcast_semi", """
@@ -529,11 +573,12 @@ def q_take_sample_fixed(spark, sf):
 
 
 @query("take_sample_replacement", """
-    with draws as (select unnest(generate_series(0, 4)) draw),
-    keyed as (select draw, event_id, md5(concat(cast(event_id as varchar), ':', cast(draw as varchar), ':1')) h from events, draws)
-    select draw, arg_min(event_id, (h, event_id)) event_id from keyed group by draw""")
+    with ordered as (select event_id, row_number() over (order by event_id) - 1 pos, count(*) over () n from events),
+    draws as (select unnest(generate_series(0, 499)) draw)
+    select draw, event_id from draws
+    join ordered on pos = cast(concat('0x', substr(md5(concat(cast(draw as varchar), ':1')), 1, 15)) as bigint) % n""")
 def q_take_sample_replacement(spark, sf):
-    return sampling.take_sample_with_replacement(table(spark, sf, "events").select("event_id"), "event_id", 5, seed=1)
+    return sampling.take_sample_with_replacement(table(spark, sf, "events").select("event_id"), "event_id", 500, seed=1)
 
 
 @query("sample_by_hash", """
@@ -542,9 +587,20 @@ def q_sample_by_hash(spark, sf):
     return sampling.sample_by_hash(table(spark, sf, "events").select("event_id"), "event_id", 0.5)
 
 
-@query("sample_fraction")
+@query("sample_fraction", """
+    select event_id from events where substr(md5(concat(cast(event_id as varchar), ':7')), 1, 13) < '8000000000000'""")
 def q_sample_fraction(spark, sf):
-    return sampling.sample_fraction(table(spark, sf, "events").select("event_id"), 0.5, seed=7)
+    return sampling.sample(table(spark, sf, "events").select("event_id"), "event_id", 0.5, seed=7)
+
+
+@query("sample_replacement", """
+    with recursive poisson(k, chance, total) as (
+      select 0, exp(-1.5), exp(-1.5) union all select k + 1, chance * (1.5::double / (k + 1)), total + chance * (1.5::double / (k + 1)) from poisson where k < 30),
+    drawn as (select event_id, cast(concat('0x', substr(md5(concat(cast(event_id as varchar), ':7')), 1, 13)) as bigint) u from events)
+    select event_id from drawn join poisson on u >= cast(round(total * 4503599627370496) as bigint) and round(total * 4503599627370496) < 4503599627370496""")
+def q_sample_replacement(spark, sf):
+    # sample(withReplacement = true, 1.5): a row comes as often as a Poisson variable of that mean.
+    return sampling.sample(table(spark, sf, "events").select("event_id"), "event_id", 1.5, seed=7, with_replacement=True)
 
 
 # ============================================================ partition-level operators
@@ -613,19 +669,31 @@ def q_repartition_rows(spark, sf):
     return partitions.repartition_to(li, 2 * partitions.num_partitions(li), "l_orderkey")
 
 
-@query("repartition_sorted", "select l_orderkey, l_linenumber from lineitem")
+@query("repartition_sorted", """
+    select cast(l_orderkey % 6 as integer) pidx,
+           row_number() over (partition by l_orderkey % 6 order by l_orderkey, l_linenumber) - 1 pos, l_orderkey, l_linenumber from lineitem""")
 def q_repartition_sorted(spark, sf):
+    # A partitioner of the caller's; each row shows its partition and its place there.
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    # The partition count follows the input (at least 3), so each sort stays partition-sized.
-    return partitions.repartition_sorted(li, max(3, partitions.num_partitions(li)), "l_orderkey", "l_linenumber")
+    dealt = partitions.repartition_sorted(li, 6, "l_orderkey", "l_linenumber", partitioner=lambda k: k % 6)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return dealt.select(F.spark_partition_id().alias("pidx"), place.alias("pos"), "l_orderkey", "l_linenumber")
 
 
-@query("transform_rows", """
-    select cast(o_orderkey as varchar) o_orderkey, o_orderstatus from orders""")
+@query("repartition_spread", "select l_returnflag, l_orderkey, true as in_order from lineitem")
+def q_repartition_spread(spark, sf):
+    # Three keys, each a third of the rows: they span several partitions, in global order.
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey")
+    spread = partitions.repartition_sorted(li, 12, "l_returnflag", "l_orderkey").withColumn("at", F.monotonically_increasing_id())
+    before = F.lag(F.struct("l_returnflag", "l_orderkey")).over(Window.partitionBy(F.shiftright("at", 33)).orderBy("at"))
+    return spread.select("l_returnflag", "l_orderkey", F.coalesce(before <= F.struct("l_returnflag", "l_orderkey"), F.lit(True)).alias("in_order"))
+
+
+@query("transform_rows", "select doc_id, text, case when doc_id % 3 > 0 then source end source from documents")
 def q_transform_rows(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return partitions.pipe(o, ["o_orderkey", "o_orderstatus"], "cat",
-                           "o_orderkey string, o_orderstatus string", _name("pipe_in"))
+    # Whole texts with their tabs, line ends and backslashes, and nulls, through a command and back.
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.when(F.col("doc_id") % 3 > 0, F.col("source")).alias("source"))
+    return partitions.pipe(docs, ["doc_id", "text", "source"], "cat", "doc_id bigint, text string, source string", _name("pipe_in"))
 
 
 # ============================================================ UDF surface and generated rows
@@ -683,6 +751,16 @@ def q_sql_on_json_file(spark, sf):
     return json_src.sql_on_file(spark, "json", _customer_json(spark, sf))
 
 
+@query("json_array_scan", _CUSTOMER_JSON_ORACLE)
+def q_json_array_scan(spark, sf):
+    # Customers as arrays of at most 1,000, each on one line of the files.
+    cu = table(spark, sf, "customer")
+    block = F.call_function("div", F.col("c_custkey"), F.lit(1000))
+    texts = cu.groupBy(block.alias("b")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*cu.columns))), ","), F.lit("]")).alias("a"))
+    path = text_sinks.write_text(texts.select("a"), shared_dir(spark, "customer_arrays"))
+    return json_src.read_json_array(spark, path)
+
+
 @query("ddl_json_view", _CUSTOMER_JSON_ORACLE)
 def q_ddl_json_view(spark, sf):
     return json_src.create_file_view(spark, _name("customer_json"), "json", _customer_json(spark, sf))

@@ -46,18 +46,14 @@ def test_partition_index_rows(spark):
 
 
 def test_repartition_sorted_partitions(spark):
-    df = Q["repartition_sorted"](spark, SF001)
-    n_in = table(spark, SF001, "lineitem").rdd.getNumPartitions()
-    assert df.rdd.getNumPartitions() == max(3, n_in)
-    tagged = df.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"),
-                       "l_orderkey", "l_linenumber").collect()
+    rows = Q["repartition_sorted"](spark, SF001).collect()
     by_part = {}
-    for r in sorted(tagged, key=lambda r: r["m"]):
-        by_part.setdefault(r["p"], []).append((r["l_orderkey"], r["l_linenumber"]))
-    for rows in by_part.values():
-        assert rows == sorted(rows)
-    keys = [{k for k, _ in rows} for rows in by_part.values()]
-    assert sum(len(k) for k in keys) == len(set().union(*keys))  # each key in one partition
+    for r in sorted(rows, key=lambda r: (r["pidx"], r["pos"])):
+        by_part.setdefault(r["pidx"], []).append((r["l_orderkey"], r["l_linenumber"]))
+    assert sorted(by_part) == list(range(6))
+    assert all(held == sorted(held) for held in by_part.values())
+    assert all(k % 6 == p for p, held in by_part.items() for k, _ in held)  # the caller's partitioner
+    assert all(r["in_order"] for r in Q["repartition_spread"](spark, SF001).collect())
 
 
 def test_coalesce_and_repartition_counts(spark):

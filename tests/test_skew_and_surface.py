@@ -142,7 +142,7 @@ def test_repartition_sorted_spreads_a_hot_key(spark):
     from batchkit.operators.partitions import repartition_sorted
 
     df = _hot(spark)  # key 0 holds a third of the rows
-    out = repartition_sorted(df, 6, "k", "v", spread_hot_keys=True)
+    out = repartition_sorted(df, 6, "k", "v")
     tagged = out.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("m"), "k", "v").collect()
     parts = {}
     for r in sorted(tagged, key=lambda r: r["m"]):
