@@ -8,7 +8,7 @@ from batchkit.plans.inspect import physical_plan
 
 Q = catalog.queries()
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "AggregateInPandas")
-PYTHON_ON_PURPOSE = {"map_partitions"}
+PYTHON_ON_PURPOSE = {"map_partitions", "fold_int_average_sql"}  # the function of the caller is the operator
 
 
 def plan(df) -> str:
@@ -95,10 +95,14 @@ def test_partitioned_table_reads_prune_folders(spark):
 
 
 # Global aggregates merge one partial row per partition in a single task; the
-# position offsets of sort_by_key_desc hold one row per partition.  Nothing else
-# may funnel through a single partition.
+# position offsets of sort_by_key_desc hold one row per partition; the bounds of ranges
+# are taken from a sample of fixed size, and the offsets of a sample's ranges are one row
+# per range; the totals that tell hot keys are global sums.  Nothing else may funnel
+# through a single partition.
 SINGLE_PARTITION_OK = {"reduce_sum", "reduce_pair", "count_rows", "key_bounds", "text_total_length",
-                       "text_file_lines", "sort_by_key_desc", "text_min_partitions", "partition_count"}
+                       "text_file_lines", "sort_by_key_desc", "text_min_partitions", "partition_count",
+                       "group_mod3", "group_mod3_auto", "group_by_key", "login_rollup", "login_rollup_daily", "login_rollup_tsv",
+                       "take_sample_replacement", "join_full", "join_full_hot"}
 
 
 @pytest.mark.parametrize("key", sorted(Q))
@@ -107,3 +111,38 @@ def test_no_single_partition_funnel(spark, key):
     if "SinglePartition" in p:
         assert key in SINGLE_PARTITION_OK, key
         assert "partial_" in p or key == "sort_by_key_desc", key  # only merges of partial results
+
+
+@pytest.mark.parametrize("key", ["group_mod3", "group_mod3_auto", "group_by_key", "login_rollup", "login_rollup_daily"])
+def test_rank_blocks_write_and_run_nothing_ahead(spark, key, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def never(*_, **__):
+        raise AssertionError("no checkpoint")
+
+    monkeypatch.setattr(DataFrame, "checkpoint", never)
+    Q[key](spark, SF001)  # table definitions are read once
+    spark.sparkContext.setJobGroup(f"ahead-{key}", key)
+    out = Q[key](spark, SF001)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(f"ahead-{key}") in ([], ())
+    final = [r for r in out.collect()]
+    assert final and "ReusedExchange" in plan(out)  # ranges, offsets and rows read one shuffle of the counted values
+
+
+def test_range_bounds_cut_evenly(spark):
+    from pyspark.sql import functions as F
+
+    from batchkit.operators import blocks
+
+    df = spark.range(200_000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"), F.lit(1).alias("copies"))
+    sizes = [r["count"] for r in blocks.with_range(df, ["k", "v"], copies="copies").groupBy("_range").count().collect()]
+    assert len(sizes) == blocks.range_count(df) and max(sizes) < 1.3 * 200_000 / len(sizes)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")  # more ranges than are compared at a time
+    try:
+        held = blocks.with_range(df.where("v < 3000"), ["k", "v"]).select("k", "v", "_range").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    ordered = [r["_range"] for r in sorted(held, key=lambda r: (r["k"], r["v"]))]
+    assert ordered == sorted(ordered) and set(ordered) == set(range(100))
+    assert all(20 <= ordered.count(k) <= 40 for k in range(100))
