@@ -71,9 +71,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     weight = quality_weight(F.col(text))
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
                        sampling_key(F.col(doc_id), weight, seed).alias("key"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
-    # a null source as a key of its own; a range of keys of a source
+    # a null source as a key of its own; a range of keys of a source, which expects
+    # 6 even shares of the documents at most, also if all have the least weight
     base = base.withColumn("sk", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), F.col("source")))) \
-               .withColumn("bin", F.least(F.lit(bins - 1), F.floor((1 - F.exp(-F.col("key"))) * bins)).cast("int"))
+               .withColumn("bin", F.least(F.lit(bins - 1), F.floor(F.col("key") / (1 + F.col("key")) * bins)).cast("int"))
     base = written(base, "mix")
     ranges = written(base.groupBy("sk", "bin").agg(F.sum("size").alias("bin_size"), F.first("source").alias("source")), "mix-ranges")
     sizes = ranges.groupBy("sk").agg(F.sum("bin_size").alias("source_size"), F.first("source").alias("source"))
