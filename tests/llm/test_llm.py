@@ -840,3 +840,64 @@ def test_packing_encoder_is_the_library(monkeypatch):
         own, t = packing.Encoder(path), Tokenizer.from_file(path)
         assert (own.fast is not None) == (path == packing.default_vocabulary())
         assert [x.tolist() for x in own(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+# ---------------------------------------------------------------- 3 and 7 against plain versions
+def test_ftrl_against_a_plain_version():
+    """FTRL-proximal as published, a coordinate at a time in dictionaries."""
+    r, bits, alpha, beta, l1, l2 = random.Random(12), 8, 0.7, 1.0, 0.4, 0.1
+    rows = [(sorted(r.sample(range(256), r.randint(0, 12))), r.randint(0, 1)) for _ in range(400)]
+    rows = [(at, int(3 in at or 7 in at) if r.random() < 0.9 else y) for at, y in rows]
+    z, n, bias = {}, {}, 1 << bits
+
+    def weight(i):
+        own = 0.0 if i == bias else l1
+        if abs(z.get(i, 0.0)) <= own:
+            return 0.0
+        return -(z[i] - math.copysign(own, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    model = toxicity.Ftrl(bits, alpha, beta, l1, l2)
+    for at, y in rows:
+        w = {i: weight(i) for i in [*at, bias]}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - y
+        for i in w:
+            old = n.get(i, 0.0)
+            z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w[i]
+            n[i] = old + g * g
+        model.step(np.array(at, np.int64), y)
+    places, weights = model.sparse()
+    want = {i: weight(i) for i in n if weight(i)}
+    assert sorted(want) == places.tolist() and np.allclose([want[i] for i in sorted(want)], weights, rtol=1e-9)
+    assert 0 < len(want) < len(n)  # L1 leaves out coordinates
+
+
+def test_quality_vote_against_plain_vectors():
+    """tf-idf, a full singular value decomposition and a vote over all sorted cosines."""
+    r = np.random.default_rng(5)
+    terms = lambda k: np.sort(r.choice(60, size=12, replace=False) + 40 * (k % 2))
+    rows = [(terms(k), r.random(12).astype(np.float32) + 0.1) for k in range(90)]
+    labels = np.array([k % 2 for k in range(90)])
+    model = quality.Model(rows, labels, 6)
+    x = np.zeros((90, quality.TERMS))
+    for i, (at, w) in enumerate(rows):
+        x[i, at] = w
+    df = (x > 0).sum(axis=0)
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-30)
+    x = unit(x * (np.log(91 / (1 + df)) + 0.05))
+    axes = np.linalg.svd(x, full_matrices=False)[2][:6].T
+    cosines = unit(x @ axes) @ unit(x @ axes).T
+    want = []
+    for i in range(90):
+        near = np.argsort(-cosines[i])[:quality.NEIGHBOURS]
+        w = np.clip(cosines[i, near], 0, 1) ** quality.POWER
+        want.append((w * labels[near]).sum() / w.sum())
+    assert np.allclose(model.score(rows), want, atol=2e-3)
+    assert model.score([(np.zeros(0, np.int64), np.zeros(0, np.float32))])[0] == model.prior
+
+
+def test_mixing_ranges_hold_bounded_shares(spark):
+    # documents of the least weight: no range of keys may gather them
+    df = docs_of(spark, [(i, "#!%&/ " * 3, "a") for i in range(8000)])
+    key = mixing.sampling_key(F.col("doc_id"), mixing.quality_weight(F.col("text")))
+    bins = df.select(F.least(F.lit(63), F.floor(key / (1 + key) * 64)).alias("b")).groupBy("b").count().collect()
+    assert max(r["count"] for r in bins) < 7 * 8000 / 64

@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from batchkit.llm import bpe, jaccard, mixing, queries, secrets
@@ -94,3 +95,37 @@ def test_oracles(spark, name):
     want = con.execute(queries.ORACLE_SQL[name])
     order = [d[0] for d in want.description]
     assert sorted(map(tuple, got.select(*order).collect())) == sorted(want.fetchall())
+
+
+def odd_documents(spark):
+    """Nulls in any column, empty and long texts, repeated rows, ties, and columns whose names the stages use themselves."""
+    long_ = " ".join(f"word{i % 700} and" for i in range(20_000))
+    rows = [(1, "A plain sentence about nothing much, twice. " * 4, "en", "web", 10), (1, "A plain sentence about nothing much, twice. " * 4, "en", "web", 10), (2, None, None, None, None), (3, "", "en", "web", 0),
+            (None, "Another text whose id is missing, with token=abcdef123456 in it. " * 3, "de", None, 3), (None, None, None, "web", None), (4, long_, "fr", "books", len(long_)),
+            (5, "A plain sentence about nothing much, twice. " * 4, "en", "books", 10), (6, " \t\n", "es", "\U0001F600", 3), (6, "same id, other text " * 9, "es", "web", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("id", "label", "size", "key", "base", "spans", "component_id", "row", "t", "copy", "taken", "_s", "slot", "word"):
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
+def test_stages_take_odd_documents(spark, name):
+    stage, docs = dict(P.STAGES)[name], odd_documents(spark)
+    out = stage(spark, docs.repartition(3), SF)
+    got = out.collect()
+    ids = [r["doc_id"] for r in got]
+    if name == "tokens":
+        assert len(got) == docs.count() and sorted(map(str, ids)) == sorted(str(r["doc_id"]) for r in docs.collect())
+        assert {r["n_tokens"] for r in got if r["doc_id"] in (2, 3)} == {0}
+    else:
+        assert out.columns == docs.columns and {r["label"] for r in got} <= {"x"}
+    if name == "near_duplicates":
+        assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 6, 6] and ids.count(None) == 2  # 5 links with 1, one of the two rows of 1 stays
+    if name == "secrets":
+        assert len(got) == docs.count() and not any("abcdef123456" in (r["text"] or "") for r in got)
+        assert all(r["text"] is None or r["n_chars"] == len(r["text"]) for r in got)
+    if name == "mixture":
+        assert all((r["text"] or "").split() for r in got)
+    none = stage(spark, docs.limit(0), SF)
+    assert none.columns == out.columns and none.collect() == []
