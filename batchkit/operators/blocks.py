@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from batchkit._util import sql_ident
+
 #: Distinct rows in the sample that the bounds are taken from, on average.
 SAMPLE = 4096
 #: Ranges at most: four sampled rows each.
@@ -35,27 +37,24 @@ def range_bounds(df: DataFrame, columns: Sequence[str], ranges: int, copies: str
     square root's multiple, at any size.  ``copies`` names a column that is computed along
     with the rows, so that the subquery can share the shuffle that makes them.
     """
-    there = F.lit(True) if copies is None else F.col(copies) >= 0
+    there = f"{sql_ident(copies)} >= 0" if copies else "true"
+    listed = ", ".join(map(sql_ident, columns))
     rows = df.where(there).agg(F.count(F.lit(1)).alias("n")).scalar()
-    share = F.lit(float(SAMPLE) * (1 << 53)) / rows
-    mark = F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double")
-    sampled = df.where(F.when(there, mark) < share)  # one condition: it stays above the rows' aggregate, whose shuffle is there already
-    found = sampled.agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("s"))
-    at = F.transform(F.sequence(F.lit(1), F.lit(max(1, ranges - 1))), lambda i: F.call_function("div", F.size("s") * i, F.lit(ranges)).cast("int"))
-    picked = F.array_distinct(F.transform(F.filter(at, lambda i: i > 0), lambda i: F.element_at("s", i)))
-    return found.select((picked if ranges > 1 else F.slice("s", 1, 0)).alias("bounds")).scalar()
-
-
-def _range_of(bounds: Column, columns: Sequence[str], ranges: int) -> Column:
-    """How many of ``bounds`` lie below the row's columns (nulls come first)."""
-    row = F.struct(*columns)
-    below = lambda some: F.size(F.filter(some, lambda b: b < row))
+    # one condition, so that it stays above the rows' aggregate, whose shuffle is there already
+    mark = F.expr(f"CASE WHEN {there} THEN cast(shiftrightunsigned(xxhash64({listed}), 11) AS double) END")
+    found = df.where(mark < F.lit(float(SAMPLE) * (1 << 53)) / rows).agg(F.expr(f"sort_array(collect_list(struct({listed})))").alias("s"))
+    picked = f"array_distinct(transform(filter(transform(sequence(1, {ranges - 1}), i -> cast(size(s) * i div {ranges} AS int)), i -> i > 0), i -> element_at(s, i)))"
+    return found.select(F.expr(picked if ranges > 1 else "slice(s, 1, 0)").alias("bounds")).scalar()
+
+
+def _range_sql(columns: Sequence[str], ranges: int) -> str:
+    """SQL for how many of ``_bounds`` lie below the row's columns (nulls come first)."""
+    row = f"struct({', '.join(map(sql_ident, columns))})"
     if ranges <= FAN:
-        return below(bounds)
-    every = F.transform(F.sequence(F.lit(0), F.call_function("div", F.size(bounds), F.lit(FAN)).cast("int")), lambda i: i * FAN + 1)
-    coarse = F.transform(F.filter(every, lambda i: i <= F.size(bounds)), lambda i: F.element_at(bounds, i))
-    first = F.greatest(below(coarse) - 1, F.lit(0)) * FAN
-    return first + below(F.slice(bounds, first + 1, F.lit(FAN)))
+        return f"size(filter(_bounds, b -> b < {row}))"
+    every = f"filter(sequence(1, greatest(size(_bounds), 1), {FAN}), i -> i <= size(_bounds))"
+    first = f"(greatest(size(filter({every}, i -> element_at(_bounds, i) < {row})) - 1, 0) * {FAN})"
+    return f"{first} + size(filter(slice(_bounds, {first} + 1, {FAN}), b -> b < {row}))"
 
 
 def with_range(df: DataFrame, columns: Sequence[str], name: str = "_range", bounds: Column | None = None, copies: str | None = None) -> DataFrame:
@@ -63,8 +62,8 @@ def with_range(df: DataFrame, columns: Sequence[str], name: str = "_range", boun
     ranges = range_count(df)
     if bounds is None:
         bounds = range_bounds(df, columns, ranges, copies)
-    held = df.withColumn("_bounds", bounds)  # a column first: a subquery may not stand inside a higher-order function
-    return held.withColumn(name, _range_of(F.col("_bounds"), columns, ranges)).drop("_bounds")
+    held = df.select("*", bounds.alias("_bounds"))  # a column first: a subquery may not stand inside a higher-order function
+    return held.select(*[sql_ident(c) for c in df.columns], F.expr(_range_sql(columns, ranges)).alias(name))
 
 
 def rank_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_block: int,
@@ -84,20 +83,14 @@ def rank_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_p
     if rows_per_block < 1:
         raise ValueError("rows_per_block must be at least 1")
     ranged = with_range(df, [*keys, *order], copies=copies).repartition(*keys, "_range")
-    sums = ranged.groupBy(*keys, "_range").agg(F.sum(copies).alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"), F.sum("_sum").over(earlier).alias("_offset")) \
-                  .where("_offset > 0")
-    same = F.col("_range") == F.col("_r")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))  # a null key is a key
-    within = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ends = ranged.withColumn("_running", F.sum(copies).over(within)).join(F.broadcast(offsets), same, "left") \
-                 .withColumn("_end", F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_running")) \
-                 .withColumn("_start", F.col("_end") - F.col(copies))
-    per = F.lit(rows_per_block)
-    div = lambda a: F.call_function("div", a, per)
-    cut = ends.withColumn("block", F.explode(F.sequence(div(F.col("_start")), div(F.col("_end") - 1))))
-    share = F.least(F.col("_end"), (F.col("block") + 1) * per) - F.greatest(F.col("_start"), F.col("block") * per)
-    out = [share.cast("int").alias(c) if c == copies else F.col(c) for c in df.columns]
-    return cut.select(*out, "block")
+    by = ", ".join(map(sql_ident, keys))
+    n = sql_ident(copies)
+    offsets = ranged.groupBy(*keys, "_range").agg(F.sum(copies).alias("_sum")).selectExpr(
+        *[f"{sql_ident(k)} AS _key{i}" for i, k in enumerate(keys)], "_range AS _r",
+        f"sum(_sum) OVER (PARTITION BY {by} ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _offset").where("_offset > 0")
+    same = F.expr(" AND ".join(["_range = _r", *(f"{sql_ident(k)} <=> _key{i}" for i, k in enumerate(keys))]))  # a null key is a key
+    within = f"sum({n}) OVER (PARTITION BY {by}, _range ORDER BY {', '.join(map(sql_ident, order))} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ends = ranged.selectExpr("*", f"{within} AS _running").join(F.broadcast(offsets), same, "left").selectExpr("*", "coalesce(_offset, 0) + _running AS _end")
+    cut = ends.selectExpr("*", f"explode(sequence((_end - {n}) div {rows_per_block}, (_end - 1) div {rows_per_block})) AS block")
+    share = f"cast(least(_end, (block + 1) * {rows_per_block}) - greatest(_end - {n}, block * {rows_per_block}) AS int) AS {n}"
+    return cut.selectExpr(*[share if c == copies else sql_ident(c) for c in df.columns], "block")
