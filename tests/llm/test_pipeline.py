@@ -89,7 +89,7 @@ def test_tokens(steps):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     want = con.execute(queries.ORACLE_SQL[name])
