@@ -59,12 +59,13 @@ def test_event_rate_type_checks(spark):
 
 
 def test_event_rate_sql_text(spark):
-    _events(spark, [(1, "view"), (1, "pay"), (1, "click"), (1, "view")]).createOrReplaceTempView("ev_t")
-    q = f"select g, {event_rate_sql('e', chr(39) + 'pay' + chr(39), chr(39) + 'view' + chr(39))} r from ev_t group by g"
-    assert spark.sql(q).first()["r"] == pytest.approx(0.5)
+    rows = [(7, e) for e in ("open", "skip", "open", "buy", "open", "buy", "open", "open")]
+    _events(spark, rows).createOrReplaceTempView("ev_t")
+    rate = lambda over: event_rate_sql("e", "'buy'", f"'{over}'")
+    q = f"select g, {rate('open')} r from ev_t group by g"
+    assert spark.sql(q).first()["r"] == pytest.approx(0.4)
     assert "partial_count" in physical_plan(spark.sql(q))
-    none = f"select {event_rate_sql('e', chr(39) + 'pay' + chr(39), chr(39) + 'nope' + chr(39))} r from ev_t"
-    assert spark.sql(none).first()["r"] is None
+    assert spark.sql(f"select {rate('never')} r from ev_t").first()["r"] is None
 
 
 # ------------------------------------------------------------------------- int_to_percent
@@ -78,15 +79,15 @@ def test_int_to_percent_values(spark, n, d, expected):
 
 
 def test_int_to_percent_checks(spark):
-    df = spark.createDataFrame([("1", 4, 1)], "s string, d int, n int")
+    df = spark.createDataFrame([("7", 20, 7)], "s string, d int, n int")
     with pytest.raises(TypeError):
         biz.int_to_percent_checked(df, "s", "d")
-    assert df.select(biz.int_to_percent_checked(df, "n", "d").alias("p")).first()["p"] == "25%"
+    assert df.select(biz.int_to_percent_checked(df, "n", "d").alias("p")).first()["p"] == "35%"
 
 
 def test_int_to_percent_sql(spark):
     register_all(spark)
-    assert spark.sql("select int_to_percent(1, 4) p").first()["p"] == "25%"
+    assert spark.sql("select int_to_percent(13, 20) p").first()["p"] == "65%"
     with pytest.raises(PySparkException):
         spark.sql("select int_to_percent(1) p").collect()
 
