@@ -71,6 +71,15 @@ def test_spread_join_deals_a_hot_key_to_many_tasks(spark):
     assert len(tasks) > 4 and max(r["count"] for r in tasks) < 100_000
 
 
+def test_spread_join_deals_small_sides_out_too(spark):
+    """Sides that Spark would broadcast, each scanned by one task: the product is made by many, in the session as it is."""
+    left = spark.range(0, 3000, 1, 1).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 10).alias("a"), F.col("id").alias("x"))
+    right = spark.range(0, 600, 1, 1).select(F.when(F.col("id") % 3 == 0, 7).otherwise(-F.col("id")).alias("b"), F.col("id").alias("y"))
+    made = joins.spread_join(left, right, [("a", "b")], "full").groupBy(F.spark_partition_id()).agg(F.expr("count_if(a = b)").alias("n")).collect()
+    assert sum(r["n"] for r in made) == 1000 * 200
+    assert len([r for r in made if r["n"]]) >= 4 and max(r["n"] for r in made) < 1000 * 200 // 2
+
+
 # ---------------------------------------------------------------- samples
 def test_samples_are_the_same_on_any_layout(spark):
     df = spark.range(5000)
