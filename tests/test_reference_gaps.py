@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from batchkit.operators import joins, partitions, sampling
-from batchkit.plans.inspect import shuffles
+from batchkit.plans.inspect import physical_plan, shuffles
 from batchkit.sources import json as json_src
 from batchkit.sources import text as text_src
 
@@ -80,6 +80,27 @@ def test_spread_join_deals_small_sides_out_too(spark):
     assert len([r for r in made if r["n"]]) >= 4 and max(r["n"] for r in made) < 1000 * 200 // 2
 
 
+@pytest.mark.parametrize("hot", [True, False])
+def test_spread_join_makes_copies_in_many_tasks_and_rows_once(spark, hot):
+    """Rows are dealt out before they are copied, as a small file is scanned by one task; where no key is cold, nothing makes the product's rows again."""
+    key = F.col("id") % 5 if hot else F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") + 10)
+    left = spark.range(0, 600, 1, 2).select(key.alias("a"), F.col("id").alias("x"))
+    right = spark.range(0, 120, 1, 2).select(key.alias("b"), F.col("id").alias("y"))
+    out = joins.spread_join(left, right, [("a", "b")], "full")
+    want = left.join(right, left.a == right.b, "full")
+    assert out.dtypes == want.dtypes and rows_of(out) == rows_of(want)
+    done = physical_plan(out).split("\n+- == Initial Plan")[0]
+    done = [x.strip(" :+-") for x in done[done.index("== Final Plan"):].splitlines()]
+    copies = [i for i, x in enumerate(done) if "Generate explode" in x]
+    assert len(copies) == 2
+    for i in copies:
+        below = next(x for x in done[i + 1:] if "Exchange" in x or "Range" in x)
+        assert "RoundRobinPartitioning" in below, below
+    if hot:
+        top = next(x for x in done[1:] if not x.startswith(("ResultQueryStage", "Coalesce")))
+        assert "Project" not in top, top
+
+
 # ---------------------------------------------------------------- samples
 def test_samples_are_the_same_on_any_layout(spark):
     df = spark.range(5000)
